@@ -50,13 +50,12 @@ def json_key_replaced(document: Column, name: str, change) -> Column:
 
     A missing or null key, or a document that is not an object, leaves the text unchanged.
     """
-    variant = F.try_parse_json(document)
-    sent = F.try_variant_get(variant, f"$.{name}", "string")
-    entries = F.from_json(document, "map<string,variant>")
-    replaced = F.transform_values(
-        entries,
-        lambda k, v: F.when(k == name, change(sent).cast("variant")).otherwise(v),
+    sent = F.try_variant_get(F.try_parse_json(document), f"$.{name}", "string")
+    others = F.map_filter(
+        F.from_json(document, "map<string,variant>"), lambda k, _: k != F.lit(name)
     )
+    # The new value joins outside the lambda: the key subquery is not allowed inside one.
+    replaced = F.map_concat(others, F.create_map(F.lit(name), change(sent).cast("variant")))
     return F.when(sent.isNotNull(), F.to_json(replaced)).otherwise(document)
 
 

@@ -151,7 +151,8 @@ def rendered(spark: SparkSession, sf_dir: str, layout: str) -> str:
     place = (spark.sparkContext.applicationId, sf_dir, layout)
     if place in _rendered:
         return _rendered[place]
-    rows = employee_rows(spark, sf_dir)
+    # Feed order is file name, then position: sorted rows make that the order of ``src_row``.
+    rows = employee_rows(spark, sf_dir).orderBy("src_row")
     path = work_dir(spark, f"feed-{layout}")
     if layout == "csv":
         columns = [

@@ -55,9 +55,7 @@ from lineitem
 def shipment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shipment feed in the shape of a CSV feed reader; order by part and supplier."""
     register(spark, sf_dir, ["lineitem"])
-    # The text columns are fixed before parsing, as they are in a file.
-    return spark.sql(SHIPMENT_FEED.replace("varchar(30)", "string").replace("varchar(20)", "string")
-                     .replace("varchar(3)", "string")).select(
+    return spark.sql(SHIPMENT_FEED).select(
         F.col("l_returnflag").alias("_source_file"),
         F.struct(
             F.col("l_suppkey"), F.col("l_partkey"), F.col("l_extendedprice")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from feedgate.functions.barrier import computed_once
 from feedgate.sources.inventory import GLOBS
 
 #: A record above this size cannot become one variant; its document is refused.
@@ -225,7 +226,8 @@ def raw_elements(chunks: DataFrame, refused: DataFrame) -> DataFrame:
         element_text(chunks)
         .select("_source_file", "block", "seq", inside.alias("inside"))
         .unionByName(refused.unionByName(cut_off), allowMissingColumns=True)
-        .withColumn("element", F.when(F.col("inside").isNull(), broken).otherwise(F.col("inside")))
+        # Not pushed down: below the aggregate it would also fail complete documents.
+        .withColumn("element", computed_once(F.coalesce(F.col("inside"), broken)))
     )
     return checked.filter(~F.col("element").rlike(r"^\s*+$")).select(
         "_source_file", "block", "seq", F.regexp_replace("element", r"^\s++", "").alias("element")
@@ -280,6 +282,8 @@ def read_large_arrays(
         ).alias("_at"),
         F.lit(None).cast("timestamp").alias("_source_time"),
         F.lit(MALFORMED).alias("_doc_error"),
-        F.lit(None).cast("variant").alias("record"),
+        # NULL, as a path is no JSON text.  A literal NULL would let Spark work out these rows'
+        # columns while planning, and fail there on casts that no row may ever reach.
+        F.try_parse_json("_source_file").alias("record"),
     )
     return records.unionByName(failed)
