@@ -1,6 +1,7 @@
 """Fields of a JSON record (a variant) and their values by kind.
 
-A variant converts freely between types, so the strict kinds look at the type tag first.
+A variant converts freely between types, so the strict kinds read the field's JSON text, where a
+number, a string and a boolean look different.
 """
 
 from __future__ import annotations
@@ -21,12 +22,14 @@ def as_text(record: Column, name: str) -> Column:
 
 def _scalar_text(text: Column, value: Column) -> Column:
     # Only text that looks like a container pays for the type tag.
+    suspect = F.startswith(text, F.lit("{")) | F.startswith(text, F.lit("["))
     container = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
-    return F.when(text.rlike(r"^[\[{]"), F.when(container, "").otherwise(text)).otherwise(text)
+    return F.when(suspect, F.when(container, "").otherwise(text)).otherwise(text)
 
 
-def text(record: Column, name: str) -> Column:
-    return F.coalesce(as_text(record, name), F.lit(" "))
+def json_text(record: Column, name: str) -> Column:
+    """The field as JSON text, missing and null as NULL."""
+    return F.nullif(F.to_json(node(record, name)), F.lit("null"))
 
 
 def text_list(record: Column, name: str) -> Column:
@@ -40,37 +43,35 @@ def text_list(record: Column, name: str) -> Column:
     return F.coalesce(items, F.array().cast("array<string>"))
 
 
-def json_text(record: Column, name: str) -> Column:
-    value = node(record, name)
-    return F.when(~F.is_variant_null(value), F.to_json(value))
-
-
-def _problem(record: Column, name: str, value: Column, what: str) -> Column:
-    sent = as_text(record, name)
-    message = F.concat(F.lit(f"Invalid {what} for field '{name}': "), sent)
-    return F.when(sent.isNotNull() & value.isNull(), message)
+def raw(kind: str, record: Column, name: str) -> Column:
+    """The field in the form its kind is read from."""
+    if kind in ("decimal", "boolean", "json"):
+        return json_text(record, name)
+    return text_list(record, name) if kind == "list" else as_text(record, name)
 
 
-def value_and_error(
-    kind: str, record: Column, name: str, lenient_uuid: bool = False
-) -> tuple[Column, Column | None]:
-    """The typed value of a field and the message if the field is unusable."""
+def value(kind: str, sent: Column, lenient_uuid: bool = False) -> Column:
+    """The typed value of a field, from its raw form."""
     if kind == "text":
-        return text(record, name), None
+        return F.coalesce(sent, F.lit(" "))
     if kind == "uuid":
-        value = uuids.canonical(as_text(record, name), lenient_uuid)
-        return value, _problem(record, name, value, "UUID")
+        return uuids.canonical(sent, lenient_uuid)
     if kind == "date":
-        value = csv_cells.iso_date(as_text(record, name))
-        return value, _problem(record, name, value, "date")
+        return csv_cells.iso_date(sent)
     if kind == "decimal":
-        number = F.schema_of_variant(node(record, name)).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-        value = F.when(number, decimals.plain(as_text(record, name)))
-        return value, _problem(record, name, value, "decimal")
+        return decimals.plain(sent)
     if kind == "boolean":
-        is_boolean = F.schema_of_variant(node(record, name)) == "BOOLEAN"
-        value = F.when(is_boolean, F.try_variant_get(record, f"$.{name}", "boolean"))
-        return value, _problem(record, name, value, "boolean")
-    if kind == "list":
-        return text_list(record, name), None
-    return json_text(record, name), None
+        return F.when(sent == "true", True).when(sent == "false", False)
+    return sent
+
+
+def error(kind: str, sent: Column, typed: Column, name: str) -> Column | None:
+    """The message if a field is unusable, None for kinds that take any field."""
+    if kind not in csv_cells.UNUSABLE:
+        return None
+    shown = sent
+    if kind in ("decimal", "boolean"):
+        document = F.try_parse_json(sent)
+        shown = _scalar_text(F.try_variant_get(document, "$", "string"), document)
+    message = F.concat(F.lit(f"Invalid {csv_cells.UNUSABLE[kind]} for field '{name}': "), shown)
+    return F.when(sent.isNotNull() & typed.isNull(), message)

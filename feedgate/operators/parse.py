@@ -1,4 +1,8 @@
-"""Raw feed rows -> typed columns and a parse error."""
+"""Raw feed rows -> typed columns and a parse error.
+
+Three projections: raw fields, values, errors.  Each reads only the columns of the one before,
+so a field is taken apart once although its value and its error both need it.
+"""
 
 from __future__ import annotations
 
@@ -11,23 +15,26 @@ from feedgate.functions.barrier import computed_once
 ORIGIN = ["_source_file", "_at", "_source_time"]
 
 
-def _select(
-    feed: DataFrame,
+def _with_error(
+    valued: DataFrame,
     contract: TableContract,
-    fields: list[tuple[Column, Column | None]],
-    first: list[Column],
+    messages: list[Column | None],
     all_errors: bool,
 ) -> DataFrame:
-    """Values by contract name plus ``_parse_error``, computed in one projection."""
-    messages = first + [error for _, error in fields if error is not None]
-    if not messages:
+    present = [m for m in messages if m is not None]
+    if not present:
         error = F.lit(None).cast("string")
     elif all_errors:
-        error = F.nullif(F.concat_ws("; ", *messages), F.lit(""))
+        error = F.nullif(F.concat_ws("; ", *present), F.lit(""))
     else:
-        error = F.coalesce(*messages)
-    values = [value.alias(name) for name, (value, _) in zip(contract.columns, fields)]
-    return feed.select(*ORIGIN, *values, computed_once(error).alias("_parse_error"))
+        error = F.coalesce(*present)
+    return valued.select(
+        *ORIGIN, *contract.columns, computed_once(error).alias("_parse_error")
+    )
+
+
+def _raw(name: str) -> str:
+    return f"_raw_{name}"
 
 
 def parse_csv(feed: DataFrame, contract: TableContract, all_errors: bool = False) -> DataFrame:
@@ -35,17 +42,39 @@ def parse_csv(feed: DataFrame, contract: TableContract, all_errors: bool = False
 
     A row is reported with its first bad field in contract order, or with all of them.
     """
-    fields = [
-        csv_cells.value_and_error(f.kind, F.col(f.name), f.name, contract.lenient_uuid)
+    valued = feed.select(
+        *ORIGIN,
+        *[F.col(c).alias(_raw(c)) for c in contract.columns],
+        *[
+            csv_cells.value(f.kind, F.col(f.name), contract.lenient_uuid).alias(f.name)
+            for f in contract.fields
+        ],
+    )
+    messages = [
+        csv_cells.error(f.kind, F.col(_raw(f.name)), F.col(f.name), f.name)
         for f in contract.fields
     ]
-    return _select(feed, contract, fields, [], all_errors)
+    return _with_error(valued, contract, messages, all_errors)
 
 
 def parse_json(feed: DataFrame, contract: TableContract, all_errors: bool = False) -> DataFrame:
     """Type the records of a JSON feed; a malformed document is its rows' only error."""
-    fields = [
-        json_fields.value_and_error(f.kind, F.col("record"), f.name, contract.lenient_uuid)
+    taken = feed.select(
+        *ORIGIN,
+        "_doc_error",
+        *[
+            json_fields.raw(f.kind, F.col("record"), f.name).alias(_raw(f.name))
+            for f in contract.fields
+        ],
+    )
+    valued = taken.withColumns(
+        {
+            f.name: json_fields.value(f.kind, F.col(_raw(f.name)), contract.lenient_uuid)
+            for f in contract.fields
+        }
+    )
+    messages = [F.col("_doc_error")] + [
+        json_fields.error(f.kind, F.col(_raw(f.name)), F.col(f.name), f.name)
         for f in contract.fields
     ]
-    return _select(feed, contract, fields, [F.col("_doc_error")], all_errors)
+    return _with_error(valued, contract, messages, all_errors)

@@ -164,9 +164,7 @@ _LINE_BYTES = " + ".join(
     _CELL.format(c=c if c != "src_row" else "cast(src_row as varchar)") for c in csv_header()
 )
 
-ROUNDTRIP = f"{FEED} select src_row, " + ", ".join(
-    f"coalesce({c}, '') as {c}" for c in CSV_COLUMNS
-) + " from feed"
+ROUNDTRIP = f"{FEED} select src_row, {', '.join(CSV_COLUMNS)} from feed"
 
 # Input rows, their distinct keys, and what the target holds after the run.
 COUNTS = """select (select count(*) from feed) as input_records,

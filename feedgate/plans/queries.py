@@ -131,11 +131,15 @@ def feed_inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def read_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    return _csv_feed(spark, sf).select(_src_row(), *feeds.CSV_COLUMNS)
+    return _raw_columns(_csv_feed(spark, sf))
 
 
 def read_csv_per_file_headers(spark: SparkSession, sf: str) -> DataFrame:
-    return _csv_feed(spark, sf, headers="per_file").select(_src_row(), *feeds.CSV_COLUMNS)
+    return _raw_columns(_csv_feed(spark, sf, headers="per_file"))
+
+
+def _raw_columns(feed: DataFrame) -> DataFrame:
+    return feed.select(_src_row(), *feeds.CSV_COLUMNS)
 
 
 def parse_csv_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,9 +156,10 @@ def _cell_query(columns: dict[str, str], cast: str | None = None) -> Callable:
     def query(spark: SparkSession, sf: str) -> DataFrame:
         out = [_src_row()]
         for name, kind in columns.items():
-            value, error = csv_cells.value_and_error(kind, F.col(name), name)
-            value = F.array_join(value, "|") if kind == "list" else value
-            out.append((value.try_cast(cast) if cast else value).alias(name))
+            value = csv_cells.value(kind, F.col(name))
+            error = csv_cells.error(kind, F.col(name), value, name)
+            shown = F.array_join(value, "|") if kind == "list" else value
+            out.append((shown.try_cast(cast) if cast else shown).alias(name))
             if error is not None:
                 out.append(error.alias(f"{name}_error"))
         return _text_feed(spark, sf).select(*out)
@@ -385,7 +390,7 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
 def split_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     out = work_dir(spark, "parts-csv")
     splitting.split_feed(spark, feeds.rendered(spark, sf, "csv"), out, "csv", PART_BYTES)
-    return csv_feed.read_csv_feed(spark, out, TRACED).select(_src_row(), *feeds.CSV_COLUMNS)
+    return _raw_columns(csv_feed.read_csv_feed(spark, out, TRACED))
 
 
 def split_json_roundtrip(layout: str, spark: SparkSession, sf: str) -> DataFrame:
@@ -614,11 +619,16 @@ def event_properties(spark: SparkSession, sf: str) -> DataFrame:
     """Events as JSON records: properties read from their JSON text, type-strict."""
     feeds.register(spark, sf, ["events"])
     record = F.try_parse_json("props")
-    k, k_error = json_fields.value_and_error("decimal", record, "k")
-    flag, flag_error = json_fields.value_and_error("boolean", record, "k")
-    return spark.table("events").select(
-        "event_id", k.try_cast("int").alias("k"), k_error.alias("k_error"),
-        flag.alias("flag"), flag_error.alias("flag_error"),
+    sent = F.col("sent")
+    k, flag = json_fields.value("decimal", sent), json_fields.value("boolean", sent)
+    rows = spark.table("events").select(
+        "event_id", json_fields.raw("decimal", record, "k").alias("sent")
+    )
+    return rows.select(
+        "event_id", k.try_cast("int").alias("k"),
+        json_fields.error("decimal", sent, k, "k").alias("k_error"),
+        flag.alias("flag"),
+        json_fields.error("boolean", sent, flag, "k").alias("flag_error"),
     )
 
 

@@ -67,10 +67,12 @@ def split_feed(
         _require_records(lines)
         feed_writer.write_json_lines(lines.select(F.col("value").alias("element")), out)
     else:
-        parts = -(-summary.total_bytes // threshold_bytes)
-        chunks, refused = json_chunks.read_chunks(spark, path, glob=glob)
-        elements = json_chunks.raw_elements(chunks, refused).select("element")
-        feed_writer.write_json_arrays(elements.repartition(max(1, parts)), out)
+        parts = max(1, -(-summary.total_bytes // threshold_bytes))
+        # Lots small against a part, so that parts come out even.
+        lot_bytes = max(1, min(json_chunks.PACK_BYTES, threshold_bytes // 64))
+        chunks = json_chunks.read_chunks(spark, path, glob=glob, pack_bytes=lot_bytes)
+        elements = json_chunks.raw_elements(chunks).select("element")
+        feed_writer.write_json_arrays(elements.repartition(parts), out)
     feed_writer.name_parts(spark, out, prefix, fmt)
     written = feed_inventory(spark, out, fmt)
     if written.isEmpty():

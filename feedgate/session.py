@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Base64 text without line breaks after 76 characters.
     "spark.sql.chunkBase64String.enabled": "false",
+    # Methods above this size are never compiled by the JVM; a wide contract in one generated
+    # method would run interpreted.  Spark then generates one smaller class per operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

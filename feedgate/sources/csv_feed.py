@@ -105,14 +105,10 @@ def _positions(header: str, contract: TableContract) -> dict[str, int]:
 def bind_cells(lines: DataFrame, header: str, contract: TableContract) -> DataFrame:
     """Cut lines into cells and name the contract's ones; short rows and absent columns are NULL."""
     at = _positions(header, contract)
-    cut = lines.withColumn("_cells", csv_cells.cells(F.col("line")))
     columns = [
-        csv_cells.unquoted(F.get("_cells", F.lit(at[c]))).alias(c)
-        if c in at
-        else F.lit(None).cast("string").alias(c)
-        for c in contract.columns
+        F.col(c) if c in at else F.lit(None).cast("string").alias(c) for c in contract.columns
     ]
-    return cut.select("_source_file", "_at", "_source_time", *columns)
+    return csv_cells.bound(lines, at).select("_source_file", "_at", "_source_time", *columns)
 
 
 def read_csv_feed(

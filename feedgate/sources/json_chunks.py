@@ -1,14 +1,16 @@
 """Cutting large JSON arrays at record borders, in parallel.
 
-The text is read in pieces that end at ``}``, so a file splits into byte blocks like any
-line-based file.  Whether a ``}`` ends a record depends on everything before it: is the
-position inside a string, and how deep is it nested?  Both are running sums - of quotes and
-of brackets - and are built in two steps: inside each block (a window per block) and across
-blocks (a window over one row per block).  A cut lies where the text is outside strings and
-the depth is back to one.  What stands between two cuts is a well-formed list of elements and
-is parsed as a small array of its own.
-
-The text is shuffled once, by block; only pieces that reach over a block border move again.
+The text is read in fragments that end at ``}``, so a file splits into byte blocks like any
+line-based file and every task sees its block's fragments in order.  Whether a ``}`` ends a
+record depends on all text before it: is the place inside a string, and how deep is it nested?
+Two passes over the text answer that without moving it:
+
+1. Every block is summed up in one row: does it flip the inside-a-string state, and by how much
+   does it change the depth - for both states it may start in.  Running sums over those rows give
+   the state in which each block really starts.
+2. Every block is cut where the text is outside strings and the depth is back to one.  What stands
+   between two cuts is a list of whole records and is parsed as a small array of its own.  Only
+   the pieces at block borders are put together by a shuffle.
 """
 
 from __future__ import annotations
@@ -21,129 +23,195 @@ from feedgate.sources.inventory import GLOBS
 #: A record above this size cannot become one variant; its document is refused.
 MAX_RECORD_BYTES = 64 * 1024 * 1024
 
+#: Records are cut off in lots of about this size.
+PACK_BYTES = 64 * 1024
+
 MALFORMED = "Malformed JSON document"
 
-_FILE_BLOCK = ["_source_file", "block"]
+_KEY = ["file_id", "block"]
 
 
 def _fragments(spark: SparkSession, path: str, above_bytes: int, glob: str | None) -> DataFrame:
+    """Text between closing braces.  Files go by the hash of their path: 8 bytes per fragment."""
     reader = spark.read.option("pathGlobFilter", glob or GLOBS["json"]).option("lineSep", "}")
     return (
         reader.text(path)
         .filter(F.col("_metadata.file_size") > above_bytes)
         .select(
-            F.col("_metadata.file_path").alias("_source_file"),
-            F.col("_metadata.file_modification_time").alias("_source_time"),
+            F.xxhash64("_metadata.file_path").alias("file_id"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-            "value",
+            F.col("value").cast("binary").alias("value"),
         )
     )
 
 
-def _count(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
-
-
-def _depth_change(text: Column) -> Column:
-    outside = F.regexp_replace(text, '"[^"]*+(?:"|$)', "")
-    return _count(outside, "{[") - _count(outside, "}]")
-
-
-def _states(fragments: DataFrame) -> DataFrame:
-    """Quote parity and depth of every fragment, counted from the start of its block.
-
-    A block does not know whether it starts inside a string, so depth is kept for both
-    cases: ``deep_0`` starting outside, ``deep_1`` starting inside.
-    """
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
-    counted = fragments.withColumn("_plain", plain).select(
-        *fragments.columns,
-        (_count(F.col("_plain"), '"') % 2).alias("odd"),
-        _depth_change(F.col("_plain")).alias("from_out"),
-        _depth_change(F.concat(F.lit('"'), F.col("_plain"))).alias("from_in"),
-    )
-    in_block = Window.partitionBy(*_FILE_BLOCK).orderBy("seq")
-    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("odd").over(earlier), F.lit(0))
-    flipped = counted.withColumn("flip", before % 2)
-    end = (F.col("flip") + F.col("odd")) % 2  # 0: same side of the quotes as the block start
-    same = F.col("flip") == 0
-    # The brace that ends the fragment closes a level unless it stands inside a string.
-    step_0 = F.when(same, F.col("from_out")).otherwise(F.col("from_in")) - F.when(
-        end == 0, 1
-    ).otherwise(0)
-    step_1 = F.when(same, F.col("from_in")).otherwise(F.col("from_out")) - F.when(
-        end == 1, 1
-    ).otherwise(0)
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _files(spark: SparkSession, path: str, above_bytes: int, glob: str | None) -> DataFrame:
     return (
-        flipped.withColumns({"end": end, "step_0": step_0, "step_1": step_1})
-        .withColumns({"deep_0": F.sum("step_0").over(so_far), "deep_1": F.sum("step_1").over(so_far)})
-        .drop("from_out", "from_in", "flip")
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", glob or GLOBS["json"])
+        .load(path)
+        .filter(F.col("length") > above_bytes)
+        .select(
+            F.xxhash64("_metadata.file_path").alias("file_id"),
+            F.col("_metadata.file_path").alias("_source_file"),
+            F.col("modificationTime").alias("_source_time"),
+        )
     )
 
 
-def _block_starts(states: DataFrame) -> DataFrame:
-    """State in which every block starts.  One row per block: 128 MB of text each by default."""
-    blocks = states.groupBy(*_FILE_BLOCK).agg(
-        (F.sum("odd") % 2).alias("odd"),
-        F.sum("step_0").alias("step_0"),
-        F.sum("step_1").alias("step_1"),
-    )
+def _scanner(pack_bytes: int, max_bytes: int):
+    """The two task-side passes.  Nested, so that they travel by value to the workers."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def runs(batches):
+        """(key, batch) per stretch of one block; a block's batches follow each other."""
+        for batch in batches:
+            ids, blocks = (batch.column(i).to_numpy() for i in (0, 1))
+            if not len(ids):
+                continue
+            change = np.flatnonzero((ids[1:] != ids[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+            edges = [0, *change.tolist(), len(ids)]
+            for start, stop in zip(edges, edges[1:]):
+                yield (int(ids[start]), int(blocks[start])), batch.slice(start, stop - start)
+
+    def marks(values):
+        """Quote parity and bracket steps of the fragments.
+
+        Returns parity after each fragment (from 0), and the steps inside each fragment at
+        even and at odd parity.
+        """
+        offsets = np.frombuffer(values.buffers()[1], np.int32)[
+            values.offset : values.offset + len(values) + 1
+        ].astype(np.int64)
+        body = values.buffers()[2]
+        data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+        data = data[offsets[0] : offsets[-1]]
+        ends = offsets[1:] - offsets[0]
+        quote = data == 34
+        slashes = np.flatnonzero(data == 92)
+        if slashes.size:  # a quote after an odd number of backslashes is no border
+            last = np.flatnonzero(np.append(np.diff(slashes) != 1, True))
+            first = np.append(0, last[:-1] + 1)
+            escaped = slashes[last][(last - first) % 2 == 0] + 1
+            quote[escaped[escaped < data.size]] = False
+        step = (((data == 123) | (data == 91)).astype(np.int8)) - (data == 93)
+        places = np.flatnonzero(quote | (step != 0))
+        parity = np.bitwise_xor.accumulate(quote[places].view(np.uint8))
+        steps = step[places].astype(np.int64)
+        upto = np.searchsorted(places, ends)
+        after = np.append(np.uint8(0), parity)[upto]
+
+        def per_fragment(of):
+            total = np.append(0, np.cumsum(of))[upto]
+            return np.diff(np.append(0, total))
+
+        return after, per_fragment(steps * (parity == 0)), per_fragment(steps * (parity == 1))
+
+    def summaries(batches):
+        """One row per block: parity flip; depth change and lowest depth from outside / inside."""
+        done, key = [], None
+        for at, run in runs(batches):
+            if at != key:
+                done.append([*at, 0, 0, 0, 1 << 40, 1 << 40])
+                key = at
+            row = done[-1]
+            after, even, odd = marks(run.column(2))
+            if row[2]:
+                after, even, odd = after ^ 1, odd, even
+            for start, steps in ((0, even), (1, odd)):
+                ends_outside = after == start
+                # The brace behind a fragment closes a level where the fragment ends outside.
+                deep = row[3 + start] + np.cumsum(steps - ends_outside)
+                row[3 + start] = int(deep[-1])
+                if ends_outside.any():
+                    row[5 + start] = min(row[5 + start], int(deep[ends_outside].min()))
+            row[2] = int(after[-1])
+        names = ["file_id", "block", "odd", "from_out", "from_in", "low_out", "low_in"]
+        columns = list(zip(*done)) if done else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    def pieces(batches):
+        """The blocks' text between cuts; ``ended`` is 0 for what is left at a block's end."""
+        names = ["file_id", "block", "nth", "ended", "oversized", "lot", "text"]
+        key, rest = None, []
+
+        def row(ended, text, oversized=0):
+            return (*key, nth, ended, oversized, lot + (nth > 0), text)
+
+        def out(rows):
+            columns = list(zip(*rows))
+            types = [pa.int64()] * 6 + [pa.binary()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)], names=names
+            )
+
+        def text_of(parts):
+            values = pa.concat_arrays(parts)
+            whole = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            return pc.binary_join(whole, pa.scalar(b"}", pa.binary()))[0].as_py()
+
+        for at, run in runs(batches):
+            ready = []
+            if at != key:
+                if rest:
+                    ready.append(row(0, text_of(rest)))
+                key, rest, nth, total, last_lot = at, [], 0, 0, -1
+                inside, depth, lot = (run.column(i)[0].as_py() for i in (3, 4, 5))
+            values = run.column(2).cast(pa.binary())
+            after, even, odd = marks(values)
+            ends_outside = (after ^ inside) == 0
+            deep = depth + np.cumsum((odd if inside else even) - ends_outside)
+            filled = total + np.cumsum(pc.binary_length(values).to_numpy().astype(np.int64) + 1)
+            cuts = np.flatnonzero(ends_outside & (deep == 1))
+            start = 0
+            if cuts.size:
+                # The first cut of the block, then the first one behind every lot's size.
+                lots = filled[cuts] // pack_bytes
+                for cut in cuts[lots > np.append(last_lot, lots[:-1])].tolist():
+                    rest.append(values.slice(start, cut + 1 - start))
+                    ready.append(row(1, text_of(rest)))
+                    rest, start, nth = [], cut + 1, nth + 1
+                last_lot = int(lots[-1])
+            if start < len(values):
+                rest.append(values.slice(start))
+            if sum(part.nbytes for part in rest) > max_bytes:
+                ready.append(row(0, None, 1))
+                rest = []
+            inside, depth, total = int(after[-1]) ^ inside, int(deep[-1]), int(filled[-1])
+            if ready:
+                yield out(ready)
+        if rest:
+            yield out([row(0, text_of(rest))])
+
+    return summaries, pieces
+
+
+def _before(value: str) -> Column:
     earlier = (
-        Window.partitionBy("_source_file")
-        .orderBy("block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    inside = F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2
-    sided = blocks.withColumn("inside", inside).withColumn(
-        "step", F.when(F.col("inside") == 0, F.col("step_0")).otherwise(F.col("step_1"))
+        Window.partitionBy("file_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    depth = F.coalesce(F.sum("step").over(earlier), F.lit(0))
-    return sided.select(*_FILE_BLOCK, "inside", depth.alias("base"))
+    return F.coalesce(F.sum(value).over(earlier), F.lit(0))
 
 
-def _pieces(states: DataFrame) -> DataFrame:
-    """Text between cuts, per block.  ``nth`` counts the cuts before a piece in its block."""
-    joined = states.join(_block_starts(states), _FILE_BLOCK)
-    outside = F.col("end") == F.col("inside")
-    depth = F.col("base") + F.when(F.col("inside") == 0, F.col("deep_0")).otherwise(
-        F.col("deep_1")
-    )
-    cuts_before = F.sum("cut").over(
-        Window.partitionBy(*_FILE_BLOCK)
-        .orderBy("seq")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    numbered = joined.withColumn("cut", (outside & (depth == 1)).cast("int")).withColumn(
-        "nth", F.coalesce(cuts_before, F.lit(0))
-    )
-    in_order = F.sort_array(F.collect_list(F.struct("seq", "value")))
-    return numbered.groupBy(*_FILE_BLOCK, "nth").agg(
-        F.first("_source_time").alias("_source_time"),
-        F.min("seq").alias("seq"),
-        F.max("cut").alias("ended"),
-        F.array_join(in_order["value"], "}").alias("text"),
-    )
+def _block_starts(summaries: DataFrame) -> DataFrame:
+    """State in which every block starts, and the number of the lot that reaches into it.
 
-
-def _with_chunk_number(pieces: DataFrame) -> DataFrame:
-    """Number pieces by the cuts before them in the whole file: pieces of one chunk agree."""
-    per_block = pieces.groupBy(*_FILE_BLOCK).agg(F.sum("ended").alias("cuts"))
-    earlier = (
-        Window.partitionBy("_source_file")
-        .orderBy("block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = per_block.select(
-        *_FILE_BLOCK,
-        "cuts",
-        F.coalesce(F.sum("cuts").over(earlier), F.lit(0)).alias("cuts_before"),
+    One row per block, 128 MB of text each by default: 800,000 rows for 100 TB.
+    """
+    from_outside = F.col("inside") == 0
+    sided = summaries.withColumn("inside", _before("odd") % 2).withColumns(
+        {
+            "step": F.when(from_outside, F.col("from_out")).otherwise(F.col("from_in")),
+            "low": F.when(from_outside, F.col("low_out")).otherwise(F.col("low_in")),
+        }
     )
-    return pieces.join(starts, _FILE_BLOCK).withColumn(
-        "chunk", F.col("cuts_before") + F.col("nth")
+    # Records end at depth one, the lowest a brace of a complete array leads to.
+    based = sided.withColumn("base", _before("step")).withColumn(
+        "cut", (F.col("base") + F.col("low") <= 1).cast("int")
     )
+    return based.select(*_KEY, "inside", "base", _before("cut").alias("lot"))
 
 
 def read_chunks(
@@ -151,47 +219,64 @@ def read_chunks(
     path: str,
     above_bytes: int = -1,
     glob: str | None = None,
+    pack_bytes: int = PACK_BYTES,
     max_record_bytes: int = MAX_RECORD_BYTES,
-) -> tuple[DataFrame, DataFrame]:
-    """(chunks, refused): raw text between cuts, and files with a stretch too long to be records.
+) -> DataFrame:
+    """Lots of whole records as raw text, of all documents above a size.
 
-    Chunks carry ``_source_file, _source_time, block, seq, chunk, ended, text``; in a complete
-    document exactly one chunk, the rest after the last record, has ``ended = 0``.
+    Columns ``_source_file, _source_time, block, seq, chunk, ended, text``.  In a complete
+    document exactly one chunk, the rest after the last record, has ``ended = 0``.  ``text`` is
+    NULL where a stretch without a record border is too long.
     """
-    states = _states(_fragments(spark, path, above_bytes, glob))
-    pieces = _with_chunk_number(_pieces(states))
-    # Pieces alone in their chunk are complete; the others touch a border of their block.
-    complete = (F.col("ended") == 1) & ((F.col("nth") > 0) | (F.col("block") == 0))
-    columns = ["_source_file", "_source_time", "block", "seq", "chunk", "ended", "text"]
-    border = pieces.filter(~complete)
-    refused = (
-        border.groupBy("_source_file", "chunk")
-        .agg(F.sum(F.length("text")).alias("size"))
-        .filter(F.col("size") > max_record_bytes)
-        .select("_source_file")
-        .distinct()
+    summarise, cut = _scanner(pack_bytes, max_record_bytes)
+    fragments = _fragments(spark, path, above_bytes, glob)
+    starts = _block_starts(
+        fragments.mapInArrow(
+            summarise,
+            "file_id long, block long, odd long, from_out long, from_in long, low_out long, low_in long",
+        )
+    )
+    # The hint is needed: the fragments of a block must stay together and in order.  What is
+    # sent is five numbers per block, 32 MB for 100 TB of text.
+    placed = fragments.join(F.broadcast(starts), _KEY).select(
+        *_KEY, "value", "inside", "base", "lot"
     )
-    parts = F.sort_array(F.collect_list(F.struct("block", "seq", "text")))
+    pieces = placed.mapInArrow(
+        cut,
+        "file_id long, block long, nth long, ended long, oversized long, lot long, text binary",
+    ).withColumn("text", F.col("text").cast("string"))
+    chunks = _joined_borders(pieces, max_record_bytes)
+    return chunks.join(_files(spark, path, above_bytes, glob), "file_id").select(
+        "_source_file", "_source_time", "block", F.col("nth").alias("seq"), "ended", "text"
+    )
+
+
+def _joined_borders(pieces: DataFrame, max_record_bytes: int) -> DataFrame:
+    """Put together the pieces of lots that reach over block borders."""
+    inner = (F.col("nth") > 0) & (F.col("ended") == 1)
+    whole = pieces.filter(inner).select("file_id", "block", "nth", "ended", "text")
+    # Size first, text second: text without a record border could be as long as the file.
+    in_lot = Window.partitionBy("file_id", "lot")
+    size = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(in_lot)
+    sized = pieces.filter(~inner).withColumn("size", size)
+    fits = (F.col("size") <= max_record_bytes) & (F.col("oversized") == 0)
+    kept = F.when(fits, F.col("text")).alias("text")
     merged = (
-        border.join(refused, "_source_file", "left_anti")
-        .groupBy("_source_file", "chunk")
+        sized.groupBy("file_id", "lot")
         .agg(
-            F.first("_source_time").alias("_source_time"),
             F.max("ended").alias("ended"),
-            parts.alias("parts"),
+            F.bool_and(fits).alias("fits"),
+            F.sort_array(F.collect_list(F.struct("block", "nth", kept))).alias("parts"),
         )
         .select(
-            "_source_file",
-            "_source_time",
+            "file_id",
             F.col("parts")[0]["block"].alias("block"),
-            F.col("parts")[0]["seq"].alias("seq"),
-            "chunk",
+            F.col("parts")[0]["nth"].alias("nth"),
             "ended",
-            F.array_join(F.col("parts")["text"], "}").alias("text"),
+            F.when(F.col("fits"), F.array_join(F.col("parts")["text"], "}")).alias("text"),
         )
     )
-    whole = pieces.filter(complete).select(*columns).join(refused, "_source_file", "left_anti")
-    return whole.unionByName(merged.select(*columns)), refused
+    return whole.unionByName(merged)
 
 
 def element_text(chunks: DataFrame) -> DataFrame:
@@ -199,33 +284,37 @@ def element_text(chunks: DataFrame) -> DataFrame:
 
     NULL where the text around the elements is not that of an array.
     """
-    first = F.col("chunk") == 0
-    opened = F.when(first, F.col("text").rlike(r"^\s*+\[")).otherwise(
-        F.when(F.col("ended") == 1, F.col("text").rlike(r"^\s*+,")).otherwise(
-            F.col("text").rlike(r"^\s*+[,\]]")
-        )
+    first = (F.col("block") == 0) & (F.col("seq") == 0)
+    opened = (
+        F.when(first, F.col("text").rlike(r"^\s*+\["))
+        .when(F.col("ended") == 1, F.col("text").rlike(r"^\s*+,"))
+        .otherwise(F.col("text").rlike(r"^\s*+[,\]]"))
     )
     body = F.regexp_replace("text", r"^\s*+[\[,]", "")
     closed = F.concat(body, F.when(F.col("ended") == 1, "}").otherwise(""))
     return chunks.withColumn("elements", F.when(opened, closed))
 
 
-def raw_elements(chunks: DataFrame, refused: DataFrame) -> DataFrame:
-    """One ``element`` row per chunk that holds any, as sent; broken documents fail the job."""
-    inside = F.when(F.col("ended") == 1, F.col("elements")).otherwise(
-        F.regexp_replace("elements", r"\s*+\]\s*+$", "")
-    )
-    broken = F.raise_error(F.concat(F.lit("not an array of records: "), F.col("_source_file")))
-    cut_off = (
+def _cut_off(chunks: DataFrame) -> DataFrame:
+    """Files whose last chunk ends at a brace: cut off before their closing bracket."""
+    return (
         chunks.groupBy("_source_file")
         .agg(F.min("ended").alias("ended"))
         .filter("ended = 1")
         .select("_source_file")
     )
+
+
+def raw_elements(chunks: DataFrame) -> DataFrame:
+    """One ``element`` row per chunk that holds any, as sent; broken documents fail the job."""
+    inside = F.when(F.col("ended") == 1, F.col("elements")).otherwise(
+        F.regexp_replace("elements", r"\s*+\]\s*+$", "")
+    )
+    broken = F.raise_error(F.concat(F.lit("not an array of records: "), F.col("_source_file")))
     checked = (
         element_text(chunks)
         .select("_source_file", "block", "seq", inside.alias("inside"))
-        .unionByName(refused.unionByName(cut_off), allowMissingColumns=True)
+        .unionByName(_cut_off(chunks), allowMissingColumns=True)
         # Not pushed down: below the aggregate it would also fail complete documents.
         .withColumn("element", computed_once(F.coalesce(F.col("inside"), broken)))
     )
@@ -249,12 +338,11 @@ def read_large_arrays(
 
     A document with a malformed chunk gives one error and no records, like a small one.
     """
-    chunks, refused = read_chunks(spark, path, above_bytes, glob)
+    chunks = read_chunks(spark, path, above_bytes, glob)
     parsed = parsed_elements(element_text(chunks))
     broken = (
         parsed.groupBy("_source_file")
         .agg(F.min("ended").alias("ended"), F.count_if(F.col("records").isNull()).alias("bad"))
-        # A document whose last chunk ends at a brace is cut off before its closing bracket.
         .filter("ended = 1 or bad > 0")
         .select("_source_file")
     )
@@ -272,7 +360,7 @@ def read_large_arrays(
             "record",
         )
     )
-    failed = broken.unionByName(refused).distinct().select(
+    failed = broken.select(
         "_source_file",
         F.struct(
             F.col("_source_file").alias("file"),
