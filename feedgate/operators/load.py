@@ -39,8 +39,9 @@ def new_rows(
 ) -> DataFrame:
     """Rows to insert: one per key, keys absent from the target.
 
-    ``co_located``: the target is bucketed by key, so it joins without moving and needs no
-    narrowing first.
+    ``co_located``: the target is bucketed by key.  In a session with as many shuffle partitions
+    as buckets (``session.bucket_session``) it joins where it lies, however large it is, and the
+    rows move once for both steps.
     """
     keyed = rows.filter(F.col(key).isNotNull())
     present = target.select(key) if co_located else existing_keys(target, keyed, key)

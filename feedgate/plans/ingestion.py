@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedgate.contract import STAMPS, TableContract
 from feedgate.operators import enrich, errors, load, parse, protect, reconcile, validate
-from feedgate.session import configure, work_dir
+from feedgate.session import bucket_session, configure, work_dir
 from feedgate.sinks.error_output import write_errors
 from feedgate.sinks.target_table import append_bucketed, append_parquet
 from feedgate.sources import csv_feed, json_feed, target as targets
@@ -105,9 +105,10 @@ def ingest(
     valid = staged.filter(F.col("_reason").isNull())
     if buckets:
         targets.ensure_target_table(spark, target, contract, buckets)
-        stored = spark.table(target)
-        rows = load.new_rows(valid, stored, contract.key, co_located=True)
-        append_bucketed(spark, rows, target, contract, buckets)
+        session = bucket_session(spark, buckets)
+        moving = session.read.parquet(staging).filter(F.col("_reason").isNull())
+        rows = load.new_rows(moving, session.table(target), contract.key, co_located=True)
+        append_bucketed(rows, target, contract)
         after = spark.table(target)
     else:
         targets.ensure_target(spark, target, contract)

@@ -213,7 +213,7 @@ def _texts(table: str, key: str, body: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "feed_inventory": f"""{FEED} select true as has_files, cast(0 as bigint) as empty_files,
+    "feed_inventory": f"""{FEED} select true as has_files,
  cast(0 as bigint) as oversized_files, cast(sum({_LINE_BYTES} + {len(csv_header())}) as bigint) as data_bytes from feed""",
     "read_csv_roundtrip": ROUNDTRIP,
     "read_csv_per_file_headers": ROUNDTRIP,

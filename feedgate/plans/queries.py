@@ -124,7 +124,6 @@ def feed_inventory(spark: SparkSession, sf: str) -> DataFrame:
     summary = inventory.inventory_summary(files, threshold_bytes=1 << 40)
     return summary.select(
         (F.col("file_count") > 0).alias("has_files"),
-        "empty_files",
         "oversized_files",
         (F.col("total_bytes") - F.col("file_count") * header).alias("data_bytes"),
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedgate.session import configure
+from feedgate.session import block_session
 from feedgate.sinks import feed_writer
 from feedgate.sources import csv_feed, json_chunks
 from feedgate.sources.inventory import GLOBS, FeedError, check_feed, feed_inventory
@@ -22,19 +24,6 @@ def needs_split(inventory: DataFrame, threshold_bytes: int) -> DataFrame:
     )
 
 
-def block_session(spark: SparkSession, block_bytes: int) -> SparkSession:
-    """A session on the same cluster whose file reads are cut into blocks of this size.
-
-    Reading with the part size as block size splits a feed without a shuffle: every task reads
-    one part's bytes and writes one part.
-    """
-    session = configure(spark.newSession())
-    session.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
-    session.conf.set("spark.sql.files.openCostInBytes", str(block_bytes))
-    session.conf.set("spark.sql.files.minPartitionNum", "1")
-    return session
-
-
 def split_feed(
     spark: SparkSession,
     path: str,
@@ -70,8 +59,17 @@ def split_feed(
         parts = max(1, -(-summary.total_bytes // threshold_bytes))
         # Lots small against a part, so that parts come out even.
         lot_bytes = max(1, min(json_chunks.PACK_BYTES, threshold_bytes // 64))
-        chunks = json_chunks.read_chunks(spark, path, glob=glob, pack_bytes=lot_bytes)
-        elements = json_chunks.raw_elements(chunks).select("element")
+        elements = reduce(
+            DataFrame.unionByName,
+            [
+                json_chunks.raw_elements(
+                    json_chunks.read_chunks(
+                        spark, path, glob=glob, share=share, pack_bytes=lot_bytes
+                    )
+                ).select("element")
+                for share in json_chunks.shares(spark, path, glob=glob)
+            ],
+        )
         feed_writer.write_json_arrays(elements.repartition(parts), out)
     feed_writer.name_parts(spark, out, prefix, fmt)
     written = feed_inventory(spark, out, fmt)

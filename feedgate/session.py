@@ -29,6 +29,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def block_session(spark: SparkSession, block_bytes: int) -> SparkSession:
+    """A session on the same cluster whose file reads are cut into blocks of this size.
+
+    Reading with the part size as block size splits a feed without a shuffle: every task reads
+    one part's bytes and writes one part.
+    """
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
+    session.conf.set("spark.sql.files.openCostInBytes", str(block_bytes))
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    return session
+
+
+def bucket_session(spark: SparkSession, buckets: int) -> SparkSession:
+    """A session on the same cluster whose shuffles match a table with this many buckets."""
+    session = configure(spark.newSession())
+    session.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    return session
+
+
+def size_setting(spark: SparkSession, name: str) -> int:
+    """A size setting in bytes; Spark writes sizes as ``134217728b`` or ``128m``."""
+    text = spark.conf.get(name).strip().lower()
+    digits = text.rstrip("bkmgt")
+    unit = text[len(digits) :].rstrip("b")
+    return int(digits) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` for tables a job writes.
 

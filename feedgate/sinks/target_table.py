@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from feedgate.contract import TableContract
 
@@ -12,10 +12,7 @@ def append_parquet(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def append_bucketed(
-    spark: SparkSession, rows: DataFrame, table: str, contract: TableContract, buckets: int
-) -> None:
-    """Append to a bucketed table.  Rows are brought into bucket order first, so every task
-    writes one file and not one per bucket."""
-    columns = [f.name for f in contract.target_schema]
-    rows.select(*columns).repartition(buckets, contract.key).write.insertInto(table)
+def append_bucketed(rows: DataFrame, table: str, contract: TableContract) -> None:
+    """Append to a bucketed table.  Co-located ``new_rows`` come in the table's buckets, so every
+    task writes one file and not one per bucket."""
+    rows.select(*[f.name for f in contract.target_schema]).write.insertInto(table)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Suffixes in any case.
@@ -25,7 +27,8 @@ def feed_inventory(
 ) -> DataFrame:
     """One row per feed file: path, name, bytes, modification time.  No content is read.
 
-    Files are those with the format's suffix, in any case, or those matching ``glob``.
+    Files are those with the format's suffix, in any case, or those matching ``glob``.  Spark
+    scans no files of zero bytes, so they have no row; ``empty_files`` finds them.
     """
     if fmt not in GLOBS:
         raise FeedError(f"Unsupported file format: {fmt} Supported formats are JSON and CSV.")
@@ -38,12 +41,25 @@ def feed_inventory(
     )
 
 
+def empty_files(inventory: DataFrame, with_content: int) -> list[str]:
+    """Names of zero-byte files: those Spark's file index lists beyond the files with content."""
+    listed = inventory.inputFiles()
+    if len(listed) == with_content:
+        return []
+    full = {_plain(row.path) for row in inventory.select("path").toLocalIterator()}
+    return sorted(path for path in listed if _plain(path) not in full)
+
+
+def _plain(path: str) -> str:
+    """A path without the varying number of slashes behind its scheme."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
 def inventory_summary(inventory: DataFrame, threshold_bytes: int | None = None) -> DataFrame:
-    """File count, bytes, empty files, and with a threshold how many files exceed it."""
+    """File count, bytes, and with a threshold how many files exceed it."""
     sums = [
         F.count("*").alias("file_count"),
         F.coalesce(F.sum("bytes"), F.lit(0)).cast("bigint").alias("total_bytes"),
-        F.count_if(F.col("bytes") == 0).alias("empty_files"),
         F.min("path").alias("first_path"),
     ]
     if threshold_bytes is not None:
@@ -54,13 +70,15 @@ def inventory_summary(inventory: DataFrame, threshold_bytes: int | None = None)
 def check_feed(spark: SparkSession, path: str, fmt: str, glob: str | None = None):
     """Refuse a feed without files or with an empty file; return its summary row."""
     try:
-        summary = inventory_summary(feed_inventory(spark, path, fmt, glob)).first()
+        files = feed_inventory(spark, path, fmt, glob)
+        summary = inventory_summary(files).first()
     except Exception as problem:
         if "PATH_NOT_FOUND" in str(problem):
             raise FeedError(f"Input directory does not exist: {path}") from problem
         raise
+    empty = empty_files(files, summary.file_count)
+    if empty:
+        raise FeedError(f"Empty {fmt.upper()} input file(s): {', '.join(empty)}")
     if summary.file_count == 0:
         raise FeedError(f"No {fmt.upper()} files found in: {path}")
-    if summary.empty_files:
-        raise FeedError(f"Empty {fmt.upper()} input file(s): {summary.empty_files} in {path}")
     return summary

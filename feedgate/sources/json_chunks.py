@@ -15,9 +15,12 @@ Two passes over the text answer that without moving it:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedgate.functions.barrier import computed_once
+from feedgate.session import size_setting
 from feedgate.sources.inventory import GLOBS
 
 #: A record above this size cannot become one variant; its document is refused.
@@ -26,17 +29,28 @@ MAX_RECORD_BYTES = 64 * 1024 * 1024
 #: Records are cut off in lots of about this size.
 PACK_BYTES = 64 * 1024
 
+#: Blocks whose starting states are broadcast at once: five numbers each, 20 MB in all.
+MAX_BLOCKS = 500_000
+
 MALFORMED = "Malformed JSON document"
 
 _KEY = ["file_id", "block"]
 
 
-def _fragments(spark: SparkSession, path: str, above_bytes: int, glob: str | None) -> DataFrame:
+def _share(share: tuple[int, int]) -> Column:
+    """Files of one share.  The condition needs only the path, so Spark never opens the others."""
+    number, of = share
+    return F.pmod(F.xxhash64("_metadata.file_path"), F.lit(of)) == number
+
+
+def _fragments(
+    spark: SparkSession, path: str, above_bytes: int, glob: str | None, share: tuple[int, int]
+) -> DataFrame:
     """Text between closing braces.  Files go by the hash of their path: 8 bytes per fragment."""
     reader = spark.read.option("pathGlobFilter", glob or GLOBS["json"]).option("lineSep", "}")
     return (
         reader.text(path)
-        .filter(F.col("_metadata.file_size") > above_bytes)
+        .filter((F.col("_metadata.file_size") > above_bytes) & _share(share))
         .select(
             F.xxhash64("_metadata.file_path").alias("file_id"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -51,14 +65,27 @@ def _files(spark: SparkSession, path: str, above_bytes: int, glob: str | None) -
         .option("pathGlobFilter", glob or GLOBS["json"])
         .load(path)
         .filter(F.col("length") > above_bytes)
-        .select(
-            F.xxhash64("_metadata.file_path").alias("file_id"),
-            F.col("_metadata.file_path").alias("_source_file"),
-            F.col("modificationTime").alias("_source_time"),
-        )
     )
 
 
+def shares(
+    spark: SparkSession, path: str, above_bytes: int = -1, glob: str | None = None
+) -> list[tuple[int, int]]:
+    """Shares of the files, each with at most about ``MAX_BLOCKS`` blocks.
+
+    What a share broadcasts is one short row per block or file, so this is its bound.
+    """
+    block_bytes = size_setting(spark, "spark.sql.files.maxPartitionBytes")
+    blocks = (
+        _files(spark, path, above_bytes, glob)
+        .agg(F.sum(F.ceil(F.col("length") / F.lit(block_bytes))).alias("blocks"))
+        .first()
+        .blocks
+    )
+    of = max(1, -(-(blocks or 0) // MAX_BLOCKS))
+    return [(number, of) for number in range(of)]
+
+
 def _scanner(pack_bytes: int, max_bytes: int):
     """The two task-side passes.  Nested, so that they travel by value to the workers."""
     import numpy as np
@@ -219,25 +246,26 @@ def read_chunks(
     path: str,
     above_bytes: int = -1,
     glob: str | None = None,
+    share: tuple[int, int] = (0, 1),
     pack_bytes: int = PACK_BYTES,
     max_record_bytes: int = MAX_RECORD_BYTES,
 ) -> DataFrame:
-    """Lots of whole records as raw text, of all documents above a size.
+    """Lots of whole records as raw text, of one share of the documents above a size.
 
-    Columns ``_source_file, _source_time, block, seq, chunk, ended, text``.  In a complete
-    document exactly one chunk, the rest after the last record, has ``ended = 0``.  ``text`` is
-    NULL where a stretch without a record border is too long.
+    Columns ``_source_file, _source_time, block, seq, ended, text``.  In a complete document
+    exactly one chunk, the rest after the last record, has ``ended = 0``.  ``text`` is NULL
+    where a stretch without a record border is too long.
     """
     summarise, cut = _scanner(pack_bytes, max_record_bytes)
-    fragments = _fragments(spark, path, above_bytes, glob)
+    fragments = _fragments(spark, path, above_bytes, glob, share)
     starts = _block_starts(
         fragments.mapInArrow(
             summarise,
-            "file_id long, block long, odd long, from_out long, from_in long, low_out long, low_in long",
+            "file_id long, block long, odd long, from_out long, from_in long, "
+            "low_out long, low_in long",
         )
     )
-    # The hint is needed: the fragments of a block must stay together and in order.  What is
-    # sent is five numbers per block, 32 MB for 100 TB of text.
+    # Broadcast, as the fragments of a block must stay together and in order.  See ``shares``.
     placed = fragments.join(F.broadcast(starts), _KEY).select(
         *_KEY, "value", "inside", "base", "lot"
     )
@@ -245,9 +273,20 @@ def read_chunks(
         cut,
         "file_id long, block long, nth long, ended long, oversized long, lot long, text binary",
     ).withColumn("text", F.col("text").cast("string"))
-    chunks = _joined_borders(pieces, max_record_bytes)
-    return chunks.join(_files(spark, path, above_bytes, glob), "file_id").select(
-        "_source_file", "_source_time", "block", F.col("nth").alias("seq"), "ended", "text"
+    files = (
+        _files(spark, path, above_bytes, glob)
+        .filter(_share(share))
+        .select(
+            F.xxhash64("_metadata.file_path").alias("file_id"),
+            F.col("_metadata.file_path").alias("_source_file"),
+            F.col("modificationTime").alias("_source_time"),
+        )
+    )
+    # Broadcast for the same reason in size, and as one file may hold most of the text.
+    return (
+        _joined_borders(pieces, max_record_bytes)
+        .join(F.broadcast(files), "file_id")
+        .select("_source_file", "_source_time", "block", F.col("nth").alias("seq"), "ended", "text")
     )
 
 
@@ -338,7 +377,16 @@ def read_large_arrays(
 
     A document with a malformed chunk gives one error and no records, like a small one.
     """
-    chunks = read_chunks(spark, path, above_bytes, glob)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _records(read_chunks(spark, path, above_bytes, glob, share))
+            for share in shares(spark, path, above_bytes, glob)
+        ],
+    )
+
+
+def _records(chunks: DataFrame) -> DataFrame:
     parsed = parsed_elements(element_text(chunks))
     broken = (
         parsed.groupBy("_source_file")
@@ -347,7 +395,7 @@ def read_large_arrays(
         .select("_source_file")
     )
     records = (
-        parsed.join(broken, "_source_file", "left_anti")
+        parsed.join(F.broadcast(broken), "_source_file", "left_anti")
         .select(
             "_source_file", "block", "seq", "_source_time",
             F.posexplode("records").alias("pos", "record"),

@@ -15,8 +15,8 @@ from feedgate.sources.inventory import GLOBS, check_feed
 MALFORMED = "Malformed JSON document"
 MALFORMED_LINE = "Malformed JSON line"
 
-#: Well below the size where one variant can no longer hold a document.
-MAX_DOCUMENT_BYTES = 16 * 1024 * 1024
+#: Documents up to this size are parsed by one task each.
+MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
 
 
 def records_of(document: Column) -> Column:
