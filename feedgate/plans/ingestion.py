@@ -105,10 +105,12 @@ def ingest(
     valid = staged.filter(F.col("_reason").isNull())
     if buckets:
         targets.ensure_target_table(spark, target, contract, buckets)
+        spark.catalog.refreshTable(target)
         session = bucket_session(spark, buckets)
         moving = session.read.parquet(staging).filter(F.col("_reason").isNull())
         rows = load.new_rows(moving, session.table(target), contract.key, co_located=True)
         append_bucketed(rows, target, contract)
+        spark.catalog.refreshTable(target)  # written by another session
         after = spark.table(target)
     else:
         targets.ensure_target(spark, target, contract)
