@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedgate.contract import STAMPS, TableContract
 from feedgate.operators import enrich, errors, load, parse, protect, reconcile, validate
+from feedgate.plans import splitting
 from feedgate.session import bucket_session, configure, work_dir
 from feedgate.sinks.error_output import write_errors
 from feedgate.sinks.target_table import append_bucketed, append_parquet
-from feedgate.sources import csv_feed, json_feed, target as targets
-from feedgate.sources.inventory import check_feed
+from feedgate.sources import csv_feed, json_feed, manifest, target as targets
+from feedgate.sources.inventory import FeedError, check_feed, file_format
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,9 @@ def ingest(
     """
     configure(spark)
     run_id = run_id or enrich.new_run_id()
-    files = check_feed(spark, path, fmt, read_options.get("glob"))
+    files = check_feed(
+        spark, path, fmt, read_options.get("glob"), read_options.get("skip_empty", False)
+    )
 
     annotated = annotate(spark, path, fmt, contract, **read_options)
     staging = work_dir(spark, f"staged-{contract.name}")
@@ -126,3 +129,50 @@ def ingest(
     report = work_dir(spark, f"report-{contract.name}")
     summary.write.parquet(report)
     return Run(run_id, staged, spark.read.parquet(report))
+
+
+def ingest_announced(
+    spark: SparkSession,
+    control_file: str,
+    contract: TableContract,
+    encryption_key: str | bytes,
+    target: str,
+    error_path: str,
+    threshold_bytes: int,
+    run_id: str | None = None,
+    buckets: int | None = None,
+) -> Run:
+    """Load the feed file a manifest announces, split first if it exceeds ``threshold_bytes``.
+
+    The report also compares the announced with the read row count.
+    """
+    configure(spark)
+    announced = manifest.read_manifests(spark, control_file, glob="*").first()
+    if announced is None:
+        raise FeedError(f"Control file not found or empty: {control_file}")
+    if announced.violation:
+        raise FeedError(announced.violation)
+    fmt = file_format(announced.file_path)
+    size = check_feed(spark, announced.file_path, fmt).total_bytes
+    feed, options = announced.file_path, {}
+    if size > threshold_bytes:
+        feed = work_dir(spark, f"parts-{contract.name}")
+        splitting.split_feed(
+            spark, announced.file_path, feed, fmt, threshold_bytes, prefix=None
+        )
+        options = {"glob": "part-*", "skip_empty": True}
+    run = ingest(
+        spark, feed, fmt, contract, encryption_key, target, error_path, run_id, buckets, **options
+    )
+    expected = F.lit(announced.expected_records).cast("bigint")
+    report = run.report.withColumns(
+        {
+            "input_directory": F.lit(announced.file_path),
+            "split": F.lit(size > threshold_bytes),
+            "announced_records": expected,
+            "announced_status": F.when(F.col("input_records") == expected, "matched").otherwise(
+                "mismatch"
+            ),
+        }
+    )
+    return replace(run, report=report)

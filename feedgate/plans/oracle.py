@@ -180,18 +180,25 @@ VERDICT = f"""counted as ({COUNTS}), judged as (select *, input_records - error_
 
 # Shipments
 _S_NET = f"case when regexp_full_match(net, '{NUMBER}') then cast(net as decimal(12,2)) end"
-SHIP = f"""with feed as ({SHIPMENT_FEED}), typed as (select {_uuid('shipment_id')} as shipment_id,
+def _shipments(of: str) -> str:
+    """Typed and judged shipments; ``of`` is what follows the kind in a parse message."""
+    where = {f: of.replace("*", f) for f in ("shipment_id", "ship_date", "net")}
+    return f"""with feed as ({SHIPMENT_FEED}), typed as (select {_uuid('shipment_id')} as shipment_id,
  {_date('ship_date')} as ship_date, {_S_NET} as net, {_flag('returned')} as returned,
  {_text('status')} as status, l_suppkey, l_partkey, l_extendedprice, l_returnflag,
- coalesce({_bad('shipment_id', _uuid('shipment_id'), 'Invalid UUID: ')},
-  {_bad('ship_date', _date('ship_date'), 'Invalid date: ')},
-  {_bad('net', _S_NET, 'Invalid decimal: ')}) as parse_error from feed),
+ coalesce({_bad('shipment_id', _uuid('shipment_id'), f'Invalid UUID{where["shipment_id"]}: ')},
+  {_bad('ship_date', _date('ship_date'), f'Invalid date{where["ship_date"]}: ')},
+  {_bad('net', _S_NET, f'Invalid decimal{where["net"]}: ')}) as parse_error from feed),
 judged as (select *, coalesce(parse_error, nullif(concat_ws('; ', {_length('status', 1, 1)},
  case when status not in ('O', 'F') then concat('status is unknown: ', status) end,
  case when net < 0 then 'net must be non-negative' end), '')) as reason from typed),
 firsts as (select * from (select *, row_number() over (partition by shipment_id
  order by l_suppkey, l_partkey, l_extendedprice) as nth from judged where reason is null) where nth = 1)"""
 
+SHIP = _shipments("")
+SHIP_JSON = _shipments(" for field ''*''")
+OUTCOMES = "select coalesce(reason, 'valid') as outcome, count(*) as rows from judged group by 1"
+
 DOCS = f"""with judged as (select doc_id, source, nullif(concat_ws('; ', {_length('text', 50, 5000)},
  case when lang not in ('en', 'fr', 'de') then concat('lang is unknown: ', lang) end,
  {_length('source', 1, 8)},
@@ -303,7 +310,10 @@ select '{RUN_ID}' as execution_id, 'csv' as file_format, input_records, error_re
  case when matched_records = input_records - error_records then 'passed' else 'mismatch' end as status,
  case when matched_records = input_records - error_records then 'success' else 'failed' end as state from counted""",
     "ingest_staged_errors": f"{CSV}, {REASONED} select reason as error_reason, count(*) as errors from reasoned where reason is not null group by 1",
-    "shipments_by_outcome": f"{SHIP} select coalesce(reason, 'valid') as outcome, count(*) as rows from judged group by 1",
+    "shipments_by_outcome": f"{SHIP} {OUTCOMES}",
+    "shipments_csv_files": f"{SHIP} {OUTCOMES}",
+    "shipments_json_lines": f"{SHIP_JSON} {OUTCOMES}",
+    "shipments_json_arrays": f"{SHIP_JSON} {OUTCOMES}",
     "shipments_by_rule": _rule_counts(SHIP, "typed where parse_error is null", [
         ("shipment_id present", "case when shipment_id is null then 1 end"),
         ("status length", _length("status", 1, 1)),

@@ -48,18 +48,21 @@ def _text_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _csv_feed(spark: SparkSession, sf: str, **options) -> DataFrame:
-    return csv_feed.read_csv_feed(spark, feeds.rendered(spark, sf, "csv"), TRACED, **options)
+    return csv_feed.read_csv_feed(
+        spark, feeds.rendered(spark, sf, "csv"), TRACED, skip_empty=True, **options
+    )
 
 
 def _json_feed(spark: SparkSession, sf: str) -> DataFrame:
     return json_feed.read_json_feed(
-        spark, feeds.rendered(spark, sf, "json"), glob=RENDERED_GLOB["json"]
+        spark, feeds.rendered(spark, sf, "json"), glob=RENDERED_GLOB["json"], skip_empty=True
     )
 
 
 def _json_lines(spark: SparkSession, sf: str) -> DataFrame:
     return json_feed.read_json_feed(
-        spark, feeds.rendered(spark, sf, "lines"), layout="lines", glob=RENDERED_GLOB["lines"]
+        spark, feeds.rendered(spark, sf, "lines"), layout="lines", glob=RENDERED_GLOB["lines"],
+        skip_empty=True,
     )
 
 
@@ -386,20 +389,29 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.needs_split(files, PART_BYTES)
 
 
+def _split(spark: SparkSession, sf: str, layout: str) -> str:
+    """The rendered feed in parts: sixteen of them, or more so that none exceeds 128 MB."""
+    feed, glob = feeds.rendered(spark, sf, layout), RENDERED_GLOB[layout]
+    fmt = "csv" if layout == "csv" else "json"
+    total = inventory.check_feed(spark, feed, fmt, glob, skip_empty=True).total_bytes
+    out = work_dir(spark, f"parts-{layout}")
+    splitting.split_feed(
+        spark, feed, out, fmt, min(max(total // 16, 1024), 128 << 20), prefix=None,
+        layout="lines" if layout == "lines" else "document", glob=glob, skip_empty=True,
+    )
+    return out
+
+
 def split_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    out = work_dir(spark, "parts-csv")
-    splitting.split_feed(spark, feeds.rendered(spark, sf, "csv"), out, "csv", PART_BYTES)
-    return _raw_columns(csv_feed.read_csv_feed(spark, out, TRACED))
+    return _raw_columns(
+        csv_feed.read_csv_feed(spark, _split(spark, sf, "csv"), TRACED, skip_empty=True)
+    )
 
 
 def split_json_roundtrip(layout: str, spark: SparkSession, sf: str) -> DataFrame:
-    out = work_dir(spark, f"parts-{layout}")
-    splitting.split_feed(
-        spark, feeds.rendered(spark, sf, layout), out, "json", PART_BYTES,
-        layout="document" if layout == "json" else layout, glob=RENDERED_GLOB[layout],
-    )
     read_back = json_feed.read_json_feed(
-        spark, out, layout="document" if layout == "json" else layout, glob="*_part_*"
+        spark, _split(spark, sf, layout), glob="part-*", skip_empty=True,
+        layout="lines" if layout == "lines" else "document",
     )
     return _plain(parse.parse_json(read_back, TRACED))
 
@@ -503,7 +515,7 @@ def serve_newest_first(spark: SparkSession, sf: str) -> DataFrame:
 
 def _run(spark: SparkSession, sf: str, fmt: str, runs: int = 1) -> tuple[str, ingestion.Run]:
     target, bad = work_dir(spark, "target"), work_dir(spark, "errors")
-    options = {"glob": RENDERED_GLOB[fmt]}
+    options = {"glob": RENDERED_GLOB[fmt], "skip_empty": True}
     for _ in range(runs):
         run = ingestion.ingest(
             spark, feeds.rendered(spark, sf, fmt), fmt, EMPLOYEE, TEST_KEY, target, bad,
@@ -554,6 +566,25 @@ def shipments_by_outcome(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def shipments_in_files(layout: str, spark: SparkSession, sf: str) -> DataFrame:
+    """Shipments read from CSV files, JSON lines or JSON arrays, by outcome."""
+    path, contract = tables.rendered_shipments(spark, sf, layout), tables.SHIPMENT
+    if layout == "csv":
+        parsed = parse.parse_csv(
+            csv_feed.read_csv_feed(spark, path, contract, skip_empty=True), contract
+        )
+    else:
+        feed = json_feed.read_json_feed(
+            spark, path, layout="lines" if layout == "lines" else "document",
+            glob=RENDERED_GLOB[layout], skip_empty=True,
+        )
+        parsed = parse.parse_json(feed, contract)
+    outcome = F.coalesce("_reason", F.lit("valid")).alias("outcome")
+    return (
+        validate.with_reason(parsed, contract).groupBy(outcome).agg(F.count("*").alias("rows"))
+    )
+
+
 def shipments_by_rule(spark: SparkSession, sf: str) -> DataFrame:
     return validate.violations_by_rule(
         parse.parse_csv(tables.shipment_rows(spark, sf), tables.SHIPMENT), tables.SHIPMENT
@@ -666,7 +697,9 @@ def documents_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, with their line breaks, through CSV files and back."""
     path = work_dir(spark, "documents-csv")
     feed_writer.write_csv_rows(_whole_texts(spark, sf, "documents", "doc_id", "text"), path)
-    return _digests(csv_feed.read_csv_feed(spark, path, _text_contract(), multiline=True))
+    return _digests(
+        csv_feed.read_csv_feed(spark, path, _text_contract(), multiline=True, skip_empty=True)
+    )
 
 
 def documents_json_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -674,7 +707,7 @@ def documents_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "documents-json")
     rows = _whole_texts(spark, sf, "documents", "doc_id", "text")
     feed_writer.write_json_lines(rows.select(F.to_json(F.struct("id", "body")).alias("element")), path)
-    read = json_feed.read_json_feed(spark, path, layout="lines", glob="*.txt")
+    read = json_feed.read_json_feed(spark, path, layout="lines", glob="*.txt", skip_empty=True)
     return _digests(parse.parse_json(read, _text_contract()))
 
 
@@ -751,6 +784,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_report": ingest_report,
     "ingest_staged_errors": ingest_staged_errors,
     "shipments_by_outcome": shipments_by_outcome,
+    "shipments_csv_files": partial(shipments_in_files, "csv"),
+    "shipments_json_lines": partial(shipments_in_files, "lines"),
+    "shipments_json_arrays": partial(shipments_in_files, "json"),
     "shipments_by_rule": shipments_by_rule,
     "shipments_first_wins": shipments_first_wins,
     "shipments_new": shipments_new,

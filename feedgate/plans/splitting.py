@@ -30,19 +30,23 @@ def split_feed(
     out: str,
     fmt: str,
     threshold_bytes: int,
-    prefix: str = "feed",
+    prefix: str | None = "feed",
     layout: str = "document",
     glob: str | None = None,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """Write the feed as parts of about ``threshold_bytes`` and return the parts' inventory.
 
     A feed within the threshold becomes one part.  CSV parts carry the header each, line order
     is kept and no row is shuffled; the same holds for JSON lines.  A JSON array becomes one
     array per part, with its records dealt out evenly.
+
+    Parts are called ``<prefix>_part_001.<fmt>`` and so on.  That takes one rename per part on
+    the driver; ``prefix=None`` keeps Spark's names (read such JSON parts with a glob).
     """
     if threshold_bytes <= 0:
         raise ValueError("threshold_bytes must be positive")
-    summary = check_feed(spark, path, fmt, glob)
+    summary = check_feed(spark, path, fmt, glob, skip_empty)
     if fmt == "csv":
         header = csv_feed.first_header(spark, summary.first_path)
         session = block_session(spark, threshold_bytes)
@@ -71,8 +75,11 @@ def split_feed(
             ],
         )
         feed_writer.write_json_arrays(elements.repartition(parts), out)
-    feed_writer.name_parts(spark, out, prefix, fmt)
-    written = feed_inventory(spark, out, fmt)
+    if prefix is None:
+        written = feed_inventory(spark, out, fmt, "part-*")
+    else:
+        feed_writer.name_parts(spark, out, prefix, fmt)
+        written = feed_inventory(spark, out, fmt)
     if written.isEmpty():
         raise FeedError("the feed holds no records: no parts written")
     return written

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from feedgate.contract import Field, Rule, TableContract
 from feedgate.functions import rules
 from feedgate.plans.feeds import register
+from feedgate.session import work_dir
+from feedgate.sinks import feed_writer
 
 
 def _known(name: str, *values: str) -> Rule:
@@ -65,6 +67,35 @@ def shipment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_rendered: dict[tuple[str, str, str], str] = {}
+
+
+def rendered_shipments(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """The shipment feed as files: ``csv``, ``lines`` (JSON lines) or ``json`` (JSON arrays)."""
+    place = (spark.sparkContext.applicationId, sf_dir, layout)
+    if place in _rendered:
+        return _rendered[place]
+    rows = shipment_rows(spark, sf_dir).select(*SHIPMENT.columns)
+    path = work_dir(spark, f"shipments-{layout}")
+    if layout == "csv":
+        feed_writer.write_csv_rows(rows, path)
+    else:
+        amount = F.when(F.startswith("net", F.lit("USD")), F.concat(F.lit('"'), "net", F.lit('"')))
+        members = {
+            "shipment_id": F.concat(F.lit('"'), "shipment_id", F.lit('"')),
+            "ship_date": F.concat(F.lit('"'), "ship_date", F.lit('"')),
+            "net": amount.otherwise(F.col("net")),
+            "returned": F.lower("returned"),
+            "status": F.concat(F.lit('"'), "status", F.lit('"')),
+        }
+        text = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), v) for n, v in members.items()])
+        elements = rows.select(F.concat(F.lit("{"), text, F.lit("}")).alias("element"))
+        write = feed_writer.write_json_lines if layout == "lines" else feed_writer.write_json_arrays
+        write(elements, path)
+    _rendered[place] = path
+    return path
+
+
 DOCUMENT_RULES = TableContract(
     name="document",
     key="doc_id",

@@ -74,15 +74,17 @@ def write_json_arrays(elements: DataFrame, path: str) -> None:
 def name_parts(spark: SparkSession, path: str, prefix: str, extension: str) -> None:
     """Rename Spark's part files to ``<prefix>_part_001.<extension>`` and so on, in part order.
 
-    Touches names only: one rename per part, and a part is as large as the split threshold.
+    Parts without content are dropped.  Touches names only: one call per part on the driver.
     """
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     folder = hadoop_path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(
-        status.getPath().getName()
-        for status in fs.listStatus(folder)
-        if status.getPath().getName().startswith("part-")
-    )
-    for number, name in enumerate(names, start=1):
-        fs.rename(hadoop_path(folder, name), hadoop_path(folder, f"{prefix}_part_{number:03d}.{extension}"))
+    sizes = {s.getPath().getName(): s.getLen() for s in fs.listStatus(folder)}
+    number = 0
+    for name in sorted(n for n in sizes if n.startswith("part-")):
+        part = hadoop_path(folder, name)
+        if sizes[name] == 0:
+            fs.delete(part, False)
+            continue
+        number += 1
+        fs.rename(part, hadoop_path(folder, f"{prefix}_part_{number:03d}.{extension}"))

@@ -71,8 +71,9 @@ def header_layouts(
 ) -> list[tuple[str, list[str]]]:
     """One (header, files) pair per way the contract columns are laid out in the feed.
 
-    Reads the text once more and keeps one short row per file.  The lists handed to the
-    driver are file names, as many as Spark's own file index already holds there.
+    Reads the text once more and keeps one short row per file.  The driver takes those rows one
+    partition at a time; what it keeps is file names, as many as Spark's own file index holds
+    there anyway.
     """
     reader = spark.read.option("pathGlobFilter", glob or GLOBS["csv"])
     headers = (
@@ -86,13 +87,11 @@ def header_layouts(
         .filter("block = 0")
         .groupBy("file")
         .agg(F.min_by("value", "seq").alias("header"))
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("file")).alias("files"))
     )
     layouts: dict[tuple, tuple[str, list[str]]] = {}
     for row in headers.toLocalIterator():
         positions = tuple(_positions(row.header, contract).items())
-        layouts.setdefault(positions, (row.header, []))[1].extend(row.files)
+        layouts.setdefault(positions, (row.header, []))[1].append(row.file)
     return [layouts[key] for key in sorted(layouts)]
 
 
@@ -118,6 +117,7 @@ def read_csv_feed(
     headers: str = "shared",
     multiline: bool = False,
     glob: str | None = None,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """A CSV feed as raw text columns, one row per data line.
 
@@ -126,7 +126,7 @@ def read_csv_feed(
     one more pass over the text.  ``multiline`` reads quoted line breaks with Spark's own CSV
     reader; files are then no longer split.
     """
-    summary = check_feed(spark, path, "csv", glob)
+    summary = check_feed(spark, path, "csv", glob, skip_empty)
     if multiline:
         return _read_multiline(spark, path, summary.first_path, contract, glob)
     if headers == "shared":

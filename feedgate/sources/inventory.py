@@ -67,8 +67,13 @@ def inventory_summary(inventory: DataFrame, threshold_bytes: int | None = None)
     return inventory.agg(*sums)
 
 
-def check_feed(spark: SparkSession, path: str, fmt: str, glob: str | None = None):
-    """Refuse a feed without files or with an empty file; return its summary row."""
+def check_feed(
+    spark: SparkSession, path: str, fmt: str, glob: str | None = None, skip_empty: bool = False
+):
+    """Refuse a feed without files or with an empty file; return its summary row.
+
+    ``skip_empty`` is for folders Spark wrote, where a task without rows may leave an empty file.
+    """
     try:
         files = feed_inventory(spark, path, fmt, glob)
         summary = inventory_summary(files).first()
@@ -76,7 +81,7 @@ def check_feed(spark: SparkSession, path: str, fmt: str, glob: str | None = None
         if "PATH_NOT_FOUND" in str(problem):
             raise FeedError(f"Input directory does not exist: {path}") from problem
         raise
-    empty = empty_files(files, summary.file_count)
+    empty = [] if skip_empty else empty_files(files, summary.file_count)
     if empty:
         raise FeedError(f"Empty {fmt.upper()} input file(s): {', '.join(empty)}")
     if summary.file_count == 0:

@@ -36,13 +36,14 @@ def read_json_feed(
     layout: str = "document",
     max_document_bytes: int = MAX_DOCUMENT_BYTES,
     glob: str | None = None,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """A JSON feed as rows of (_source_file, _at, _source_time, _doc_error, record).
 
     ``layout="lines"`` reads one record per line: files are split freely and a malformed line
     spoils only itself.
     """
-    summary = check_feed(spark, path, "json", glob)
+    summary = check_feed(spark, path, "json", glob, skip_empty)
     if layout == "lines":
         return _read_lines(spark, path, glob)
     if layout != "document":

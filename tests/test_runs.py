@@ -179,6 +179,37 @@ def test_split_then_run(spark, write, tmp_path):
     assert counts.status == "passed" and counts.new_records == 200 and counts.input_file_count > 5
 
 
+@pytest.mark.parametrize("fmt, threshold, split", [("csv", 1 << 20, False), ("csv", 9_000, True),
+                                                   ("json", 9_000, True)])
+def test_announced_run(spark, write, tmp_path, fmt, threshold, split):
+    made = people(120) + [record(employee_id="x")]
+    text = csv_text(made) if fmt == "csv" else json.dumps(made)
+    feed = write("feed", {f"staff.{fmt}": text, "other.csv": "not\nread\n"})
+    control = write("control", {
+        "staff.txt": f"file_name=staff.{fmt}\nfile_path={feed}/staff.{fmt}\nrecord_count=121\n"
+    })
+    run = ingestion.ingest_announced(
+        spark, f"{control}/staff.txt", EMPLOYEE, KEY, str(tmp_path / "t"), str(tmp_path / "e"), threshold
+    )
+    row = run.report.first()
+    assert (row.split, row.new_records, row.error_records) == (split, 120, 1)
+    assert (row.announced_records, row.announced_status, row.status) == (121, "matched", "passed")
+    assert (row.input_file_count > 1) == split
+
+
+def test_announced_run_refuses(spark, write, tmp_path):
+    control = write("control", {
+        "count.txt": "file_name=a.csv\nfile_path=/nowhere/a.csv\nrecord_count=x\n",
+        "path.txt": "file_name=a.csv\nfile_path=/nowhere/a.csv\nrecord_count=1\n",
+        "xml.txt": "file_name=a.xml\nfile_path=/nowhere/a.xml\nrecord_count=1\n",
+    })
+    for name, message in (("count", "valid number"), ("path", "does not exist"), ("xml", "Unsupported")):
+        with pytest.raises(FeedError, match=message):
+            ingestion.ingest_announced(
+                spark, f"{control}/{name}.txt", EMPLOYEE, KEY, str(tmp_path / "t"), str(tmp_path / "e"), 100
+            )
+
+
 def test_round_trip_of_both_formats(spark, write, tmp_path):
     made = people(30)
     targets = []
