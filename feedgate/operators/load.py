@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedgate.contract import STAMPS, Field, TableContract
+from feedgate.session import work_dir
 
 
 def first_wins(rows: DataFrame, key: str, order: list | None = None) -> DataFrame:
@@ -48,6 +49,38 @@ def new_rows(
     return first_wins(keyed, key, order).join(present, key, "left_anti")
 
 
+def keys_to_insert(rows: DataFrame, target: DataFrame, key: str, row_id: str) -> DataFrame:
+    """Key and row id of the rows ``new_rows`` would give, from narrow columns alone.
+
+    The first row per key is an aggregate, combined per task before the shuffle.
+    """
+    keyed = rows.filter(F.col(key).isNotNull())
+    first = keyed.groupBy(key).agg(F.min_by(row_id, "_at").alias(row_id))
+    return first.join(existing_keys(target, keyed, key), key, "left_anti")
+
+
+def rows_to_insert(
+    spark: SparkSession, rows: DataFrame, target: DataFrame, key: str, row_id: str
+) -> DataFrame:
+    """The rows to insert of a written table with unique row ids, moving only keys and ids.
+
+    The ids to insert are written first, so that their number and size are known.  Most loads
+    insert nearly all rows or nearly none: then few ids are left to drop or to keep, Spark
+    broadcasts them by their file size, and the rows themselves are never shuffled.
+    """
+    path = work_dir(spark, "insert-ids")
+    keys_to_insert(rows, target, key, row_id).select(row_id).write.parquet(path)
+    ids = spark.read.parquet(path)
+    wanted, given = ids.count(), rows.count()
+    if wanted == given:
+        return rows
+    if 2 * wanted <= given:
+        return rows.join(ids, row_id, "left_semi").select(*rows.columns)
+    path = work_dir(spark, "drop-ids")
+    rows.select(row_id).join(ids, row_id, "left_anti").write.parquet(path)
+    return rows.join(spark.read.parquet(path), row_id, "left_anti").select(*rows.columns)
+
+
 def target_projection(rows: DataFrame, contract: TableContract) -> DataFrame:
     """Exactly the target's columns: empty lists as NULL, fixed widths cut."""
     return rows.select(

@@ -35,6 +35,12 @@ def feed_counts(feed: DataFrame, key: Column) -> DataFrame:
     )
 
 
+def records_per_file(feed: DataFrame) -> DataFrame:
+    """Rows read from every feed file, by file name."""
+    name = F.regexp_extract("_source_file", "([^/]*)$", 1)
+    return feed.groupBy(name.alias("file_name")).agg(F.count("*").alias("input_records"))
+
+
 def target_counts(target: DataFrame, run_id: Column) -> DataFrame:
     """One row: rows of this run and all rows, in one pass."""
     return target.agg(

@@ -46,7 +46,7 @@ def staged_rows(
     """Every feed row once: a loadable row as it will be stored, an error row as its reason.
 
     Sensitive values are encrypted here and never stored in the clear; an error row keeps only
-    its key.
+    its key.  ``_row_id`` is unique, and lasting once the rows are written.
     """
     loadable = F.col("_reason").isNull()
     stamped = enrich.stamped(annotated, run_id, at)
@@ -62,6 +62,7 @@ def staged_rows(
         "_source_file",
         "_at",
         "_reason",
+        F.monotonically_increasing_id().alias("_row_id"),
         *[load.stored_value(f).alias(f.name) for f in contract.fields],
         *STAMPS.names,
     )
@@ -95,7 +96,7 @@ def ingest(
         spark, path, fmt, read_options.get("glob"), read_options.get("skip_empty", False)
     )
 
-    annotated = annotate(spark, path, fmt, contract, **read_options)
+    annotated = annotate(spark, path, fmt, contract, checked=files, **read_options)
     staging = work_dir(spark, f"staged-{contract.name}")
     staged_rows(
         annotated, contract, run_id, protect.key_column(spark, encryption_key)
@@ -118,7 +119,7 @@ def ingest(
     else:
         targets.ensure_target(spark, target, contract)
         stored = targets.read_target(spark, target, contract)
-        rows = load.new_rows(valid, stored, contract.key)
+        rows = load.rows_to_insert(spark, valid, stored, contract.key, "_row_id")
         append_parquet(rows.select(*[c.name for c in contract.target_schema]), target)
         after = targets.read_target(spark, target, contract)
 

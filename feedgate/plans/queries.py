@@ -342,9 +342,7 @@ def control_totals(spark: SparkSession, sf: str) -> DataFrame:
         .text(path)
     )
     manifests = manifest.read_manifests(spark, f"{path}/feed_file=*")
-    read = counts.select(
-        F.col("feed_file").alias("file_name"), F.col("n").alias("input_records")
-    )
+    read = reconcile.records_per_file(_text_feed(spark, sf))
     return reconcile.control_totals(manifests, read)
 
 
@@ -688,7 +686,7 @@ def _whole_texts(spark: SparkSession, sf: str, table: str, key: str, body: str)
 def _digests(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("id").cast("bigint").alias("id"),
-        F.length("body").alias("characters"),
+        F.length("body").cast("bigint").alias("characters"),
         F.md5("body").alias("digest"),
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from feedgate.contract import TableContract
 from feedgate.functions import csv_cells
@@ -118,15 +118,17 @@ def read_csv_feed(
     multiline: bool = False,
     glob: str | None = None,
     skip_empty: bool = False,
+    checked: Row | None = None,
 ) -> DataFrame:
     """A CSV feed as raw text columns, one row per data line.
 
     ``headers="shared"`` (one pass): all files carry the header of the first; the read fails if
     one does not.  ``headers="per_file"``: files may order their columns differently, found by
     one more pass over the text.  ``multiline`` reads quoted line breaks with Spark's own CSV
-    reader; files are then no longer split.
+    reader; files are then no longer split.  ``checked`` is the feed's summary if it was checked
+    before.
     """
-    summary = check_feed(spark, path, "csv", glob, skip_empty)
+    summary = checked or check_feed(spark, path, "csv", glob, skip_empty)
     if multiline:
         return _read_multiline(spark, path, summary.first_path, contract, glob)
     if headers == "shared":

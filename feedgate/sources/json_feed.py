@@ -1,13 +1,13 @@
 """JSON feeds: one variant per record.
 
-A document is an array of records or a single record.  Documents up to ``max_document_bytes``
-are parsed whole, in parallel across files; larger ones are cut at record borders first
+A document is an array of records or a single record.  Documents up to a limit are parsed whole,
+in parallel across files; larger ones are cut at record borders first
 (:mod:`feedgate.sources.json_chunks`), so no document has to fit into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from feedgate.sources import json_chunks
 from feedgate.sources.inventory import GLOBS, check_feed
@@ -15,8 +15,9 @@ from feedgate.sources.inventory import GLOBS, check_feed
 MALFORMED = "Malformed JSON document"
 MALFORMED_LINE = "Malformed JSON line"
 
-#: Documents up to this size are parsed by one task each.
+#: Documents above the first size are always cut, documents up to the second never.
 MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
+MIN_DOCUMENT_BYTES = 4 * 1024 * 1024
 
 
 def records_of(document: Column) -> Column:
@@ -30,24 +31,36 @@ def _reader(spark: SparkSession, glob: str | None):
     return spark.read.option("pathGlobFilter", glob or GLOBS["json"])
 
 
+def document_limit(total_bytes: int, spark: SparkSession) -> int:
+    """Size above which a document is cut: one task's share of the feed, within bounds.
+
+    A feed of many documents keeps every core busy with whole ones; a feed of few does not.
+    """
+    share = total_bytes // spark.sparkContext.defaultParallelism
+    return max(MIN_DOCUMENT_BYTES, min(share, MAX_DOCUMENT_BYTES))
+
+
 def read_json_feed(
     spark: SparkSession,
     path: str,
     layout: str = "document",
-    max_document_bytes: int = MAX_DOCUMENT_BYTES,
+    max_document_bytes: int | None = None,
     glob: str | None = None,
     skip_empty: bool = False,
+    checked: Row | None = None,
 ) -> DataFrame:
     """A JSON feed as rows of (_source_file, _at, _source_time, _doc_error, record).
 
     ``layout="lines"`` reads one record per line: files are split freely and a malformed line
-    spoils only itself.
+    spoils only itself.  ``checked`` is the feed's summary if it was checked before.
     """
-    summary = check_feed(spark, path, "json", glob, skip_empty)
+    summary = checked or check_feed(spark, path, "json", glob, skip_empty)
     if layout == "lines":
         return _read_lines(spark, path, glob)
     if layout != "document":
         raise ValueError(f"layout must be 'document' or 'lines', not {layout!r}")
+    if max_document_bytes is None:
+        max_document_bytes = document_limit(summary.total_bytes, spark)
     small = _read_documents(spark, path, max_document_bytes, glob)
     # Total bytes bound the largest file, so a small feed never plans the second branch.
     if summary.total_bytes <= max_document_bytes:

@@ -48,6 +48,22 @@ def test_new_rows(hot, spark):
     assert set(keys) == {r.key for r in hot.select("key").distinct().collect()} - {"hot", "k1"}
 
 
+@pytest.mark.parametrize("stored", ["few", "most", "none", "all"])
+def test_rows_to_insert_equal_new_rows(hot, spark, tmp_path, stored):
+    rows = hot.select("key", F.struct("at").alias("_at"), F.monotonically_increasing_id().alias("id"))
+    if stored == "none":
+        rows = rows.dropDuplicates(["key"])
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    share = {"few": "hash(key) % 10 = 0", "most": "hash(key) % 10 <> 0", "none": "false", "all": "true"}
+    present = rows.select("key").distinct().filter(share[stored])
+    found = load.rows_to_insert(spark, rows, present, "key", "id")
+    assert found.exceptAll(load.new_rows(rows, present, "key")).isEmpty()
+    assert found.count() == rows.select("key").distinct().count() - present.count()
+    shown = plan(found)
+    assert "Exchange hashpartitioning" not in shown  # the rows themselves do not move
+
+
 def test_null_keys_are_never_new(spark):
     rows = spark.createDataFrame([(None, 1), ("a", 2)], "key string, at int")
     stored = spark.createDataFrame([], "key string")
