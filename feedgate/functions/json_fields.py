@@ -6,11 +6,21 @@ number, a string and a boolean look different.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedgate.functions import csv_cells, decimals, uuids
 
 
+def elements(documents: DataFrame, *columns: str) -> DataFrame:
+    """One row (pos, record) per array element in ``records``.
+
+    The outer form, as Spark puts a test for empty arrays below the plain one, and with it a
+    second parse of every document.
+    """
+    rows = documents.select(*columns, F.posexplode_outer("records").alias("pos", "record"))
+    return rows.filter(F.col("pos").isNotNull())
+
+
 def node(record: Column, name: str) -> Column:
     return F.try_variant_get(record, f"$.{name}", "variant")
 

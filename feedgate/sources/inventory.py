@@ -56,10 +56,11 @@ def _plain(path: str) -> str:
 
 
 def inventory_summary(inventory: DataFrame, threshold_bytes: int | None = None) -> DataFrame:
-    """File count, bytes, and with a threshold how many files exceed it."""
+    """File count, bytes, largest file, and with a threshold how many files exceed it."""
     sums = [
         F.count("*").alias("file_count"),
         F.coalesce(F.sum("bytes"), F.lit(0)).cast("bigint").alias("total_bytes"),
+        F.coalesce(F.max("bytes"), F.lit(0)).cast("bigint").alias("largest_bytes"),
         F.min("path").alias("first_path"),
     ]
     if threshold_bytes is not None:

@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedgate.functions.barrier import computed_once
+from feedgate.functions.json_fields import elements
 from feedgate.session import size_setting
 from feedgate.sources.inventory import GLOBS
 
@@ -395,12 +396,10 @@ def _records(chunks: DataFrame) -> DataFrame:
         .select("_source_file")
     )
     records = (
-        parsed.join(F.broadcast(broken), "_source_file", "left_anti")
-        .select(
+        elements(
+            parsed.join(F.broadcast(broken), "_source_file", "left_anti"),
             "_source_file", "block", "seq", "_source_time",
-            F.posexplode("records").alias("pos", "record"),
-        )
-        .select(
+        ).select(
             "_source_file",
             F.struct(F.col("_source_file").alias("file"), "block", "seq", "pos").alias("_at"),
             "_source_time",
