@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedgate.contract import Field
 from feedgate.plans.employee import EMPLOYEE
@@ -93,44 +93,41 @@ def in_flight(rows: DataFrame) -> DataFrame:
     )
 
 
+def _as_json(name: str) -> Column:
+    """A text column as a JSON string with its quotes and escapes."""
+    return F.regexp_extract(F.to_json(F.struct(F.col(name).alias("v"))), r'^\{"v":(.*)\}$', 1)
+
+
+def _unless(plain: Column, name: str) -> Column:
+    """The column's text as it is where ``plain`` holds, else as a JSON string."""
+    return F.when(plain, F.col(name)).otherwise(_as_json(name))
+
+
 def json_record(rows: DataFrame) -> DataFrame:
     """Feed rows as raw JSON texts with JSON types: numbers, booleans, arrays, objects.
 
     Text that fits no type goes out as a JSON string; NULL columns are left out.
     """
-    quoted = lambda c: F.to_json(F.struct(F.col(c).alias("v")))
-    inner = lambda c: F.regexp_extract(quoted(c), r'^\{"v":(.*)\}$', 1)
-
-    def member(name: str, text) -> F.Column:
-        return F.when(
-            F.col(name).isNotNull(), F.concat(F.lit(f'"{name}":'), text)
-        )
-
-    number = F.when(
-        F.col("salary").rlike(r"^-?\d+\.\d+$"), F.col("salary")
-    ).otherwise(inner("salary"))
-    flag = F.when(F.lower("is_active").isin("true", "false"), F.lower("is_active")).otherwise(
-        inner("is_active")
-    )
-    skills = (
-        F.when(F.col("src_row") % 6 == 1, F.lit('["Java","Spring Boot","SQL"]'))
-        .when(F.col("src_row") % 6 == 2, F.lit('["a",5,null,true,{"x":1}]'))
-        .when(F.col("src_row") % 6 == 3, F.lit('"x, y"'))
-        .when(F.col("src_row") % 6 == 4, F.lit("[]"))
-        .otherwise(F.to_json(F.split("skills", ",")))
-    )
-    document = lambda c: F.when(F.startswith(F.col(c), F.lit('{"')), F.col(c)).otherwise(
-        inner(c)
-    )
-    special = {
-        "salary": number,
-        "is_active": flag,
-        "skills": skills,
-        "address": document("address"),
-        "emergency_contact": document("emergency_contact"),
+    flag = F.lower("is_active")
+    kind = F.col("src_row") % 6
+    texts = {c: _as_json(c) for c in (*CSV_COLUMNS, "feed_file")} | {
+        "salary": _unless(F.col("salary").rlike(r"^-?\d+\.\d+$"), "salary"),
+        "is_active": F.when(flag.isin("true", "false"), flag).otherwise(_as_json("is_active")),
+        "skills": F.when(kind == 1, F.lit('["Java","Spring Boot","SQL"]'))
+        .when(kind == 2, F.lit('["a",5,null,true,{"x":1}]'))
+        .when(kind == 3, F.lit('"x, y"'))
+        .when(kind == 4, F.lit("[]"))
+        .otherwise(F.to_json(F.split("skills", ","))),
+        "address": _unless(F.startswith("address", F.lit('{"')), "address"),
+        "emergency_contact": _unless(
+            F.startswith("emergency_contact", F.lit('{"')), "emergency_contact"
+        ),
+        "src_row": F.col("src_row").cast("string"),
     }
-    special["src_row"] = F.col("src_row").cast("string")
-    members = [member(c, special.get(c, inner(c))) for c in (*CSV_COLUMNS, "src_row", "feed_file")]
+    members = [
+        F.when(F.col(name).isNotNull(), F.concat(F.lit(f'"{name}":'), text))
+        for name, text in texts.items()
+    ]
     text = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
     return rows.select("src_row", "feed_file", text.alias("element"))
 

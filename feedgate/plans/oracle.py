@@ -145,7 +145,7 @@ def _cells(*parts: str) -> str:
     return f"{FEED} select src_row, {', '.join(parts)} from feed"
 
 
-def _null_policy(base: str, columns: str) -> str:
+def _null_policy(base: str) -> str:
     return f"""{base} select
  count(*) filter (where first_name = ' ') as blank_first_names,
  count(*) filter (where department = ' ') as blank_departments,
@@ -245,8 +245,8 @@ ORACLE: dict[str, str] = {
     "json_element_isolation": f"""{JSON}, {REASONED} select count(*) as elements,
  count(parse_error) as parse_errors, count(reason) as errors,
  count(*) filter (where reason is null) as valid from reasoned""",
-    "null_policy_csv": _null_policy(CSV, "feed"),
-    "null_policy_json": _null_policy(JSON, "feed"),
+    "null_policy_csv": _null_policy(CSV),
+    "null_policy_json": _null_policy(JSON),
     "validate_violations": f"""{CSV}, listed as (select src_row, list_filter([{', '.join(sql for _, sql in [*RULES, CHECK])}],
  lambda x: x is not null) as v from parsed)
 select src_row, cast(len(v) as integer) as broken_rules, array_to_string(v, '; ') as violations from listed""",

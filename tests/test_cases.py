@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedgate.operators import enrich, errors, load, parse, protect, validate
 from feedgate.plans.employee import EMPLOYEE
-from feedgate.sources import csv_feed, json_feed
+from feedgate.sources import csv_feed, json_feed, target
 
 
 @pytest.fixture(params=["json", "csv"])
@@ -154,4 +154,8 @@ def test_stored_projection(spark, annotated):
     stored = load.target_projection(enrich.stamped(valid, RUN_ID), EMPLOYEE)
     (row,) = stored.collect()
     assert stored.columns == EMPLOYEE.target_schema.names
+    typed = target.to_database_types(stored.select(*reversed(stored.columns)), EMPLOYEE)
+    assert [(f.name, f.dataType) for f in typed.schema] == [
+        (f.name, f.dataType) for f in EMPLOYEE.target_schema
+    ]
     assert row.skills is None and row.currency == "USD"
