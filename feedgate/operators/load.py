@@ -49,27 +49,40 @@ def new_rows(
     return first_wins(keyed, key, order).join(present, key, "left_anti")
 
 
-def keys_to_insert(rows: DataFrame, target: DataFrame, key: str, row_id: str) -> DataFrame:
-    """Key and row id of the rows ``new_rows`` would give, from narrow columns alone.
+def key_table(rows: DataFrame, key: str, row_id: str, loadable: Column) -> DataFrame:
+    """Every key once: its rows (``n``) and the id of its first loadable row (``first_id``).
 
-    The first row per key is an aggregate, combined per task before the shuffle.
+    One narrow aggregate, combined per task, from which load and reconciliation both start.
     """
-    keyed = rows.filter(F.col(key).isNotNull())
-    first = keyed.groupBy(key).agg(F.min_by(row_id, "_at").alias(row_id))
-    return first.join(existing_keys(target, keyed, key), key, "left_anti")
+    first = F.min_by(row_id, F.when(loadable, F.col("_at")))
+    return rows.groupBy(F.col(key).alias("key")).agg(
+        F.count("*").alias("n"), first.alias("first_id")
+    )
 
 
 def rows_to_insert(
-    spark: SparkSession, rows: DataFrame, target: DataFrame, key: str, row_id: str
+    spark: SparkSession,
+    rows: DataFrame,
+    keys: DataFrame,
+    target: DataFrame,
+    key: str,
+    row_id: str,
 ) -> DataFrame:
-    """The rows to insert of a written table with unique row ids, moving only keys and ids.
+    """The rows ``new_rows`` would give, of a written table with unique row ids and a key table.
 
-    The ids to insert are written first, so that their number and size are known.  Most loads
-    insert nearly all rows or nearly none: then few ids are left to drop or to keep, Spark
-    broadcasts them by their file size, and the rows themselves are never shuffled.
+    Only keys and ids move.  The ids to insert are written first, so that their number and size
+    are known.  Most loads insert nearly all rows or nearly none: then few ids are left to drop
+    or to keep, Spark broadcasts them by their file size, and the rows are never shuffled.
     """
     path = work_dir(spark, "insert-ids")
-    keys_to_insert(rows, target, key, row_id).select(row_id).write.parquet(path)
+    candidates = keys.filter("key is not null and first_id is not null").withColumnRenamed(
+        "key", key
+    )
+    (
+        candidates.join(existing_keys(target, candidates, key), key, "left_anti")
+        .select(F.col("first_id").alias(row_id))
+        .write.parquet(path)
+    )
     ids = spark.read.parquet(path)
     wanted, given = ids.count(), rows.count()
     if wanted == given:

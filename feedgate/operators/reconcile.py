@@ -19,14 +19,16 @@ def readable_key(contract: TableContract, raw: Column) -> Column:
 
 
 def feed_keys(feed: DataFrame, key: Column) -> DataFrame:
-    """Distinct readable keys of a feed."""
-    return feed.select(key.alias("key")).filter(F.col("key").isNotNull()).distinct()
+    """Readable keys of a feed and their rows (``key``, ``n``); unreadable ones under NULL.
+
+    Counts combine per task, so a key that fills a third of the feed is one row per task.
+    """
+    return feed.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
 
 
-def feed_counts(feed: DataFrame, key: Column) -> DataFrame:
+def feed_counts(keys: DataFrame) -> DataFrame:
     """One row: input rows, distinct readable keys, rows that repeat an earlier key."""
-    per_key = feed.select(key.alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    return per_key.agg(
+    return keys.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("input_records"),
         F.count_if(F.col("key").isNotNull()).alias("distinct_keys"),
         F.coalesce(F.sum(F.when(F.col("key").isNotNull(), F.col("n") - 1)), F.lit(0))
@@ -82,18 +84,20 @@ def verdict(
 
 
 def reconcile(
-    feed: DataFrame,
-    key_of_feed: Column,
+    keys: DataFrame,
     errors: DataFrame,
     target: DataFrame,
     key: str,
     run_id: str,
 ) -> DataFrame:
-    """Reconcile a run.  ``duplicates_in_feed`` explains a mismatch that repeated keys cause."""
+    """Reconcile a run from its ``feed_keys``, its errors and the target.
+
+    ``duplicates_in_feed`` explains a mismatch that repeated keys cause.
+    """
     return verdict(
-        feed_counts(feed, key_of_feed),
+        feed_counts(keys),
         errors.agg(F.count("*").alias("error_records")),
-        matched_count(target, feed_keys(feed, key_of_feed), key),
+        matched_count(target, keys, key),
         target_counts(target, F.lit(run_id)),
     )
 

@@ -83,9 +83,9 @@ def ingest(
     """Load a feed into ``target`` and write its errors to ``error_path``.
 
     The feed is read and parsed once: its rows are staged in a written table below
-    ``spark.checkpoint.dir``, and load, error output and report all start from there.  That also
-    fixes the cipher texts, which differ each time they are computed, and lets the later steps
-    go on after lost executors without parsing again.
+    ``spark.checkpoint.dir``, and so are its keys; load, error output and report all start from
+    there.  That also fixes the cipher texts, which differ each time they are computed, and lets
+    the later steps go on after lost executors without parsing again.
 
     ``target`` is a parquet folder, or with ``buckets`` a catalog table bucketed by key.  One
     writer at a time: neither kind has transactions.
@@ -106,7 +106,12 @@ def ingest(
     failed = staged.filter(F.col("_reason").isNotNull())
     write_errors(errors.error_records(failed, run_id), error_path)
 
-    valid = staged.filter(F.col("_reason").isNull())
+    path_of_keys = work_dir(spark, f"keys-{contract.name}")
+    load.key_table(staged, contract.key, "_row_id", F.col("_reason").isNull()).write.parquet(
+        path_of_keys
+    )
+    keys = spark.read.parquet(path_of_keys)
+
     if buckets:
         targets.ensure_target_table(spark, target, contract, buckets)
         spark.catalog.refreshTable(target)
@@ -119,13 +124,12 @@ def ingest(
     else:
         targets.ensure_target(spark, target, contract)
         stored = targets.read_target(spark, target, contract)
-        rows = load.rows_to_insert(spark, valid, stored, contract.key, "_row_id")
+        valid = staged.filter(F.col("_reason").isNull())
+        rows = load.rows_to_insert(spark, valid, keys, stored, contract.key, "_row_id")
         append_parquet(rows.select(*[c.name for c in contract.target_schema]), target)
         after = targets.read_target(spark, target, contract)
 
-    counts = reconcile.reconcile(
-        staged, F.col(contract.key), failed, after, contract.key, run_id
-    )
+    counts = reconcile.reconcile(keys, failed, after, contract.key, run_id)
     summary = reconcile.run_summary(counts, run_id, path, fmt, files.file_count, False)
     report = work_dir(spark, f"report-{contract.name}")
     summary.write.parquet(report)

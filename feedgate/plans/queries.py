@@ -277,13 +277,14 @@ def rerun_is_noop(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def matched_keys(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _text_feed(spark, sf)
+    keys = _feed_keys(spark, sf)
+    matched = reconcile.matched_count(_stored_before(spark, sf), keys, EMPLOYEE.key)
+    return reconcile.feed_counts(keys).select("*", matched.scalar().alias("matched_records"))
+
+
+def _feed_keys(spark: SparkSession, sf: str) -> DataFrame:
     key = reconcile.readable_key(EMPLOYEE, F.col(EMPLOYEE.key))
-    counts = reconcile.feed_counts(raw, key)
-    matched = reconcile.matched_count(
-        _stored_before(spark, sf), reconcile.feed_keys(raw, key), EMPLOYEE.key
-    )
-    return counts.select("*", matched.scalar().alias("matched_records"))
+    return reconcile.feed_keys(_text_feed(spark, sf), key)
 
 
 def stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -305,8 +306,7 @@ def stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.reconcile(
-        _text_feed(spark, sf),
-        reconcile.readable_key(EMPLOYEE, F.col(EMPLOYEE.key)),
+        _feed_keys(spark, sf),
         _errors(spark, sf),
         _stored_after(spark, sf),
         EMPLOYEE.key,

@@ -57,7 +57,8 @@ def test_rows_to_insert_equal_new_rows(hot, spark, tmp_path, stored):
     rows = spark.read.parquet(str(tmp_path / "rows"))
     share = {"few": "hash(key) % 10 = 0", "most": "hash(key) % 10 <> 0", "none": "false", "all": "true"}
     present = rows.select("key").distinct().filter(share[stored])
-    found = load.rows_to_insert(spark, rows, present, "key", "id")
+    keys = load.key_table(rows, "key", "id", F.lit(True))
+    found = load.rows_to_insert(spark, rows, keys, present, "key", "id")
     assert found.exceptAll(load.new_rows(rows, present, "key")).isEmpty()
     assert found.count() == rows.select("key").distinct().count() - present.count()
     shown = plan(found)
@@ -127,7 +128,7 @@ A, B, C = (f"550e8400-e29b-41d4-a716-44665544000{i}" for i in range(3))
 def report(spark, feed, bad, stored):
     rows = spark.createDataFrame(stored, "employee_id string, execution_id string")
     return reconcile.reconcile(
-        feed, reconcile.readable_key(EMPLOYEE, F.col("employee_id")),
+        reconcile.feed_keys(feed, reconcile.readable_key(EMPLOYEE, F.col("employee_id"))),
         spark.createDataFrame([(i,) for i in range(bad)], "x int"), rows, "employee_id", RUN_ID,
     )
 
