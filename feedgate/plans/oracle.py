@@ -240,6 +240,21 @@ ORACLE: dict[str, str] = {
         "address", f"{CSV_ERRORS[5]} as address_error",
         "emergency_contact", f"{CSV_ERRORS[6]} as emergency_contact_error",
     ),
+    "parse_uuid_lenient": """select c_custkey, concat(lpad(cast(c_custkey as varchar), 8, '0'), '-',
+ lpad(cast(c_nationkey as varchar), 4, '0'), '-000a-00bc-', lpad(cast(c_custkey as varchar), 12, '0')) as lenient,
+ cast(null as varchar) as strict from customer""",
+    "parse_decimal_forms": """with c as (select o_orderkey, cast(round(o_totalprice * 100) as bigint) as cents from orders)
+select o_orderkey, case o_orderkey % 5 when 0 then concat(cents, '.50')
+ when 1 then cast(cast(cast(-cents as decimal(18,0)) / 100 as decimal(18,2)) as varchar)
+ when 2 then case when cents > 999 then concat(substr(cast(cents as varchar), 1, 3), '.', substr(cast(cents as varchar), 4))
+  else rpad(cast(cents as varchar), 3, '0') end
+ when 3 then cast(cents as varchar) end as amount from c""",
+    "csv_cells_of_text": r"""with lines as (select doc_id, cast(generate_subscripts(string_split(text, chr(10)), 1) - 1 as integer) as line_no,
+ replace(unnest(string_split(text, chr(10))), 'e', '"') as line from documents),
+cut as (select doc_id, line_no, regexp_extract_all(',' || line, ',([^",]*(?:"[^"]*(?:""[^"]*)*(?:"|$)[^",]*)*)', 1) as raw from lines),
+bare as (select *, list_transform(raw, lambda c: replace(regexp_replace(c, '"([^"]*(?:""[^"]*)*)(?:"|$)', '\1', 'g'), '""', '"')) as cells from cut)
+select doc_id, line_no, cast(len(cells) as integer) as count, nullif(cells[1], '') as first,
+ nullif(cells[2], '') as second, nullif(cells[3], '') as third from bare""",
     "parse_first_error": f"{CSV} select src_row, parse_error from parsed",
     "parse_all_errors": f"{FEED} select src_row, nullif(concat_ws('; ', {', '.join(CSV_ERRORS)}), '') as parse_errors from feed",
     "json_element_isolation": f"""{JSON}, {REASONED} select count(*) as elements,
@@ -262,6 +277,9 @@ select src_row, cast(len(v) as integer) as broken_rules, array_to_string(v, '; '
  cast(row_number() over (partition by source_file order by src_row) as integer) as position, src_row, error_reason from failed)
 select * from placed where position <= 5""",
     "first_wins": f"{CSV_VALID} select employee_id, src_row from firsts",
+    "first_wins_hot_keys": """select l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey from (select *,
+ row_number() over (partition by l_returnflag order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  l_extendedprice) as nth from lineitem) where nth = 1""",
     "insert_if_absent": f"""{CSV_VALID} select employee_id, src_row from firsts f
  where not exists (select 1 from before b where b.employee_id = f.employee_id)""",
     "rerun_is_noop": f"""{CSV_VALID} select count(*) as inserted from valid v
@@ -304,6 +322,11 @@ select file_name, bytes, bytes > {PART_BYTES} as oversized,
  when src_row % 2 = 0 then '2024-06-01 12:00:00' else '2024-06-02 12:00:00' end as execution_id from firsts""",
     "ingest_csv": _loaded(CSV),
     "ingest_json": _loaded(JSON),
+    "ingest_bucketed": _loaded(CSV),
+    "ingest_announced": f"""{CSV_VALID}, counted as ({COUNTS})
+select '{RUN_ID}' as execution_id, true as split, true as several_parts, input_records, error_records,
+ total_records as new_records, total_records, distinct_keys, input_records + 1 as announced_records,
+ 'mismatch' as announced_status from counted""",
     "ingest_report": f"""{CSV_VALID}, counted as ({COUNTS})
 select '{RUN_ID}' as execution_id, 'csv' as file_format, input_records, error_records,
  input_records - error_records as expected_records, distinct_keys, duplicates_in_feed, total_records,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedgate.functions import csv_cells, decimals, json_fields
+from feedgate.functions import csv_cells, decimals, json_fields, uuids
 from feedgate.operators import (
     enrich,
     errors,
@@ -25,7 +26,7 @@ from feedgate.plans.feeds import RENDERED_GLOB, RUN_ID, TEST_KEY, TRACED
 from feedgate.session import configure, work_dir
 from feedgate.sinks import error_output, feed_writer
 from feedgate.sources import csv_feed, errors as error_source, inventory, json_chunks, json_feed
-from feedgate.sources import manifest
+from feedgate.sources import manifest, target
 
 INSTANT = "2024-06-01 12:00:00"
 PART_BYTES = 65_536
@@ -169,6 +170,43 @@ def _cell_query(columns: dict[str, str], cast: str | None = None) -> Callable:
     return query
 
 
+def parse_uuid_lenient(spark: SparkSession, sf: str) -> DataFrame:
+    """Identifiers of five short groups, made of customer numbers, in canonical form."""
+    feeds.register(spark, sf, ["customer"])
+    text = F.concat_ws("-", "c_custkey", "c_nationkey", F.lit("A"), F.lit("00bC"), "c_custkey")
+    return spark.table("customer").select(
+        "c_custkey",
+        uuids.canonical(text, lenient=True).alias("lenient"),
+        uuids.canonical(text).alias("strict"),
+    )
+
+
+def parse_decimal_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts with plus signs, leading zeros, bare points and exponents as plain decimals."""
+    feeds.register(spark, sf, ["orders"])
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    form = F.col("o_orderkey") % 5
+    text = (
+        F.when(form == 0, F.concat(F.lit("+00"), cents, F.lit(".50")))
+        .when(form == 1, F.concat(F.lit("-"), cents, F.lit("e-2")))
+        .when(form == 2, F.concat(F.lit("."), cents, F.lit("E+3")))
+        .when(form == 3, F.concat(cents, F.lit(".")))
+        .otherwise(F.concat(cents, F.lit("-")))
+    )
+    return spark.table("orders").select("o_orderkey", decimals.plain(text).alias("amount"))
+
+
+def csv_cells_of_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line of every document cut as a CSV line; each ``e`` counts as a quote."""
+    feeds.register(spark, sf, ["documents"])
+    lines = spark.table("documents").select(
+        "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+    )
+    quoted = lines.withColumn("line", F.translate("line", "e", '"'))
+    cut = quoted.withColumn("count", F.size(csv_cells.cells(F.col("line"))))
+    return csv_cells.bound(cut, {"first": 0, "second": 1, "third": 2})
+
+
 def parse_first_error(spark: SparkSession, sf: str) -> DataFrame:
     return _parsed(spark, sf).select(_src_row(), F.col("_parse_error").alias("parse_error"))
 
@@ -266,6 +304,14 @@ def first_wins(spark: SparkSession, sf: str) -> DataFrame:
     return load.first_wins(_valid(spark, sf), EMPLOYEE.key).select(EMPLOYEE.key, _src_row())
 
 
+def first_wins_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """First line item per return flag: three keys, each with a third of the table."""
+    feeds.register(spark, sf, ["lineitem"])
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    first = load.first_wins(spark.table("lineitem"), "l_returnflag", order)
+    return first.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     new = load.new_rows(_valid(spark, sf), _stored_before(spark, sf), EMPLOYEE.key)
     return new.select(EMPLOYEE.key, _src_row())
@@ -512,20 +558,20 @@ def serve_newest_first(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, sf: str, fmt: str, runs: int = 1) -> tuple[str, ingestion.Run]:
-    target, bad = work_dir(spark, "target"), work_dir(spark, "errors")
+    place, bad = work_dir(spark, "target"), work_dir(spark, "errors")
     options = {"glob": RENDERED_GLOB[fmt], "skip_empty": True}
     for _ in range(runs):
         run = ingestion.ingest(
-            spark, feeds.rendered(spark, sf, fmt), fmt, EMPLOYEE, TEST_KEY, target, bad,
+            spark, feeds.rendered(spark, sf, fmt), fmt, EMPLOYEE, TEST_KEY, place, bad,
             run_id=RUN_ID, **options,
         )
-    return target, run
+    return place, run
 
 
 def ingest_run(fmt: str, spark: SparkSession, sf: str) -> DataFrame:
     """Feed files -> encrypted target -> decrypted records."""
-    target, _ = _run(spark, sf, fmt)
-    stored = spark.read.parquet(target)
+    place, _ = _run(spark, sf, fmt)
+    stored = spark.read.parquet(place)
     return _flat(_served(stored, protect.key_column(spark, TEST_KEY)))
 
 
@@ -548,6 +594,41 @@ def ingest_staged_errors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def ingest_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs into a table bucketed by key: the second finds every key."""
+    table = f"feedgate_{uuid.uuid4().hex}"
+    target.ensure_target_table(spark, table, EMPLOYEE, 8, work_dir(spark, "bucketed"))
+    for _ in range(2):
+        ingestion.ingest(
+            spark, feeds.rendered(spark, sf, "csv"), "csv", EMPLOYEE, TEST_KEY, table,
+            work_dir(spark, "errors"), run_id=RUN_ID, buckets=8, skip_empty=True,
+        )
+    return _flat(_served(spark.table(table), protect.key_column(spark, TEST_KEY)))
+
+
+def ingest_announced(spark: SparkSession, sf: str) -> DataFrame:
+    """A run from a manifest that announces one row too many; the feed is split first."""
+    folder = f"{work_dir(spark, 'announced')}/staff.csv"
+    rows = feeds.employee_rows(spark, sf)
+    feed_writer.write_csv_rows(rows.select(*feeds.CSV_COLUMNS), folder)
+    size = inventory.check_feed(spark, folder, "csv").total_bytes
+    control = work_dir(spark, "control")
+    lines = F.concat(
+        F.lit(f"file_name=staff.csv\nfile_path={folder}\nrecord_count="),
+        (F.count("*") + 1).cast("string"),
+    )
+    rows.agg(lines.alias("value")).write.text(control)
+    run = ingestion.ingest_announced(
+        spark, control, EMPLOYEE, TEST_KEY, work_dir(spark, "target"), work_dir(spark, "errors"),
+        threshold_bytes=min(max(size // 8, 1024), 128 << 20), run_id=RUN_ID,
+    )
+    return run.report.select(
+        "execution_id", "split", (F.col("input_file_count") > 1).alias("several_parts"),
+        "input_records", "error_records", "new_records", "total_records", "distinct_keys",
+        "announced_records", "announced_status",
+    )
+
+
 # --- the same operators over other tables ------------------------------------------------
 
 
@@ -746,6 +827,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_boolean": _cell_query({"is_active": "boolean"}),
     "parse_skills": _cell_query({"skills": "list"}),
     "parse_json_cells": _cell_query({"address": "json", "emergency_contact": "json"}),
+    "parse_uuid_lenient": parse_uuid_lenient,
+    "parse_decimal_forms": parse_decimal_forms,
+    "csv_cells_of_text": csv_cells_of_text,
     "parse_first_error": parse_first_error,
     "parse_all_errors": parse_all_errors,
     "json_element_isolation": json_element_isolation,
@@ -759,6 +843,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "errors_per_file": errors_per_file,
     "first_errors_per_file": first_errors_per_file,
     "first_wins": first_wins,
+    "first_wins_hot_keys": first_wins_hot_keys,
     "insert_if_absent": insert_if_absent,
     "rerun_is_noop": rerun_is_noop,
     "matched_keys": matched_keys,
@@ -779,6 +864,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "serve_newest_first": serve_newest_first,
     "ingest_csv": partial(ingest_run, "csv"),
     "ingest_json": partial(ingest_run, "json"),
+    "ingest_bucketed": ingest_bucketed,
+    "ingest_announced": ingest_announced,
     "ingest_report": ingest_report,
     "ingest_staged_errors": ingest_staged_errors,
     "shipments_by_outcome": shipments_by_outcome,

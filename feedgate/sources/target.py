@@ -23,16 +23,21 @@ def read_target(spark: SparkSession, path: str, contract: TableContract) -> Data
 
 
 def ensure_target_table(
-    spark: SparkSession, table: str, contract: TableContract, buckets: int
+    spark: SparkSession,
+    table: str,
+    contract: TableContract,
+    buckets: int,
+    location: str | None = None,
 ) -> None:
     """Create a catalog table bucketed by key, so loads never shuffle what is stored.
 
     Size ``buckets`` so that the key column of one bucket fits a task: rows / 10 million.
     """
+    place = f" LOCATION '{location}'" if location else ""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.target_schema)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-        f"CLUSTERED BY (`{contract.key}`) SORTED BY (`{contract.key}`) INTO {buckets} BUCKETS"
+        f"CLUSTERED BY (`{contract.key}`) SORTED BY (`{contract.key}`) INTO {buckets} BUCKETS{place}"
     )
 
 
