@@ -17,7 +17,7 @@ from feedgate.session import work_dir
 from feedgate.sinks import feed_writer
 
 RUN_ID = "00000000-0000-0000-0000-000000000001"
-TEST_KEY = "01234567890123456789012345678901"
+TEST_KEY = "feedgate test key, 32 bytes long"
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -45,7 +45,7 @@ select c.c_custkey as src_row,
  case when c.c_custkey % 59 = 3 then 'nobody' when c.c_custkey % 4 = 0 then null
       else concat('00000000-0000-4000-9000-', lpad(cast(c.c_nationkey as varchar(20)), 12, '0')) end as manager_id,
  case c.c_custkey % 3 when 0 then 'true' when 1 then 'FALSE' else case when c.c_custkey % 53 = 2 then 'yes' else null end end as is_active,
- case c.c_custkey % 6 when 0 then null when 1 then '[Java,"Spring Boot", SQL ]' when 2 then '["a","b,c",""]'
+ case c.c_custkey % 6 when 0 then null when 1 then '[Scala,"Data Models", SQL ]' when 2 then '["a","b,c",""]'
       when 3 then ' [x ,, y]' when 4 then '[]' else concat(n.n_name, ',', c.c_mktsegment) end as skills,
  case when c.c_custkey % 61 = 8 then '{broken' when c.c_custkey % 5 = 4 then null
       else concat('{"city":"', n.n_name, '","state":"', r.r_name, '"}') end as address,
@@ -113,7 +113,7 @@ def json_record(rows: DataFrame) -> DataFrame:
     texts = {c: _as_json(c) for c in (*CSV_COLUMNS, "feed_file")} | {
         "salary": _unless(F.col("salary").rlike(r"^-?\d+\.\d+$"), "salary"),
         "is_active": F.when(flag.isin("true", "false"), flag).otherwise(_as_json("is_active")),
-        "skills": F.when(kind == 1, F.lit('["Java","Spring Boot","SQL"]'))
+        "skills": F.when(kind == 1, F.lit('["Scala","Data Models","SQL"]'))
         .when(kind == 2, F.lit('["a",5,null,true,{"x":1}]'))
         .when(kind == 3, F.lit('"x, y"'))
         .when(kind == 4, F.lit("[]"))

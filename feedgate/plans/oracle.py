@@ -41,7 +41,7 @@ SKILLS = (
     " lambda x: x <> '')"
 )
 CSV_SKILLS = f"case when coalesce(skills, '') = '' then '' else array_to_string({SKILLS}, '|') end"
-JSON_SKILLS = """case src_row % 6 when 1 then 'Java|Spring Boot|SQL' when 2 then 'a|5|null|true|'
+JSON_SKILLS = """case src_row % 6 when 1 then 'Scala|Data Models|SQL' when 2 then 'a|5|null|true|'
   when 5 then replace(skills, ',', '|') else '' end"""
 
 SALARY = f"case when regexp_full_match(salary, '{NUMBER}') then cast(salary as decimal(18,2)) end"

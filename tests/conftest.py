@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 RUN_ID = "00000000-0000-0000-0000-000000000001"
-KEY = "01234567890123456789012345678901"
+KEY = "feedgate test key, 32 bytes long"
 
 
 @pytest.fixture(scope="session")
@@ -48,21 +48,21 @@ def write(tmp_path):
 def record(**changes):
     """The canonical valid record; ``None`` removes a field."""
     base = {
-        "employee_id": "550e8400-e29b-41d4-a716-446655440000",
-        "first_name": "John",
-        "last_name": "Smith",
-        "email": "john.smith@example.com",
-        "phone_number": "9876543210",
+        "employee_id": "7d0f1a52-93c4-4e0b-8a6d-2b1c5e9f3000",
+        "first_name": "Mira",
+        "last_name": "Okafor",
+        "email": "mira.okafor@example.com",
+        "phone_number": "5550123456",
         "hire_date": "2024-01-15",
-        "department": "Technology",
-        "job_title": "Software Engineer",
-        "salary": 85000.00,
+        "department": "Research",
+        "job_title": "Data Engineer",
+        "salary": 64250.00,
         "currency": "USD",
         "employment_status": "ACTIVE",
         "is_active": True,
-        "skills": ["Java", "Spring Boot", "Apache Beam"],
-        "address": {"city": "Indore", "state": "Madhya Pradesh", "country": "India"},
-        "emergency_contact": {"name": "Jane Smith", "relationship": "Spouse", "phone": "9876543211"},
+        "skills": ["SQL", "Scala", "Modelling"],
+        "address": {"city": "Porto", "state": "Norte", "country": "Portugal"},
+        "emergency_contact": {"name": "Ana Okafor", "relationship": "Sister", "phone": "5550123457"},
     }
     base.update(changes)
     return {k: v for k, v in base.items() if v is not None}

@@ -199,13 +199,13 @@ def test_no_decimals(spark):
 
 
 def test_lenient_identifiers(spark):
-    texts = ["1-1-1-1-1", "550E8400-e29b-41d4-a716-446655440000", "x-1-1-1-1", "", "1-1-1-1",
+    texts = ["1-1-1-1-1", "7D0F1A52-93c4-4e0b-8a6d-2b1c5e9f3000", "x-1-1-1-1", "", "1-1-1-1",
              "123456789-1-1-1-1"]
     rows = spark.createDataFrame([(t,) for t in texts], "v string")
     strict, lenient = zip(*rows.select(
         uuids.canonical(F.col("v")), uuids.canonical(F.col("v"), lenient=True)
     ).collect())
-    folded = "550e8400-e29b-41d4-a716-446655440000"
+    folded = "7d0f1a52-93c4-4e0b-8a6d-2b1c5e9f3000"
     assert strict == (None, folded, None, None, None, None)
     assert lenient == (
         "00000001-0001-0001-0001-000000000001", folded, None, None, None,

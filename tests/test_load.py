@@ -122,7 +122,7 @@ def keyed(spark, *keys):
     return spark.createDataFrame([(k,) for k in keys], "employee_id string")
 
 
-A, B, C = (f"550e8400-e29b-41d4-a716-44665544000{i}" for i in range(3))
+A, B, C = (f"7d0f1a52-93c4-4e0b-8a6d-2b1c5e9f300{i}" for i in range(3))
 
 
 def report(spark, feed, bad, stored):

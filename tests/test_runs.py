@@ -54,7 +54,7 @@ def test_split_csv(spark, write, tmp_path):
 
 
 def test_split_json_array(spark, write, tmp_path):
-    made = [{"k": i, "n": 85000.50, "t": 'a}"{', "o": {"z": 1, "a": [1, {"b": None}]}} for i in range(900)]
+    made = [{"k": i, "n": 64250.50, "t": 'a}"{', "o": {"z": 1, "a": [1, {"b": None}]}} for i in range(900)]
     folder = write("feed", {"in.json": json.dumps(made)})
     size = os.path.getsize(f"{folder}/in.json")
     out = str(tmp_path / "out")
@@ -63,7 +63,7 @@ def test_split_json_array(spark, write, tmp_path):
     assert len(names) == -(-size // 9_000) and names[0] == "feed_part_001.json"
     back = [e for n in names for e in json.load(open(f"{out}/{n}"))]
     assert sorted(back, key=lambda e: e["k"]) == made
-    assert '"n": 85000.5,' in open(f"{out}/{names[0]}").read()
+    assert '"n": 64250.5,' in open(f"{out}/{names[0]}").read()
     sizes = [os.path.getsize(f"{out}/{n}") for n in names]
     assert max(sizes) < 1.5 * 9_000
 
@@ -117,8 +117,8 @@ def test_run(spark, write, tmp_path, fmt):
     stored = plain(spark, target)
     assert stored.count() == 40
     row = stored.filter("first_name = 'Name7'").first()
-    assert row.phone_number == "9000000007" and row.salary == 85000 and row.is_active is True
-    assert row.emergency_contact.phone == "9876543211" and row.execution_id == run.run_id
+    assert row.phone_number == "9000000007" and row.salary == 64250 and row.is_active is True
+    assert row.emergency_contact.phone == "5550123457" and row.execution_id == run.run_id
     assert row.source_creation_time is not None
 
     counts = run.report.first()
@@ -151,8 +151,8 @@ def test_nothing_written_holds_plain_text(spark, write, tmp_path):
     staged = run.staged.drop("_at", "_source_file", "ingestion_timestamp", "source_creation_time")
     for df in (stored, staged):
         text = json.dumps([r.asDict(True) for r in df.collect()], default=str)
-        assert "900000000" not in text and "9111111111" not in text and "9876543211" not in text
-        assert "85000" not in text
+        assert "900000000" not in text and "9111111111" not in text and "5550123457" not in text
+        assert "64250" not in text
     for path in glob.glob(failed + "/**", recursive=True):
         if os.path.isfile(path) and path.endswith(".txt"):
             assert "9111111111" not in open(path).read()
