@@ -44,6 +44,21 @@ def records(
     )
 
 
+def newest_records(
+    target: DataFrame,
+    contract: TableContract,
+    key: Column,
+    contact_column: str | None = None,
+    strict: bool = True,
+) -> DataFrame:
+    """All stored rows as they are served, newest first.
+
+    Sorted as stored and decrypted afterwards: plain text is never shuffled, and no value is
+    decrypted for the sort's sampling.
+    """
+    return records(newest_first(target, contract.key), contract, key, contact_column, strict)
+
+
 def _served(field, contact_column: str | None) -> Column:
     value = F.col(field.name)
     if field.name == contact_column:

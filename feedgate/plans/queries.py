@@ -516,8 +516,7 @@ def protect_wrong_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _served(stored: DataFrame, key) -> DataFrame:
-    rows = readback.records(stored, EMPLOYEE, key, contact_column="emergency_contact")
-    return readback.newest_first(rows, EMPLOYEE.key)
+    return readback.newest_records(stored, EMPLOYEE, key, contact_column="emergency_contact")
 
 
 def _flat(served: DataFrame) -> DataFrame:

@@ -145,7 +145,7 @@ def _scanner(pack_bytes: int, max_bytes: int):
                 done.append([*at, 0, 0, 0, 1 << 40, 1 << 40])
                 key = at
             row = done[-1]
-            after, even, odd = marks(run.column(2))
+            after, even, odd = marks(run.column(2).cast(pa.binary()))
             if row[2]:
                 after, even, odd = after ^ 1, odd, even
             for start, steps in ((0, even), (1, odd)):

@@ -80,6 +80,11 @@ def test_long_quoted_cell(spark):
     assert found[:3] == by_hand(f'x,"{inner}",y"z"')
 
 
+def test_line_of_very_many_cells(spark):
+    (found,) = cells_of(spark, ["a,b," + "," * 50_000])
+    assert found == ["a", "b", None, None, None, None]
+
+
 def read(spark, folder, **options):
     rows = csv_feed.read_csv_feed(spark, folder, ABC, **options)
     return [tuple(r) for r in rows.orderBy("_at").select("a", "b", "c").collect()]

@@ -190,6 +190,21 @@ def test_arrays_cut_at_record_borders(spark, write, block, pack):
         assert found[name] == [json_chunks.MALFORMED], name
 
 
+@pytest.mark.parametrize(
+    "name, value",
+    [("spark.sql.execution.arrow.useLargeVarTypes", "true"),
+     ("spark.sql.execution.arrow.maxRecordsPerBatch", "3")],
+)
+def test_arrays_under_other_batch_settings(spark, write, name, value):
+    elements, text = documents()["d0.json"]
+    folder = write("feed", {"d0.json": text})
+    session = block_session(spark, 2000)
+    session.conf.set(name, value)
+    rows = json_chunks._records(json_chunks.read_chunks(session, folder, pack_bytes=500))
+    found = rows.orderBy("_at").select(F.to_json("record").alias("j")).collect()
+    assert [json.loads(r.j) for r in found] == elements
+
+
 def test_record_that_is_too_long_is_refused(spark, write):
     folder = write("feed", {"a.json": json.dumps([{"a": "x" * 5000}, {"b": 1}]), "b.json": '[{"c":1}]'})
     chunks = json_chunks.read_chunks(block_session(spark, 300), folder, max_record_bytes=2000)

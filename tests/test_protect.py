@@ -97,3 +97,14 @@ def test_newest_first_puts_missing_times_first(spark):
         " as t(id, ingestion_timestamp)"
     )
     assert [r.id for r in readback.newest_first(df, "id").collect()] == ["b", "c", "a"]
+
+
+def test_rows_are_sorted_before_they_are_decrypted(spark, key):
+    sealed = protect.protected(rows(spark, ("1", None), ("2", None)), SECRET, key).selectExpr(
+        "*", "current_timestamp() as ingestion_timestamp", "'r' as execution_id",
+        "current_timestamp() as source_creation_time",
+    )
+    served = readback.newest_records(sealed, SECRET, key)
+    shown = served._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.index("aesDecrypt") < shown.index("Sort [")
+    assert [r.pin for r in served.collect()] == ["1", "2"]
