@@ -38,12 +38,13 @@ def exact_groups(docs: DataFrame, salts: int = SALTS) -> DataFrame:
         .agg(F.min("_first").alias("keep_id"), F.sum("_rows").alias("group_size"))
         .select(*_key(), "keep_id", "group_size")
     )
-    groups = staged(groups, "exact-groups")
     unique = groups.groupBy("_sha", "_second", "_length").agg(
         F.count(F.lit(1)).alias("_contents"),
         F.first("keep_id").alias("keep_id"),
         F.first("group_size").alias("group_size"),
     )
+    # Written, so that the join below reads plain rows on both sides and hot keys can be split.
+    unique = staged(unique, "exact-groups")
     found = rows.select("doc_id", *_key()).join(unique, ["_sha", "_second", "_length"])
     return found.filter(
         F.assert_true(F.col("_contents") == 1, F.lit("two texts share digest, hash and length")).isNull()

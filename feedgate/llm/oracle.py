@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from feedgate.llm import url_filter
 from feedgate.llm.hilbert import BITS, hilbert_table
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -113,4 +114,102 @@ select doc_id, size, text_crc32, 'rows' as law, shard::int as shard,
 from s
 """
 
-ORACLE = {"op1_hilbert_shards": _SHARDS, "op4_fair_mix": _MIX, "op5_exact_dedup": _EXACT}
+_LINES = r"""
+with l as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
+  from documents
+), k as (
+  select *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l
+), r as (
+  select key, max(doc_id) as keeper from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+), j as (
+  select k.*, r.key is not null and k.doc_id <> r.keeper as gone from k left join r using (key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from j group by doc_id
+"""
+
+
+def _urls() -> str:
+    """The tree's levels one after the other, then branches and purity."""
+    levels, last = [], "t0"
+    for level in range(1, url_filter.DEPTH + 1):
+        levels.append(f"""
+c{level} as (select host, template, segments[{level}] as segment, sum(rows) as n from {last}
+             where segments[{level}] is not null group by all),
+m{level} as (select *, count(*) over p >= {url_filter.MANY} and n < sum(n) over p * {url_filter.RARE}::double as wild
+             from c{level} window p as (partition by host, template)),
+t{level} as (
+  select t.host, t.segments, t.rows, t.labelled, t.bad,
+         case when m.segment is null then t.template
+              else t.template || '/' || case when m.wild then '*' else m.segment end end as template,
+         case when m.segment is null then t.parent else t.template end as parent
+  from {last} t left join m{level} m
+       on t.host = m.host and t.template = m.template and t.segments[{level}] = m.segment
+)""")
+        last = f"t{level}"
+    deepest = url_filter.DEPTH - 1
+    rest = f"array_to_string(s[{deepest + 1}:], '/')"
+    return rf"""
+with u as (
+  select page_id,
+         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages
+), fits as (
+  select host, path, arg_max((rule_host || rule_path, verdict), length(rule_host || rule_path)) as r
+  from (select distinct host, path from u)
+       join (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) as r(rule_host, rule_path, verdict)
+       on ends_with('.' || host, '.' || rule_host) and starts_with(path, rule_path)
+  group by host, path
+), f as (
+  select u.*, r[1] as rule, r[2] as ruled,
+         string_split(regexp_replace(regexp_replace(regexp_replace(path,
+           '(^|/|-|_)[0-9a-fA-F]{{16,}}(/|-|_|[.]|$)', '{{hex}}', 'g'), '[0-9]+', '{{n}}', 'g'), '^/', ''), '/') as s
+  from u left join fits using (host, path)
+), g as (
+  select *, case when len(s) > {deepest} then s[:{deepest}] || [{rest}] else s end as segments from f
+), t0 as (
+  select host, segments, count(*) as rows, count(ruled) as labelled, count(*) filter (ruled = 'block') as bad,
+         '' as template, '' as parent
+  from g group by host, segments
+), {",".join(levels)},
+leaves as (
+  select host, parent, template, sum(labelled) as labelled, sum(bad) as bad from {last} group by all
+), shares as (
+  select *, (bad / labelled)::double as share,
+         (sum(bad) over p / sum(labelled) over p)::double as whole
+  from leaves window p as (partition by host, parent)
+), branches as (
+  select *, case when labelled = 0 or abs(share - whole) <= sqrt(whole * (1 - whole) / labelled) * {url_filter.ERRORS}::double
+                 then parent || '/~' else template end as branch
+  from shares
+), hosts as (
+  select host, (sum(bad) + (select coalesce(sum(bad) / nullif(sum(labelled), 0), 0.5)::double from leaves) * {url_filter.PRIOR}::double)
+               / (sum(labelled) + {url_filter.PRIOR}::double) as prior
+  from leaves group by host
+), pooled as (
+  select host, branch, (sum(bad) + any_value(prior) * {url_filter.PRIOR}::double) / (sum(labelled) + {url_filter.PRIOR}::double) as purity
+  from branches join hosts using (host) group by host, branch
+)
+select page_id, g.host, path, rule,
+       coalesce(ruled, case when purity >= {url_filter.REJECT} then 'block' else 'allow' end) as verdict,
+       {last}.template, purity
+from g join {last} using (host, segments)
+       join branches on branches.host = g.host and branches.template = {last}.template
+       join pooled on pooled.host = g.host and pooled.branch = branches.branch
+"""
+
+
+ORACLE = {
+    "op1_hilbert_shards": _SHARDS,
+    "op4_fair_mix": _MIX,
+    "op5_exact_dedup": _EXACT,
+    "op9_url_templates": _urls(),
+    "op10_line_mph": _LINES,
+}

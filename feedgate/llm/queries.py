@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedgate.llm import exact_dedup, hilbert, mixing
-from feedgate.llm.common import table
+from feedgate.llm import decontaminate, exact_dedup, hilbert, language, line_dedup, mixing, quality
+from feedgate.llm import simhash, token_files, url_filter
+from feedgate.llm.common import held_out, table
+
+#: The tokenizer of the contract; operators take any path.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Fixed values of the contract: verdict, host, start of the path.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,4 +51,56 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_shards, op4_fair_mix, op5_exact_dedup)}
+def op2_quality_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, weights).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        quality.predicted(F.col("score")).alias("predicted"),
+    )
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = token_files.write_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+    return token_files.read_tokens(parts).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def op7_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans"
+    )
+
+
+def op8_bm25_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("items").alias("item")).select("doc_id", "item.*")
+
+
+def op9_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+def op10_line_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_hilbert_shards, op2_quality_ftrl, op3_token_files, op4_fair_mix, op5_exact_dedup,
+        op6_simhash_golay, op7_language_spans, op8_bm25_decontaminate, op9_url_templates, op10_line_mph,
+    )
+}
