@@ -27,7 +27,7 @@ def awkward(spark):
     rows += [(200, None, None, None), (201, "", "", ""), (202, " \n\t ", "en", "s0"), (203, None, "en", "s9")]
     rows += [(None, texts[0], None, "s0"), (None, line, "de", "s0"), (5, texts[5], "en", "s2"), (5, texts[5], "en", "s2")]
     rows += [(300, prose(rng, 90_000), "en", "s0"), (301, "x" * 70_000, "en", "s0"), (302, "12 34 !! éЖ中", "ru", "s4")]
-    rows = [(i, t, g, s, t and len(t), 7, "own", 3) for i, t, g, s in rows]
+    rows = [(i, t, g, s, None if t is None else len(t), 7, "own", 3) for i, t, g, s in rows]
     rng.shuffle(rows)
     return spark.createDataFrame(rows, SCHEMA)
 
