@@ -77,6 +77,8 @@ class TableContract:
         names = [f.name for f in self.fields]
         if len({n.lower() for n in names}) != len(names):
             raise ValueError(f"contract {self.name!r} repeats a column name")
+        if any(set(".`'\"[]") & set(n) for n in names):
+            raise ValueError(f"contract {self.name!r} has a column name with a dot, quote or bracket")
         if self.key not in names:
             raise ValueError(f"key {self.key!r} is not a column of {self.name!r}")
 

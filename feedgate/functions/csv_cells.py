@@ -113,7 +113,7 @@ def value(kind: str, raw: Column, lenient_uuid: bool = False) -> Column:
     }[kind](raw)
 
 
-#: What a cell that gives no value is called.
+#: What a cell that gives no value is called in error rows.
 UNUSABLE = {"uuid": "UUID", "date": "date", "decimal": "decimal", "boolean": "boolean"}
 
 

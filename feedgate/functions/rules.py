@@ -1,4 +1,7 @@
-"""Rule builders for contracts.  Each gives a message column, NULL where the rule holds."""
+"""Rule builders for contracts.  Each gives a message column, NULL where the rule holds.
+
+The wording of the messages is a fixed value: error rows carry it.
+"""
 
 from __future__ import annotations
 

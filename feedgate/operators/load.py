@@ -31,22 +31,22 @@ def existing_keys(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return target.select(key).join(rows.select(key).distinct(), key, "left_semi")
 
 
-def new_rows(
-    rows: DataFrame,
-    target: DataFrame,
-    key: str,
-    order: list | None = None,
-    co_located: bool = False,
-) -> DataFrame:
+def new_rows(rows: DataFrame, target: DataFrame, key: str, order: list | None = None) -> DataFrame:
     """Rows to insert: one per key, keys absent from the target.
 
-    ``co_located``: the target is bucketed by key.  In a session with as many shuffle partitions
-    as buckets (``session.bucket_session``) it joins where it lies, however large it is, and the
-    rows move once for both steps.
+    For rows that are not written yet; ``rows_to_insert`` gives the same without moving them.
     """
     keyed = rows.filter(F.col(key).isNotNull())
-    present = target.select(key) if co_located else existing_keys(target, keyed, key)
-    return first_wins(keyed, key, order).join(present, key, "left_anti")
+    return first_wins(keyed, key, order).join(existing_keys(target, keyed, key), key, "left_anti")
+
+
+def absent_rows(first: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Rows, one per key, whose keys a target bucketed by key does not have.
+
+    In a session with as many shuffle partitions as buckets (``session.bucket_session``) the
+    target joins where it lies, however large it is, and only the new rows move.
+    """
+    return first.join(target.select(key), key, "left_anti")
 
 
 def key_table(rows: DataFrame, key: str, row_id: str, loadable: Column) -> DataFrame:
@@ -64,13 +64,13 @@ def rows_to_insert(
     spark: SparkSession,
     rows: DataFrame,
     keys: DataFrame,
-    target: DataFrame,
+    target: DataFrame | None,
     key: str,
     row_id: str,
 ) -> DataFrame:
     """The rows ``new_rows`` would give, of a written table with unique row ids and a key table.
 
-    Only keys and ids move.  The ids to insert are written first, so that their number and size
+    Without a target these are the first rows of all keys.  Only keys and ids move.  The ids to insert are written first, so that their number and size
     are known.  Most loads insert nearly all rows or nearly none: then few ids are left to drop
     or to keep, Spark broadcasts them by their file size, and the rows are never shuffled.
     """
@@ -78,11 +78,9 @@ def rows_to_insert(
     candidates = keys.filter("key is not null and first_id is not null").withColumnRenamed(
         "key", key
     )
-    (
-        candidates.join(existing_keys(target, candidates, key), key, "left_anti")
-        .select(F.col("first_id").alias(row_id))
-        .write.parquet(path)
-    )
+    if target is not None:
+        candidates = candidates.join(existing_keys(target, candidates, key), key, "left_anti")
+    candidates.select(F.col("first_id").alias(row_id)).write.parquet(path)
     ids = spark.read.parquet(path)
     wanted, given = ids.count(), rows.count()
     if wanted == given:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedgate.contract import TableContract
-from feedgate.functions import decimals
 from feedgate.operators.protect import unprotected
 
 
@@ -36,7 +35,11 @@ def records(
     contact_column: str | None = None,
     strict: bool = True,
 ) -> DataFrame:
-    """Stored rows as they are served: decrypted, lists never NULL, unset flags false."""
+    """Stored rows as they are served: decrypted, lists never NULL, unset flags false.
+
+    Decimals are served as the exact text they are stored as; ``decimals.as_decimal`` gives them
+    a numeric type that a job has chosen.
+    """
     plain = unprotected(target, contract, key, strict)
     columns = [_served(f, contact_column).alias(f.name) for f in contract.fields]
     return plain.select(
@@ -63,8 +66,6 @@ def _served(field, contact_column: str | None) -> Column:
     value = F.col(field.name)
     if field.name == contact_column:
         return contact(value)
-    if field.kind == "decimal":
-        return decimals.as_decimal(value)
     if field.kind == "list":
         return F.coalesce(value, F.array().cast("array<string>"))
     if field.kind == "boolean":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -104,7 +105,7 @@ def ingest(
     staged = spark.read.parquet(staging)
 
     failed = staged.filter(F.col("_reason").isNotNull())
-    write_errors(errors.error_records(failed, run_id), error_path)
+    write_errors(errors.error_records(failed, run_id), error_path, run_id)
 
     path_of_keys = work_dir(spark, f"keys-{contract.name}")
     load.key_table(staged, contract.key, "_row_id", F.col("_reason").isNull()).write.parquet(
@@ -116,8 +117,11 @@ def ingest(
         targets.ensure_target_table(spark, target, contract, buckets)
         spark.catalog.refreshTable(target)
         session = bucket_session(spark, buckets)
-        moving = session.read.parquet(staging).filter(F.col("_reason").isNull())
-        rows = load.new_rows(moving, session.table(target), contract.key, co_located=True)
+        valid = session.read.parquet(staging).filter(F.col("_reason").isNull())
+        first = load.rows_to_insert(
+            session, valid, session.read.parquet(path_of_keys), None, contract.key, "_row_id"
+        )
+        rows = load.absent_rows(first, session.table(target), contract.key)
         append_bucketed(rows, target, contract)
         spark.catalog.refreshTable(target)  # written by another session
         after = spark.table(target)
@@ -146,26 +150,83 @@ def ingest_announced(
     threshold_bytes: int,
     run_id: str | None = None,
     buckets: int | None = None,
+    **read_options,
 ) -> Run:
-    """Load the feed file a manifest announces, split first if it exceeds ``threshold_bytes``.
+    """Load the feed file one manifest announces, split first if it exceeds ``threshold_bytes``.
 
-    The report also compares the announced with the read row count.
+    The report also compares the announced with the read row count.  ``read_options`` are those
+    of ``ingest``: JSON lines, headers per file, quoted line breaks.  A folder of several
+    manifests is for :func:`ingest_all_announced`.
     """
     configure(spark)
-    announced = manifest.read_manifests(spark, control_file, glob="*").first()
-    if announced is None:
-        raise FeedError(f"Control file not found or empty: {control_file}")
+    announced = manifest.read_manifests(spark, control_file, glob="*").take(2)
+    if not announced:
+        raise FeedError(f"nothing to announce a feed in {control_file}")
+    if len(announced) > 1:
+        raise FeedError(f"{control_file} holds several manifests: load them with ingest_all_announced")
+    return _ingest_one(
+        spark, announced[0], contract, encryption_key, target, error_path, threshold_bytes, run_id,
+        buckets, read_options,
+    )
+
+
+def ingest_all_announced(
+    spark: SparkSession,
+    control_folder: str,
+    contract: TableContract,
+    encryption_key: str | bytes,
+    target: str,
+    error_path: str,
+    threshold_bytes: int,
+    buckets: int | None = None,
+    csv_options: dict | None = None,
+    json_options: dict | None = None,
+) -> DataFrame:
+    """Load the feeds of all manifests of a folder, one run each, in order of their names.
+
+    One report row per manifest: ``loaded``, or ``refused`` with the reason; a refused one does not
+    stop the others.  A run is a series of Spark jobs, so the driver goes through the manifests.
+    """
+    configure(spark)
+    options = {"csv": csv_options or {}, "json": json_options or {}}
+    reports = []
+    for announced in manifest.read_manifests(spark, control_folder, glob="*").orderBy("manifest").collect():
+        label = F.regexp_extract(F.lit(announced.manifest), "([^/]*)$", 1).alias("manifest")
+        try:
+            chosen = options.get((announced.file_path or "").rsplit(".", 1)[-1].lower(), {})
+            run = _ingest_one(
+                spark, announced, contract, encryption_key, target, error_path, threshold_bytes, None,
+                buckets, chosen,
+            )
+        except FeedError as problem:
+            reports.append(
+                spark.range(1).select(label, F.lit("refused").alias("outcome"), F.lit(str(problem)).alias("reason"))
+            )
+        else:
+            outcome = F.lit("loaded").alias("outcome"), F.lit(None).cast("string").alias("reason")
+            reports.append(run.report.select(label, *outcome, "*"))
+    if not reports:
+        raise FeedError(f"no manifests in {control_folder}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)
+
+
+def _ingest_one(
+    spark, announced, contract, encryption_key, target, error_path, threshold_bytes, run_id, buckets,
+    read_options,
+) -> Run:
     if announced.violation:
         raise FeedError(announced.violation)
     fmt = file_format(announced.file_path)
-    size = check_feed(spark, announced.file_path, fmt).total_bytes
-    feed, options = announced.file_path, {}
+    files = {k: v for k, v in read_options.items() if k in ("glob", "skip_empty")}
+    size = check_feed(spark, announced.file_path, fmt, **files).total_bytes
+    feed, options = announced.file_path, dict(read_options)
     if size > threshold_bytes:
         feed = work_dir(spark, f"parts-{contract.name}")
         splitting.split_feed(
-            spark, announced.file_path, feed, fmt, threshold_bytes, prefix=None
+            spark, announced.file_path, feed, fmt, threshold_bytes,
+            layout=read_options.get("layout", "document"), **files,
         )
-        options = {"glob": "part-*", "skip_empty": True}
+        options |= {"glob": "part-*", "skip_empty": True}
     run = ingest(
         spark, feed, fmt, contract, encryption_key, target, error_path, run_id, buckets, **options
     )

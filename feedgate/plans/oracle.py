@@ -6,7 +6,7 @@ the Spark side; everything after that is stated independently here.
 
 from __future__ import annotations
 
-from feedgate.plans.feeds import CSV_COLUMNS, EMPLOYEE_FEED, RUN_ID, csv_header
+from feedgate.plans.feeds import CSV_COLUMNS, EARLIER_ID, EMPLOYEE_FEED, RUN_ID, csv_header
 from feedgate.plans.tables import SHIPMENT_FEED
 
 UUID = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
@@ -249,12 +249,21 @@ select o_orderkey, case o_orderkey % 5 when 0 then concat(cents, '.50')
  when 2 then case when cents > 999 then concat(substr(cast(cents as varchar), 1, 3), '.', substr(cast(cents as varchar), 4))
   else rpad(cast(cents as varchar), 3, '0') end
  when 3 then cast(cents as varchar) end as amount from c""",
-    "csv_cells_of_text": r"""with lines as (select doc_id, cast(generate_subscripts(string_split(text, chr(10)), 1) - 1 as integer) as line_no,
+    # One character after the other: q inside quotes, p behind a quote there, o what is read so far;
+    # cells are told apart by chr(1).
+    "csv_cells_of_text": """with lines as (select doc_id, cast(generate_subscripts(string_split(text, chr(10)), 1) - 1 as integer) as line_no,
  replace(unnest(string_split(text, chr(10))), 'e', '"') as line from documents),
-cut as (select doc_id, line_no, regexp_extract_all(',' || line, ',([^",]*(?:"[^"]*(?:""[^"]*)*(?:"|$)[^",]*)*)', 1) as raw from lines),
-bare as (select *, list_transform(raw, lambda c: replace(regexp_replace(c, '"([^"]*(?:""[^"]*)*)(?:"|$)', '\1', 'g'), '""', '"')) as cells from cut)
-select doc_id, line_no, cast(len(cells) as integer) as count, nullif(cells[1], '') as first,
- nullif(cells[2], '') as second, nullif(cells[3], '') as third from bare""",
+scanned as (select doc_id, line_no, list_reduce([{'q': false, 'p': false, 'o': ''}]
+ || list_transform(regexp_extract_all(line, '(?s).'), lambda c: {'q': false, 'p': false, 'o': c}), lambda a, x: case
+ when a.q and a.p and x.o = '"' then {'q': true, 'p': false, 'o': a.o || '"'}
+ when a.q and not a.p and x.o = '"' then {'q': true, 'p': true, 'o': a.o}
+ when a.q and not a.p then {'q': true, 'p': false, 'o': a.o || x.o}
+ when x.o = '"' then {'q': true, 'p': false, 'o': a.o}
+ when x.o = ',' then {'q': false, 'p': false, 'o': a.o || chr(1)}
+ else {'q': false, 'p': false, 'o': a.o || x.o} end).o as cells from lines),
+cut as (select *, string_split(cells, chr(1)) as c from scanned)
+select doc_id, line_no, cast(len(c) as integer) as count, md5(cells) as digest, nullif(c[1], '') as first,
+ nullif(c[2], '') as second, nullif(c[3], '') as third from cut""",
     "parse_first_error": f"{CSV} select src_row, parse_error from parsed",
     "parse_all_errors": f"{FEED} select src_row, nullif(concat_ws('; ', {', '.join(CSV_ERRORS)}), '') as parse_errors from feed",
     "json_element_isolation": f"""{JSON}, {REASONED} select count(*) as elements,
@@ -319,7 +328,8 @@ select file_name, bytes, bytes > {PART_BYTES} as oversized,
  cast(4 * ceil((28 + strlen(contact_phone)) / 3.0) as integer) as phone_text_length, contact_phone from valid""",
     "protect_wrong_key": f"{CSV_VALID} select count(*) as rows, cast(0 as bigint) as readable from valid",
     "serve_newest_first": f"""{CSV_VALID} select {SERVED}, case when src_row % 10 = 0 then null
- when src_row % 2 = 0 then '2024-06-01 12:00:00' else '2024-06-02 12:00:00' end as execution_id from firsts""",
+ when src_row % 2 = 0 then '2024-06-01 12:00:00' else '2024-06-02 12:00:00' end as execution_id,
+ row_number() over (order by case when src_row % 10 = 0 then 0 when src_row % 2 = 0 then 2 else 1 end, employee_id) as place from firsts""",
     "ingest_csv": _loaded(CSV),
     "ingest_json": _loaded(JSON),
     "ingest_bucketed": _loaded(CSV),
@@ -327,6 +337,30 @@ select file_name, bytes, bytes > {PART_BYTES} as oversized,
 select '{RUN_ID}' as execution_id, true as split, true as several_parts, input_records, error_records,
  total_records as new_records, total_records, distinct_keys, input_records + 1 as announced_records,
  'mismatch' as announced_status from counted""",
+    "ingest_all_announced": f"""with c as ({CSV}, {REASONED} select distinct employee_id from reasoned where reason is null),
+j as ({JSON}, {REASONED} select distinct employee_id from reasoned where reason is null),
+n as ({FEED} select count(*) as n from feed), more as (select count(*) as m from j where employee_id not in (select employee_id from c))
+select 'loaded' as outcome, null as reason, n as input_records, (select count(*) from c) as new_records,
+ (select count(*) from c) as total_records, 'matched' as announced_status from n
+union all select 'refused', 'record_count must be a valid number', null, null, null, null
+union all select 'loaded', null, n, m, (select count(*) from c) + m, 'matched' from n, more""",
+    "errors_of_two_runs": f"""{CSV}, {REASONED} select run as execution_id, run as "executionId", feed_file, count(*) as errors
+ from reasoned, (select unnest(['{RUN_ID}', '{EARLIER_ID}']) as run) where reason is not null group by all""",
+    "split_keeps_winners": """select concat('k', o_custkey % 300) as key, min(o_orderkey) as row, min(o_orderkey) as split_row
+ from orders group by 1""",
+    "documents_any_size": """with kinds as (select c_custkey as k, c_nationkey % 7 as kind, c_nationkey from customer),
+rows as (select 'object' as outcome, k from kinds where kind = 0 or kind = 3 and k % 2 = 1
+ union all select 'object', -1 from (select distinct c_nationkey from kinds where kind = 4)
+ union all select 'scalar', null from kinds where kind = 1 union all select 'array', null from kinds where kind = 2
+ union all select 'null', null from kinds where kind = 3 and k % 2 = 0
+ union all select 'malformed', null from (select distinct c_nationkey from kinds where kind in (5, 6)))
+select mode, outcome, count(*) as rows, cast(coalesce(sum(k), 0) as bigint) as keys
+ from rows, (select unnest(['whole', 'cut', 'split']) as mode) group by all""",
+    "amounts_served_exactly": """with c as (select o_orderkey as id, cast(cast(round(o_totalprice * 100) as bigint) as varchar) as cents from orders)
+select id, case id % 3 when 0 then concat(lpad(cents, 30, '7'), '.', lpad(cents, 15, '3'))
+ when 1 then concat('-0.', lpad(cents, 15, '0'))
+ else concat(cents[1], case when length(cents) > 1 then '.' || cents[2:] else '' end, 'E+', 999 + id + length(cents)) end as amount from c""",
+    "split_csv_multiline_roundtrip": _texts("documents", "doc_id", "text"),
     "ingest_report": f"""{CSV_VALID}, counted as ({COUNTS})
 select '{RUN_ID}' as execution_id, 'csv' as file_format, input_records, error_records,
  input_records - error_records as expected_records, distinct_keys, duplicates_in_feed, total_records,

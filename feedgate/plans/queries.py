@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from feedgate.contract import Field, TableContract
 from feedgate.functions import csv_cells, decimals, json_fields, uuids
 from feedgate.operators import (
     enrich,
@@ -22,10 +23,10 @@ from feedgate.operators import (
 )
 from feedgate.plans import feeds, ingestion, splitting, tables
 from feedgate.plans.employee import EMPLOYEE
-from feedgate.plans.feeds import RENDERED_GLOB, RUN_ID, TEST_KEY, TRACED
+from feedgate.plans.feeds import EARLIER_ID, RENDERED_GLOB, RUN_ID, TEST_KEY, TRACED
 from feedgate.session import configure, work_dir
 from feedgate.sinks import error_output, feed_writer
-from feedgate.sources import csv_feed, errors as error_source, inventory, json_chunks, json_feed
+from feedgate.sources import csv_feed, errors as error_source, inventory, json_feed
 from feedgate.sources import manifest, target
 
 INSTANT = "2024-06-01 12:00:00"
@@ -68,7 +69,7 @@ def _json_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _json_large(spark: SparkSession, sf: str) -> DataFrame:
-    return json_chunks.read_large_arrays(
+    return json_feed.read_large_documents(
         spark, feeds.rendered(spark, sf, "json"), -1, RENDERED_GLOB["json"]
     )
 
@@ -86,22 +87,45 @@ def _valid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _errors(spark: SparkSession, sf: str) -> DataFrame:
-    return errors.error_records(validate.error_rows(_annotated(spark, sf)), RUN_ID, _instant(), True)
+    return _error_records(_annotated(spark, sf))
 
 
-def _stored_before(spark: SparkSession, sf: str) -> DataFrame:
-    """A target that holds every third valid row already, from an earlier run."""
-    return (
-        load.first_wins(_valid(spark, sf), EMPLOYEE.key)
-        .filter(F.col("src_row").cast("bigint") % 3 == 0)
-        .withColumn("execution_id", F.lit("00000000-0000-0000-0000-00000000000a"))
-    )
+def _error_records(annotated: DataFrame) -> DataFrame:
+    return errors.error_records(validate.error_rows(annotated), RUN_ID, _instant(), True)
+
+
+class _Staged:
+    """A judged feed, derived once: written with row ids, and its key table."""
+
+    def __init__(self, spark: SparkSession, annotated: DataFrame, key: str):
+        self.spark, self.key = spark, key
+        self.rows = _written(annotated.withColumn("_row_id", F.monotonically_increasing_id()), "feed")
+        self.valid = validate.valid_rows(self.rows)
+        loadable = F.col("_reason").isNull()
+        self.keys = _written(load.key_table(self.rows, key, "_row_id", loadable), "keys")
+
+    def new_rows(self, target: DataFrame | None = None) -> DataFrame:
+        """The first loadable row of each key, and with a target only of those it lacks."""
+        return load.rows_to_insert(self.spark, self.valid, self.keys, target, self.key, "_row_id")
+
+    def stored_before(self) -> DataFrame:
+        """A target that holds every third valid row already, from an earlier run."""
+        stored = self.new_rows().filter(F.col("src_row").cast("bigint") % 3 == 0)
+        return _written(stored.withColumn("execution_id", F.lit(EARLIER_ID)), "stored")
 
+    def stored_after(self) -> DataFrame:
+        before = self.stored_before()
+        return before.unionByName(self.new_rows(before).withColumn("execution_id", F.lit(RUN_ID)))
 
-def _stored_after(spark: SparkSession, sf: str) -> DataFrame:
-    before = _stored_before(spark, sf)
-    new = load.new_rows(_valid(spark, sf), before, EMPLOYEE.key)
-    return before.unionByName(new.withColumn("execution_id", F.lit(RUN_ID)))
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _staged(spark: SparkSession, sf: str) -> _Staged:
+    return _Staged(spark, _annotated(spark, sf), EMPLOYEE.key)
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -203,7 +227,8 @@ def csv_cells_of_text(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
     quoted = lines.withColumn("line", F.translate("line", "e", '"'))
-    cut = quoted.withColumn("count", F.size(csv_cells.cells(F.col("line"))))
+    plain = F.transform(csv_cells.cells(F.col("line")), csv_cells.unquoted)
+    cut = quoted.withColumns({"count": F.size(plain), "digest": F.md5(F.array_join(plain, "\x01"))})
     return csv_cells.bound(cut, {"first": 0, "second": 1, "third": 2})
 
 
@@ -281,7 +306,7 @@ def error_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Errors written as JSON lines, one folder per feed file, and read back."""
     path = work_dir(spark, "errors")
     stamped = _errors(spark, sf).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    error_output.write_errors(stamped, path)
+    error_output.write_errors(stamped, path, RUN_ID)
     return error_source.read_error_lines(spark, path).select(
         "feed_file", "executionId", "sourceFile", "errorReason", "timestamp"
     )
@@ -313,24 +338,19 @@ def first_wins_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    new = load.new_rows(_valid(spark, sf), _stored_before(spark, sf), EMPLOYEE.key)
-    return new.select(EMPLOYEE.key, _src_row())
+    feed = _staged(spark, sf)
+    return feed.new_rows(feed.stored_before()).select(EMPLOYEE.key, _src_row())
 
 
 def rerun_is_noop(spark: SparkSession, sf: str) -> DataFrame:
-    again = load.new_rows(_valid(spark, sf), _stored_after(spark, sf), EMPLOYEE.key)
-    return again.agg(F.count("*").alias("inserted"))
+    feed = _staged(spark, sf)
+    return feed.new_rows(_written(feed.stored_after(), "stored")).agg(F.count("*").alias("inserted"))
 
 
 def matched_keys(spark: SparkSession, sf: str) -> DataFrame:
-    keys = _feed_keys(spark, sf)
-    matched = reconcile.matched_count(_stored_before(spark, sf), keys, EMPLOYEE.key)
-    return reconcile.feed_counts(keys).select("*", matched.scalar().alias("matched_records"))
-
-
-def _feed_keys(spark: SparkSession, sf: str) -> DataFrame:
-    key = reconcile.readable_key(EMPLOYEE, F.col(EMPLOYEE.key))
-    return reconcile.feed_keys(_text_feed(spark, sf), key)
+    feed = _staged(spark, sf)
+    matched = reconcile.matched_count(feed.stored_before(), feed.keys, EMPLOYEE.key)
+    return reconcile.feed_counts(feed.keys).select("*", matched.scalar().alias("matched_records"))
 
 
 def stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,12 +371,9 @@ def stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf: str) -> DataFrame:
+    feed = _staged(spark, sf)
     return reconcile.reconcile(
-        _feed_keys(spark, sf),
-        _errors(spark, sf),
-        _stored_after(spark, sf),
-        EMPLOYEE.key,
-        RUN_ID,
+        feed.keys, _error_records(feed.rows), feed.stored_after(), EMPLOYEE.key, RUN_ID
     )
 
 
@@ -519,7 +536,7 @@ def _served(stored: DataFrame, key) -> DataFrame:
     return readback.newest_records(stored, EMPLOYEE, key, contact_column="emergency_contact")
 
 
-def _flat(served: DataFrame) -> DataFrame:
+def _flat(served: DataFrame, *more: str) -> DataFrame:
     contact = F.col("emergency_contact")
     return served.select(
         *[f.name for f in EMPLOYEE.fields if f.kind in ("text", "uuid", "date", "boolean")],
@@ -530,15 +547,15 @@ def _flat(served: DataFrame) -> DataFrame:
         contact["phone"].alias("contact_phone"),
         contact["email"].alias("contact_email"),
         "execution_id",
+        *more,
     )
 
 
 def serve_newest_first(spark: SparkSession, sf: str) -> DataFrame:
-    """Stored rows of two runs and some without a time, decrypted, in reading order."""
+    """Stored rows of two runs and some without a time, decrypted, with their place in the order."""
     key = protect.key_column(spark, TEST_KEY)
     row = F.col("src_row").cast("bigint")
-    first = load.first_wins(_valid(spark, sf), EMPLOYEE.key)
-    timed = first.withColumns(
+    timed = _staged(spark, sf).new_rows().withColumns(
         {
             "ingestion_timestamp": F.when(row % 10 == 0, F.lit(None))
             .when(row % 2 == 0, F.lit("2024-06-01 12:00:00"))
@@ -549,8 +566,16 @@ def serve_newest_first(spark: SparkSession, sf: str) -> DataFrame:
         }
     )
     stored = load.target_projection(protect.protected(timed, EMPLOYEE, key), EMPLOYEE)
-    served = _served(stored, key)
-    return _flat(served.withColumn("execution_id", F.col("ingestion_timestamp").cast("string")))
+    served = _served(stored, key).withColumn("_at", F.monotonically_increasing_id())
+    flat = _flat(served.withColumn("execution_id", F.col("ingestion_timestamp").cast("string")), "_at")
+    # Written as it is served; a row's number is the rows of earlier partitions and its own place.
+    flat = _written(flat, "served").withColumn("part", F.shiftright("_at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = flat.groupBy("part").agg(F.count("*").alias("rows")).select(
+        "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")
+    )
+    place = F.col("start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return flat.join(starts, "part").withColumn("place", place).drop("part", "start", "_at")
 
 
 # --- whole runs --------------------------------------------------------------------------
@@ -628,6 +653,150 @@ def ingest_announced(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def errors_of_two_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs write their errors to one folder, the second one twice: each keeps its own."""
+    path, stamped = work_dir(spark, "errors"), _errors(spark, sf)
+    rows = _written(stamped.withColumn("timestamp", F.col("timestamp").cast("timestamp")), "error-rows")
+    for run_id in (EARLIER_ID, RUN_ID, RUN_ID):
+        error_output.write_errors(rows.withColumn("execution_id", F.lit(run_id)), path, run_id)
+    lines = error_source.read_error_lines(spark, path)
+    return lines.groupBy("execution_id", "executionId", "feed_file").agg(F.count("*").alias("errors"))
+
+
+def ingest_all_announced(spark: SparkSession, sf: str) -> DataFrame:
+    """Three manifests of one folder: a CSV feed, a count that is no number, a JSON-lines feed."""
+    csv = f"{work_dir(spark, 'announced')}/staff.csv"
+    lines = f"{work_dir(spark, 'announced')}/staff.json"
+    rows = feeds.employee_rows(spark, sf)
+    feed_writer.write_csv_rows(rows.select(*feeds.CSV_COLUMNS), csv)
+    feed_writer.write_json_lines(feeds.json_record(rows), f"{lines}-text")
+    spark.read.text(f"{lines}-text").write.option("compression", "none").text(lines)
+    control = work_dir(spark, "control")
+    announced = {"a": (csv, "{n}"), "b": (csv, "about {n}"), "c": (lines, "{n}")}
+    for name, (feed, count) in announced.items():
+        start, end = count.split("{n}")
+        text = F.concat(
+            F.lit(f"# announced\nfile_name : staff\nfile_path=\\\n   {feed}\nrecord_count\t= {start}"),
+            F.count("*").cast("string"), F.lit(f"{end} \t"),
+        )
+        rows.agg(text.alias("value")).coalesce(1).write.text(f"{control}/name={name}")
+    report = ingestion.ingest_all_announced(
+        spark, f"{control}/name=*", EMPLOYEE, TEST_KEY, work_dir(spark, "target"),
+        work_dir(spark, "errors"), threshold_bytes=128 << 20, csv_options={"skip_empty": True},
+        json_options={"layout": "lines", "glob": "*.txt", "skip_empty": True},
+    )
+    return report.select(
+        "outcome", "reason", "input_records", "new_records", "total_records", "announced_status"
+    )
+
+
+def split_keeps_winners(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with few keys: the split array loads the same first record of each as the whole one."""
+    feeds.register(spark, sf, ["orders"])
+    contract = TableContract("order", "key", (Field("key"), Field("row")))
+    members = F.struct(F.concat(F.lit("k"), F.col("o_custkey") % 300).alias("key"), F.col("o_orderkey").alias("row"))
+    records = spark.table("orders").repartitionByRange(3, "o_orderkey").sortWithinPartitions("o_orderkey")
+    whole, parts = work_dir(spark, "whole"), work_dir(spark, "parts")
+    feed_writer.write_json_arrays(records.select(F.to_json(members).alias("element")), whole)
+    size = inventory.check_feed(spark, whole, "json", "*.txt", skip_empty=True).total_bytes
+    splitting.split_feed(
+        spark, whole, parts, "json", max(1024, min(size // 20, 128 << 20)), glob="*.txt", skip_empty=True
+    )
+    loaded = []
+    for path in (whole, parts):
+        feed = json_feed.read_json_feed(spark, path, glob="part-*", skip_empty=True)
+        judged = validate.with_reason(parse.parse_json(feed, contract), contract)
+        first = _Staged(spark, judged, "key").new_rows()
+        loaded.append(first.select("key", F.col("row").cast("bigint").alias("row")))
+    one, two = loaded
+    return one.join(two.withColumnRenamed("row", "split_row"), "key", "full")
+
+
+def documents_any_size(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON documents of all kinds read whole, cut at borders, and after a split: the same rows.
+
+    A document holds the customers of one nation; its kind follows from the nation's number.
+    """
+    feeds.register(spark, sf, ["customer"])
+    one = F.to_json(F.struct(F.col("c_custkey").alias("k"), F.struct(F.col("c_name").alias("n")).alias("o")))
+    kind = F.col("c_nationkey") % 7
+    rows = spark.table("customer").select(
+        "c_nationkey", "c_custkey",
+        F.when(kind == 1, F.col("c_custkey").cast("string"))
+        .when(kind == 2, F.concat(F.lit("["), one, F.lit("]")))
+        .when((kind == 3) & (F.col("c_custkey") % 2 == 0), F.lit("null"))
+        .otherwise(one).alias("element"),
+    )
+    # A list of one nation's customers: the documents are as large as the table allows.
+    listed = F.array_sort(F.collect_list(F.struct("c_custkey", "element")))["element"]
+    inner = F.array_join("elements", ", ")
+    kind = F.col("c_nationkey") % 7
+    text = (
+        F.when(kind == 4, F.concat(F.lit('{"all": ['), inner, F.lit('], "k": -1}')))
+        .when(kind == 5, F.concat(F.lit("["), inner, F.lit(", {")))
+        .when(kind == 6, F.concat(F.lit("["), inner, F.lit(', {"k": x}]')))
+        .otherwise(F.concat(F.lit("["), inner, F.lit("]")))
+    )
+    documents = rows.groupBy("c_nationkey").agg(listed.alias("elements")).select(
+        F.col("c_nationkey").alias("doc"), text.alias("value")
+    )
+    path, parts = work_dir(spark, "kinds"), work_dir(spark, "kinds-parts")
+    documents.write.partitionBy("doc").text(path)
+    splitting.split_feed(spark, path, parts, "json", 1 << 14, glob="*.txt", skip_empty=True)
+    found = []
+    for mode, folder, limit in (("whole", path, 1 << 40), ("cut", path, 0), ("split", parts, None)):
+        feed = json_feed.read_json_feed(spark, folder, max_document_bytes=limit, glob="*.txt", skip_empty=True)
+        record = F.col("record")
+        found.append(
+            feed.select(
+                F.lit(mode).alias("mode"),
+                F.coalesce("_doc_error", F.schema_of_variant(record)).alias("outcome"),
+                F.try_variant_get(record, "$.k", "bigint").alias("k"),
+            )
+        )
+    every = found[0].union(found[1]).union(found[2])
+    outcome = F.when(F.col("outcome").startswith("OBJECT"), "object").when(
+        F.col("outcome").startswith("ARRAY"), "array"
+    ).when(F.col("outcome").startswith("Malformed"), "malformed").when(F.col("outcome") == "VOID", "null").otherwise("scalar")
+    return every.groupBy("mode", outcome.alias("outcome")).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum("k"), F.lit(0)).alias("keys")
+    )
+
+
+def amounts_served_exactly(spark: SparkSession, sf: str) -> DataFrame:
+    """Long, fine and huge amounts: parsed, encrypted, stored, read back and served as sent."""
+    feeds.register(spark, sf, ["orders"])
+    contract = TableContract("amount", "id", (Field("id"), Field("amount", "decimal", protect=True)))
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string")
+    form = F.col("o_orderkey") % 3
+    text = (
+        F.when(form == 0, F.concat(F.lpad(cents, 30, "7"), F.lit("."), F.lpad(cents, 15, "3")))
+        .when(form == 1, F.concat(F.lit("-0."), F.lpad(cents, 15, "0")))
+        .otherwise(F.concat(cents, F.lit("e"), F.lit(1000) + F.col("o_orderkey")))
+    )
+    key = protect.key_column(spark, TEST_KEY)
+    feed = spark.table("orders").select(
+        F.lit("orders").alias("_source_file"), F.col("o_orderkey").alias("_at"),
+        F.lit(None).cast("timestamp").alias("_source_time"),
+        F.col("o_orderkey").cast("string").alias("id"), text.alias("amount"),
+    )
+    judged = validate.with_reason(parse.parse_csv(feed, contract), contract)
+    stamped = enrich.stamped(validate.valid_rows(judged), RUN_ID, _instant())
+    stored = _written(load.target_projection(protect.protected(stamped, contract, key), contract), "amounts")
+    return readback.records(stored, contract, key).select(F.col("id").cast("bigint").alias("id"), "amount")
+
+
+def split_csv_multiline_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents, with their line breaks and blank lines, through a CSV split."""
+    path, parts = work_dir(spark, "documents-csv"), work_dir(spark, "documents-parts")
+    feed_writer.write_csv_rows(_whole_texts(spark, sf, "documents", "doc_id", "text"), path)
+    size = inventory.check_feed(spark, path, "csv", skip_empty=True).total_bytes
+    splitting.split_feed(spark, path, parts, "csv", max(1024, min(size // 12, 128 << 20)), skip_empty=True)
+    return _digests(
+        csv_feed.read_csv_feed(spark, parts, _text_contract(), multiline=True, skip_empty=True)
+    )
+
+
 # --- the same operators over other tables ------------------------------------------------
 
 
@@ -670,8 +839,7 @@ def shipments_by_rule(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shipments_first_wins(spark: SparkSession, sf: str) -> DataFrame:
-    first = load.first_wins(validate.valid_rows(_shipments(spark, sf)), "shipment_id")
-    return first.select(
+    return _Staged(spark, _shipments(spark, sf), "shipment_id").new_rows().select(
         "shipment_id", "ship_date", decimals.as_decimal(F.col("net"), "decimal(12,2)").alias("net"),
         "returned", "status",
     )
@@ -687,8 +855,8 @@ def shipments_new(spark: SparkSession, sf: str) -> DataFrame:
         F.lpad(F.col("o_orderkey").cast("string"), 12, "0"),
     )
     stored = done.select("o_orderkey", lines).select(key.alias("shipment_id"))
-    new = load.new_rows(validate.valid_rows(_shipments(spark, sf)), stored, "shipment_id")
-    return new.select("shipment_id", "ship_date", "returned")
+    feed = _Staged(spark, _shipments(spark, sf), "shipment_id")
+    return feed.new_rows(stored).select("shipment_id", "ship_date", "returned")
 
 
 def shipment_errors_per_flag(spark: SparkSession, sf: str) -> DataFrame:
@@ -752,9 +920,7 @@ def customers_with_orders(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _text_contract():
-    from feedgate.contract import Field, TableContract
-
+def _text_contract() -> TableContract:
     return TableContract("texts", "id", (Field("id"), Field("body")))
 
 
@@ -794,7 +960,7 @@ def pages_json_arrays(spark: SparkSession, sf: str) -> DataFrame:
     path = work_dir(spark, "pages-json")
     rows = _whole_texts(spark, sf, "pages", "page_id", "html")
     feed_writer.write_json_arrays(rows.select(F.to_json(F.struct("id", "body")).alias("element")), path)
-    read = json_chunks.read_large_arrays(spark, path, -1, "*.txt")
+    read = json_feed.read_large_documents(spark, path, -1, "*.txt")
     return _digests(parse.parse_json(read, _text_contract()))
 
 
@@ -865,6 +1031,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_json": partial(ingest_run, "json"),
     "ingest_bucketed": ingest_bucketed,
     "ingest_announced": ingest_announced,
+    "ingest_all_announced": ingest_all_announced,
+    "errors_of_two_runs": errors_of_two_runs,
+    "split_keeps_winners": split_keeps_winners,
+    "documents_any_size": documents_any_size,
+    "amounts_served_exactly": amounts_served_exactly,
+    "split_csv_multiline_roundtrip": split_csv_multiline_roundtrip,
     "ingest_report": ingest_report,
     "ingest_staged_errors": ingest_staged_errors,
     "shipments_by_outcome": shipments_by_outcome,

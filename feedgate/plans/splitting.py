@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedgate.session import block_session
 from feedgate.sinks import feed_writer
-from feedgate.sources import csv_feed, json_chunks
+from feedgate.sources import csv_feed, json_chunks, json_feed
 from feedgate.sources.inventory import GLOBS, FeedError, check_feed, feed_inventory
 
 
@@ -30,29 +28,36 @@ def split_feed(
     out: str,
     fmt: str,
     threshold_bytes: int,
-    prefix: str | None = "feed",
+    prefix: str | None = None,
     layout: str = "document",
     glob: str | None = None,
     skip_empty: bool = False,
 ) -> DataFrame:
     """Write the feed as parts of about ``threshold_bytes`` and return the parts' inventory.
 
-    A feed within the threshold becomes one part.  CSV parts carry the header each, line order
-    is kept and no row is shuffled; the same holds for JSON lines.  A JSON array becomes one
-    array per part, with its records dealt out evenly.
+    Parts follow each other in feed order, so a run over them loads the same rows as one over the
+    feed.  CSV parts carry the header each and end between records; lines are copied and not
+    shuffled, unless a quoted cell holds a line break: then records are parsed and written
+    again.  JSON lines are copied likewise.  Arrays become one array per part, a single record an
+    element among them; a document that cannot be parsed is a part of its own, as sent.
 
-    Parts are called ``<prefix>_part_001.<fmt>`` and so on.  That takes one rename per part on
-    the driver; ``prefix=None`` keeps Spark's names (read such JSON parts with a glob).
+    Parts keep Spark's names (read JSON parts with the glob ``part-*``).  With ``prefix`` they are
+    called ``<prefix>_part_001.<fmt>`` and so on, by one rename per part on the driver.
     """
     if threshold_bytes <= 0:
         raise ValueError("threshold_bytes must be positive")
     summary = check_feed(spark, path, fmt, glob, skip_empty)
+    parts = max(1, -(-summary.total_bytes // threshold_bytes))
     if fmt == "csv":
         header = csv_feed.first_header(spark, summary.first_path)
         session = block_session(spark, threshold_bytes)
         lines = csv_feed.read_lines(session, path, header, glob=glob).select("line")
-        _require_records(lines)
-        feed_writer.write_csv_lines(lines, header, out)
+        quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+        if not lines.filter(quotes % 2 == 1).isEmpty():
+            _split_csv_records(spark, path, out, summary.first_path, parts, glob)
+        else:
+            _require_records(lines)
+            feed_writer.write_csv_lines(lines, header, out)
     elif layout == "lines":
         session = block_session(spark, threshold_bytes)
         reader = session.read.option("pathGlobFilter", glob or GLOBS["json"])
@@ -60,21 +65,7 @@ def split_feed(
         _require_records(lines)
         feed_writer.write_json_lines(lines.select(F.col("value").alias("element")), out)
     else:
-        parts = max(1, -(-summary.total_bytes // threshold_bytes))
-        # Lots small against a part, so that parts come out even.
-        lot_bytes = max(1, min(json_chunks.PACK_BYTES, threshold_bytes // 64))
-        elements = reduce(
-            DataFrame.unionByName,
-            [
-                json_chunks.raw_elements(
-                    json_chunks.read_chunks(
-                        spark, path, glob=glob, share=share, pack_bytes=lot_bytes
-                    )
-                ).select("element")
-                for share in json_chunks.shares(spark, path, glob=glob)
-            ],
-        )
-        feed_writer.write_json_arrays(elements.repartition(parts), out)
+        _split_documents(spark, path, out, threshold_bytes, parts, glob)
     if prefix is None:
         written = feed_inventory(spark, out, fmt, "part-*")
     else:
@@ -85,6 +76,48 @@ def split_feed(
     return written
 
 
+def _split_csv_records(
+    spark: SparkSession, path: str, out: str, first_path: str, parts: int, glob: str | None
+) -> None:
+    """Records with quoted line breaks, parsed by Spark and dealt to the parts in feed order.
+
+    Spark does not split such a file, so it is read by one task.
+    """
+    names, rows = csv_feed.read_records(spark, path, first_path, glob)
+    ordered = rows.repartitionByRange(parts, "_at").sortWithinPartitions("_at")
+    feed_writer.write_csv_rows(ordered.select(*[F.col(f"`{n.replace('`', '``')}`") for n in names]), out)
+
+
+def _split_documents(
+    spark: SparkSession, path: str, out: str, threshold_bytes: int, parts: int, glob: str | None
+) -> None:
+    # Lots small against a part, so that parts come out even.
+    lot_bytes = max(1, min(json_chunks.PACK_BYTES, threshold_bytes // 64))
+    chunks = json_chunks.staged_chunks(spark, path, glob=glob, pack_bytes=lot_bytes)
+    others = json_chunks.other_documents(chunks)
+    arrays = json_chunks.arrays_only(chunks, others)
+    broken = {r._source_file for r in json_chunks.broken_arrays(arrays).toLocalIterator()}
+    elements = json_chunks.raw_elements(json_chunks.arrays_only(arrays, sorted(broken)))
+    if others:
+        texts = json_feed.document_texts(spark, path, F.col("_metadata.file_path").isin(others), glob)
+        record = F.try_parse_json("value")
+        wrong = texts.filter(record.isNull()).select("_source_file")
+        broken |= {r._source_file for r in wrong.toLocalIterator()}
+        # As sent, unless something stands behind the record that a parser of the whole passes over.
+        alone = F.size(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<variant>")) == 1
+        single = texts.filter(record.isNotNull()).select(
+            "_source_file", F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("seq"),
+            F.when(alone, F.trim("value")).otherwise(F.to_json(record)).alias("element"),
+        )
+        elements = elements.unionByName(single)
+    order = ["_source_file", "block", "seq"]
+    ordered = elements.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    feed_writer.write_json_arrays(ordered.select("element"), out)
+    for name in sorted(broken):  # each a file of its own: its error is its own
+        text = json_feed.document_texts(spark, path, F.col("_metadata.file_path") == name, glob)
+        text.select("value").coalesce(1).write.mode("append").text(out)
+
+
 def _require_records(lines: DataFrame) -> None:
     if lines.isEmpty():
         raise FeedError("the feed holds no records: no parts written")

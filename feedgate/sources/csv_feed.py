@@ -62,7 +62,7 @@ def read_lines(
 def first_header(spark: SparkSession, first_path: str) -> str:
     head = spark.read.text(first_path).head(1)
     if not head:
-        raise FeedError(f"CSV file is empty: {first_path}")
+        raise FeedError(f"no header line in {first_path}")
     return head[0].value
 
 
@@ -143,9 +143,10 @@ def read_csv_feed(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _read_multiline(
-    spark: SparkSession, path: str, first_path: str, contract: TableContract, glob: str | None
-) -> DataFrame:
+def read_records(
+    spark: SparkSession, path: str, first_path: str, glob: str | None = None
+) -> tuple[list[str], DataFrame]:
+    """Column names, and all records as text columns with their origin; quoted line breaks stay."""
     names = (
         spark.read.option("header", True)
         .option("escape", '"')
@@ -162,6 +163,19 @@ def _read_multiline(
         .option("multiLine", True)
         .option("pathGlobFilter", glob or GLOBS["csv"])
     )
+    columns = [F.col("`" + n.replace("`", "``") + "`") for n in names]
+    return names, reader.csv(path).select(
+        F.col("_metadata.file_path").alias("_source_file"),
+        line_order().alias("_at"),
+        F.col("_metadata.file_modification_time").alias("_source_time"),
+        *columns,
+    )
+
+
+def _read_multiline(
+    spark: SparkSession, path: str, first_path: str, contract: TableContract, glob: str | None
+) -> DataFrame:
+    names, rows = read_records(spark, path, first_path, glob)
     lowered = [n.strip().lower() for n in names]
     columns = [
         F.col("`" + names[lowered.index(c.lower())].replace("`", "``") + "`").alias(c)
@@ -169,9 +183,4 @@ def _read_multiline(
         else F.lit(None).cast("string").alias(c)
         for c in contract.columns
     ]
-    return reader.csv(path).select(
-        F.col("_metadata.file_path").alias("_source_file"),
-        line_order().alias("_at"),
-        F.col("_metadata.file_modification_time").alias("_source_time"),
-        *columns,
-    )
+    return rows.select("_source_file", "_at", "_source_time", *columns)

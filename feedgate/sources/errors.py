@@ -1,4 +1,4 @@
-"""The error output of a run, read back."""
+"""The error output of runs, read back."""
 
 from __future__ import annotations
 
@@ -15,5 +15,5 @@ ERROR_SCHEMA = T.StructType(
 
 
 def read_error_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Error records of all files of a run; the folder of each file gives ``feed_file``."""
+    """Error records of all runs and files; their folders give ``execution_id`` and ``feed_file``."""
     return spark.read.schema(ERROR_SCHEMA).json(path)

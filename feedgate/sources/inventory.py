@@ -18,7 +18,7 @@ def file_format(name: str) -> str:
     """``csv`` or ``json`` by extension; anything else is refused."""
     extension = name.rsplit(".", 1)[-1].lower() if "." in name else ""
     if extension not in GLOBS:
-        raise FeedError(f"Unsupported input format: {extension or name!r}. Use JSON or CSV.")
+        raise FeedError(f"feeds are csv or json files, not {extension or name!r}")
     return extension
 
 
@@ -31,7 +31,7 @@ def feed_inventory(
     scans no files of zero bytes, so they have no row; ``empty_files`` finds them.
     """
     if fmt not in GLOBS:
-        raise FeedError(f"Unsupported file format: {fmt} Supported formats are JSON and CSV.")
+        raise FeedError(f"feeds are csv or json files, not {fmt!r}")
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob or GLOBS[fmt])
     return reader.load(path).select(
         "path",
@@ -80,11 +80,11 @@ def check_feed(
         summary = inventory_summary(files).first()
     except Exception as problem:
         if "PATH_NOT_FOUND" in str(problem):
-            raise FeedError(f"Input directory does not exist: {path}") from problem
+            raise FeedError(f"no feed at {path}") from problem
         raise
     empty = [] if skip_empty else empty_files(files, summary.file_count)
     if empty:
-        raise FeedError(f"Empty {fmt.upper()} input file(s): {', '.join(empty)}")
+        raise FeedError(f"feed files of zero bytes: {', '.join(empty)}")
     if summary.file_count == 0:
-        raise FeedError(f"No {fmt.upper()} files found in: {path}")
+        raise FeedError(f"nothing that looks like {fmt} at {path}")
     return summary

@@ -15,13 +15,10 @@ Two passes over the text answer that without moving it:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from feedgate.functions.barrier import computed_once
 from feedgate.functions.json_fields import elements
-from feedgate.session import size_setting
+from feedgate.session import size_setting, work_dir
 from feedgate.sources.inventory import GLOBS
 
 #: A record above this size cannot become one variant; its document is refused.
@@ -283,7 +280,7 @@ def read_chunks(
             F.col("modificationTime").alias("_source_time"),
         )
     )
-    # Broadcast for the same reason in size, and as one file may hold most of the text.
+    # Broadcast for the same reason, bounded by ``shares``, as one file may hold most of the text.
     return (
         _joined_borders(pieces, max_record_bytes)
         .join(F.broadcast(files), "file_id")
@@ -319,6 +316,36 @@ def _joined_borders(pieces: DataFrame, max_record_bytes: int) -> DataFrame:
     return whole.unionByName(merged)
 
 
+def staged_chunks(
+    spark: SparkSession,
+    path: str,
+    above_bytes: int = -1,
+    glob: str | None = None,
+    pack_bytes: int = PACK_BYTES,
+) -> DataFrame:
+    """The chunks of all documents above a size, written once below the work folder.
+
+    Whatever starts from here - finding the broken documents, parsing, writing parts - reads the
+    pieces and not the documents, which are read twice in all: for the blocks' sums and to be cut.
+    """
+    out = work_dir(spark, "json-chunks")
+    for share in shares(spark, path, above_bytes, glob):
+        chunks = read_chunks(spark, path, above_bytes, glob, share, pack_bytes)
+        chunks.write.mode("append").parquet(out)
+    return spark.read.parquet(out)
+
+
+def other_documents(chunks: DataFrame) -> list[str]:
+    """Files whose document is no array: a single record, or malformed.  Their names only."""
+    first = (F.col("block") == 0) & (F.col("seq") == 0)
+    found = chunks.filter(first & F.col("text").rlike(r"^\s*+[^\s\[]")).select("_source_file")
+    return sorted(r._source_file for r in found.toLocalIterator())
+
+
+def arrays_only(chunks: DataFrame, others: list[str]) -> DataFrame:
+    return chunks.filter(~F.col("_source_file").isin(others)) if others else chunks
+
+
 def element_text(chunks: DataFrame) -> DataFrame:
     """Chunks with ``elements``: their comma-separated elements, exactly as sent.
 
@@ -335,29 +362,12 @@ def element_text(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("elements", F.when(opened, closed))
 
 
-def _cut_off(chunks: DataFrame) -> DataFrame:
-    """Files whose last chunk ends at a brace: cut off before their closing bracket."""
-    return (
-        chunks.groupBy("_source_file")
-        .agg(F.min("ended").alias("ended"))
-        .filter("ended = 1")
-        .select("_source_file")
-    )
-
-
 def raw_elements(chunks: DataFrame) -> DataFrame:
-    """One ``element`` row per chunk that holds any, as sent; broken documents fail the job."""
+    """One ``element`` row per chunk of whole arrays that holds any, as sent."""
     inside = F.when(F.col("ended") == 1, F.col("elements")).otherwise(
         F.regexp_replace("elements", r"\s*+\]\s*+$", "")
     )
-    broken = F.raise_error(F.concat(F.lit("not an array of records: "), F.col("_source_file")))
-    checked = (
-        element_text(chunks)
-        .select("_source_file", "block", "seq", inside.alias("inside"))
-        .unionByName(_cut_off(chunks), allowMissingColumns=True)
-        # Not pushed down: below the aggregate it would also fail complete documents.
-        .withColumn("element", computed_once(F.coalesce(F.col("inside"), broken)))
-    )
+    checked = element_text(chunks).select("_source_file", "block", "seq", inside.alias("element"))
     return checked.filter(~F.col("element").rlike(r"^\s*+$")).select(
         "_source_file", "block", "seq", F.regexp_replace("element", r"^\s++", "").alias("element")
     )
@@ -371,34 +381,34 @@ def parsed_elements(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("records", F.from_json(wrapped, "array<variant>"))
 
 
-def read_large_arrays(
-    spark: SparkSession, path: str, above_bytes: int, glob: str | None = None
-) -> DataFrame:
-    """Records of all documents above a size, in the shape of ``read_json_feed``.
-
-    A document with a malformed chunk gives one error and no records, like a small one.
-    """
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _records(read_chunks(spark, path, above_bytes, glob, share))
-            for share in shares(spark, path, above_bytes, glob)
-        ],
-    )
-
-
-def _records(chunks: DataFrame) -> DataFrame:
+def broken_arrays(chunks: DataFrame) -> DataFrame:
+    """Files with a chunk that cannot be parsed, or cut off before their closing bracket."""
     parsed = parsed_elements(element_text(chunks))
-    broken = (
+    return (
         parsed.groupBy("_source_file")
-        .agg(F.min("ended").alias("ended"), F.count_if(F.col("records").isNull()).alias("bad"))
+        .agg(
+            F.min("ended").alias("ended"),
+            F.count_if(F.col("records").isNull()).alias("bad"),
+            F.max("_source_time").alias("_source_time"),
+        )
         .filter("ended = 1 or bad > 0")
-        .select("_source_file")
+        .select("_source_file", "_source_time")
     )
-    records = (
+
+
+def records(chunks: DataFrame) -> DataFrame:
+    """Records of written chunks of arrays, in the shape of ``read_json_feed``.
+
+    An array with a malformed chunk gives one error and no records, as if it were parsed whole.
+    """
+    spark = chunks.sparkSession
+    path = work_dir(spark, "json-broken")
+    broken_arrays(chunks).write.parquet(path)
+    broken = spark.read.parquet(path)  # Spark broadcasts the names if their files are small
+    whole = chunks.join(broken.select("_source_file"), "_source_file", "left_anti")
+    parsed = (
         elements(
-            parsed.join(F.broadcast(broken), "_source_file", "left_anti"),
-            "_source_file", "block", "seq", "_source_time",
+            parsed_elements(element_text(whole)), "_source_file", "block", "seq", "_source_time"
         ).select(
             "_source_file",
             F.struct(F.col("_source_file").alias("file"), "block", "seq", "pos").alias("_at"),
@@ -415,10 +425,10 @@ def _records(chunks: DataFrame) -> DataFrame:
             F.lit(0).cast("bigint").alias("seq"),
             F.lit(0).alias("pos"),
         ).alias("_at"),
-        F.lit(None).cast("timestamp").alias("_source_time"),
+        "_source_time",
         F.lit(MALFORMED).alias("_doc_error"),
         # NULL, as a path is no JSON text.  A literal NULL would let Spark work out these rows'
         # columns while planning, and fail there on casts that no row may ever reach.
         F.try_parse_json("_source_file").alias("record"),
     )
-    return records.unionByName(failed)
+    return parsed.unionByName(failed)

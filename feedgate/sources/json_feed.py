@@ -16,9 +16,8 @@ from feedgate.sources.inventory import GLOBS, check_feed
 MALFORMED = "Malformed JSON document"
 MALFORMED_LINE = "Malformed JSON line"
 
-#: Documents above the first size are always cut, documents up to the second never.
-MAX_DOCUMENT_BYTES = 64 * 1024 * 1024
-MIN_DOCUMENT_BYTES = 4 * 1024 * 1024
+#: Documents above this size are cut, whatever the cluster; the records are the same either way.
+MAX_DOCUMENT_BYTES = 32 * 1024 * 1024
 
 
 def records_of(document: Column) -> Column:
@@ -32,16 +31,6 @@ def _reader(spark: SparkSession, glob: str | None):
     return spark.read.option("pathGlobFilter", glob or GLOBS["json"])
 
 
-def document_limit(total_bytes: int, spark: SparkSession) -> int:
-    """Size above which a document is cut: four times one core's share of the feed, within bounds.
-
-    A feed of many documents keeps every core busy with whole ones; a feed of few does not.
-    Cutting costs about four times the work of parsing whole, so it pays above that share.
-    """
-    share = total_bytes // spark.sparkContext.defaultParallelism
-    return max(MIN_DOCUMENT_BYTES, min(4 * share, MAX_DOCUMENT_BYTES))
-
-
 def read_json_feed(
     spark: SparkSession,
     path: str,
@@ -61,23 +50,37 @@ def read_json_feed(
         return _read_lines(spark, path, glob)
     if layout != "document":
         raise ValueError(f"layout must be 'document' or 'lines', not {layout!r}")
-    if max_document_bytes is None:
-        max_document_bytes = document_limit(summary.total_bytes, spark)
-    small = _read_documents(spark, path, max_document_bytes, glob)
-    if summary.largest_bytes <= max_document_bytes:
+    limit = MAX_DOCUMENT_BYTES if max_document_bytes is None else max_document_bytes
+    small = _read_documents(spark, path, F.col("_metadata.file_size") <= limit, glob)
+    if summary.largest_bytes <= limit:
         return small
-    large = json_chunks.read_large_arrays(spark, path, max_document_bytes, glob)
-    return small.unionByName(large)
+    return small.unionByName(read_large_documents(spark, path, limit, glob))
+
+
+def read_large_documents(
+    spark: SparkSession, path: str, above_bytes: int, glob: str | None = None
+) -> DataFrame:
+    """Records of all documents above a size: arrays cut at record borders, others parsed whole.
+
+    What is no array is one record, which has to fit into one task whatever is done with it.
+    """
+    chunks = json_chunks.staged_chunks(spark, path, above_bytes, glob)
+    others = json_chunks.other_documents(chunks)
+    found = json_chunks.records(json_chunks.arrays_only(chunks, others))
+    if not others:
+        return found
+    # A condition on paths: Spark opens no other file.
+    return found.unionByName(_read_documents(spark, path, F.col("_metadata.file_path").isin(others), glob))
 
 
 def _read_documents(
-    spark: SparkSession, path: str, max_document_bytes: int, glob: str | None
+    spark: SparkSession, path: str, chosen: Column, glob: str | None
 ) -> DataFrame:
     documents = (
         _reader(spark, glob)
         .text(path, wholetext=True)
-        # File sizes are known from the listing: larger files are not opened here.
-        .filter(F.col("_metadata.file_size") <= max_document_bytes)
+        # Sizes and paths are known from the listing: other files are not opened here.
+        .filter(chosen)
         .select(
             F.col("_metadata.file_path").alias("_source_file"),
             F.col("_metadata.file_modification_time").alias("_source_time"),
@@ -98,6 +101,12 @@ def _read_documents(
     )
 
 
+def document_texts(spark: SparkSession, path: str, chosen: Column, glob: str | None) -> DataFrame:
+    """``_source_file, value``: whole documents as sent, of the files a condition chooses."""
+    texts = _reader(spark, glob).text(path, wholetext=True).filter(chosen)
+    return texts.select(F.col("_metadata.file_path").alias("_source_file"), "value")
+
+
 def _read_lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     record = F.try_parse_json("value")
     return (

@@ -2,45 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# The keys and messages of the announced format, which result rows carry.
 REQUIRED = ("file_name", "file_path", "record_count")
 
 
 def read_manifests(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """One row per manifest file with its values, violations and the count as a number.
 
-    Values are trimmed, ``#`` and ``!`` lines are comments, the last of a repeated key counts.
+    The usual rules of property files: ``#`` and ``!`` lines are comments, a line that ends in a
+    backslash goes on, a backslash takes the next character as it is, keys end at ``=``, ``:`` or
+    white space, and the last of a repeated key counts.  Values are trimmed of white space.
     """
-    lines = (
+    manifests = (
         spark.read.option("pathGlobFilter", glob)
-        .text(path)
-        .select(
-            F.col("_metadata.file_path").alias("manifest"),
-            F.struct(
-                F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
-            ).alias("at"),
-            F.col("value"),
-        )
-        .filter(~F.col("value").rlike(r"^\s*([#!]|$)"))
+        .text(path, wholetext=True)  # a few lines each
+        .select(F.col("_metadata.file_path").alias("manifest"), "value")
     )
+    joined = F.regexp_replace("value", r"(?<!\\)((?:\\\\)*)\\(?:\r\n|\r|\n)[ \t\f]*", "$1")
+    lines = manifests.select(
+        "manifest", F.posexplode(F.split(joined, r"\r\n|\r|\n")).alias("at", "line")
+    ).filter(~F.col("line").rlike(r"^\s*([#!]|$)"))
+    pair = r"^\s*((?:[^=:\s\\]|\\.)*)\s*[=:]?\s*(.*)$"
     pairs = lines.select(
         "manifest",
         "at",
-        F.regexp_extract("value", r"^\s*([^=:\s]*)", 1).alias("key"),
-        F.regexp_extract("value", r"^\s*[^=:\s]*\s*[=:]?\s*(.*)$", 1).alias("text"),
+        _unescaped(F.regexp_extract("line", pair, 1)).alias("key"),
+        _unescaped(F.regexp_replace(F.regexp_extract("line", pair, 2), r"\s+$", "")).alias("text"),
     )
     values = [
         F.nullif(
-            F.trim(F.max_by(F.col("text"), F.when(F.col("key") == key, F.col("at")))), F.lit("")
+            F.max_by(F.col("text"), F.when(F.col("key") == key, F.col("at"))), F.lit("")
         ).alias(key)
         for key in REQUIRED
     ]
-    return manifest_checks(pairs.groupBy("manifest").agg(*values))
+    found = pairs.groupBy("manifest").agg(*values)
+    # A manifest without a single pair is reported, too.
+    return manifest_checks(manifests.select("manifest").join(found, "manifest", "left"))
+
+
+def _unescaped(text: Column) -> Column:
+    return F.regexp_replace(text, r"\\(.)", "$1")
 
 
 def manifest_checks(manifests: DataFrame) -> DataFrame:
     """Add ``expected_records`` and ``violation`` (the first broken rule) to manifest values."""
+    # Messages: fixed values, as above.
     count = F.when(
         F.col("record_count").rlike(r"^[+-]?\d+$"), F.col("record_count").try_cast("bigint")
     )

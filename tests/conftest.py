@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-RUN_ID = "00000000-0000-0000-0000-000000000001"
+RUN_ID = "b81d4f02-6a7c-4e39-8f15-0c2a9d3e7b64"
 KEY = "feedgate test key, 32 bytes long"
 
 

@@ -109,7 +109,7 @@ def test_documents(parsed):
     assert parsed("[]") == []
     assert len(parsed('[{"t":"a"},null,5,"x"]')) == 4
     assert len(parsed('{"t":"a"} trailing')) == 1
-    (row,) = parsed("{this is not json")
+    (row,) = parsed("{half a record")
     assert row._parse_error == json_feed.MALFORMED
 
 
@@ -166,18 +166,21 @@ def documents():
 BROKEN = {
     "cut.json": '[{"a":1},{"b":2},{"c":3}', "word.json": '[{"a":1},{"b":x},{"c":3}]',
     "comma.json": '[{"a":1} {"b":1},{"c":3}]', "open.json": '[{"a":"1},{"b":1},{"c":3}]',
-    "object.json": '{"a":{"z":1},"b":{"z":2}}',
 }
 
 
+def _records(chunks):
+    return json_chunks.records(chunks)
+
+
 @pytest.mark.parametrize("block, pack", [(150, 1), (1000, 400), (1 << 30, 300), (1 << 30, 1 << 20)])
 def test_arrays_cut_at_record_borders(spark, write, block, pack):
     made = documents()
     folder = write("feed", {n: text for n, (_, text) in made.items()} | BROKEN)
     session = block_session(spark, block)
-    chunks = json_chunks.read_chunks(session, folder, pack_bytes=pack)
+    chunks = json_chunks.staged_chunks(session, folder, pack_bytes=pack)
     found = {}
-    rows = json_chunks._records(chunks).select(
+    rows = _records(chunks).select(
         "_source_file", "_at", "_doc_error", F.to_json("record").alias("j")
     )
     for row in rows.orderBy("_at").collect():
@@ -200,7 +203,7 @@ def test_arrays_under_other_batch_settings(spark, write, name, value):
     folder = write("feed", {"d0.json": text})
     session = block_session(spark, 2000)
     session.conf.set(name, value)
-    rows = json_chunks._records(json_chunks.read_chunks(session, folder, pack_bytes=500))
+    rows = _records(json_chunks.staged_chunks(session, folder, pack_bytes=500))
     found = rows.orderBy("_at").select(F.to_json("record").alias("j")).collect()
     assert [json.loads(r.j) for r in found] == elements
 
@@ -208,7 +211,7 @@ def test_arrays_under_other_batch_settings(spark, write, name, value):
 def test_record_that_is_too_long_is_refused(spark, write):
     folder = write("feed", {"a.json": json.dumps([{"a": "x" * 5000}, {"b": 1}]), "b.json": '[{"c":1}]'})
     chunks = json_chunks.read_chunks(block_session(spark, 300), folder, max_record_bytes=2000)
-    rows = json_chunks._records(chunks).collect()
+    rows = _records(chunks).collect()
     assert sorted((r._source_file[-6:], r._doc_error) for r in rows) == [
         ("a.json", json_chunks.MALFORMED), ("b.json", None)
     ]
@@ -226,5 +229,21 @@ def test_shares_cover_all_files_once(spark, write, monkeypatch):
     folder = write("feed", {f"{i}.json": f'[{{"t":"{i}"}}]' for i in range(12)})
     monkeypatch.setattr(json_chunks, "MAX_BLOCKS", 3)
     assert len(json_chunks.shares(spark, folder)) == 4
-    rows = parse.parse_json(json_chunks.read_large_arrays(spark, folder, -1), KINDS)
+    rows = parse.parse_json(json_feed.read_large_documents(spark, folder, -1), KINDS)
     assert sorted(r.t for r in rows.collect()) == sorted(str(i) for i in range(12))
+
+
+def test_documents_of_all_kinds_whole_and_cut(spark, write):
+    kinds = {
+        "object.json": '{"a":{"z":1},"b":{"z":2}}', "array.json": '[{"a":1},{"a":{"b":2}}]', "blank.json": " \n ",
+        "number.json": "5", "text.json": '"}"', "nulls.json": '[null,{"a":null}]', "nested.json": "[[{}],[]]",
+        "word.json": "{half", "cut.json": '[{"a":1},', "tail.json": '{"a":1} tail',
+    }
+    folder = write("feed", kinds)
+
+    def read(limit):
+        feed = json_feed.read_json_feed(spark, folder, max_document_bytes=limit)
+        rows = feed.orderBy("_at").select("_source_file", "_source_time", "_doc_error", F.to_json("record").alias("j"))
+        return [tuple(r) for r in rows.collect()]
+
+    assert read(0) == read(1 << 30) and len(read(0)) == 13
