@@ -73,7 +73,10 @@ def to_database_types(rows: DataFrame, contract: TableContract) -> DataFrame:
 def append_to_database(
     rows: DataFrame, url: str, table: str, properties: dict[str, str], batch: int = 10_000
 ) -> None:
-    """Append over JDBC.  The database's key still guards against a second writer."""
+    """A plain append over JDBC: it fails on a repeated key, which is not insert-if-absent.
+
+    Give it the rows of ``load.rows_to_insert``; the database's key guards against a second writer.
+    """
     (
         rows.write.format("jdbc")
         .options(url=url, dbtable=table, batchsize=batch, **properties)

@@ -30,5 +30,13 @@ def test_query(spark, connection, name):
         assert rows > 0
 
 
+@pytest.mark.parametrize("name", ["reconcile", "run_summary", "rerun_is_noop", "insert_if_absent", "matched_keys"])
+def test_tables_are_read_once(spark, name):
+    """The feed is derived and written once; what is returned reads written tables."""
+    df = entry.queries()[name](spark, SF_DIR)
+    shown = df._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("customer.parquet") <= 2
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
