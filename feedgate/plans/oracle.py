@@ -326,6 +326,8 @@ select file_name, bytes, bytes > {PART_BYTES} as oversized,
  cast(28 + strlen(phone_number) as integer) as byte_length, false as has_breaks, salary is null as salary_absent, false as shows_plain from valid""",
     "protect_json_key": f"""{CSV_VALID} select src_row, contact_name, contact_relationship, contact_email,
  cast(4 * ceil((28 + strlen(contact_phone)) / 3.0) as integer) as phone_text_length, contact_phone from valid""",
+    "protect_blank_cipher": """select conv_id, turn, turn % 3 = 0 or text is null as absent,
+ case when turn % 3 <> 0 then md5(text) end as digest from conversations""",
     "protect_wrong_key": f"{CSV_VALID} select count(*) as rows, cast(0 as bigint) as readable from valid",
     "serve_newest_first": f"""{CSV_VALID} select {SERVED}, case when src_row % 10 = 0 then null
  when src_row % 2 = 0 then '2024-06-01 12:00:00' else '2024-06-02 12:00:00' end as execution_id,

@@ -522,6 +522,20 @@ def protect_json_key(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def protect_blank_cipher(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole conversations encrypted; where blanks stand for the cipher text, nothing is read back."""
+    feeds.register(spark, sf, ["conversations"])
+    contract = TableContract("turn", "id", (Field("id"), Field("text", protect=True)))
+    key = protect.key_column(spark, TEST_KEY)
+    blank = F.col("turn") % 3 == 0
+    sealed = spark.table("conversations").select(
+        "conv_id", "turn", F.when(blank, "  ").otherwise(protect.encrypted(F.col("text"), key)).alias("text")
+    )
+    return protect.unprotected(sealed, contract, key).select(
+        "conv_id", "turn", F.col("text").isNull().alias("absent"), F.md5("text").alias("digest")
+    )
+
+
 def protect_wrong_key(spark: SparkSession, sf: str) -> DataFrame:
     """With another key the tolerant form gives NULL for every value."""
     sealed = protect.protected(_valid(spark, sf), EMPLOYEE, protect.key_column(spark, TEST_KEY))
@@ -1025,6 +1039,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "protect_roundtrip": protect_roundtrip,
     "protect_layout": protect_layout,
     "protect_json_key": protect_json_key,
+    "protect_blank_cipher": protect_blank_cipher,
     "protect_wrong_key": protect_wrong_key,
     "serve_newest_first": serve_newest_first,
     "ingest_csv": partial(ingest_run, "csv"),
