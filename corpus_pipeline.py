@@ -18,16 +18,23 @@ from feedgate.llm.common import staged, table
 SHARDS = 8
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+def _kept(docs: DataFrame, operator, column: str, condition) -> DataFrame:
+    """The rows for which an operator's added ``column`` meets a condition, with their own columns.
+
+    A column of ``docs`` that has the added one's name stands aside meanwhile.
+    """
+    aside = f"_own_{column}"
+    while aside in docs.columns:
+        aside += "_"
+    found = operator(docs.withColumnRenamed(column, aside)).filter(condition)
+    return found.select(*[F.col(f"`{aside if c == column else c}`").alias(c) for c in docs.columns])
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be good; trained on the labels of documents that are here."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    columns = F.struct(*_columns(docs)).alias("_row")
-    scored = quality.score_quality(docs.select("doc_id", "text", columns), weights)
-    return scored.filter(quality.predicted(F.col("score")) == 1).select("_row.*")
+    good = quality.predicted(F.col("score")) == 1
+    return _kept(docs, lambda d: quality.score_quality(d, weights), "score", good)
 
 
 def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +44,8 @@ def near_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item stands."""
-    columns = F.struct(*_columns(docs)).alias("_row")
-    found = decontaminate.find_items(docs.select("text", columns), table(spark, sf_dir, "benchmark"))
-    return found.filter(F.size("items") == 0).select("_row.*")
+    items = table(spark, sf_dir, "benchmark")
+    return _kept(docs, lambda d: decontaminate.find_items(d, items), "items", F.size("items") == 0)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

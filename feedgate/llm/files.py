@@ -1,14 +1,21 @@
-"""Arrays in a folder that all executors share, written once and read by memory map."""
+"""Files in a folder that all executors share: arrays read by memory map, and this package."""
 
 from __future__ import annotations
 
+import io
 import re
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+import feedgate
+from feedgate.session import work_dir
 
 
 class SharedFolder:
@@ -33,7 +40,7 @@ class SharedFolder:
         name = uuid.uuid4().hex
         with system.open_output_stream(f"{root}/{name}.part") as out:
             yield name, out
-        system.move(f"{root}/{name}.part", f"{root}/{name}")
+        system.move(f"{root}/{name}.part", f"{root}/{name}")  # whole only now
 
     def save(self, array: np.ndarray) -> str:
         """Write an array flat, little-endian, and return its file name."""
@@ -51,3 +58,28 @@ class SharedFolder:
             return np.memmap(f"{root}/{name}", dtype=dtype, mode="r")
         with system.open_input_stream(f"{root}/{name}") as source:
             return np.frombuffer(source.read(), dtype)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application; they may not have it installed.
+
+    Packed below ``spark.checkpoint.dir``.  A package that is in an archive already came to the
+    workers that way.
+    """
+    here = Path(feedgate.__file__).parent
+    if spark.sparkContext.applicationId in _shipped or not here.is_dir():
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(here.rglob("*.py")):
+            out.write(path, Path(here.name) / path.relative_to(here))
+    folder = SharedFolder(work_dir(spark, "code"))
+    with folder.create() as (name, out):
+        out.write(packed.getvalue())
+    system, root = folder._open()
+    system.move(f"{root}/{name}", f"{root}/feedgate.zip")
+    spark.sparkContext.addPyFile(f"{folder.uri}/feedgate.zip")
+    _shipped.add(spark.sparkContext.applicationId)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedgate.llm import words as text_words
 from feedgate.llm.common import held_out
+from feedgate.llm.files import ship
 from feedgate.llm.mph import mix
 from feedgate.llm.words import DIGIT, LOWER, OTHER, UPPER, Flat
 
@@ -104,6 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
     learner sees its share in hash order and the learners' weights are averaged: what reaches the
     driver is one array of fixed size from each.  Null labels, ids and texts are left out.
     """
+    ship(docs.sparkSession)
     order = F.xxhash64("doc_id")
     sample = (
         labels.filter("doc_id is not null and quality in (0, 1)")
@@ -116,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndar
     chosen = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(sample), "doc_id")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_words.slices(batches):
             at, x = [], []
             for _, texts in text_words.grouped(batch.column("text").to_pylist()):
                 first, index = features(texts)
@@ -166,13 +168,14 @@ def score_quality(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
     the common weight alone.  Without a model (no labels) every score is 1, since nothing speaks
     against a text.  A column named score is replaced; rows may repeat; no rows give no rows.
     """
+    ship(docs.sparkSession)
     own = [f for f in docs.schema if f.name != "score"]
     rest = docs.select(*[F.col(f"`{f.name}`") for f in own])
     if weights is None:
         return rest.withColumn("score", F.lit(1.0))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_words.slices(batches):
             found = [scores(texts, weights) for _, texts in text_words.grouped(batch.column("text").to_pylist())]
             columns = [*batch.columns, pa.array(np.concatenate(found) if found else np.zeros(0))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "score"])

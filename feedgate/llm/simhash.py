@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from feedgate.llm import golay
 from feedgate.llm.common import staged
 from feedgate.llm.components import components, contract
+from feedgate.llm.files import ship
 
 #: Fixed values of the fingerprint: words of a shingle, seed of its hash, bits that may differ.
 SHINGLE = 3
@@ -53,6 +54,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, fp bigint")
 
@@ -151,6 +153,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> D
     others go to each part.  A task keeps links as stars, so what it returns grows with the
     fingerprints it has linked, not with the pairs.
     """
+    ship(nodes.sparkSession)
     if not 0 <= distance <= DISTANCE:
         raise ValueError(f"segments and keys are laid out for at most {DISTANCE} differing bits")
     hot = staged(

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 from feedgate.llm.mph import mix
 
@@ -130,6 +131,13 @@ def words(texts: list[str], part: int, columns: Callable[[Flat], dict[str, np.nd
     return Words(np.searchsorted(owner, np.arange(len(texts) + 1)), start, end, joined_columns)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in smaller ones, so that what is made of their texts stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def grouped(texts: list[str | None], chars: int = FLAT) -> Iterator[tuple[int, list[str]]]:
     """``at, texts``: neighbours of about ``chars`` characters; null is empty."""
     at, some, size = 0, [], 0

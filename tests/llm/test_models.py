@@ -160,11 +160,18 @@ def test_spans_and_scripts(spark, awkward, nothing):
     assert language.train(nothing) is None and language.identify(nothing, model).count() == 0
 
 
-def brute_items(texts, items):
-    """Every passage against every item, by the definition of BM25."""
+def brute_items(texts, items, index_items=4096):
+    """Every passage against every item, by the definition of BM25.
+
+    A passage is twice as long as the longest item of the item's block: 32 neighbours by length.
+    """
     def terms(t):
         return re.findall(r"[^\W_]+", t.lower())
     lists = {i: terms(t) for i, t in items if len(terms(t)) >= 5}
+    order = sorted(lists, key=lambda i: (len(lists[i]), i))
+    indexes = [order[k : k + index_items] for k in range(0, len(order), index_items)]
+    blocks = [x[k : k + 32] for x in indexes for k in range(0, len(x), 32)]
+    longest = {i: max(len(lists[j]) for j in b) for b in blocks for i in b}
     n, mean = len(lists), np.mean([len(t) for t in lists.values()])
     df = Counter(w for t in lists.values() for w in set(t))
 
@@ -177,10 +184,9 @@ def brute_items(texts, items):
     for k, text in enumerate(texts):
         own = terms(text)
         for i, item in lists.items():
-            step = 2 * max(map(len, lists.values()))
             hit = False
-            for start in range(0, max(1, len(own)), step // 2):
-                passage = own[start : start + step]
+            for start in range(0, max(1, len(own) - longest[i]), longest[i]):
+                passage = own[start : start + 2 * longest[i]]
                 score = sum(impact(i, w) for w in set(passage) & set(item))
                 if score < 0.5 * sum(impact(i, w) for w in set(item)):
                     continue
@@ -214,8 +220,8 @@ def test_benchmark_items_against_brute_force(spark, nothing):
         texts.append(" ".join(body))
     docs = spark.createDataFrame([*enumerate(texts), (900, None), (901, "")], "doc_id bigint, text string")
     frame = spark.createDataFrame(items, "item_id bigint, text string")
-    want = sorted(brute_items(texts, [(i, t) for i, t in items if t]))
     for index_items in (4096, 25):
+        want = sorted(brute_items(texts, [(i, t) for i, t in items if t], index_items))
         found = decontaminate.find_items(docs.withColumn("items", F.lit(1)), frame, index_items)
         got = sorted((r.doc_id, x.item_id) for r in found.collect() for x in r["items"])
         assert got == want and len(want) > 30

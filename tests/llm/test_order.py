@@ -161,7 +161,7 @@ TRICKY = [
 def test_pieces_are_encoded_as_in_the_text():
     encoder = token_files.Encoder(BPE)
     rng = np.random.default_rng(4)
-    signs = ["a", " ", "\n", "\u00e9", "'s", "1", "!", "\u00a0", "\x1c", "<|endoftext|>", "Zb", "\t"]
+    signs = ["a", "th", " ", " ", ".", "\u0153", "\u00aa", "_", "]", "\n", "\u00e9", "'s", "1", "!", "\u00a0", "\x1c", "<|endoftext|>", "Zb", "\t"]
     texts = TRICKY + ["".join(rng.choice(signs, 25)) for _ in range(2000)]
     want = [np.array(x.ids, encoder.dtype).tobytes() for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert encoder.encode(texts) == want
