@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from feedgate.llm import words as text_words
 from feedgate.llm.common import staged
+from feedgate.llm.files import ship
 from feedgate.llm.mph import mix
 from feedgate.llm.words import DIGIT, LETTER, Flat
 
@@ -54,22 +55,27 @@ def part(terms: np.ndarray) -> tuple[int, np.ndarray]:
 
 @dataclass
 class Block:
-    """Items of like length: ``impact[t, i]`` of the block's terms, and what its items need."""
+    """Items of like length.
+
+    ``row[t]`` is the place of the index's term t among the block's terms, or -1; ``impact[r, i]``
+    what it adds to item i.  ``pivots`` are the items, from ``first_pivot[r]`` on, that need term r
+    or another of their pivots: all their other terms together stay below what they need.
+    """
 
     items: np.ndarray
-    terms: np.ndarray
+    row: np.ndarray
     impact: np.ndarray
-    most: np.ndarray
+    first_pivot: np.ndarray
+    pivots: np.ndarray
     needs: np.ndarray
     words: int
 
 
 @dataclass
 class Index:
-    """Blocks, and for each term of the index its largest impact in each block."""
+    """Terms as sorted hashes, blocks of items, and each item's question and answer."""
 
     terms: np.ndarray
-    bound: np.ndarray
     blocks: list[Block]
     parts: dict[int, tuple[tuple[int, np.ndarray], ...]]
     ids: list
@@ -117,67 +123,91 @@ def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[
 
 
 def _index(items: list, counts: dict[int, int], n_items: int, mean: float) -> Index:
-    all_terms = np.array(sorted(counts), np.int64).view(np.uint64)
-    all_terms = np.sort(all_terms)
+    all_terms = np.sort(np.array(list(counts), np.int64).view(np.uint64))
     df = np.array([counts[int(t)] for t in all_terms.view(np.int64)], np.float64)
     idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
-    blocks, bound, parts = [], np.zeros((len(all_terms), -(-len(items) // BLOCK_ITEMS)), np.float32), {}
-    for b in range(bound.shape[1]):
-        some = items[b * BLOCK_ITEMS : (b + 1) * BLOCK_ITEMS]
+    blocks, parts = [], {}
+    for start in range(0, len(items), BLOCK_ITEMS):
+        some = items[start : start + BLOCK_ITEMS]
         terms = np.unique(np.concatenate([t for _, t in some]))
         place = np.searchsorted(all_terms, terms)
-        impact = np.zeros((len(terms), len(some)))
+        impact, pivot = np.zeros((len(terms), len(some))), np.zeros((len(terms), len(some)), bool)
         for i, (_, own) in enumerate(some):
             at, tf = np.unique(own, return_counts=True)
-            row = np.searchsorted(terms, at)
-            weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean))
-            impact[row, i] = idf[place[row]] * weight
+            rows = np.searchsorted(terms, at)
+            impact[rows, i] = idf[place[rows]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean))
+            # The smallest impacts, as many as stay below the need together, are no pivots.
+            rows = rows[np.argsort(impact[rows, i])]
+            below = np.cumsum(impact[rows, i]) < impact[:, i].sum() * RETRIEVE * (1 - 1e-9)
+            pivot[rows[~below], i] = True
             cut = round(len(own) * QUESTION)
-            parts[b * BLOCK_ITEMS + i] = (part(own[:cut]), part(own[cut:]))
-        bound[place, b] = np.nextafter(impact.max(axis=1).astype(np.float32), np.float32(np.inf))
-        numbers = np.arange(b * BLOCK_ITEMS, b * BLOCK_ITEMS + len(some))
-        needs = impact.sum(axis=0) * RETRIEVE
-        blocks.append(Block(numbers, terms, impact, impact.max(axis=1), needs, max(len(t) for _, t in some)))
-    return Index(all_terms, bound, blocks, parts, [i for i, _ in items])
+            parts[start + i] = (part(own[:cut]), part(own[cut:]))
+        row = np.full(len(all_terms), -1)
+        row[place] = np.arange(len(terms))
+        first = np.concatenate([[0], np.cumsum(pivot.sum(axis=1))])
+        blocks.append(
+            Block(
+                np.arange(start, start + len(some)), row, impact, first, np.nonzero(pivot)[1],
+                impact.sum(axis=0) * RETRIEVE * (1 - 1e-9), max(len(t) for _, t in some),
+            )
+        )
+    return Index(all_terms, blocks, parts, [i for i, _ in items])
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``which, at``: for each range its number and its places one after the other."""
+    which = np.repeat(np.arange(len(size)), size)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + first[which]
 
 
 def retrieve(index: Index, first: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
     """``text, from, to, item, score``: passages and the items they reach, by block-max WAND.
 
     A block's passages are twice as long as its longest item and start every such length, so each
-    occurrence of an item lies whole in one.  For all passages at once the largest impacts of their
-    terms in the block are summed; only passages whose bound reaches what some item of the block
-    needs are scored, term by term, for the block's items.
+    occurrence of an item lies whole in one.  All passages of a batch go on together: those that
+    hold a pivot of an item are its candidates; candidates stay while the block maxima of the
+    passage's terms add up to what the item needs; what is left is scored, each term once.
     """
+    if not len(index.terms):
+        return
     place = np.searchsorted(index.terms, terms)
     place[place == len(index.terms)] = 0
-    known = index.terms[place] == terms if len(index.terms) else np.zeros(len(terms), bool)
-    at, place = np.nonzero(known)[0], place[known]
+    at = np.nonzero(index.terms[place] == terms)[0]
+    place = place[at]
+    order = np.argsort(place, kind="stable")
+    before = np.full(len(at), -1)  # where the same term stood last
+    again = place[order[1:]] == place[order[:-1]]
+    before[order[1:][again]] = at[order[:-1][again]]
+    text = np.searchsorted(first, at, side="right") - 1
     size = np.diff(first)
-    for b, block in enumerate(index.blocks):
-        bounds = index.bound[place, b]
-        inside = bounds > 0
-        words, bounds = at[inside], bounds[inside]
-        if not len(words):
-            continue
-        upto = np.concatenate([[0.0], np.cumsum(bounds, dtype=np.float64)])
+    for block in index.blocks:
+        row = block.row[place]
+        inside = row >= 0
+        hit, row, last, owner = at[inside], row[inside], before[inside], text[inside]
         step = block.words
         passages = np.maximum(1, -(-size // step) - 1) * (size > 0)
-        text = np.repeat(np.arange(len(size)), passages)
-        nth = np.arange(len(text)) - np.repeat(np.cumsum(passages) - passages, passages)
-        start = first[text] + nth * step
-        end = np.minimum(start + 2 * step, first[text + 1])
-        low, high = np.searchsorted(words, start), np.searchsorted(words, end)
-        least = block.needs.min() * (1 - 1e-6)
-        for k in np.nonzero(upto[high] - upto[low] >= least)[0].tolist():
-            own = np.unique(terms[words[low[k] : high[k]]])
-            row = np.searchsorted(block.terms, own)
-            # The bound again, each term once, before the block's items are scored.
-            if block.most[row].sum() < least:
-                continue
-            score = block.impact[row].sum(axis=0)
-            for i in np.nonzero(score >= block.needs * (1 - 1e-9))[0].tolist():
-                yield int(text[k]), int(start[k]), int(end[k]), int(block.items[i]), float(score[i])
+        base = np.cumsum(passages) - passages
+        # A pivot stands in the passage that starts in its stretch, and in the one before.
+        which, pivot = _spread(block.first_pivot[row], np.diff(block.first_pivot)[row])
+        nth, whose = ((hit - first[owner]) // step)[which], owner[which]
+        item = block.pivots[pivot]
+        here, earlier = nth < passages[whose], nth > 0
+        window = np.concatenate([(base[whose] + nth)[here], (base[whose] + nth - 1)[earlier]])
+        pairs = np.unique(window * BLOCK_ITEMS + np.concatenate([item[here], item[earlier]]))
+        window, item = pairs // BLOCK_ITEMS, pairs % BLOCK_ITEMS
+        whose = np.searchsorted(base, window, side="right") - 1
+        start = first[whose] + (window - base[whose]) * step
+        end = np.minimum(start + 2 * step, first[whose + 1])
+        low, high = np.searchsorted(hit, start), np.searchsorted(hit, end)
+        upto = np.concatenate([[0.0], np.cumsum(block.impact.max(axis=1)[row])])
+        able = upto[high] - upto[low] >= block.needs[item] - 1e-6
+        item, whose, start, end, low, high = (x[able] for x in (item, whose, start, end, low, high))
+        pair, place_of = _spread(low, high - low)
+        once = last[place_of] < start[pair]
+        adds = np.where(once, block.impact[row[place_of], item[pair]], 0.0)
+        score = np.bincount(pair, adds, minlength=len(item))
+        for k in np.nonzero(score >= block.needs[item])[0].tolist():
+            yield int(whose[k]), int(start[k]), int(end[k]), int(block.items[item[k]]), float(score[k])
 
 
 def matches(index: Index, texts: list[str]) -> list[dict[int, tuple]]:
@@ -205,6 +235,7 @@ def find_items(docs: DataFrame, items: DataFrame, index_items: int = INDEX_ITEMS
     nothing; repeated items are found under each of their ids; null item ids stay null.  A column named items is replaced; rows
     may repeat; without items, or documents, the lists or the result are empty.
     """
+    ship(docs.sparkSession)
     own = [f for f in docs.schema if f.name != "items"]
     kind = items.schema["item_id"].dataType
     found = T.ArrayType(T.StructType().add("item_id", kind).add("score", "double").add("question", "double").add("answer", "double"))
@@ -218,7 +249,7 @@ def find_items(docs: DataFrame, items: DataFrame, index_items: int = INDEX_ITEMS
 def _finder(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in batches:
+        for batch in text_words.slices(batches):
             lists = batch.column("items").to_pylist()
             for at, texts in text_words.grouped(batch.column("text").to_pylist()):
                 for k, hits in enumerate(matches(index, texts)):
