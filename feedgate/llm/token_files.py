@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
 
 from feedgate.llm.common import staged
-from feedgate.llm.files import SharedFolder
+from feedgate.llm.files import SharedFolder, ship
 from feedgate.session import work_dir
 
 #: Characters of text encoded at once, and pieces kept by a worker (about 200 MB).
@@ -122,6 +122,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     Null texts are empty, that is only the end id.  Null ids come first (``null_docs`` counts
     them).  Rows may repeat; other columns are ignored; no rows give no parts.
     """
+    ship(docs.sparkSession)
     folder = SharedFolder(work_dir(docs.sparkSession, "tokens"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,5 +194,6 @@ def read_tokens(parts: DataFrame) -> DataFrame:
                     )
                     at = upto
 
+    ship(parts.sparkSession)
     n = max(1, parts.count())
     return parts.repartition(n).mapInArrow(rows, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
