@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from feedgate.llm import mph
 from feedgate.llm.common import staged
-from feedgate.llm.files import SharedFolder
+from feedgate.llm.files import SharedFolder, ship
+from feedgate.llm.words import slices
 from feedgate.session import work_dir
 
 SPACES = " \t\n\x0b\f\r"
@@ -44,7 +45,7 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     """``high, low, doc_id`` once for each row and distinct key in it."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             digests: list[bytes] = []
             owners: list[int] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -145,6 +146,7 @@ def drop_repeated_lines(
     named n_lines or n_dropped is replaced.  No rows give no rows.
     """
     spark: SparkSession = docs.sparkSession
+    ship(spark)
     folder = SharedFolder(work_dir(spark, "line-index"))
     index = build_index(docs, folder, min_docs, min_chars, shard_keys)
     own = [f for f in docs.schema if f.name not in ("n_lines", "n_dropped")]
@@ -152,7 +154,7 @@ def drop_repeated_lines(
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(folder, index)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [NO_ID if d is None else d for d in batch.column("doc_id").to_pylist()]
             texts = [t if t is None else t.split("\n") for t in batch.column("text").to_pylist()]
             where, digests = [], []
