@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from feedgate.llm import words as text_words
 from feedgate.llm.common import held_out, staged
+from feedgate.llm.files import ship
 from feedgate.llm.mph import mix
 from feedgate.llm.words import LETTER, Flat
 
 #: Documents of each language a model is fitted on, at most.
 TRAIN_DOCS = 2_000
+#: Ids are hashed below this for sampling.
+HASHES = 1 << 40
+#: Rows of a sample up to which it is broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Letter trigrams are hashed to 2 to the power of this.
 BITS = 16
 #: Log probabilities are whole numbers of this part of a nat, so sums do not depend on batches.
@@ -101,22 +106,31 @@ class Model:
 
 
 def _train_counts(docs: DataFrame, docs_of_each: int) -> DataFrame:
+    """``lang, at, n``: counts of trigrams (their hash) and of scripts (-1 less their number)."""
+    ship(docs.sparkSession)
     order = Window.partitionBy("lang").orderBy("_order", "doc_id")
     known = docs.filter("lang is not null and text is not null and doc_id is not null")
+    narrow = known.filter(~held_out(F.col("doc_id"))).select(
+        "doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)).alias("_order")
+    )
+    # Few more than wanted have a hash this small, so a hot language's rank meets only those.
+    share = F.lit(1.5 * docs_of_each + 100) / F.col("count")
     sample = (
-        known.filter(~held_out(F.col("doc_id")))
-        .select("doc_id", "lang", F.xxhash64("doc_id").alias("_order"))
+        narrow.join(narrow.groupBy("lang").count(), "lang")
+        .filter(F.col("_order") < share * HASHES)
         .withColumn("_nth", F.row_number().over(order))
         .filter(F.col("_nth") <= docs_of_each)
         .select("doc_id", "lang")
         .distinct()
     )
-    # Spark broadcasts the sample if it is small; its size is bounded by the languages.
+    sample = staged(sample, "language-sample")
+    if sample.count() <= BROADCAST_ROWS:  # an id and a name each
+        sample = F.broadcast(sample)
     chosen = known.select("doc_id", "lang", "text").join(sample, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
+        for batch in text_words.slices(batches):
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             for lang in dict.fromkeys(langs):
                 grams, scripts = counts.setdefault(lang, (np.zeros(1 << BITS, np.int64), np.zeros(len(SCRIPTS) + 1, np.int64)))
@@ -129,31 +143,33 @@ def _train_counts(docs: DataFrame, docs_of_each: int) -> DataFrame:
 
                 for _, some in text_words.grouped([t for k, t in zip(langs, texts) if k == lang]):
                     text_words.words(some, LETTER, add)
-        yield _count_rows(counts)
-
-    def total(group: pa.Table) -> pa.Table:
-        sums = [np.sum([np.frombuffer(x, "<i8") for x in group.column(c).to_pylist()], axis=0) for c in ("grams", "scripts")]
-        return pa.Table.from_batches([_count_rows({group.column("lang")[0].as_py(): sums})])
+        for lang, (grams, scripts) in counts.items():
+            for values, places in ((grams, np.arange(len(grams))), (scripts, -1 - np.arange(len(scripts)))):
+                seen = np.nonzero(values)[0]
+                columns = [pa.array([lang] * len(seen)), pa.array(places[seen].astype(np.int32)), pa.array(values[seen])]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "at", "n"])
 
-    schema = "lang string, grams binary, scripts binary"
-    return chosen.mapInArrow(count, schema).groupBy("lang").applyInArrow(total, schema)
-
-
-def _count_rows(counts) -> pa.RecordBatch:
-    rows = [[k for k in counts], *([v[i].astype("<i8").tobytes() for v in counts.values()] for i in range(2))]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows[0], pa.string()), *(pa.array(r, pa.binary()) for r in rows[1:])], ["lang", "grams", "scripts"]
-    )
+    return chosen.mapInArrow(count, "lang string, at int, n bigint").groupBy("lang", "at").agg(F.sum("n").alias("n"))
 
 
 def train(docs: DataFrame, docs_of_each: int = TRAIN_DOCS) -> Model | None:
     """A model from ``text`` and ``lang`` of documents outside the held-out fold; None without any.
 
     At most ``docs_of_each`` documents of each language count, those with the smallest hashes of
-    their id.  Tasks count, counts are summed per language, and one array per language (half a
-    megabyte) reaches the driver.
+    their id.  Tasks count, Spark adds the counts, a task packs a language's (at most 65,536
+    and a few), and one array per language (half a megabyte) reaches the driver.
     """
-    counted = staged(_train_counts(docs, docs_of_each), "language-counts").collect()
+
+    def pack(group: pa.Table) -> pa.Table:
+        at, n = group.column("at").to_numpy(), group.column("n").to_numpy()
+        grams, scripts = np.zeros(1 << BITS, "<i8"), np.zeros(len(SCRIPTS) + 1, "<i8")
+        grams[at[at >= 0]] = n[at >= 0]
+        scripts[-1 - at[at < 0]] = n[at < 0]
+        rows = {"grams": pa.array([grams.tobytes()], pa.binary()), "scripts": pa.array([scripts.tobytes()], pa.binary())}
+        return pa.table({"lang": group.column("lang").slice(0, 1), **rows})
+
+    schema = "lang string, grams binary, scripts binary"
+    counted = _train_counts(docs, docs_of_each).groupBy("lang").applyInArrow(pack, schema).collect()
     found = {r["lang"]: tuple(np.frombuffer(bytes(r[c]), "<i8") for c in ("grams", "scripts")) for r in counted}
     return Model(found) if found else None
 
@@ -197,6 +213,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     all texts where there is no model are ``und`` with score 0 and no spans.  Columns with these
     names are replaced; rows may repeat; no rows give no rows.
     """
+    ship(docs.sparkSession)
     names = ("lang_pred", "score", "spans")
     own = [f for f in docs.schema if f.name not in names]
     spans = T.StructType().add("start", "integer").add("end", "integer").add("lang", "string")
@@ -204,7 +221,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_words.slices(batches, 4096):
             texts = batch.column("text").to_pylist()
             order = sorted(range(len(texts)), key=lambda i: -len(texts[i] or ""))  # long texts together
             found = [(UNKNOWN, 0.0, [])] * len(texts)
