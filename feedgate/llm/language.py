@@ -114,9 +114,11 @@ def _train_counts(docs: DataFrame, docs_of_each: int) -> DataFrame:
         "doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)).alias("_order")
     )
     # Few more than wanted have a hash this small, so a hot language's rank meets only those.
+    # The counts are written, one row per language: Spark sees their size and moves no other rows.
+    counts = staged(narrow.groupBy("lang").count(), "language-sizes")
     share = F.lit(1.5 * docs_of_each + 100) / F.col("count")
     sample = (
-        narrow.join(narrow.groupBy("lang").count(), "lang")
+        narrow.join(counts, "lang")
         .filter(F.col("_order") < share * HASHES)
         .withColumn("_nth", F.row_number().over(order))
         .filter(F.col("_nth") <= docs_of_each)
