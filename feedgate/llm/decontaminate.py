@@ -34,17 +34,25 @@ def _hashes(flat: Flat) -> dict[str, np.ndarray]:
 
 
 def term_lists(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``first, hash``: lower-cased runs of letters and digits of each text, as hashes."""
-    found = text_words.words(texts, LETTER | DIGIT, _hashes)
+    """``first, hash``: lower-cased runs of letters and digits of each text, as hashes.
+
+    Letters of scripts without blanks between words, as Han and kana, are terms of their own.
+    """
+    found = text_words.words(texts, LETTER | DIGIT, _hashes, letters=True)
     return found.first, found.columns.get("hash", np.zeros(0, np.uint64))
 
 
 def shingles(terms: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Distinct hashes of all runs of ``size`` terms."""
+    return np.unique(runs(terms, size))
+
+
+def runs(terms: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the run of ``size`` terms that starts at each place."""
     out = np.zeros(max(0, len(terms) - size + 1), np.uint64)
     for i in range(size if len(out) else 0):
         out = mix(out + terms[i : len(terms) - size + 1 + i])
-    return np.unique(out)
+    return out
 
 
 def part(terms: np.ndarray) -> tuple[int, np.ndarray]:
@@ -73,16 +81,21 @@ class Block:
 
 @dataclass
 class Index:
-    """Terms as sorted hashes, blocks of items, and each item's question and answer."""
+    """Terms as sorted hashes, blocks of items, and each item's question and answer.
+
+    ``short[n]`` are the items of n terms, fewer than a shingle: sorted hashes of their runs, the
+    items and their scores.
+    """
 
     terms: np.ndarray
     blocks: list[Block]
     parts: dict[int, tuple[tuple[int, np.ndarray], ...]]
     ids: list
+    short: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def item_rows(items: DataFrame) -> DataFrame:
-    """``item_id, terms`` of each item of ``SHINGLE`` words or more; terms as hashes in order."""
+    """``item_id, terms`` of each item with a term; terms as hashes in order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,11 +106,11 @@ def item_rows(items: DataFrame) -> DataFrame:
 
     kind = items.schema["item_id"].dataType.simpleString()
     found = items.select("item_id", "text").mapInArrow(rows, f"item_id {kind}, terms binary")
-    return found.filter(F.length("terms") >= 8 * SHINGLE).distinct()
+    return found.filter(F.length("terms") > 0).distinct()
 
 
 def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[Index]:
-    """Indexes of at most ``index_items`` items each, in order of length.
+    """Indexes of at most ``index_items`` items each, in order of length; short items apart.
 
     Document frequencies are counted over all items; an index is collected when it is used, so the
     driver and the tasks hold one at a time, whatever the number of items.
@@ -105,7 +118,9 @@ def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[
     rows = item_rows(items).withColumn("size", F.length("terms") / 8)
     by_length = Window.orderBy("size", "item_id", "terms")  # test items, not the corpus
     rows = staged(rows.withColumn("n", F.row_number().over(by_length) - 1), "benchmark-items")
-    total = rows.agg(F.count(F.lit(1)).alias("items"), F.avg("size").alias("length")).first()
+    total = rows.agg(
+        F.count(F.lit(1)).alias("items"), F.avg("size").alias("length"), F.count_if(F.col("size") < SHINGLE).alias("short")
+    ).first()
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +129,9 @@ def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[
 
     counts = rows.select("terms").mapInArrow(frequencies, "term bigint").groupBy("term").count()
     counts = staged(counts, "benchmark-terms")
-    for start in range(0, total["items"], index_items):
-        some = rows.filter((F.col("n") >= start) & (F.col("n") < start + index_items))
+    starts = [*range(0, total["short"], index_items), *range(total["short"], total["items"], index_items)]
+    for start, stop in zip(starts, [*starts[1:], total["items"]]):
+        some = rows.filter((F.col("n") >= start) & (F.col("n") < stop))
         own = some.select("terms").mapInArrow(frequencies, "term bigint").distinct()
         known = dict(map(tuple, counts.join(own, "term", "left_semi").collect()))
         some = some.orderBy("n").select("item_id", "terms").collect()
@@ -126,8 +142,18 @@ def _index(items: list, counts: dict[int, int], n_items: int, mean: float) -> In
     all_terms = np.sort(np.array(list(counts), np.int64).view(np.uint64))
     df = np.array([counts[int(t)] for t in all_terms.view(np.int64)], np.float64)
     idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
-    blocks, parts = [], {}
-    for start in range(0, len(items), BLOCK_ITEMS):
+    blocks, parts, short = [], {}, {}
+
+    def impacts(at, tf, size):
+        return idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
+
+    for i, (_, own) in enumerate(items):
+        if len(own) < SHINGLE:
+            at, tf = np.unique(own, return_counts=True)
+            score = impacts(np.searchsorted(all_terms, at), tf, len(own)).sum()
+            short.setdefault(len(own), []).append((runs(own, len(own))[0], i, score))
+    short = {n: tuple(map(np.array, zip(*sorted(found)))) for n, found in short.items()}
+    for start in range(sum(len(own) < SHINGLE for _, own in items), len(items), BLOCK_ITEMS):
         some = items[start : start + BLOCK_ITEMS]
         terms = np.unique(np.concatenate([t for _, t in some]))
         place = np.searchsorted(all_terms, terms)
@@ -135,7 +161,7 @@ def _index(items: list, counts: dict[int, int], n_items: int, mean: float) -> In
         for i, (_, own) in enumerate(some):
             at, tf = np.unique(own, return_counts=True)
             rows = np.searchsorted(terms, at)
-            impact[rows, i] = idf[place[rows]] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean))
+            impact[rows, i] = impacts(place[rows], tf, len(own))
             # The smallest impacts, as many as stay below the need together, are no pivots.
             rows = rows[np.argsort(impact[rows, i])]
             below = np.cumsum(impact[rows, i]) < impact[:, i].sum() * RETRIEVE * (1 - 1e-9)
@@ -151,7 +177,7 @@ def _index(items: list, counts: dict[int, int], n_items: int, mean: float) -> In
                 impact.sum(axis=0) * RETRIEVE * (1 - 1e-9), max(len(t) for _, t in some),
             )
         )
-    return Index(all_terms, blocks, parts, [i for i, _ in items])
+    return Index(all_terms, blocks, parts, [i for i, _ in items], short)
 
 
 def _spread(first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,7 +194,7 @@ def retrieve(index: Index, first: np.ndarray, terms: np.ndarray) -> Iterator[tup
     hold a pivot of an item are its candidates; candidates stay while the block maxima of the
     passage's terms add up to what the item needs; what is left is scored, each term once.
     """
-    if not len(index.terms):
+    if not index.blocks:
         return
     place = np.searchsorted(index.terms, terms)
     place[place == len(index.terms)] = 0
@@ -210,10 +236,26 @@ def retrieve(index: Index, first: np.ndarray, terms: np.ndarray) -> Iterator[tup
             yield int(whose[k]), int(start[k]), int(end[k]), int(block.items[item[k]]), float(score[k])
 
 
+def short_matches(index: Index, first: np.ndarray, terms: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    """``text, item, score``: items shorter than a shingle whose whole run stands in a text."""
+    for size, (hashes, items, scores) in index.short.items():
+        found = runs(terms, size)
+        low, high = np.searchsorted(hashes, found), np.searchsorted(hashes, found, side="right")
+        at = np.nonzero(high > low)[0]
+        text = np.searchsorted(first, at, side="right") - 1
+        inside = at + size <= first[text + 1]
+        at, text = at[inside], text[inside]
+        which, place = _spread(low[at], high[at] - low[at])
+        for pair in np.unique(text[which] * len(items) + place).tolist():
+            yield pair // len(items), int(items[pair % len(items)]), float(scores[pair % len(items)])
+
+
 def matches(index: Index, texts: list[str]) -> list[dict[int, tuple]]:
     """For each text its items with ``(score, question, answer)``: retrieved and verified."""
     first, terms = term_lists(texts)
     out: list[dict[int, tuple]] = [{} for _ in texts]
+    for text, item, score in short_matches(index, first, terms):
+        out[text][item] = (score, 1.0, 1.0)
     for text, a, b, item, score in retrieve(index, first, terms):
         shares = [np.isin(own, shingles(terms[a:b], size)).mean() for size, own in index.parts[item]]
         if min(shares) >= OVERLAP:
@@ -226,13 +268,14 @@ def matches(index: Index, texts: list[str]) -> list[dict[int, tuple]]:
 def find_items(docs: DataFrame, items: DataFrame, index_items: int = INDEX_ITEMS) -> DataFrame:
     """All rows and columns of ``docs`` with ``items``: ``(item_id, score, question, answer)`` found.
 
-    Each item is matched by its words (runs of letters and digits, lower-cased).  The first two
-    thirds of an item are its question and the rest its answer; of both, ``OVERLAP`` of the
-    five-word shingles must stand in one passage.  Nothing is shuffled: tasks hold one index of
+    Each item is matched by its words (runs of letters and digits, lower-cased; single letters in
+    scripts without blanks between words).  The first two thirds of an item are its question and
+    the rest its answer; of both, ``OVERLAP`` of the five-word shingles must stand in one passage.
+    An item of fewer than five words is not cut in two: its words must stand in the text in a row.  Nothing is shuffled: tasks hold one index of
     bounded size, and benchmarks with more items take further passes over the texts.
 
-    Null and empty texts have no items.  Items of fewer than five words say too little and match
-    nothing; repeated items are found under each of their ids; null item ids stay null.  A column named items is replaced; rows
+    Null and empty texts have no items.  Items without a word match nothing; repeated items are
+    found under each of their ids; null item ids stay null.  A column named items is replaced; rows
     may repeat; without items, or documents, the lists or the result are empty.
     """
     ship(docs.sparkSession)

@@ -40,6 +40,22 @@ def _characters() -> tuple[np.ndarray, np.ndarray]:
     return kind, lower
 
 
+#: Scripts written without blanks between words: Thai and Lao, Burmese, Khmer, Han and kana.
+_UNSPACED = [
+    (0x0E00, 0x0F00), (0x1000, 0x10A0), (0x1780, 0x1800), (0x3005, 0x3008), (0x3040, 0x3100), (0x31F0, 0x3200),
+    (0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00), (0xFF66, 0xFFA0), (0x1AFF0, 0x1B170), (0x20000, _LAST),
+]
+
+
+@cache
+def _unspaced() -> np.ndarray:
+    """Whether each code point is a letter of a script without blanks between words."""
+    found = np.zeros(_LAST + 1, bool)
+    for low, high in _UNSPACED:
+        found[low:high] = True
+    return found & ((_characters()[0] & LETTER) != 0)
+
+
 @cache
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse, modulo 2**64."""
@@ -103,9 +119,12 @@ def _stretches(texts: list[str]) -> Iterator[tuple[str, list[int], list[int]]]:
         yield "\n".join(parts), owners, places
 
 
-def words(texts: list[str], part: int, columns: Callable[[Flat], dict[str, np.ndarray]]) -> Words:
+def words(
+    texts: list[str], part: int, columns: Callable[[Flat], dict[str, np.ndarray]], letters: bool = False
+) -> Words:
     """Maximal runs of characters of the kinds ``part``; ``columns`` gives arrays per word.
 
+    With ``letters`` each letter of a script without blanks between words is a word by itself.
     Texts of any length are worked on in stretches of about a million characters.
     """
     kinds, lower = _characters()
@@ -118,6 +137,11 @@ def words(texts: list[str], part: int, columns: Callable[[Flat], dict[str, np.nd
         inside = (kind & part) != 0
         edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
         start, end = np.nonzero(edge == 1)[0], np.nonzero(edge == -1)[0]
+        if letters and len(code) and code.max() >= _UNSPACED[0][0]:
+            alone = _unspaced()[code] & inside
+            border = inside[1:] & inside[:-1] & (alone[1:] | alone[:-1])
+            within = np.nonzero(border)[0] + 1
+            start, end = np.sort(np.concatenate([start, within])), np.sort(np.concatenate([end, within]))
         extra.append(columns(Flat(kind, lower[code], start, end)))
         places = np.array(places)
         begins = np.where(places < 0, 0, places)

@@ -237,3 +237,27 @@ def test_benchmark_items_keep_awkward_rows(spark, awkward):
     rest = [c for c in awkward.columns if c != "items"]
     assert rows_of(found, *rest) == rows_of(awkward, *rest)
     assert sum(len(r["items"]) > 0 for r in found.collect()) == 9
+
+
+def test_letters_of_unspaced_scripts_are_words():
+    first, terms = decontaminate.term_lists(["", "A股 中文x1 ひらカナ", "股", "ไทย a"])
+    assert np.diff(first).tolist() == [0, 9, 1, 4] and terms[9] == terms[1]
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    items = [
+        (1, "水的沸点是多少度？在海平面是一百度。"), (2, "日本の首都はどこですか。東京です"), (3, "Capital of France"), (4, "42"),
+        (5, "capital of france"), (6, "中文"), (7, "!?"), (8, "one two three four five six"), (9, "เมืองหลวงของไทย"),
+    ]
+    texts = {
+        1: "前言水的沸点是多少度在海平面是一百度后语", 2: "では、日本の首都はどこですか。東京ですよ", 3: "The CAPITAL, of France is", 4: "it is 42.",
+        5: "capital of all France", 6: "学中文吧", 7: "421 文中", 8: "x one two three four five six y", 9: "อยากรู้ว่าเมืองหลวงของไทยคืออะไร",
+        10: "capital of", 11: "france", 12: "42 " * 3000,
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    frame = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {1: {1}, 2: {2}, 3: {3, 5}, 4: {4}, 6: {6}, 8: {8}, 9: {9}, 12: {4}}
+    for index_items in (4096, 2):
+        rows = decontaminate.find_items(docs, frame, index_items).collect()
+        assert {r.doc_id: {x.item_id for x in r["items"]} for r in rows if r["items"]} == want
+        assert all(x.score > 0 and x.question >= 0.5 and x.answer >= 0.5 for r in rows for x in r["items"])
