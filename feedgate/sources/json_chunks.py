@@ -1,16 +1,17 @@
 """Cutting large JSON arrays at record borders, in parallel.
 
-The text is read in fragments that end at ``}``, so a file splits into byte blocks like any
-line-based file and every task sees its block's fragments in order.  Whether a ``}`` ends a
-record depends on all text before it: is the place inside a string, and how deep is it nested?
+The text is read in fragments that end at a comma, so a file splits into byte blocks like any
+line-based file and every task sees its block's fragments in order.  Whether a comma ends a record -
+an object, an array or a scalar - depends on all text before it: is the place inside a string, and
+how deep is it nested?
 Two passes over the text answer that without moving it:
 
 1. Every block is summed up in one row: does it flip the inside-a-string state, and by how much
    does it change the depth - for both states it may start in.  Running sums over those rows give
    the state in which each block really starts.
-2. Every block is cut where the text is outside strings and the depth is back to one.  What stands
-   between two cuts is a list of whole records and is parsed as a small array of its own.  Only
-   the pieces at block borders are put together by a shuffle.
+2. Every block is cut at commas outside strings at depth one.  What stands between two cuts is a
+   list of whole records and is parsed as a small array of its own; a record that is larger than
+   such a list stands alone.  Only the pieces at block borders are put together by a shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from feedgate.functions.json_fields import elements
 from feedgate.session import size_setting, work_dir
 from feedgate.sources.inventory import GLOBS
 
-#: A record above this size cannot become one variant; its document is refused.
+#: A record above this size cannot become one variant; it is an error.
 MAX_RECORD_BYTES = 64 * 1024 * 1024
 
 #: Records are cut off in lots of about this size.
@@ -31,6 +32,7 @@ PACK_BYTES = 64 * 1024
 MAX_BLOCKS = 500_000
 
 MALFORMED = "Malformed JSON document"
+OVERSIZED = "JSON record above the size limit"
 
 _KEY = ["file_id", "block"]
 
@@ -44,8 +46,8 @@ def _share(share: tuple[int, int]) -> Column:
 def _fragments(
     spark: SparkSession, path: str, above_bytes: int, glob: str | None, share: tuple[int, int]
 ) -> DataFrame:
-    """Text between closing braces.  Files go by the hash of their path: 8 bytes per fragment."""
-    reader = spark.read.option("pathGlobFilter", glob or GLOBS["json"]).option("lineSep", "}")
+    """Text between commas.  Files go by the hash of their path: 8 bytes per fragment."""
+    reader = spark.read.option("pathGlobFilter", glob or GLOBS["json"]).option("lineSep", ",")
     return (
         reader.text(path)
         .filter((F.col("_metadata.file_size") > above_bytes) & _share(share))
@@ -90,6 +92,9 @@ def _scanner(pack_bytes: int, max_bytes: int):
     import pyarrow as pa
     import pyarrow.compute as pc
 
+    # Lists of records stay below the limit: what exceeds it is one record.
+    pack_bytes = max(1, min(pack_bytes, max_bytes // 4))
+
     def runs(batches):
         """(key, batch) per stretch of one block; a block's batches follow each other."""
         for batch in batches:
@@ -104,8 +109,8 @@ def _scanner(pack_bytes: int, max_bytes: int):
     def marks(values):
         """Quote parity and bracket steps of the fragments.
 
-        Returns parity after each fragment (from 0), and the steps inside each fragment at
-        even and at odd parity.
+        Returns parity after each fragment (from 0), the steps inside each fragment at even and at
+        odd parity, and for both the places of closing brackets and the depth behind each.
         """
         offsets = np.frombuffer(values.buffers()[1], np.int32)[
             values.offset : values.offset + len(values) + 1
@@ -121,7 +126,7 @@ def _scanner(pack_bytes: int, max_bytes: int):
             first = np.append(0, last[:-1] + 1)
             escaped = slashes[last][(last - first) % 2 == 0] + 1
             quote[escaped[escaped < data.size]] = False
-        step = (((data == 123) | (data == 91)).astype(np.int8)) - (data == 93)
+        step = ((data == 123) | (data == 91)).astype(np.int8) - ((data == 125) | (data == 93))
         places = np.flatnonzero(quote | (step != 0))
         parity = np.bitwise_xor.accumulate(quote[places].view(np.uint8))
         steps = step[places].astype(np.int64)
@@ -132,42 +137,54 @@ def _scanner(pack_bytes: int, max_bytes: int):
             total = np.append(0, np.cumsum(of))[upto]
             return np.diff(np.append(0, total))
 
-        return after, per_fragment(steps * (parity == 0)), per_fragment(steps * (parity == 1))
+        def closing(side):
+            at = np.flatnonzero((parity == side) & (steps < 0))
+            return places[at], np.cumsum(steps * (parity == side))[at]
+
+        sides = [per_fragment(steps * (parity == side)) for side in (0, 1)]
+        return after, sides, [closing(side) for side in (0, 1)], ends
 
     def summaries(batches):
-        """One row per block: parity flip; depth change and lowest depth from outside / inside."""
+        """One row per block: parity flip; from outside / inside: depth change, lowest depth at the
+        commas, and behind closing brackets."""
         done, key = [], None
         for at, run in runs(batches):
             if at != key:
-                done.append([*at, 0, 0, 0, 1 << 40, 1 << 40])
+                done.append([*at, 0, 0, 0, *[1 << 40] * 4])
                 key = at
             row = done[-1]
-            after, even, odd = marks(run.column(2).cast(pa.binary()))
+            after, sides, closing, _ = marks(run.column(2).cast(pa.binary()))
             if row[2]:
-                after, even, odd = after ^ 1, odd, even
-            for start, steps in ((0, even), (1, odd)):
+                after, sides, closing = after ^ 1, sides[::-1], closing[::-1]
+            for start in (0, 1):
                 ends_outside = after == start
-                # The brace behind a fragment closes a level where the fragment ends outside.
-                deep = row[3 + start] + np.cumsum(steps - ends_outside)
+                shut = closing[start][1]
+                if shut.size:
+                    row[7 + start] = min(row[7 + start], row[3 + start] + int(shut.min()))
+                deep = row[3 + start] + np.cumsum(sides[start])
                 row[3 + start] = int(deep[-1])
                 if ends_outside.any():
                     row[5 + start] = min(row[5 + start], int(deep[ends_outside].min()))
             row[2] = int(after[-1])
-        names = ["file_id", "block", "odd", "from_out", "from_in", "low_out", "low_in"]
+        names = ["file_id", "block", "odd", "from_out", "from_in", "low_out", "low_in", "shut_out", "shut_in"]
         columns = list(zip(*done)) if done else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     def pieces(batches):
-        """The blocks' text between cuts; ``ended`` is 0 for what is left at a block's end."""
-        names = ["file_id", "block", "nth", "ended", "oversized", "lot", "text"]
-        key, rest = None, []
+        """The blocks' text between cuts; ``ended`` is 0 for what is left at a block's end.
+
+        Text behind the end of the array is dropped.
+        """
+        names = ["file_id", "block", "nth", "ended", "oversized", "lot", "head", "text"]
+        key, rest, held, shut = None, [], 0, False
 
-        def row(ended, text, oversized=0):
-            return (*key, nth, ended, oversized, lot + (nth > 0), text)
+        def row(ended):
+            text = None if held > max_bytes else text_of(rest)
+            return (*key, nth, ended, int(held > max_bytes), lot + (nth > 0), head, text)
 
         def out(rows):
             columns = list(zip(*rows))
-            types = [pa.int64()] * 6 + [pa.binary()]
+            types = [pa.int64()] * 7 + [pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)], names=names
             )
@@ -175,40 +192,58 @@ def _scanner(pack_bytes: int, max_bytes: int):
         def text_of(parts):
             values = pa.concat_arrays(parts)
             whole = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            return pc.binary_join(whole, pa.scalar(b"}", pa.binary()))[0].as_py()
+            return pc.binary_join(whole, pa.scalar(b",", pa.binary()))[0].as_py()
+
+        def size_of(values):
+            return (pc.sum(pc.binary_length(values)).as_py() or 0) + len(values)
 
         for at, run in runs(batches):
             ready = []
             if at != key:
-                if rest:
-                    ready.append(row(0, text_of(rest)))
-                key, rest, nth, total, last_lot = at, [], 0, 0, -1
+                if held:
+                    ready.append(row(0))
+                key, rest, held, nth, total, last_lot, shut = at, [], 0, 0, 0, -1, False
                 inside, depth, lot = (run.column(i)[0].as_py() for i in (3, 4, 5))
+                first = run.column(2)[0].as_py() if key[1] == 0 else b""
+                head = (bytes(first).lstrip(b" \t\r\n")[:1] or b"\0")[0]
+            if shut:
+                if ready:
+                    yield out(ready)
+                continue
             values = run.column(2).cast(pa.binary())
-            after, even, odd = marks(values)
+            after, sides, closing, ends = marks(values)
             ends_outside = (after ^ inside) == 0
-            deep = depth + np.cumsum((odd if inside else even) - ends_outside)
+            deep = depth + np.cumsum(sides[inside])
             filled = total + np.cumsum(pc.binary_length(values).to_numpy().astype(np.int64) + 1)
             cuts = np.flatnonzero(ends_outside & (deep == 1))
+            places, levels = closing[inside]
+            closed = np.flatnonzero(depth + levels <= 0)
+            if closed.size:  # the array's end: its fragment up to the bracket is the last text
+                place = int(places[closed[0]])
+                last = int(np.searchsorted(ends, place, side="right"))
+                begin = int(ends[last - 1]) if last else 0
+                tail = pa.array([values[last].as_py()[: place + 1 - begin]], pa.binary())
+                values, cuts, shut = pa.concat_arrays([values.slice(0, last), tail]), cuts[cuts < last], True
             start = 0
             if cuts.size:
-                # The first cut of the block, then the first one behind every lot's size.
+                # The first cut of the block, then the first one behind every lot's size; also the
+                # last one before a record above that size, which the next batch may bring.
                 lots = filled[cuts] // pack_bytes
-                for cut in cuts[lots > np.append(last_lot, lots[:-1])].tolist():
+                chosen = (lots > np.append(last_lot, lots[:-1])) | np.append(np.diff(filled[cuts]) > pack_bytes, True)
+                for cut in cuts[chosen].tolist():
                     rest.append(values.slice(start, cut + 1 - start))
-                    ready.append(row(1, text_of(rest)))
-                    rest, start, nth = [], cut + 1, nth + 1
+                    held += size_of(rest[-1])
+                    ready.append(row(1))
+                    rest, held, start, nth = [], 0, cut + 1, nth + 1
                 last_lot = int(lots[-1])
             if start < len(values):
-                rest.append(values.slice(start))
-            if sum(part.nbytes for part in rest) > max_bytes:
-                ready.append(row(0, None, 1))
-                rest = []
+                held += size_of(values.slice(start))
+                rest = [*rest, values.slice(start)] if held <= max_bytes else []
             inside, depth, total = int(after[-1]) ^ inside, int(deep[-1]), int(filled[-1])
             if ready:
                 yield out(ready)
-        if rest:
-            yield out([row(0, text_of(rest))])
+        if held:
+            yield out([row(0)])
 
     return summaries, pieces
 
@@ -230,13 +265,20 @@ def _block_starts(summaries: DataFrame) -> DataFrame:
         {
             "step": F.when(from_outside, F.col("from_out")).otherwise(F.col("from_in")),
             "low": F.when(from_outside, F.col("low_out")).otherwise(F.col("low_in")),
+            "shut": F.when(from_outside, F.col("shut_out")).otherwise(F.col("shut_in")),
         }
     )
-    # Records end at depth one, the lowest a brace of a complete array leads to.
-    based = sided.withColumn("base", _before("step")).withColumn(
-        "cut", (F.col("base") + F.col("low") <= 1).cast("int")
+    # Records end at depth one, the lowest a comma of a complete array stands at.
+    based = sided.withColumn("base", _before("step")).withColumns(
+        {
+            "cut": (F.col("base") + F.col("low") <= 1).cast("int"),
+            "closes": (F.col("base") + F.col("shut") <= 0).cast("int"),
+        }
     )
-    return based.select(*_KEY, "inside", "base", _before("cut").alias("lot"))
+    starts = based.select(
+        *_KEY, "inside", "base", _before("cut").alias("lot"), _before("closes").alias("closed")
+    )
+    return starts.filter("closed = 0").drop("closed")  # what follows the array is not read
 
 
 def read_chunks(
@@ -250,9 +292,10 @@ def read_chunks(
 ) -> DataFrame:
     """Lots of whole records as raw text, of one share of the documents above a size.
 
-    Columns ``_source_file, _source_time, block, seq, ended, text``.  In a complete document
-    exactly one chunk, the rest after the last record, has ``ended = 0``.  ``text`` is NULL
-    where a stretch without a record border is too long.
+    Columns ``_source_file, _source_time, block, seq, ended, head, text``.  In a complete document
+    exactly one chunk, the last record with the closing bracket, has ``ended = 0``.  ``text`` is
+    NULL for a record that is too long.  ``head`` of the first chunk is the document's first byte
+    that is no white space, or 0.
     """
     summarise, cut = _scanner(pack_bytes, max_record_bytes)
     fragments = _fragments(spark, path, above_bytes, glob, share)
@@ -260,7 +303,7 @@ def read_chunks(
         fragments.mapInArrow(
             summarise,
             "file_id long, block long, odd long, from_out long, from_in long, "
-            "low_out long, low_in long",
+            "low_out long, low_in long, shut_out long, shut_in long",
         )
     )
     # Broadcast, as the fragments of a block must stay together and in order.  See ``shares``.
@@ -269,7 +312,7 @@ def read_chunks(
     )
     pieces = placed.mapInArrow(
         cut,
-        "file_id long, block long, nth long, ended long, oversized long, lot long, text binary",
+        "file_id long, block long, nth long, ended long, oversized long, lot long, head long, text binary",
     ).withColumn("text", F.col("text").cast("string"))
     files = (
         _files(spark, path, above_bytes, glob)
@@ -284,17 +327,17 @@ def read_chunks(
     return (
         _joined_borders(pieces, max_record_bytes)
         .join(F.broadcast(files), "file_id")
-        .select("_source_file", "_source_time", "block", F.col("nth").alias("seq"), "ended", "text")
+        .select("_source_file", "_source_time", "block", F.col("nth").alias("seq"), "ended", "head", "text")
     )
 
 
 def _joined_borders(pieces: DataFrame, max_record_bytes: int) -> DataFrame:
     """Put together the pieces of lots that reach over block borders."""
     inner = (F.col("nth") > 0) & (F.col("ended") == 1)
-    whole = pieces.filter(inner).select("file_id", "block", "nth", "ended", "text")
+    whole = pieces.filter(inner).select("file_id", "block", "nth", "ended", "head", "text")
     # Size first, text second: text without a record border could be as long as the file.
     in_lot = Window.partitionBy("file_id", "lot")
-    size = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(in_lot)
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(in_lot)
     sized = pieces.filter(~inner).withColumn("size", size)
     fits = (F.col("size") <= max_record_bytes) & (F.col("oversized") == 0)
     kept = F.when(fits, F.col("text")).alias("text")
@@ -303,14 +346,15 @@ def _joined_borders(pieces: DataFrame, max_record_bytes: int) -> DataFrame:
         .agg(
             F.max("ended").alias("ended"),
             F.bool_and(fits).alias("fits"),
-            F.sort_array(F.collect_list(F.struct("block", "nth", kept))).alias("parts"),
+            F.sort_array(F.collect_list(F.struct("block", "nth", "head", kept))).alias("parts"),
         )
         .select(
             "file_id",
             F.col("parts")[0]["block"].alias("block"),
             F.col("parts")[0]["nth"].alias("nth"),
             "ended",
-            F.when(F.col("fits"), F.array_join(F.col("parts")["text"], "}")).alias("text"),
+            F.col("parts")[0]["head"].alias("head"),
+            F.when(F.col("fits"), F.array_join(F.col("parts")["text"], ",")).alias("text"),
         )
     )
     return whole.unionByName(merged)
@@ -322,6 +366,7 @@ def staged_chunks(
     above_bytes: int = -1,
     glob: str | None = None,
     pack_bytes: int = PACK_BYTES,
+    max_record_bytes: int = MAX_RECORD_BYTES,
 ) -> DataFrame:
     """The chunks of all documents above a size, written once below the work folder.
 
@@ -330,7 +375,7 @@ def staged_chunks(
     """
     out = work_dir(spark, "json-chunks")
     for share in shares(spark, path, above_bytes, glob):
-        chunks = read_chunks(spark, path, above_bytes, glob, share, pack_bytes)
+        chunks = read_chunks(spark, path, above_bytes, glob, share, pack_bytes, max_record_bytes)
         chunks.write.mode("append").parquet(out)
     return spark.read.parquet(out)
 
@@ -338,7 +383,7 @@ def staged_chunks(
 def other_documents(chunks: DataFrame) -> list[str]:
     """Files whose document is no array: a single record, or malformed.  Their names only."""
     first = (F.col("block") == 0) & (F.col("seq") == 0)
-    found = chunks.filter(first & F.col("text").rlike(r"^\s*+[^\s\[]")).select("_source_file")
+    found = chunks.filter(first & ~F.col("head").isin(0, ord("["))).select("_source_file")
     return sorted(r._source_file for r in found.toLocalIterator())
 
 
@@ -352,14 +397,11 @@ def element_text(chunks: DataFrame) -> DataFrame:
     NULL where the text around the elements is not that of an array.
     """
     first = (F.col("block") == 0) & (F.col("seq") == 0)
-    opened = (
-        F.when(first, F.col("text").rlike(r"^\s*+\["))
-        .when(F.col("ended") == 1, F.col("text").rlike(r"^\s*+,"))
-        .otherwise(F.col("text").rlike(r"^\s*+[,\]]"))
-    )
-    body = F.regexp_replace("text", r"^\s*+[\[,]", "")
-    closed = F.concat(body, F.when(F.col("ended") == 1, "}").otherwise(""))
-    return chunks.withColumn("elements", F.when(opened, closed))
+    body = F.when(first, F.regexp_replace("text", r"^\s*+\[", "")).otherwise(F.col("text"))
+    # A list of records is not blank; before the closing bracket only that of an empty array is.
+    sound = F.when(F.col("ended") == 1, ~body.rlike(r"^\s*+$")).otherwise(first | ~body.rlike(r"^\s*+\]"))
+    opened = ~first | F.col("text").rlike(r"^\s*+\[")
+    return chunks.withColumn("elements", F.when(opened & sound, body))
 
 
 def raw_elements(chunks: DataFrame) -> DataFrame:
@@ -381,14 +423,20 @@ def parsed_elements(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("records", F.from_json(wrapped, "array<variant>"))
 
 
-def broken_arrays(chunks: DataFrame) -> DataFrame:
-    """Files with a chunk that cannot be parsed, or cut off before their closing bracket."""
+def broken_arrays(chunks: DataFrame, refuse_oversized: bool = True) -> DataFrame:
+    """Files with a chunk that cannot be parsed, or cut off before their closing bracket.
+
+    Records that are too long count as such only with ``refuse_oversized``.
+    """
     parsed = parsed_elements(element_text(chunks))
+    bad = F.col("records").isNull()
+    if not refuse_oversized:
+        bad &= F.col("text").isNotNull()
     return (
         parsed.groupBy("_source_file")
         .agg(
             F.min("ended").alias("ended"),
-            F.count_if(F.col("records").isNull()).alias("bad"),
+            F.count_if(bad).alias("bad"),
             F.max("_source_time").alias("_source_time"),
         )
         .filter("ended = 1 or bad > 0")
@@ -396,14 +444,15 @@ def broken_arrays(chunks: DataFrame) -> DataFrame:
     )
 
 
-def records(chunks: DataFrame) -> DataFrame:
+def records(chunks: DataFrame, refuse_oversized: bool = True) -> DataFrame:
     """Records of written chunks of arrays, in the shape of ``read_json_feed``.
 
     An array with a malformed chunk gives one error and no records, as if it were parsed whole.
+    A record that is too long refuses its array likewise, or is an error by itself.
     """
     spark = chunks.sparkSession
     path = work_dir(spark, "json-broken")
-    broken_arrays(chunks).write.parquet(path)
+    broken_arrays(chunks, refuse_oversized).write.parquet(path)
     broken = spark.read.parquet(path)  # Spark broadcasts the names if their files are small
     whole = chunks.join(broken.select("_source_file"), "_source_file", "left_anti")
     parsed = (
@@ -431,4 +480,15 @@ def records(chunks: DataFrame) -> DataFrame:
         # columns while planning, and fail there on casts that no row may ever reach.
         F.try_parse_json("_source_file").alias("record"),
     )
+    if not refuse_oversized:
+        long = whole.filter(F.col("text").isNull())
+        failed = failed.unionByName(
+            long.select(
+                "_source_file",
+                F.struct(F.col("_source_file").alias("file"), "block", "seq", F.lit(0).alias("pos")).alias("_at"),
+                "_source_time",
+                F.lit(OVERSIZED).alias("_doc_error"),
+                F.try_parse_json("_source_file").alias("record"),
+            )
+        )
     return parsed.unionByName(failed)

@@ -58,15 +58,20 @@ def read_json_feed(
 
 
 def read_large_documents(
-    spark: SparkSession, path: str, above_bytes: int, glob: str | None = None
+    spark: SparkSession,
+    path: str,
+    above_bytes: int,
+    glob: str | None = None,
+    max_record_bytes: int = json_chunks.MAX_RECORD_BYTES,
 ) -> DataFrame:
     """Records of all documents above a size: arrays cut at record borders, others parsed whole.
 
+    A record of an array above ``max_record_bytes`` is an error in its place; the others load.
     What is no array is one record, which has to fit into one task whatever is done with it.
     """
-    chunks = json_chunks.staged_chunks(spark, path, above_bytes, glob)
+    chunks = json_chunks.staged_chunks(spark, path, above_bytes, glob, max_record_bytes=max_record_bytes)
     others = json_chunks.other_documents(chunks)
-    found = json_chunks.records(json_chunks.arrays_only(chunks, others))
+    found = json_chunks.records(json_chunks.arrays_only(chunks, others), refuse_oversized=False)
     if not others:
         return found
     # A condition on paths: Spark opens no other file.

@@ -247,3 +247,37 @@ def test_documents_of_all_kinds_whole_and_cut(spark, write):
         return [tuple(r) for r in rows.collect()]
 
     assert read(0) == read(1 << 30) and len(read(0)) == 13
+
+
+def _read_cut(session, folder, most):
+    feed = json_feed.read_large_documents(session, folder, -1, max_record_bytes=most)
+    rows = feed.orderBy("_at").select("_source_file", "_doc_error", F.to_json("record").alias("j"))
+    return [tuple(r) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("block", [200, 1 << 30])
+def test_any_array_has_borders_and_objects_are_tried_whole(spark, write, block):
+    made = {
+        "scalars.json": json.dumps([*range(3000), "a,]", None, True]), "nested.json": json.dumps([[i, [{"a": [i]}]] for i in range(500)]),
+        "one.json": json.dumps({"all": [{"a": i} for i in range(500)]}), "text.json": json.dumps("x," * 2000),
+        "empty.json": "[ ]", "tail.json": "[1, 2] 3, [4", "comma.json": "[1,2,]", "blank.json": "[1,,2]", "first.json": "[,1]",
+        "open.json": "[1,2", "open2.json": "[1,2,", "braces.json": "[1,2}, 3]", "tab.json": "\n[1\n,\t[2]\n]\n",
+    }
+    folder = write("feed", made)
+    whole = json_feed.read_json_feed(spark, folder, max_document_bytes=1 << 30)
+    rows = whole.orderBy("_at").select("_source_file", "_doc_error", F.to_json("record").alias("j"))
+    assert _read_cut(block_session(spark, block), folder, 1000) == [tuple(r) for r in rows.collect()]
+
+
+@pytest.mark.parametrize("block", [300, 1 << 30])
+def test_only_the_oversized_record_is_an_error(spark, write, block):
+    sizes = [10, 10, 5000, 10, 900, 10, 7000, 8000, 10, 6000]
+    records = [{"i": i, "a": "x, " * (n // 3)} for i, n in enumerate(sizes)]
+    folder = write("feed", {"a.json": json.dumps(records), "b.json": json.dumps([records[2], 1, 2]), "c.json": json.dumps([records[2]])})
+    found = {}
+    for path, error, text in _read_cut(block_session(spark, block), folder, 2000):
+        found.setdefault(path[-6:], []).append(error or json.loads(text))
+    assert found == {
+        "a.json": [json_chunks.OVERSIZED if n > 2000 else r for n, r in zip(sizes, records)],
+        "b.json": [json_chunks.OVERSIZED, 1, 2], "c.json": [json_chunks.OVERSIZED],
+    }
