@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedgate.llm.common import staged
+from feedgate.session import work_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Levels of the tree; what is deeper is one last segment.
+#: Levels that the SQL counterpart writes out; the operator's tree has as many as its paths.
 DEPTH = 4
 #: A level with this many different segments is variable: segments below ``RARE`` of it are wild.
 MANY = 8
@@ -46,10 +48,10 @@ def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def shape(path: Column) -> Column:
-    """Segments of a path, at most ``DEPTH``; runs of digits and long hexadecimal names as signs."""
+    """Segments of a path; runs of digits and long hexadecimal names as signs."""
     known = F.regexp_replace(path, "(^|/|-|_)[0-9a-fA-F]{16,}(/|-|_|[.]|$)", "$1{hex}$2")
     known = F.regexp_replace(known, "[0-9]+", "{n}")
-    return F.split(F.regexp_replace(known, "^/", ""), "/", DEPTH)
+    return F.split(F.regexp_replace(known, "^/", ""), "/", -1)
 
 
 def path_templates(urls: DataFrame) -> DataFrame:
@@ -59,25 +61,35 @@ def path_templates(urls: DataFrame) -> DataFrame:
     template so far, segments are counted; where there are ``MANY`` different ones, those with less
     than ``RARE`` of the rows become a wildcard, and paths that are now alike share what follows.
     Each level counts per task first and joins the counts back by (host, template, segment); a hot
-    host's join is split by adaptive execution.
+    host's join is split by adaptive execution.  Below a template with fewer than ``MANY`` shapes
+    nothing can become a wildcard, so they end there with all their segments; only others go on.
     """
+    spark, path = urls.sparkSession, work_dir(urls.sparkSession, "url-tree")
     tree = urls.withColumn("template", F.lit("")).withColumn("parent", F.lit(""))
-    for level in range(DEPTH):
+    for level in count():
         here = tree.withColumn("segment", F.get("segments", F.lit(level)))
-        at = here.filter("segment is not null").groupBy("host", "template", "segment").agg(F.sum("rows").alias("n"))
-        below = at.groupBy("host", "template").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"))
+        at = here.groupBy("host", "template", "segment").agg(F.sum("rows").alias("n"), F.count(F.lit(1)).alias("shapes"))
+        below = at.groupBy("host", "template").agg(
+            F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds"), F.sum("shapes").alias("below")
+        )
         wild = (F.col("kinds") >= MANY) & (F.col("n") < F.col("all") * RARE)
         names = at.join(below, ["host", "template"]).select(
-            "host", "template", "segment", F.when(wild, F.lit("*")).otherwise(F.col("segment")).alias("name")
+            "host", "template", "segment", F.when(wild, F.lit("*")).otherwise(F.col("segment")).alias("name"),
+            (F.col("below") < MANY).alias("few"),
         )
-        deeper = F.concat("template", F.lit("/"), "name")
-        tree = here.join(names, ["host", "template", "segment"], "left").select(
+        rest = F.slice("segments", F.lit(level + 1), F.size("segments") - level)
+        before = F.slice("segments", F.lit(level + 1), F.size("segments") - level - 1)
+        joined = here.join(names, ["host", "template", "segment"]).select(
             "host", "segments", "rows", "labelled", "bad",
-            F.coalesce(deeper, "template").alias("template"),
-            F.when(F.col("name").isNotNull(), F.col("template")).otherwise(F.col("parent")).alias("parent"),
+            F.concat("template", F.lit("/"), F.when(F.col("few"), F.array_join(rest, "/")).otherwise(F.col("name"))).alias("template"),
+            F.when(F.col("few") & (F.size(before) > 0), F.concat("template", F.lit("/"), F.array_join(before, "/")))
+            .otherwise(F.col("template")).alias("parent"),
+            (~F.col("few") & (F.size("segments") > level + 1)).alias("more"),
         )
-        tree = staged(tree, "url-tree")
-    return tree
+        joined.write.parquet(f"{path}/level={level}")
+        tree = spark.read.schema(joined.schema).parquet(f"{path}/level={level}").filter("more").drop("more")
+        if tree.isEmpty():
+            return spark.read.schema(joined.schema).parquet(path).filter("not more").drop("more", "level")
 
 
 def judged_templates(tree: DataFrame) -> DataFrame:

@@ -68,3 +68,19 @@ def test_awkward_urls(spark):
     assert url_filter.judge_urls(frame.filter("page_id > 99"), URL_RULES).count() == 0
     unruled = url_filter.judge_urls(frame, []).collect()
     assert {r.purity for r in unruled} == {0.5} and {r.verdict for r in unruled} == {"block"}
+
+
+def test_branches_at_any_depth(spark):
+    slugs = [a + b for a in "abcdefgh" for b in "vwxyz"]
+    rules = [(v, "h.net", f"/a/b/c/{s}/{t}") for s in slugs[:12] for v, t in (("block", "ads"), ("allow", "news"))]
+    urls = [f"http://h.net/a/b/c/{s}/{t}" for s in slugs for t in ("ads", "news")]
+    deep = "/".join(["d"] * 5) + "/{}/e/f"
+    urls += ["http://g.net/" + deep.format(s) for s in slugs] + ["http://g.net/" + "/".join("xyxyxyxy"), "http://g.net/p/q/r/s//"]
+    told = {r.url: r for r in url_filter.judge_urls(pages_of(spark, urls), rules).collect()}
+    for s in slugs:
+        ads, news = (told[f"http://h.net/a/b/c/{s}/{t}"] for t in ("ads", "news"))
+        assert (ads.template, news.template) == ("/a/b/c/*/ads", "/a/b/c/*/news")
+        assert (ads.verdict, news.verdict) == ("block", "allow")
+        assert told["http://g.net/" + deep.format(s)].template == "/" + deep.format("*")
+    assert told["http://g.net/x/y/x/y/x/y/x/y"].template == "/x/y/x/y/x/y/x/y"
+    assert told["http://g.net/p/q/r/s//"].template == "/p/q/r/s//"
