@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from feedgate.llm import words as text_words
-from feedgate.llm.common import staged
+from feedgate.llm.common import in_order, staged, with_rank
 from feedgate.llm.files import ship
 from feedgate.llm.mph import mix
 from feedgate.llm.words import DIGIT, LETTER, Flat
@@ -115,9 +115,9 @@ def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[
     Document frequencies are counted over all items; an index is collected when it is used, so the
     driver and the tasks hold one at a time, whatever the number of items.
     """
-    rows = item_rows(items).withColumn("size", F.length("terms") / 8)
-    by_length = Window.orderBy("size", "item_id", "terms")  # test items, not the corpus
-    rows = staged(rows.withColumn("n", F.row_number().over(by_length) - 1), "benchmark-items")
+    rows = item_rows(items).withColumn("size", F.expr("length(terms) div 8"))
+    placed = in_order(rows, [F.col("size"), F.col("item_id"), F.col("terms")], "benchmark-order")
+    rows = staged(with_rank(placed, "n"), "benchmark-items")
     total = rows.agg(
         F.count(F.lit(1)).alias("items"), F.avg("size").alias("length"), F.count_if(F.col("size") < SHINGLE).alias("short")
     ).first()

@@ -261,3 +261,13 @@ def test_short_and_unspaced_items_are_found(spark):
         rows = decontaminate.find_items(docs, frame, index_items).collect()
         assert {r.doc_id: {x.item_id for x in r["items"]} for r in rows if r["items"]} == want
         assert all(x.score > 0 and x.question >= 0.5 and x.answer >= 0.5 for r in rows for x in r["items"])
+
+
+def test_items_are_numbered_without_a_window_over_all(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "Window", None, raising=False)
+    rng = random.Random(4)
+    rows = [(i if i % 9 else None, prose(rng, rng.randint(1, 30))) for i in range(100)]
+    frame = spark.createDataFrame(rows, "item_id bigint, text string").repartition(7)
+    got = [(i, len(x.ids)) for x in decontaminate.build_indexes(frame, 40) for i in x.ids]
+    want = sorted(rows, key=lambda r: (len(r[1].split()), r[0] is not None, r[0] or 0))
+    assert [i for i, _ in got] == [i for i, _ in want] and max(n for _, n in got) <= 40
