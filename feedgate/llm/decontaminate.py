@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from feedgate.llm import words as text_words
-from feedgate.llm.common import in_order, staged, with_rank
+from feedgate.llm.common import in_order, staged, with_rank, with_running
 from feedgate.llm.files import ship
 from feedgate.llm.mph import mix
 from feedgate.llm.words import DIGIT, LETTER, Flat
+from feedgate.session import work_dir
 
 #: BM25's saturation and length weight.
 K1, B = 1.2, 0.75
@@ -24,9 +26,10 @@ SHINGLE = 5
 OVERLAP = 0.5
 #: Share of an item's words that are its question, where the table has no columns for it.
 QUESTION = 2 / 3
-#: Items of a block and of one index; more items take several indexes, each of bounded size.
+#: Items of a block, and items and about how many terms of one index; more take several indexes.
 BLOCK_ITEMS = 32
 INDEX_ITEMS = 4096
+INDEX_TERMS = 1 << 18
 
 
 def _hashes(flat: Flat) -> dict[str, np.ndarray]:
@@ -65,13 +68,13 @@ def part(terms: np.ndarray) -> tuple[int, np.ndarray]:
 class Block:
     """Items of like length.
 
-    ``row[t]`` is the place of the index's term t among the block's terms, or -1; ``impact[r, i]``
-    what it adds to item i.  ``pivots`` are the items, from ``first_pivot[r]`` on, that need term r
+    ``place[r]`` is the place of the block's term r among the index's terms; ``impact[r, i]`` what it
+    adds to item i.  ``pivots`` are the items, from ``first_pivot[r]`` on, that need term r
     or another of their pivots: all their other terms together stay below what they need.
     """
 
     items: np.ndarray
-    row: np.ndarray
+    place: np.ndarray
     impact: np.ndarray
     first_pivot: np.ndarray
     pivots: np.ndarray
@@ -109,15 +112,20 @@ def item_rows(items: DataFrame) -> DataFrame:
     return found.filter(F.length("terms") > 0).distinct()
 
 
-def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[Index]:
+def build_indexes(
+    items: DataFrame, index_items: int = INDEX_ITEMS, index_terms: int = INDEX_TERMS
+) -> Iterator[Index]:
     """Indexes of at most ``index_items`` items each, in order of length; short items apart.
 
+    The terms of an index's items, but for the last one, are at most ``index_terms``.
+
     Document frequencies are counted over all items; an index is collected when it is used, so the
     driver and the tasks hold one at a time, whatever the number of items.
     """
     rows = item_rows(items).withColumn("size", F.expr("length(terms) div 8"))
     placed = in_order(rows, [F.col("size"), F.col("item_id"), F.col("terms")], "benchmark-order")
-    rows = staged(with_rank(placed, "n"), "benchmark-items")
+    ranked = with_rank(placed.withColumn("_place", F.col("_at")), "n").withColumnRenamed("_place", "_at")
+    rows = staged(with_running(ranked, "size", "upto"), "benchmark-items")
     total = rows.agg(
         F.count(F.lit(1)).alias("items"), F.avg("size").alias("length"), F.count_if(F.col("size") < SHINGLE).alias("short")
     ).first()
@@ -129,7 +137,12 @@ def build_indexes(items: DataFrame, index_items: int = INDEX_ITEMS) -> Iterator[
 
     counts = rows.select("terms").mapInArrow(frequencies, "term bigint").groupBy("term").count()
     counts = staged(counts, "benchmark-terms")
-    starts = [*range(0, total["short"], index_items), *range(total["short"], total["items"], index_items)]
+    long = F.col("n") >= total["short"]
+    nth = F.floor((F.col("n") - F.when(long, total["short"]).otherwise(0)) / index_items)
+    terms_before = F.floor((F.col("upto") - F.col("size")) / index_terms)
+    # One number per index: each starts where a bound is passed.
+    found = rows.groupBy(long, nth, terms_before).agg(F.min("n").alias("start")).select("start").collect()
+    starts = sorted(r["start"] for r in found)
     for start, stop in zip(starts, [*starts[1:], total["items"]]):
         some = rows.filter((F.col("n") >= start) & (F.col("n") < stop))
         own = some.select("terms").mapInArrow(frequencies, "term bigint").distinct()
@@ -168,12 +181,10 @@ def _index(items: list, counts: dict[int, int], n_items: int, mean: float) -> In
             pivot[rows[~below], i] = True
             cut = round(len(own) * QUESTION)
             parts[start + i] = (part(own[:cut]), part(own[cut:]))
-        row = np.full(len(all_terms), -1)
-        row[place] = np.arange(len(terms))
         first = np.concatenate([[0], np.cumsum(pivot.sum(axis=1))])
         blocks.append(
             Block(
-                np.arange(start, start + len(some)), row, impact, first, np.nonzero(pivot)[1],
+                np.arange(start, start + len(some)), place, impact, first, np.nonzero(pivot)[1],
                 impact.sum(axis=0) * RETRIEVE * (1 - 1e-9), max(len(t) for _, t in some),
             )
         )
@@ -206,8 +217,11 @@ def retrieve(index: Index, first: np.ndarray, terms: np.ndarray) -> Iterator[tup
     before[order[1:][again]] = at[order[:-1][again]]
     text = np.searchsorted(first, at, side="right") - 1
     size = np.diff(first)
+    row_of = np.full(len(index.terms), -1)  # of the block at hand; one array for all of them
     for block in index.blocks:
-        row = block.row[place]
+        row_of[block.place] = np.arange(len(block.place))
+        row = row_of[place]
+        row_of[block.place] = -1
         inside = row >= 0
         hit, row, last, owner = at[inside], row[inside], before[inside], text[inside]
         step = block.words
@@ -265,14 +279,17 @@ def matches(index: Index, texts: list[str]) -> list[dict[int, tuple]]:
     return out
 
 
-def find_items(docs: DataFrame, items: DataFrame, index_items: int = INDEX_ITEMS) -> DataFrame:
+def find_items(
+    docs: DataFrame, items: DataFrame, index_items: int = INDEX_ITEMS, index_terms: int = INDEX_TERMS
+) -> DataFrame:
     """All rows and columns of ``docs`` with ``items``: ``(item_id, score, question, answer)`` found.
 
     Each item is matched by its words (runs of letters and digits, lower-cased; single letters in
     scripts without blanks between words).  The first two thirds of an item are its question and
     the rest its answer; of both, ``OVERLAP`` of the five-word shingles must stand in one passage.
-    An item of fewer than five words is not cut in two: its words must stand in the text in a row.  Nothing is shuffled: tasks hold one index of
-    bounded size, and benchmarks with more items take further passes over the texts.
+    An item of fewer than five words is not cut in two: its words must stand in the text in a row.  With one index nothing is shuffled.  More are
+    used one after the other, so that tasks hold one at a time: the documents are written once with
+    row numbers, what each index finds is written as rows, and these are joined to the documents.
 
     Null and empty texts have no items.  Items without a word match nothing; repeated items are
     found under each of their ids; null item ids stay null.  A column named items is replaced; rows
@@ -283,10 +300,32 @@ def find_items(docs: DataFrame, items: DataFrame, index_items: int = INDEX_ITEMS
     kind = items.schema["item_id"].dataType
     found = T.ArrayType(T.StructType().add("item_id", kind).add("score", "double").add("question", "double").add("answer", "double"))
     schema = T.StructType([*own, T.StructField("items", found)])
-    out = docs.select(*[F.col(f"`{f.name}`") for f in own]).withColumn("items", F.array().cast(found))
-    for index in build_indexes(items, index_items):
-        out = out.mapInArrow(_finder(docs.sparkSession.sparkContext.broadcast(index)), schema)
-    return out
+    context = docs.sparkSession.sparkContext
+    out = docs.select(*[F.col(f"`{f.name}`") for f in own])
+    none = F.array().cast(found)
+    indexes = build_indexes(items, index_items, index_terms)
+    index, further = next(indexes, None), next(indexes, None)
+    if further is None:
+        out = out.withColumn("items", none)
+        return out if index is None else out.mapInArrow(_finder(context.broadcast(index)), schema)
+    key = "_row"
+    while key in out.columns:
+        key += "_"
+    out = staged(out.withColumn(key, F.monotonically_increasing_id()), "benchmark-documents")
+    texts = out.select(F.col(f"`{key}`").alias("row"), "text").withColumn("items", none)
+    # Texts stay behind: a hit is a row number, the index's number and the items.
+    hits, path = T.StructType().add("row", "long").add("nth", "integer").add("items", found), work_dir(docs.sparkSession, "benchmark-hits")
+    for nth, index in enumerate(chain([index, further], indexes)):
+        shared = context.broadcast(index)
+        some = texts.mapInArrow(_finder(shared), texts.schema).filter(F.size("items") > 0)
+        some.select("row", F.lit(nth).alias("nth"), "items").write.mode("append").parquet(path)
+        shared.destroy()
+    every = F.array_sort(F.collect_list(F.struct("nth", "items")))
+    lists = docs.sparkSession.read.schema(hits).parquet(path).groupBy(F.col("row").alias(key)).agg(
+        F.flatten(every["items"]).alias("items")
+    )
+    joined = out.join(lists, key, "left")
+    return joined.select(*[F.col(f"`{f.name}`") for f in own], F.coalesce("items", none).alias("items"))
 
 
 def _finder(shared):

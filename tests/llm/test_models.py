@@ -271,3 +271,18 @@ def test_items_are_numbered_without_a_window_over_all(spark, monkeypatch):
     got = [(i, len(x.ids)) for x in decontaminate.build_indexes(frame, 40) for i in x.ids]
     want = sorted(rows, key=lambda r: (len(r[1].split()), r[0] is not None, r[0] or 0))
     assert [i for i, _ in got] == [i for i, _ in want] and max(n for _, n in got) <= 40
+
+
+def test_tasks_hold_one_index_of_bounded_terms(spark, awkward):
+    rng = random.Random(9)
+    rows = [(i, prose(rng, rng.randint(1, 60))) for i in range(60)] + [(70, "a line that stands in many documents over and over"), (None, "over and over")]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    sizes = [len(x.terms) for x in decontaminate.build_indexes(items, 4096, 100)]
+    assert len(sizes) > 5 and max(sizes) <= 160
+    one, many = (decontaminate.find_items(awkward, items, 4096, t) for t in (1 << 18, 100))
+    assert one.schema == many.schema
+    # Scores depend on the passages, which depend on the items of a block.
+    rest = [F.col(c) if c != "items" else F.array_sort("items.item_id").alias(c) for c in one.columns]
+    assert rows_of(many, *rest) == rows_of(one, *rest) and many.filter(F.size("items") > 0).count() > 8
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan  # each index was used and let go
