@@ -205,6 +205,120 @@ from g join {last} using (host, segments)
        join pooled on pooled.host = g.host and pooled.branch = branches.branch
 """
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_RUNS = rf"""
+with crc as (
+  select list(list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+              lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) order by i) as t
+  from (select unnest(range(0, 256))::bigint as i)
+), d as (
+  select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') as w,
+         list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::varchar, ''))), '..'), lambda x: ('0x' || x)::bigint) as bytes
+  from documents
+), h as (
+  select row, doc_id, w, len(w) as n,
+         xor(list_reduce([4294967295::bigint] || bytes, lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) as h
+  from d, crc
+), p as (
+  select *, case when n > 0 and h % 10 = 0 then (h // 10) % n end as a, h // 10 as g from h
+), x as (
+  select row, doc_id, case when a is null then w
+         else w[:a] || list_transform(range(0, n - a), lambda i: w[a + i % (1 + (n - a) // (3 + g % 8)) + 1]) end as w
+  from p
+), v as (
+  select row, unnest(w) as word, generate_subscripts(w, 1) - 1 as i from x
+), grams as (
+  select row, unnest(range(0, len(w) - 5)) as i, unnest(list_transform(range(1, len(w) - 4), lambda k: array_to_string(w[k:k + 5], ' '))) as gram
+  from x where len(w) >= 6
+), matches as (
+  select b.row, b.i, b.i - a.i as q from grams a join grams b on a.row = b.row and a.gram = b.gram and a.i < b.i
+), islands as (
+  select *, i - row_number() over (partition by row, q order by i) as island from matches
+), stretches as (
+  select row, q, min(i) - q as s, max(i) + 6 as e from islands group by row, q, island
+), r as (
+  select row, s, e, min(q) as q from stretches where e - s >= greatest(12, 2 * q) group by row, s, e
+), best as (
+  select *, e - s as length from r qualify row_number() over (partition by row order by e - s desc, s, q) = 1
+), lists as (
+  select row, count(*) as n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' order by s, q) as runs from r group by row
+), gone as (
+  select distinct row, unnest(range(s + q, e)) as i from r
+), kept as (
+  select row, string_agg(word, ' ' order by i) as text from v anti join gone using (row, i) group by row
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, s as start, length, q as period, 1000 * length // q as exponent_milli,
+       sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(text, '')) as collapsed_sha256
+from x left join lists using (row) left join best using (row) left join kept using (row)
+"""
+
+_PHRASES = rf"""
+with p as (
+  select coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), w as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p
+), g as (
+  select lang, 1 as k, unnest(w) as phrase from w
+  union all
+  select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from w
+  union all
+  select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from w
+), f as (
+  select lang, k, phrase, count(*) as a from g group by all
+), c as (
+  select *, string_split(phrase, ' ') as parts from f where k > 1 and a >= 10
+), cuts as (
+  select c.lang, c.phrase, c.a, cut, l.a as l, r.a as r,
+         ((1000000::hugeint * c.a * c.a) // (l.a::hugeint * r.a))::bigint as score
+  from c join (values (1), (2)) as v(cut) on cut < k
+         join f l on l.lang = c.lang and l.phrase = array_to_string(parts[:cut], ' ')
+         join f r on r.lang = c.lang and r.phrase = array_to_string(parts[cut + 1:], ' ')
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), held as (
+  select lang, unnest([parts[1] || ' ' || parts[2], parts[2] || ' ' || parts[3]]) as phrase, a as longer from c where k = 3
+), n as (
+  select lang, sum(a)::bigint as n from f where k = 1 group by lang
+), ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+  from lowest join n using (lang)
+  where not exists (select 1 from held where held.lang = lowest.lang and held.phrase = lowest.phrase and 100 * longer >= 50 * lowest.a)
+)
+select * from ranked where rank <= 2000
+"""
+
+_NEAR = rf"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_WORDS}') as w from documents
+), s as (
+  select doc_id, list_sort(list_distinct(case
+           when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+           when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as shingles
+  from d
+), k as (
+  select doc_id, len(shingles) as n, md5(array_to_string(shingles, chr(10))) as key, shingles from s
+), sets as (
+  select key, any_value(n) as n, min(doc_id) as least, any_value(shingles) as shingles from k where n > 0 group by key
+), posts as (
+  select key, n, unnest(shingles) as shingle from sets
+), links as (
+  select a.key as a, b.key as b from posts a join posts b on a.shingle = b.shingle and a.key <> b.key
+  group by a.key, b.key, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach(a, b) as (
+  select key, key from sets
+  union
+  select reach.a, links.b from reach join links on reach.b = links.a
+), c as (
+  select reach.a as key, min(least) as component_id from reach join sets on reach.b = sets.key group by reach.a
+)
+select doc_id, n as n_shingles, case when n = 0 then doc_id else component_id end as component_id,
+       doc_id is not distinct from case when n = 0 then doc_id else component_id end as kept
+from k left join c using (key)
+"""
+
 
 ORACLE = {
     "op1_hilbert_shards": _SHARDS,
@@ -212,4 +326,7 @@ ORACLE = {
     "op5_exact_dedup": _EXACT,
     "op9_url_templates": _urls(),
     "op10_line_mph": _LINES,
+    "op11_periodic_runs": _RUNS,
+    "op12_collocations": _PHRASES,
+    "op13_minhash_postings": _NEAR,
 }

@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedgate.llm import decontaminate, exact_dedup, hilbert, language, line_dedup, mixing, quality
-from feedgate.llm import simhash, token_files, url_filter
-from feedgate.llm.common import held_out, table
+from feedgate.llm import collocations, decontaminate, exact_dedup, hilbert, language, line_dedup, minhash, mixing
+from feedgate.llm import periodic, quality, simhash, token_files, url_filter
+from feedgate.llm.common import SPACES, held_out, table
 
 #: The tokenizer of the contract; operators take any path.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,10 +97,50 @@ def op10_line_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The contract's text: in a tenth of the documents the words repeat from some word on."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), SPACES), lambda w: w != "")
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    tenth = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    tenth = tenth.withColumn("n", F.size("w")).withColumn("g", F.expr("h div 10"))
+    start = F.when(F.col("n") > 0, F.expr("cast(g % n as int)"))
+    tenth = tenth.withColumn("a", start).withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr("slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)")
+    text = F.when(F.col("a").isNull(), F.col("text")).otherwise(F.array_join(F.concat(F.expr("slice(w, 1, a)"), again), " "))
+    return tenth.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")
+    )))
+    return (
+        periodic.find_runs(docs).withColumn("longest", longest)
+        .select(
+            "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+            F.col("longest.length"), (-F.col("longest.period")).alias("period"),
+            F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+            F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_minhash_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_hilbert_shards, op2_quality_ftrl, op3_token_files, op4_fair_mix, op5_exact_dedup,
         op6_simhash_golay, op7_language_spans, op8_bm25_decontaminate, op9_url_templates, op10_line_mph,
+        op11_periodic_runs, op12_collocations, op13_minhash_postings,
     )
 }
