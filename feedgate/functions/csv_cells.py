@@ -32,19 +32,23 @@ def unquoted(cell: Column) -> Column:
     return F.replace(F.regexp_replace(cell, QUOTED, "$1"), F.lit('""'), F.lit('"'))
 
 
-def bound(lines: DataFrame, numbers: dict[str, int]) -> DataFrame:
-    """Replace the ``line`` column by the numbered cells, named; empty and absent are NULL."""
-    # The parser takes 20,480 cells at most; a shorter line cannot hold more.
-    regular = (F.octet_length("line") < 20_000) & F.col("line").rlike(REGULAR_LINE)
-    width = max(numbers.values(), default=0) + 1
+def _cut(lines: DataFrame, width: int) -> DataFrame:
+    """Lines with ``_row`` (the first ``width`` cells) where Spark's parser reads them alike, else ``_cells``."""
+    # The parser takes 20,480 cells at most, which a shorter line cannot hold, and ends at line breaks
+    # and at U+FFFF; before a quote it drops U+0000.
+    plain = (F.octet_length("line") < 20_000) & ~F.col("line").rlike("[\n\r\x00\uffff]")
     schema = ", ".join(f"c{i} string" for i in range(width))
-    cut = lines.withColumn("_regular", regular).withColumns(
+    return lines.withColumn("_regular", plain & F.col("line").rlike(REGULAR_LINE)).withColumns(
         {
             "_row": F.when(F.col("_regular"), F.from_csv("line", schema, {"escape": '"'})),
             "_cells": F.when(~F.col("_regular"), cells(F.col("line"))),
         }
     )
-    return cut.withColumns(
+
+
+def bound(lines: DataFrame, numbers: dict[str, int]) -> DataFrame:
+    """Replace the ``line`` column by the numbered cells, named; empty and absent are NULL."""
+    return _cut(lines, max(numbers.values(), default=0) + 1).withColumns(
         {
             name: F.when(F.col("_regular"), F.col("_row")[f"c{i}"]).otherwise(
                 F.nullif(unquoted(F.get("_cells", F.lit(i))), F.lit(""))
@@ -54,6 +58,13 @@ def bound(lines: DataFrame, numbers: dict[str, int]) -> DataFrame:
     ).drop("line", "_regular", "_row", "_cells")
 
 
+def values_of(lines: DataFrame, width: int) -> DataFrame:
+    """Replace the ``line`` column by ``_values``, the first ``width`` cells without their quotes."""
+    whole = F.array(*[F.col("_row")[f"c{i}"] for i in range(width)])
+    values = F.when(F.col("_regular"), whole).otherwise(F.transform("_cells", unquoted))
+    return _cut(lines, width).withColumn("_values", values).drop("line", "_regular", "_row", "_cells")
+
+
 def header_cells(line: str) -> list[str]:
     """The column names of one header line, on the driver."""
     names = []

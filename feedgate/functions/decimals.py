@@ -7,16 +7,16 @@ from pyspark.sql import Column, functions as F
 # Plain text already: no plus, no leading zeros, digits on both sides of the point, no minus zero.
 PLAIN = r"^(?!-[0.]+$)-?(?:0|[1-9]\d*)(?:\.\d+)?$"
 FIXED = r"^[+-]?(?=\.?\d)\d*\.?\d*$"
-SCIENTIFIC = r"^([+-]?)(?=\.?\d)(\d*)\.?(\d*)[eE]([+-]?\d{1,3})$"
-# Longer exponents stay exponents: their plain form would be megabytes of zeros.
+SCIENTIFIC = r"^([+-]?)(?=\.?\d)(\d*)\.?(\d*)[eE]([+-]?0*\d{1,3})$"
+# Larger exponents stay exponents: their plain form would be megabytes of zeros.
 FAR = r"^([+-]?)(?=\.?\d)(\d*)\.?(\d*)[eE]([+-]?\d{4,})$"
 
 
 def plain(raw: Column) -> Column:
     """``+007.50`` -> ``7.50``, ``1.5e3`` -> ``1500``; NULL if the text is no number.
 
-    The scale given is kept, so the text is what was sent, and nothing is rounded.  Exponents of
-    more than three digits give ``1.5E+1001``, with one digit before the point; they have to
+    The scale given is kept, so the text is what was sent, and nothing is rounded.  Exponents
+    beyond 999 either way give ``1.5E+1001``, with one digit before the point; they have to
     be 32-bit whole numbers.
     """
     return (

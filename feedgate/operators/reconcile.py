@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedgate.contract import TableContract
 from feedgate.functions import uuids
+from feedgate.session import work_dir
 from feedgate.sources.inventory import FeedError
 
 
@@ -142,3 +143,62 @@ def run_summary(
         F.when(F.col("status") == "passed", "success").otherwise("failed").alias("state"),
         *report.columns,
     )
+
+
+#: Buckets of the first comparison, and of each bucket that differs in it.
+BUCKETS = 4096
+
+
+def _buckets(keys: DataFrame, key: str) -> DataFrame:
+    """Distinct keys with the two buckets their hash puts them in; null keys are left out."""
+    hashed = keys.filter(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key")).withColumn("hash", F.xxhash64("key"))
+    return hashed.withColumns(
+        {
+            "top": F.pmod("hash", F.lit(BUCKETS)).cast("int"),
+            "sub": F.pmod(F.shiftrightunsigned("hash", 20), F.lit(BUCKETS)).cast("int"),
+        }
+    )
+
+
+def _digests(keys: DataFrame, by: list[str]) -> DataFrame:
+    """Count and two order-free digests per bucket: three numbers, combined per task."""
+    other = F.xxhash64("hash", "key")
+    return keys.groupBy(*by).agg(
+        F.count("*").alias("n"), F.bit_xor("hash").alias("x"), F.sum(F.pmod(other, F.lit(1 << 40))).alias("s")
+    )
+
+
+def _unequal(left: DataFrame, right: DataFrame, by: list[str], label: str) -> DataFrame | None:
+    """Buckets whose digests differ, written; None without any."""
+    spark = left.sparkSession
+    a, b = _digests(left, by), _digests(right, by)
+    same = " and ".join(f"l.{c} <=> r.{c}" for c in ("n", "x", "s"))
+    both = a.alias("l").join(b.alias("r"), by, "full").filter(f"not ({same})").select(*by)
+    path = work_dir(spark, label)
+    both.write.parquet(path)
+    found = spark.read.parquet(path)
+    return None if found.isEmpty() else found
+
+
+def differing_keys(feed: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """``key, side``: keys of the feed that the target lacks (``missing``), and the reverse (``extra``).
+
+    Both sides are compared by digests of hash buckets first, then those buckets that differ by the
+    digests of theirs; only keys of buckets that differ in both are joined.  Equal sides are read
+    once, for the digests.  Keys may repeat: a bucket that differs only by that yields nothing.
+    """
+    spark = feed.sparkSession
+    left, right = _buckets(feed, key), _buckets(target, key)
+    tops = _unequal(left, right, ["top"], "unequal-buckets")
+    if tops is not None:
+        # Broadcast: BUCKETS numbers at most.
+        left, right = (side.join(F.broadcast(tops), "top", "left_semi") for side in (left, right))
+        subs = _unequal(left, right, ["top", "sub"], "unequal-keys")
+    if tops is None or subs is None:
+        return spark.createDataFrame([], "key string, side string")
+    found = [
+        side.join(subs, ["top", "sub"], "left_semi").select("key").distinct().withColumn(name, F.lit(True))
+        for side, name in ((left, "fed"), (right, "stored"))
+    ]
+    both = found[0].join(found[1], "key", "full").filter("fed is null or stored is null")
+    return both.select("key", F.when(F.col("fed"), "missing").otherwise("extra").alias("side"))

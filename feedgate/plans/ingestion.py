@@ -13,7 +13,7 @@ from feedgate.plans import splitting
 from feedgate.session import bucket_session, configure, work_dir
 from feedgate.sinks.error_output import write_errors
 from feedgate.sinks.target_table import append_bucketed, append_parquet
-from feedgate.sources import csv_feed, json_feed, manifest, target as targets
+from feedgate.sources import csv_feed, json_feed, key_index as indexes, manifest, target as targets
 from feedgate.sources.inventory import FeedError, check_feed, file_format
 
 
@@ -79,6 +79,7 @@ def ingest(
     error_path: str,
     run_id: str | None = None,
     buckets: int | None = None,
+    key_index: bool = False,
     **read_options,
 ) -> Run:
     """Load a feed into ``target`` and write its errors to ``error_path``.
@@ -89,7 +90,9 @@ def ingest(
     the later steps go on after lost executors without parsing again.
 
     ``target`` is a parquet folder, or with ``buckets`` a catalog table bucketed by key.  One
-    writer at a time: neither kind has transactions.
+    writer at a time: neither kind has transactions.  With ``key_index`` a folder has an index of
+    its files' keys (:mod:`feedgate.sources.key_index`), and the load looks for stored keys only in
+    files that may hold them.
     """
     configure(spark)
     run_id = run_id or enrich.new_run_id()
@@ -103,23 +106,23 @@ def ingest(
         annotated, contract, run_id, protect.key_column(spark, encryption_key)
     ).write.parquet(staging)
     staged = spark.read.parquet(staging)
+    ordered, row_id = load.numbered(staged, "_row_id")
 
     failed = staged.filter(F.col("_reason").isNotNull())
     write_errors(errors.error_records(failed, run_id), error_path, run_id)
 
     path_of_keys = work_dir(spark, f"keys-{contract.name}")
-    load.key_table(staged, contract.key, "_row_id", F.col("_reason").isNull()).write.parquet(
-        path_of_keys
-    )
+    load.key_table(ordered, contract.key, row_id, F.col("_reason").isNull()).write.parquet(path_of_keys)
     keys = spark.read.parquet(path_of_keys)
 
     if buckets:
         targets.ensure_target_table(spark, target, contract, buckets)
         spark.catalog.refreshTable(target)
         session = bucket_session(spark, buckets)
-        valid = session.read.parquet(staging).filter(F.col("_reason").isNull())
+        ordered, row_id = load.numbered(session.read.parquet(staging), "_row_id")
+        valid = ordered.filter(F.col("_reason").isNull())
         first = load.rows_to_insert(
-            session, valid, session.read.parquet(path_of_keys), None, contract.key, "_row_id"
+            session, valid, session.read.parquet(path_of_keys), None, contract.key, row_id
         )
         rows = load.absent_rows(first, session.table(target), contract.key)
         append_bucketed(rows, target, contract)
@@ -127,10 +130,15 @@ def ingest(
         after = spark.table(target)
     else:
         targets.ensure_target(spark, target, contract)
-        stored = targets.read_target(spark, target, contract)
-        valid = staged.filter(F.col("_reason").isNull())
-        rows = load.rows_to_insert(spark, valid, keys, stored, contract.key, "_row_id")
+        valid = ordered.filter(F.col("_reason").isNull())
+        if key_index:
+            stored = indexes.rows_that_may_match(spark, target, contract, valid)
+        else:
+            stored = targets.read_target(spark, target, contract)
+        rows = load.rows_to_insert(spark, valid, keys, stored, contract.key, row_id)
         append_parquet(rows.select(*[c.name for c in contract.target_schema]), target)
+        if key_index:
+            indexes.refresh(spark, target, contract)
         after = targets.read_target(spark, target, contract)
 
     counts = reconcile.reconcile(keys, failed, after, contract.key, run_id)

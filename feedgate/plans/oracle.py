@@ -280,6 +280,8 @@ select src_row, cast(len(v) as integer) as broken_rules, array_to_string(v, '; '
  reason as error_reason, '2024-06-01 12:00:00' as timestamp from reasoned where reason is not null""",
     "error_lines": f"""{CSV}, {REASONED} select feed_file, '{RUN_ID}' as "executionId", feed_file as "sourceFile",
  reason as "errorReason", '2024-06-01T12:00:00.000000Z' as timestamp from reasoned where reason is not null""",
+    "errors_replayed": f"""{CSV}, {REASONED} select src_row, reason, true as same_reason
+ from reasoned where reason is not null""",
     "errors_per_file": f"""{CSV}, {REASONED} select feed_file as source_file, count(*) as errors
  from reasoned where reason is not null group by rollup (feed_file)""",
     "first_errors_per_file": f"""{CSV}, {REASONED}, failed as ({FAILED}), placed as (select source_file,
@@ -293,6 +295,8 @@ select * from placed where position <= 5""",
  where not exists (select 1 from before b where b.employee_id = f.employee_id)""",
     "rerun_is_noop": f"""{CSV_VALID} select count(*) as inserted from valid v
  where not exists (select 1 from firsts f where f.employee_id = v.employee_id)""",
+    "insert_with_key_index": """select distinct concat('new o', cast(o_orderkey as varchar)) as id, true as fewer_files
+ from orders where substr(cast(o_orderdate as varchar), 1, 10) >= '2001-03-01' and o_orderkey % 3 = 0""",
     "matched_keys": f"""{CSV_VALID} select (select count(*) from feed) as input_records,
  (select count(distinct employee_id) from parsed) as distinct_keys,
  (select count(employee_id) - count(distinct employee_id) from parsed) as duplicates_in_feed,
@@ -363,6 +367,18 @@ select id, case id % 3 when 0 then concat(lpad(cents, 30, '7'), '.', lpad(cents,
  when 1 then concat('-0.', lpad(cents, 15, '0'))
  else concat(cents[1], case when length(cents) > 1 then '.' || cents[2:] else '' end, 'E+', 999 + id + length(cents)) end as amount from c""",
     "split_csv_multiline_roundtrip": _texts("documents", "doc_id", "text"),
+    "reconcile_differences": """select distinct concat('k', cast(o_orderkey as varchar)) as key, 'missing' as side from orders where o_orderkey % 97 = 5
+ union all select distinct concat('x', cast(o_orderkey as varchar)), 'extra' from orders where o_orderkey % 89 = 7""",
+    "csv_any_character": """with t as (
+ select doc_id, regexp_replace(coalesce(text, ''), '[\\r\\n]+', ' ', 'g') as flat,
+ [chr(65535), chr(65534), chr(64976), chr(64977), chr(0)][cast(doc_id % 5 + 1 as integer)] as sign from documents
+), b as (select sign, doc_id, concat(substr(flat, 1, 10), sign, substr(flat, 11)) as body from t)
+select mode, md5(concat(sign, cast(doc_id as varchar))) as id, length(body) as characters, md5(body) as digest
+from b, (select unnest(['whole', 'split']) as mode)""",
+    "csv_quoted_blocks": f"""select * from ({_texts("documents", "doc_id", "text")}),
+ (select unnest(['many', 'few', 'default']) as blocks)""",
+    "split_even_parts": """select count(*) as records, cast(0 as bigint) as parts_too_large,
+ true as no_more_parts_than_needed from documents""",
     "ingest_report": f"""{CSV_VALID}, counted as ({COUNTS})
 select '{RUN_ID}' as execution_id, 'csv' as file_format, input_records, error_records,
  input_records - error_records as expected_records, distinct_keys, duplicates_in_feed, total_records,

@@ -26,8 +26,8 @@ from feedgate.plans.employee import EMPLOYEE
 from feedgate.plans.feeds import EARLIER_ID, RENDERED_GLOB, RUN_ID, TEST_KEY, TRACED
 from feedgate.session import configure, work_dir
 from feedgate.sinks import error_output, feed_writer
-from feedgate.sources import csv_feed, errors as error_source, inventory, json_feed
-from feedgate.sources import manifest, target
+from feedgate.sources import csv_feed, csv_records, errors as error_source, inventory, json_feed
+from feedgate.sources import key_index, manifest, replay, target
 
 INSTANT = "2024-06-01 12:00:00"
 PART_BYTES = 65_536
@@ -99,14 +99,15 @@ class _Staged:
 
     def __init__(self, spark: SparkSession, annotated: DataFrame, key: str):
         self.spark, self.key = spark, key
-        self.rows = _written(annotated.withColumn("_row_id", F.monotonically_increasing_id()), "feed")
+        rows = _written(annotated.withColumn("_row_id", F.monotonically_increasing_id()), "feed")
+        self.rows, self.row_id = load.numbered(rows, "_row_id")
         self.valid = validate.valid_rows(self.rows)
         loadable = F.col("_reason").isNull()
-        self.keys = _written(load.key_table(self.rows, key, "_row_id", loadable), "keys")
+        self.keys = _written(load.key_table(self.rows, key, self.row_id, loadable), "keys")
 
     def new_rows(self, target: DataFrame | None = None) -> DataFrame:
         """The first loadable row of each key, and with a target only of those it lacks."""
-        return load.rows_to_insert(self.spark, self.valid, self.keys, target, self.key, "_row_id")
+        return load.rows_to_insert(self.spark, self.valid, self.keys, target, self.key, self.row_id)
 
     def stored_before(self) -> DataFrame:
         """A target that holds every third valid row already, from an earlier run."""
@@ -312,6 +313,20 @@ def error_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def errors_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Refused rows fetched again from their bytes in the feed files: the same rows, the same reasons."""
+    path = feeds.rendered(spark, sf, "csv")
+    judged = validate.with_reason(parse.parse_csv(_csv_feed(spark, sf, multiline=True), TRACED), TRACED)
+    records = errors.error_records(validate.error_rows(judged), RUN_ID, _instant(), True)
+    kept = _written(records, "refused")
+    header = csv_feed.first_header(spark, inventory.check_feed(spark, path, "csv", skip_empty=True).first_path)
+    again = csv_feed.bind_cells(replay.refused_records(kept), header, TRACED)
+    reasons = validate.with_reason(parse.parse_csv(again, TRACED), TRACED)
+    return reasons.join(kept.select("_at", "error_reason"), "_at").select(
+        _src_row(), F.col("_reason").alias("reason"), (F.col("_reason") == F.col("error_reason")).alias("same_reason")
+    )
+
+
 def errors_per_file(spark: SparkSession, sf: str) -> DataFrame:
     return errors.errors_per_file(_errors(spark, sf))
 
@@ -347,6 +362,29 @@ def rerun_is_noop(spark: SparkSession, sf: str) -> DataFrame:
     return feed.new_rows(_written(feed.stored_after(), "stored")).agg(F.count("*").alias("inserted"))
 
 
+def insert_with_key_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Late orders, a third of them with new keys, into a target of all orders in files by date.
+
+    The key index names the files that may hold one of the keys; no other is opened.
+    """
+    feeds.register(spark, sf, ["orders"])
+    contract = TableContract("order", "id", (Field("id"), Field("day")))
+    day = F.col("o_orderdate").cast("string").alias("day")
+    orders = spark.table("orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), day)
+    stored = orders
+    for f in contract.target_schema.fields[2:]:
+        stored = stored.withColumn(f.name, F.lit(None).cast(f.dataType))
+    place = work_dir(spark, "indexed")
+    stored.repartitionByRange(16, "day").write.parquet(place)
+    key_index.refresh(spark, place, contract)
+    late = orders.filter("day >= '2001-03-01'")
+    third = F.substring("id", 2, 20).cast("bigint") % 3 == 0
+    feed = _written(late.withColumn("id", F.when(third, F.concat(F.lit("new "), "id")).otherwise(F.col("id"))), "late")
+    opened = key_index.files_to_read(spark, place, feed, "id")
+    new = load.new_rows(feed, key_index.rows_that_may_match(spark, place, contract, feed), "id", order=["day"])
+    return new.select("id", F.lit(len(opened) < 16).alias("fewer_files"))
+
+
 def matched_keys(spark: SparkSession, sf: str) -> DataFrame:
     feed = _staged(spark, sf)
     matched = reconcile.matched_count(feed.stored_before(), feed.keys, EMPLOYEE.key)
@@ -377,6 +415,15 @@ def _report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def reconcile_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders against a target that lacks some and has others besides: exactly those keys."""
+    feeds.register(spark, sf, ["orders"])
+    feed = spark.table("orders").select(F.concat(F.lit("k"), F.col("o_orderkey").cast("string")).alias("key"))
+    extra = spark.table("orders").filter("o_orderkey % 89 = 7").select(F.concat(F.lit("x"), F.col("o_orderkey").cast("string")).alias("key"))
+    stored = feed.filter("cast(substring(key, 2) as bigint) % 97 <> 5").union(extra)
+    return reconcile.differing_keys(feed, stored, "key")
+
+
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return reconcile.run_summary(_report(spark, sf), RUN_ID, "feeds/in", "csv", 4, True).drop(
         "finished_at"
@@ -811,6 +858,66 @@ def split_csv_multiline_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: Characters that reading or writing CSV could take for signs of its own.
+SIGNS = "\uffff\ufffe\ufdd0\ufdd1\x00"
+
+
+def csv_any_character(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with odd characters at line starts and inside cells: read, split, and read again."""
+    feeds.register(spark, sf, ["documents"])
+    sign = F.element_at(F.array(*[F.lit(c) for c in SIGNS]), (F.col("doc_id") % len(SIGNS) + 1).cast("int"))
+    flat = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]+", " ")
+    rows = spark.table("documents").select("doc_id", sign.alias("sign"), flat.alias("flat"))
+    body = F.concat(F.substring("flat", 1, 10), "sign", F.expr("substring(flat, 11)"))
+    quoted = F.concat(F.lit('"'), F.replace(body, F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = rows.select(F.concat("sign", F.col("doc_id").cast("string"), F.lit(","), quoted).alias("line"))
+    path, parts = work_dir(spark, "signs"), work_dir(spark, "signs-parts")
+    feed_writer.write_csv_lines(lines, "id,body", path)
+    size = inventory.check_feed(spark, path, "csv", skip_empty=True).total_bytes
+    splitting.split_feed(spark, path, parts, "csv", max(1024, min(size // 12, 128 << 20)), skip_empty=True)
+    found = []
+    for mode, folder in (("whole", path), ("split", parts)):
+        feed = csv_feed.read_csv_feed(spark, folder, _text_contract(), skip_empty=True)
+        found.append(feed.select(
+            F.lit(mode).alias("mode"), F.md5("id").alias("id"),
+            F.length("body").cast("bigint").alias("characters"), F.md5("body").alias("digest"),
+        ))
+    return found[0].union(found[1])
+
+
+def _documents_csv(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """Whole documents as CSV files with quoted line breaks, and their bytes."""
+    path = work_dir(spark, "documents-csv")
+    feed_writer.write_csv_rows(_whole_texts(spark, sf, "documents", "doc_id", "text"), path)
+    return path, inventory.check_feed(spark, path, "csv", skip_empty=True).total_bytes
+
+
+def csv_quoted_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with quoted line breaks, cut in blocks of three sizes."""
+    path, size = _documents_csv(spark, sf)
+    found = []
+    for label, block in (("many", max(1 << 14, size // 60)), ("few", max(1 << 16, size // 5)), ("default", None)):
+        records = csv_records.read_records(spark, path, block_bytes=block)
+        data = csv_feed.bind_cells(csv_feed.data_records(records, "id,body"), "id,body", _text_contract())
+        found.append(_digests(data).withColumn("blocks", F.lit(label)))
+    return found[0].union(found[1]).union(found[2])
+
+
+def split_even_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of very different length split by bytes: no part above the threshold and one record."""
+    (path, size), parts = _documents_csv(spark, sf), work_dir(spark, "even-parts")
+    threshold = max(1024, min(size // 25, 128 << 20))
+    written = splitting.split_feed(spark, path, parts, "csv", threshold, skip_empty=True)
+    longest = csv_records.read_records(spark, path).agg(F.max("_bytes").alias("bytes")).scalar()
+    above = written.filter(F.col("bytes") > threshold + len("id,body\n") + longest).agg(F.count("*").alias("n"))
+    most = written.filter(F.col("bytes") > 0).agg(F.count("*").alias("n"))
+    records = csv_records.read_records(spark, parts, "part-*").filter(~F.col("_first"))
+    return records.agg(F.count("*").alias("records")).select(
+        "records", above.scalar().alias("parts_too_large"),
+        (most.scalar() <= -(-size // threshold)).alias("no_more_parts_than_needed"),
+    )
+
+
 # --- the same operators over other tables ------------------------------------------------
 
 
@@ -852,8 +959,15 @@ def shipments_by_rule(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _shipment_files(spark: SparkSession, sf: str) -> _Staged:
+    """Shipments from CSV files in feed order, judged."""
+    path, contract = tables.rendered_shipments(spark, sf, "ordered"), tables.SHIPMENT
+    parsed = parse.parse_csv(csv_feed.read_csv_feed(spark, path, contract, skip_empty=True), contract)
+    return _Staged(spark, validate.with_reason(parsed, contract), "shipment_id")
+
+
 def shipments_first_wins(spark: SparkSession, sf: str) -> DataFrame:
-    return _Staged(spark, _shipments(spark, sf), "shipment_id").new_rows().select(
+    return _shipment_files(spark, sf).new_rows().select(
         "shipment_id", "ship_date", decimals.as_decimal(F.col("net"), "decimal(12,2)").alias("net"),
         "returned", "status",
     )
@@ -869,7 +983,7 @@ def shipments_new(spark: SparkSession, sf: str) -> DataFrame:
         F.lpad(F.col("o_orderkey").cast("string"), 12, "0"),
     )
     stored = done.select("o_orderkey", lines).select(key.alias("shipment_id"))
-    feed = _Staged(spark, _shipments(spark, sf), "shipment_id")
+    feed = _shipment_files(spark, sf)
     return feed.new_rows(stored).select("shipment_id", "ship_date", "returned")
 
 
@@ -1019,15 +1133,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_valid": route_valid,
     "route_errors": route_errors,
     "error_lines": error_lines,
+    "errors_replayed": errors_replayed,
     "errors_per_file": errors_per_file,
     "first_errors_per_file": first_errors_per_file,
     "first_wins": first_wins,
     "first_wins_hot_keys": first_wins_hot_keys,
     "insert_if_absent": insert_if_absent,
     "rerun_is_noop": rerun_is_noop,
+    "insert_with_key_index": insert_with_key_index,
     "matched_keys": matched_keys,
     "stamped_rows": stamped_rows,
     "reconcile": _report,
+    "reconcile_differences": reconcile_differences,
     "run_summary": run_summary,
     "control_totals": control_totals,
     "split_plan": split_plan,
@@ -1052,6 +1169,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "documents_any_size": documents_any_size,
     "amounts_served_exactly": amounts_served_exactly,
     "split_csv_multiline_roundtrip": split_csv_multiline_roundtrip,
+    "csv_any_character": csv_any_character,
+    "csv_quoted_blocks": csv_quoted_blocks,
+    "split_even_parts": split_even_parts,
     "ingest_report": ingest_report,
     "ingest_staged_errors": ingest_staged_errors,
     "shipments_by_outcome": shipments_by_outcome,

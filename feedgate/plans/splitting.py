@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from feedgate.session import block_session
+from feedgate.session import block_session, work_dir
 from feedgate.sinks import feed_writer
-from feedgate.sources import csv_feed, json_chunks, json_feed
+from feedgate.sources import csv_feed, csv_records, json_chunks, json_feed
 from feedgate.sources.inventory import GLOBS, FeedError, check_feed, feed_inventory
 
 
@@ -37,8 +37,7 @@ def split_feed(
 
     Parts follow each other in feed order, so a run over them loads the same rows as one over the
     feed.  CSV parts carry the header each and end between records; lines are copied and not
-    shuffled, unless a quoted cell holds a line break: then records are parsed and written
-    again.  JSON lines are copied likewise.  Arrays become one array per part, a single record an
+    shuffled, unless a quoted cell holds a line break: then whole records are.  JSON lines are copied likewise.  Arrays become one array per part, a single record an
     element among them; a document that cannot be parsed is a part of its own, as sent.
 
     Parts keep Spark's names (read JSON parts with the glob ``part-*``).  With ``prefix`` they are
@@ -54,7 +53,7 @@ def split_feed(
         lines = csv_feed.read_lines(session, path, header, glob=glob).select("line")
         quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
         if not lines.filter(quotes % 2 == 1).isEmpty():
-            _split_csv_records(spark, path, out, summary.first_path, parts, glob)
+            _split_csv_records(spark, path, out, summary.first_path, threshold_bytes, parts, glob)
         else:
             _require_records(lines)
             feed_writer.write_csv_lines(lines, header, out)
@@ -77,15 +76,24 @@ def split_feed(
 
 
 def _split_csv_records(
-    spark: SparkSession, path: str, out: str, first_path: str, parts: int, glob: str | None
+    spark: SparkSession, path: str, out: str, first_path: str, threshold_bytes: int, parts: int, glob: str | None
 ) -> None:
-    """Records with quoted line breaks, parsed by Spark and dealt to the parts in feed order.
+    """Records with quoted line breaks, copied as they are; part k begins at k times the threshold.
 
-    Spark does not split such a file, so it is read by one task.
+    Records are cut in parallel and written once; their bytes before each file (one row per file)
+    and in it give their part, so that no part is larger than the threshold and one record.
     """
-    names, rows = csv_feed.read_records(spark, path, first_path, glob)
-    ordered = rows.repartitionByRange(parts, "_at").sortWithinPartitions("_at")
-    feed_writer.write_csv_rows(ordered.select(*[F.col(f"`{n.replace('`', '``')}`") for n in names]), out)
+    place = work_dir(spark, "csv-records")
+    csv_records.read_records(spark, path, glob).write.parquet(place)
+    records = spark.read.parquet(place)
+    header = csv_feed.first_record(records, first_path)
+    before = Window.orderBy("_source_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = records.groupBy("_source_file").agg(F.max(F.col("_offset") + F.col("_bytes")).alias("bytes"))
+    files = files.select("_source_file", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("_start"))
+    data = csv_feed.data_records(records, header).join(files, "_source_file")
+    part = F.floor((F.col("_start") + F.col("_offset")) / F.lit(threshold_bytes)).cast("int")
+    dealt = data.repartitionById(parts, part).sortWithinPartitions("_source_file", "_offset")
+    feed_writer.write_csv_records(dealt.select("line"), header, out)
 
 
 def _split_documents(

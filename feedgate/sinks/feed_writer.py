@@ -24,6 +24,39 @@ def write_csv_lines(
     (writer.partitionBy(partition_by) if partition_by else writer).csv(path)
 
 
+def write_csv_records(records: DataFrame, header: str, path: str) -> None:
+    """Write a ``line`` column as one CSV file per partition, the header first.
+
+    Records may hold line breaks, so they go out as text, as they are; the files get their suffix by
+    one rename each on the driver.
+    """
+
+    # Defined here so that it travels by value and workers need not have this package.
+    def headed(batches):
+        import pyarrow as pa
+
+        started = False
+        for batch in batches:
+            if batch.num_rows and not started:
+                started = True
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], names=["value"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["value"])
+
+    records.select("line").mapInArrow(headed, "value string").write.mode("overwrite").text(path)
+    hadoop_path, fs, sizes = _listing(records.sparkSession, path)
+    for name in sizes:
+        if name.endswith(".txt"):
+            fs.rename(hadoop_path(path, name), hadoop_path(path, f"{name[:-4]}.csv"))
+
+
+def _listing(spark: SparkSession, path: str):
+    """Hadoop's path class, the file system, and the sizes of a folder's files by name."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop_path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hadoop_path, fs, {s.getPath().getName(): s.getLen() for s in fs.listStatus(folder)}
+
+
 def write_csv_rows(rows: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Write text columns as CSV with quoting that :func:`read_csv_feed` undoes exactly."""
     writer = (
@@ -76,15 +109,12 @@ def name_parts(spark: SparkSession, path: str, prefix: str, extension: str) -> N
 
     Parts without content are dropped.  Touches names only: one call per part on the driver.
     """
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    folder = hadoop_path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    sizes = {s.getPath().getName(): s.getLen() for s in fs.listStatus(folder)}
+    hadoop_path, fs, sizes = _listing(spark, path)
     number = 0
     for name in sorted(n for n in sizes if n.startswith("part-")):
-        part = hadoop_path(folder, name)
+        part = hadoop_path(path, name)
         if sizes[name] == 0:
             fs.delete(part, False)
             continue
         number += 1
-        fs.rename(part, hadoop_path(folder, f"{prefix}_part_{number:03d}.{extension}"))
+        fs.rename(part, hadoop_path(path, f"{prefix}_part_{number:03d}.{extension}"))

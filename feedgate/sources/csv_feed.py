@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from feedgate.contract import TableContract
 from feedgate.functions import csv_cells
+from feedgate.session import work_dir
+from feedgate.sources import csv_records
 from feedgate.sources.inventory import GLOBS, FeedError, check_feed
 
-# Separator, quote, escape and comment set to characters that no text may contain, so Spark's
-# CSV reader and writer handle whole lines and do only what is wanted of them: drop or write the
-# header of every file, and drop blank lines.
-WHOLE_LINE = {
-    "sep": chr(0xFFFF),
-    "quote": chr(0xFFFE),
-    "escape": chr(0xFDD0),
-    "comment": chr(0xFDD1),
-}
+# Separator, quote, escape and comment are line ends, the only characters no line can hold.  So
+# Spark's CSV reader and writer handle whole lines, whatever stands in them, and do only what is
+# wanted of them: drop or write the header of every file, and drop blank lines.
+WHOLE_LINE = {"sep": "\r", "quote": "\n", "escape": "\n", "comment": "\n"}
+
+#: Files whose layouts are broadcast: a path and the numbers of the contract's cells each.
+MAX_FILES = 500_000
 
 
 def line_order() -> Column:
@@ -56,7 +54,7 @@ def read_lines(
         line_order().alias("_at"),
         F.col("_metadata.file_modification_time").alias("_source_time"),
     )
-    return lines.filter(~F.col("line").rlike(r"^[\s\p{Z}]*$"))
+    return lines.filter(~csv_records.is_blank(F.col("line")))
 
 
 def first_header(spark: SparkSession, first_path: str) -> str:
@@ -66,33 +64,62 @@ def first_header(spark: SparkSession, first_path: str) -> str:
     return head[0].value
 
 
-def header_layouts(
-    spark: SparkSession, path: str, contract: TableContract, glob: str | None = None
-) -> list[tuple[str, list[str]]]:
-    """One (header, files) pair per way the contract columns are laid out in the feed.
-
-    Reads the text once more and keeps one short row per file.  The driver takes those rows one
-    partition at a time; what it keeps is file names, as many as Spark's own file index holds
-    there anyway.
-    """
+def file_headers(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``_source_file, header``: the first line of each file, by one pass over the text."""
     reader = spark.read.option("pathGlobFilter", glob or GLOBS["csv"])
-    headers = (
-        reader.text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-        )
-        .filter("block = 0")
-        .groupBy("file")
-        .agg(F.min_by("value", "seq").alias("header"))
+    first = reader.text(path).select(
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.xxhash64("_metadata.file_path").alias("file_id"),
+        F.col("value").alias("header"),
     )
-    layouts: dict[tuple, tuple[str, list[str]]] = {}
-    for row in headers.toLocalIterator():
-        positions = tuple(_positions(row.header, contract).items())
-        layouts.setdefault(positions, (row.header, []))[1].append(row.file)
-    return [layouts[key] for key in sorted(layouts)]
+
+    # Defined here so that it travels by value and workers need not have this package.
+    def firsts(batches):
+        """The row behind each change of file; a file's first block stands in one task."""
+        import numpy as np
+
+        last = None
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            if not len(ids):
+                continue
+            new = np.append(ids[0] != last, ids[1:] != ids[:-1])
+            last = ids[-1]
+            yield batch.take(np.flatnonzero(new)).select(["_source_file", "header"])
+
+    wanted = first.filter(F.col("block") == 0).select("file_id", "_source_file", "header")
+    return wanted.mapInArrow(firsts, "_source_file string, header string")
+
+
+def layouts(headers: DataFrame, contract: TableContract) -> DataFrame:
+    """``_source_file, _numbers, _width``: the cell of each contract column in the files, -1 if absent.
+
+    Names match in any case and the first match wins.
+    """
+    cells = F.transform(csv_cells.cells(F.col("header")), csv_cells.unquoted)
+    names = F.transform(cells, lambda c: F.lower(F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")))
+    named = headers.withColumn("names", names)
+    numbers = [(F.array_position("names", c.lower()) - 1).cast("int") for c in contract.columns]
+    return named.select("_source_file", F.array(*numbers).alias("_numbers"), F.size("names").alias("_width"))
+
+
+def bind_by_file(lines: DataFrame, headers: DataFrame, contract: TableContract) -> DataFrame:
+    """As ``bind_cells``, each file by its own header; one scan of the lines for all layouts."""
+    spark = lines.sparkSession
+    place = work_dir(spark, "csv-layouts")
+    layouts(headers, contract).write.parquet(place)
+    found = spark.read.parquet(place)
+    size = found.agg(F.count("*").alias("files"), F.max("_width").alias("width")).first()
+    if size.files <= MAX_FILES:
+        found = F.broadcast(found.drop("_width"))
+    placed = lines.join(found, "_source_file").select("_source_file", "_at", "_source_time", "line", "_numbers")
+    values = csv_cells.values_of(placed, size.width or 1)
+    columns = [
+        F.nullif(F.get("_values", F.get("_numbers", F.lit(i))), F.lit("")).alias(c)
+        for i, c in enumerate(contract.columns)
+    ]
+    return values.select("_source_file", "_at", "_source_time", *columns)
 
 
 def _positions(header: str, contract: TableContract) -> dict[str, int]:
@@ -124,63 +151,44 @@ def read_csv_feed(
 
     ``headers="shared"`` (one pass): all files carry the header of the first; the read fails if
     one does not.  ``headers="per_file"``: files may order their columns differently, found by
-    one more pass over the text.  ``multiline`` reads quoted line breaks with Spark's own CSV
-    reader; files are then no longer split.  ``checked`` is the feed's summary if it was checked
-    before.
+    one more pass over the text.  ``multiline`` keeps line breaks in quoted cells; files are split
+    into blocks all the same (:mod:`feedgate.sources.csv_records`).  ``checked`` is the feed's
+    summary if it was checked before.
     """
     summary = checked or check_feed(spark, path, "csv", glob, skip_empty)
+    if headers not in ("shared", "per_file"):
+        raise ValueError(f"headers must be 'shared' or 'per_file', not {headers!r}")
     if multiline:
-        return _read_multiline(spark, path, summary.first_path, contract, glob)
+        return _read_multiline(spark, path, summary.first_path, contract, headers, glob)
+    header = first_header(spark, summary.first_path)
+    lines = read_lines(spark, path, header, headers == "shared", glob)
     if headers == "shared":
-        header = first_header(spark, summary.first_path)
-        return bind_cells(read_lines(spark, path, header, True, glob), header, contract)
-    if headers != "per_file":
-        raise ValueError(f"headers must be 'shared' or 'per_file', not {headers!r}")
-    parts = [
-        bind_cells(read_lines(spark, files, header, check_header=False), header, contract)
-        for header, files in header_layouts(spark, path, contract, glob)
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def read_records(
-    spark: SparkSession, path: str, first_path: str, glob: str | None = None
-) -> tuple[list[str], DataFrame]:
-    """Column names, and all records as text columns with their origin; quoted line breaks stay."""
-    names = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .csv(first_path)
-        .columns
-    )
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("pathGlobFilter", glob or GLOBS["csv"])
-    )
-    columns = [F.col("`" + n.replace("`", "``") + "`") for n in names]
-    return names, reader.csv(path).select(
-        F.col("_metadata.file_path").alias("_source_file"),
-        line_order().alias("_at"),
-        F.col("_metadata.file_modification_time").alias("_source_time"),
-        *columns,
-    )
+        return bind_cells(lines, header, contract)
+    return bind_by_file(lines, file_headers(spark, path, glob), contract)
+
+
+def first_record(records: DataFrame, first_path: str) -> str:
+    """The header record of a feed's first file."""
+    head = records.filter((F.col("_source_file") == first_path) & F.col("_first")).select("line").head()
+    if head is None:
+        raise FeedError(f"no header line in {first_path}")
+    return head.line
+
+
+def data_records(records: DataFrame, header: str) -> DataFrame:
+    """Records without the files' headers; fails where one differs from ``header`` (in any case)."""
+    other = F.concat(F.lit("the header differs from the first file's in "), F.col("_source_file"))
+    same = F.lower("line") == header.lower()
+    first = F.when(F.col("_first") & ~same, F.raise_error(other).cast("boolean")).otherwise(F.col("_first"))
+    return records.filter(~first)
 
 
 def _read_multiline(
-    spark: SparkSession, path: str, first_path: str, contract: TableContract, glob: str | None
+    spark: SparkSession, path: str, first_path: str, contract: TableContract, headers: str, glob: str | None
 ) -> DataFrame:
-    names, rows = read_records(spark, path, first_path, glob)
-    lowered = [n.strip().lower() for n in names]
-    columns = [
-        F.col("`" + names[lowered.index(c.lower())].replace("`", "``") + "`").alias(c)
-        if c.lower() in lowered
-        else F.lit(None).cast("string").alias(c)
-        for c in contract.columns
-    ]
-    return rows.select("_source_file", "_at", "_source_time", *columns)
+    records = csv_records.read_records(spark, path, glob)
+    if headers == "per_file":
+        own = records.filter("_first").select("_source_file", F.col("line").alias("header"))
+        return bind_by_file(records.filter(~F.col("_first")), own, contract)
+    header = first_record(records, first_path)
+    return bind_cells(data_records(records, header), header, contract)

@@ -22,6 +22,13 @@ def read_target(spark: SparkSession, path: str, contract: TableContract) -> Data
     return spark.read.schema(contract.target_schema).parquet(path)
 
 
+def read_files(spark: SparkSession, files: list[str], contract: TableContract) -> DataFrame:
+    """Some files of a parquet target."""
+    if not files:
+        return spark.createDataFrame([], contract.target_schema)
+    return spark.read.schema(contract.target_schema).parquet(*files)
+
+
 def ensure_target_table(
     spark: SparkSession,
     table: str,

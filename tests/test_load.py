@@ -3,14 +3,14 @@
 import random
 
 import pytest
-from conftest import RUN_ID
+from conftest import RUN_ID, csv_text, record
 from pyspark.sql import functions as F
 
 from feedgate.operators import errors, load, reconcile, running
 from feedgate.contract import Field, TableContract
 from feedgate.plans.employee import EMPLOYEE
 from feedgate.session import bucket_session
-from feedgate.sources import manifest, target
+from feedgate.sources import csv_feed, manifest, target
 from feedgate.sources.inventory import FeedError, feed_inventory, file_format, inventory_summary
 from feedgate.sinks import target_table
 
@@ -210,3 +210,49 @@ def test_running_total(spark, fan):
         brute[p] = total
         total += values[p]
     assert found == brute
+
+
+def test_key_table_hashes_by_order_numbers(spark, write):
+    """No sort for first-wins over a feed; the winners are those of the positions."""
+    files = {
+        f"{name}.csv": csv_text([record(employee_id=f"k{i % 7}", first_name=f"{name}{i}") for i in range(40)])
+        for name in "cab"
+    }
+    feed = csv_feed.read_csv_feed(spark, write("feed", files), EMPLOYEE)
+    rows = feed.withColumn("_row_id", F.monotonically_increasing_id())
+    path = write("staged", {}) + "/rows"
+    rows.write.parquet(path)
+    numbered, row_id = load.numbered(spark.read.parquet(path), "_row_id")
+    assert row_id == load.ORDER
+    keys = load.key_table(numbered, "employee_id", row_id, F.lit(True))
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    # Only the ranks of files and blocks are sorted.
+    assert "HashAggregate(keys=[employee_id" in plan and "SortAggregate" not in plan and "Sort [employee_id" not in plan
+    order = [r[load.ORDER] for r in numbered.orderBy("_at").collect()]
+    assert order == sorted(order) and len(set(order)) == 120
+    first = numbered.join(keys.select(F.col("first_id").alias(load.ORDER)), load.ORDER).select("first_name").collect()
+    assert sorted(r.first_name for r in first) == [f"a{i}" for i in range(7)]
+
+
+@pytest.mark.parametrize("places", [[(0, 0), (0, 1)], [(1 << 16, 3)], [(5, 1 << 26)]])
+def test_order_numbers_or_positions(spark, tmp_path, places):
+    """Records of documents and lots; places that do not fit keep the row id."""
+    at = "struct<file:string,block:bigint,seq:bigint,pos:int>"
+    rows = [((f, b, s, p), i) for i, (f, b, (s, p)) in enumerate((f, b, x) for f in "ab" for b in (0, 90) for x in places)]
+    spark.createDataFrame(rows, f"_at {at}, _row_id bigint").write.parquet(str(tmp_path / "r"))
+    numbered, row_id = load.numbered(spark.read.parquet(str(tmp_path / "r")), "_row_id")
+    assert (row_id == load.ORDER) == (places[0] == (0, 0))
+    if row_id == load.ORDER:
+        assert [r._row_id for r in numbered.orderBy(load.ORDER).collect()] == list(range(len(rows)))
+
+
+def test_differing_keys(spark):
+    feed = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    target = feed.filter("key not in ('k7', 'k19999')").union(spark.createDataFrame([("new",), (None,), ("k5",)], "key string"))
+    found = {tuple(r) for r in reconcile.differing_keys(feed, target, "key").collect()}
+    assert found == {("k7", "missing"), ("k19999", "missing"), ("new", "extra")}
+    same = reconcile.differing_keys(feed, feed.repartition(5), "key")
+    plan = same._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan and "Relation" not in plan and same.count() == 0
+    repeated = reconcile.differing_keys(feed.union(feed.limit(10)), feed, "key")
+    assert repeated.count() == 0
