@@ -367,6 +367,14 @@ select id, case id % 3 when 0 then concat(lpad(cents, 30, '7'), '.', lpad(cents,
  when 1 then concat('-0.', lpad(cents, 15, '0'))
  else concat(cents[1], case when length(cents) > 1 then '.' || cents[2:] else '' end, 'E+', 999 + id + length(cents)) end as amount from c""",
     "split_csv_multiline_roundtrip": _texts("documents", "doc_id", "text"),
+    "stamped_from_files": f"""{CSV_VALID} select count(*) as rows, cast(1 as bigint) as runs, cast(1 as bigint) as instants,
+ count(*) as rows_with_their_files_time from valid""",
+    "refusals": """select * from (values ('no files', 'nothing that looks like csv'), ('empty file', 'feed files of zero bytes'),
+ ('no records', 'the feed holds no records'), ('short key', 'the encryption key must be exactly 32 bytes')) as t("case", message)
+ where (select count(*) from nation) > 0""",
+    "json_nested_array": """with r as (select o_orderkey as k, concat('[,"]}', o_orderpriority) as t from orders
+ union all select 0, '' from (select unnest(range(6))))
+select mode, cast(null as varchar) as error, k, t from r, (select unnest(['whole', 'cut']) as mode)""",
     "reconcile_differences": """select distinct concat('k', cast(o_orderkey as varchar)) as key, 'missing' as side from orders where o_orderkey % 97 = 5
  union all select distinct concat('x', cast(o_orderkey as varchar)), 'extra' from orders where o_orderkey % 89 = 7""",
     "csv_any_character": """with t as (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -408,6 +409,45 @@ def stamped_rows(spark: SparkSession, sf: str) -> DataFrame:
 # --- reconciliation and reports ----------------------------------------------------------
 
 
+def stamped_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over files under an identifier of its own: one run, one instant, each row its file's time."""
+    valid = validate.valid_rows(validate.with_reason(parse.parse_csv(_csv_feed(spark, sf), TRACED), TRACED))
+    rows = _written(enrich.stamped(valid, enrich.new_run_id()).select(
+        "execution_id", "ingestion_timestamp", "source_creation_time", F.col("_source_file").alias("file")
+    ), "stamped")
+    files = inventory.feed_inventory(spark, feeds.rendered(spark, sf, "csv"), "csv").select("file_name", "modified_at")
+    named = rows.withColumn("file_name", F.regexp_extract("file", "([^/]*)$", 1)).join(files, "file_name", "left")
+    return named.agg(
+        F.count("*").alias("rows"), F.count_distinct("execution_id").alias("runs"),
+        F.count_distinct("ingestion_timestamp").alias("instants"),
+        F.count_if(F.col("source_creation_time") == F.col("modified_at")).alias("rows_with_their_files_time"),
+    )
+
+
+def refusals(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run refuses before it starts: no files, empty files, no records, a short key."""
+    feeds.register(spark, sf, ["nation"])
+    names = spark.table("nation").select(F.col("n_name").alias("line"))
+    texts, empty, blank = (work_dir(spark, f"refused-{kind}") for kind in ("texts", "empty", "blank"))
+    names.select("line").write.text(texts)
+    names.filter("line is null").coalesce(1).write.text(empty)
+    feed_writer.write_csv_lines(names.select(F.lit(" ").alias("line")), "id,body", blank)
+    calls = {
+        "no files": lambda: inventory.check_feed(spark, texts, "csv"),
+        "empty file": lambda: inventory.check_feed(spark, empty, "json", "*.txt"),
+        "no records": lambda: splitting.split_feed(spark, blank, work_dir(spark, "refused-parts"), "csv", 1 << 20, skip_empty=True),
+        "short key": lambda: protect.key_column(spark, "short"),
+    }
+    found = []
+    for case, call in calls.items():
+        try:
+            call()
+            found.append((case, None))
+        except ValueError as problem:  # FeedError among them
+            found.append((case, re.split(" at |: |, got", str(problem))[0]))
+    return spark.createDataFrame(found, "case string, message string")
+
+
 def _report(spark: SparkSession, sf: str) -> DataFrame:
     feed = _staged(spark, sf)
     return reconcile.reconcile(
@@ -824,6 +864,33 @@ def documents_any_size(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def json_nested_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in documents that wrap their array twice, parsed whole and cut at record borders."""
+    feeds.register(spark, sf, ["orders"])
+    documents = 6
+    head = '{"meta": {"rows": [0, {"rows": 1}]}, "note": "\\"data\\": {", "data": {"of": "a, b", "rows": [{"k": 0, "t": ""}'
+    record = F.to_json(F.struct(F.col("o_orderkey").alias("k"), F.concat(F.lit('[,"]}'), "o_orderpriority").alias("t")))
+    rows = spark.table("orders").select(
+        F.pmod("o_orderkey", F.lit(documents)).cast("int").alias("doc"), F.col("o_orderkey").alias("at"),
+        F.concat(F.lit(", "), record).alias("value"),
+    )
+    ends = [(d, at, text) for d in range(documents) for at, text in ((-1, head), (1 << 62, '], "more": [1]}, "rows": []}'))]
+    rows = rows.union(spark.createDataFrame(ends, "doc int, at bigint, value string"))
+    path = work_dir(spark, "nested")
+    rows.repartitionById(documents, "doc").sortWithinPartitions("at").select("value").write.text(path)
+    found = []
+    for mode, limit in (("whole", 1 << 40), ("cut", 0)):
+        feed = json_feed.read_json_feed(
+            spark, path, max_document_bytes=limit, glob="*.txt", skip_empty=True, inside="data.rows"
+        )
+        record = F.col("record")
+        found.append(feed.select(
+            F.lit(mode).alias("mode"), F.col("_doc_error").alias("error"),
+            F.try_variant_get(record, "$.k", "bigint").alias("k"), F.try_variant_get(record, "$.t", "string").alias("t"),
+        ))
+    return found[0].union(found[1])
+
+
 def amounts_served_exactly(spark: SparkSession, sf: str) -> DataFrame:
     """Long, fine and huge amounts: parsed, encrypted, stored, read back and served as sent."""
     feeds.register(spark, sf, ["orders"])
@@ -1143,6 +1210,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_with_key_index": insert_with_key_index,
     "matched_keys": matched_keys,
     "stamped_rows": stamped_rows,
+    "stamped_from_files": stamped_from_files,
+    "refusals": refusals,
     "reconcile": _report,
     "reconcile_differences": reconcile_differences,
     "run_summary": run_summary,
@@ -1167,6 +1236,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "errors_of_two_runs": errors_of_two_runs,
     "split_keeps_winners": split_keeps_winners,
     "documents_any_size": documents_any_size,
+    "json_nested_array": json_nested_array,
     "amounts_served_exactly": amounts_served_exactly,
     "split_csv_multiline_roundtrip": split_csv_multiline_roundtrip,
     "csv_any_character": csv_any_character,

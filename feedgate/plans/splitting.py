@@ -121,9 +121,11 @@ def _split_documents(
     order = ["_source_file", "block", "seq"]
     ordered = elements.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     feed_writer.write_json_arrays(ordered.select("element"), out)
-    for name in sorted(broken):  # each a file of its own: its error is its own
-        text = json_feed.document_texts(spark, path, F.col("_metadata.file_path") == name, glob)
-        text.select("value").coalesce(1).write.mode("append").text(out)
+    if broken:  # each a file of its own, as its error is its own; one write for all of them
+        texts = json_feed.document_texts(spark, path, F.col("_metadata.file_path").isin(sorted(broken)), glob)
+        numbers = spark.createDataFrame(list(enumerate(sorted(broken))), "_part int, _source_file string")
+        alone = texts.join(F.broadcast(numbers), "_source_file").repartitionById(len(broken), "_part")
+        alone.select("value").write.mode("append").text(out)
 
 
 def _require_records(lines: DataFrame) -> None:

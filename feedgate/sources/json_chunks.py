@@ -55,6 +55,7 @@ def _fragments(
             F.xxhash64("_metadata.file_path").alias("file_id"),
             F.col("_metadata.file_block_start").alias("block"),
             F.col("value").cast("binary").alias("value"),
+            F.monotonically_increasing_id().alias("seq"),
         )
     )
 
@@ -245,7 +246,100 @@ def _scanner(pack_bytes: int, max_bytes: int):
         if held:
             yield out([row(0)])
 
-    return summaries, pieces
+    return summaries, pieces, marks, runs
+
+
+def _finder(key: str):
+    """Task-side search for the value of a key of a document's root object."""
+    import json
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    _, _, marks, runs = _scanner(PACK_BYTES, MAX_RECORD_BYTES)
+    name = json.dumps(key, ensure_ascii=False).encode()
+    token = re.compile(rb'"(?:[^"\\]|\\.)*"?|[{\[}\]]', re.DOTALL)
+    opens = re.compile(rb"\s*:\s*([{\[])")
+
+    def place(text, inside, depth):
+        """Where the value of the key opens in a fragment, or None."""
+        at = 0
+        if inside:
+            end = re.compile(rb'(?:[^"\\]|\\.)*"', re.DOTALL).match(text)
+            if end is None:
+                return None
+            at = end.end()
+        for m in token.finditer(text, at):
+            if m[0] in (b"{", b"["):
+                depth += 1
+            elif m[0] in (b"}", b"]"):
+                depth -= 1
+            elif depth == 1 and m[0] == name and (value := opens.match(text, m.end())):
+                return value.start(1)
+        return None
+
+    def find(batches):
+        """The first place in each block."""
+        key, found = None, False
+        for at, run in runs(batches):
+            if at != key:
+                key, found = at, False
+                inside, depth = (run.column(i)[0].as_py() for i in (4, 5))
+            if found:
+                continue
+            values = run.column(2).cast(pa.binary())
+            after, sides, _, _ = marks(values)
+            deep = depth + np.cumsum(sides[inside])
+            state = after ^ inside
+            for i in np.flatnonzero(pc.match_substring(values, name).to_numpy(zero_copy_only=False)).tolist():
+                before = (int(state[i - 1]), int(deep[i - 1])) if i else (inside, depth)
+                where = place(values[i].as_py(), *before)
+                if where is not None:
+                    found = True
+                    row = [*at, run.column(3)[i].as_py(), where]
+                    names = ["file_id", "block", "seq", "where"]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in row], names=names)
+                    break
+            inside, depth = int(state[-1]), int(deep[-1])
+
+    return find
+
+
+def _summed(fragments: DataFrame) -> DataFrame:
+    """The state in which every block of the fragments starts."""
+    summarise = _scanner(PACK_BYTES, MAX_RECORD_BYTES)[0]
+    return _block_starts(
+        fragments.select(*_KEY, "value").mapInArrow(
+            summarise,
+            "file_id long, block long, odd long, from_out long, from_in long, "
+            "low_out long, low_in long, shut_out long, shut_in long",
+        )
+    )
+
+
+def _inside(fragments: DataFrame, key: str) -> DataFrame:
+    """The fragments from where the value of a key of the root object opens: a document of its own.
+
+    Two passes over the text, for the blocks' states and for the place; one row per file is kept and
+    broadcast, as in ``shares``.  Files without the key have no fragments left.
+    """
+    spark = fragments.sparkSession
+    states = _summed(fragments).select(*_KEY, "inside", "base")
+    placed = fragments.join(F.broadcast(states), _KEY).select(*_KEY, "value", "seq", "inside", "base")
+    found = placed.mapInArrow(_finder(key), "file_id long, block long, seq long, where long")
+    first = found.groupBy("file_id").agg(F.min(F.struct("block", "seq", "where")).alias("open"))
+    path = work_dir(spark, "json-inside")
+    first.write.parquet(path)
+    kept = fragments.join(F.broadcast(spark.read.parquet(path)), "file_id")
+    begins = F.col("block") == F.col("open.block")
+    kept = kept.filter((F.col("block") > F.col("open.block")) | (begins & (F.col("seq") >= F.col("open.seq"))))
+    trimmed = F.expr("substring(value, cast(open.where as int) + 1)")
+    return kept.select(
+        "file_id", F.when(begins, F.lit(0)).otherwise(F.col("block")).cast("bigint").alias("block"),
+        F.when(begins & (F.col("seq") == F.col("open.seq")), trimmed).otherwise(F.col("value")).alias("value"), "seq",
+    )
 
 
 def _before(value: str) -> Column:
@@ -289,23 +383,22 @@ def read_chunks(
     share: tuple[int, int] = (0, 1),
     pack_bytes: int = PACK_BYTES,
     max_record_bytes: int = MAX_RECORD_BYTES,
+    inside: tuple[str, ...] = (),
 ) -> DataFrame:
     """Lots of whole records as raw text, of one share of the documents above a size.
 
+    With ``inside`` the records are those of the array at that path of keys, whatever stands around it.
+
     Columns ``_source_file, _source_time, block, seq, ended, head, text``.  In a complete document
     exactly one chunk, the last record with the closing bracket, has ``ended = 0``.  ``text`` is
     NULL for a record that is too long.  ``head`` of the first chunk is the document's first byte
     that is no white space, or 0.
     """
-    summarise, cut = _scanner(pack_bytes, max_record_bytes)
+    _, cut, _, _ = _scanner(pack_bytes, max_record_bytes)
     fragments = _fragments(spark, path, above_bytes, glob, share)
-    starts = _block_starts(
-        fragments.mapInArrow(
-            summarise,
-            "file_id long, block long, odd long, from_out long, from_in long, "
-            "low_out long, low_in long, shut_out long, shut_in long",
-        )
-    )
+    for key in inside:
+        fragments = _inside(fragments, key)
+    starts = _summed(fragments)
     # Broadcast, as the fragments of a block must stay together and in order.  See ``shares``.
     placed = fragments.join(F.broadcast(starts), _KEY).select(
         *_KEY, "value", "inside", "base", "lot"
@@ -367,6 +460,7 @@ def staged_chunks(
     glob: str | None = None,
     pack_bytes: int = PACK_BYTES,
     max_record_bytes: int = MAX_RECORD_BYTES,
+    inside: tuple[str, ...] = (),
 ) -> DataFrame:
     """The chunks of all documents above a size, written once below the work folder.
 
@@ -375,7 +469,7 @@ def staged_chunks(
     """
     out = work_dir(spark, "json-chunks")
     for share in shares(spark, path, above_bytes, glob):
-        chunks = read_chunks(spark, path, above_bytes, glob, share, pack_bytes, max_record_bytes)
+        chunks = read_chunks(spark, path, above_bytes, glob, share, pack_bytes, max_record_bytes, inside)
         chunks.write.mode("append").parquet(out)
     return spark.read.parquet(out)
 
@@ -444,6 +538,32 @@ def broken_arrays(chunks: DataFrame, refuse_oversized: bool = True) -> DataFrame
     )
 
 
+def _malformed(files: DataFrame) -> DataFrame:
+    """One error row for each file, in the shape of ``read_json_feed``."""
+    return files.select(
+        "_source_file",
+        F.struct(
+            F.col("_source_file").alias("file"),
+            F.lit(0).cast("bigint").alias("block"),
+            F.lit(0).cast("bigint").alias("seq"),
+            F.lit(0).alias("pos"),
+        ).alias("_at"),
+        "_source_time",
+        F.lit(MALFORMED).alias("_doc_error"),
+        # NULL, as a path is no JSON text.  A literal NULL would let Spark work out these rows'
+        # columns while planning, and fail there on casts that no row may ever reach.
+        F.try_parse_json("_source_file").alias("record"),
+    )
+
+
+def without_array(spark: SparkSession, path: str, above_bytes: int, glob: str | None, chunks: DataFrame) -> DataFrame:
+    """Error rows for the documents above a size in which no array was found."""
+    files = _files(spark, path, above_bytes, glob).select(
+        F.col("_metadata.file_path").alias("_source_file"), F.col("modificationTime").alias("_source_time")
+    )
+    return _malformed(files.join(chunks.select("_source_file").distinct(), "_source_file", "left_anti"))
+
+
 def records(chunks: DataFrame, refuse_oversized: bool = True) -> DataFrame:
     """Records of written chunks of arrays, in the shape of ``read_json_feed``.
 
@@ -466,20 +586,7 @@ def records(chunks: DataFrame, refuse_oversized: bool = True) -> DataFrame:
             "record",
         )
     )
-    failed = broken.select(
-        "_source_file",
-        F.struct(
-            F.col("_source_file").alias("file"),
-            F.lit(0).cast("bigint").alias("block"),
-            F.lit(0).cast("bigint").alias("seq"),
-            F.lit(0).alias("pos"),
-        ).alias("_at"),
-        "_source_time",
-        F.lit(MALFORMED).alias("_doc_error"),
-        # NULL, as a path is no JSON text.  A literal NULL would let Spark work out these rows'
-        # columns while planning, and fail there on casts that no row may ever reach.
-        F.try_parse_json("_source_file").alias("record"),
-    )
+    failed = _malformed(broken)
     if not refuse_oversized:
         long = whole.filter(F.col("text").isNull())
         failed = failed.unionByName(

@@ -281,3 +281,38 @@ def test_only_the_oversized_record_is_an_error(spark, write, block):
         "a.json": [json_chunks.OVERSIZED if n > 2000 else r for n, r in zip(sizes, records)],
         "b.json": [json_chunks.OVERSIZED, 1, 2], "c.json": [json_chunks.OVERSIZED],
     }
+
+
+def wrapped(rng, records):
+    """A document whose array stands inside objects, among things that look like it."""
+    values = []
+    for i in range(records):
+        text = "".join(rng.choice(['"', "\\", "[", "]", "{", "}", ",", "rows", "x", "é", "\n"]) for _ in range(rng.randint(0, 12)))
+        values.append(rng.choice([{"k": i, "t": text}, {"k": i, "rows": [{"rows": [text]}]}, i, [i, text], None, text]))
+    before = {"rows": [1], "a": {"data": {"rows": [2]}}, 'x": {"data': "\"data\": {\"rows\": [", "z": "y" * rng.randint(0, 60)}
+    inner = {"of": {"rows": [3]}, "rows": values, "more": [4]}
+    return json.dumps(before | {"data": inner, "end": {"data": {"rows": [5]}}}, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1])), values
+
+
+@pytest.mark.parametrize("block", [40, 300, 1 << 20])
+def test_wrapped_arrays_cut_in_blocks_of_any_size(spark, write, block):
+    rng = random.Random(block)
+    texts = [wrapped(rng, n) for n in (0, 1, 30, 120)]
+    folder = write("feed", {f"{i}.json": text for i, (text, _) in enumerate(texts)})
+    session = block_session(spark, block)
+    for limit in (0, 1 << 30):
+        feed = json_feed.read_json_feed(session, folder, max_document_bytes=limit, inside="data.rows").orderBy("_at")
+        got = [(r._source_file[-6], r._doc_error, r.j) for r in feed.select("_source_file", "_doc_error", F.to_json("record").alias("j")).collect()]
+        want = [(str(i), None, v) for i, (_, values) in enumerate(texts) for v in values]
+        assert [(f, e, None if j is None else json.loads(j)) for f, e, j in got] == want
+
+
+def test_documents_without_the_array(spark, write):
+    files = {"a.json": '{"data": {"other": [1]}}', "b.json": '{"data": {"rows": [1, 2]}}', "c.json": '{"data": [1]}', "d.json": "[1]", "e.json": '{"data": {"rows": {"k": 1}}}', "f.json": "nonsense"}
+    folder = write("feed", files)
+    for limit in (0, 1 << 30):
+        feed = json_feed.read_json_feed(spark, folder, max_document_bytes=limit, inside="data.rows")
+        found = sorted((r._source_file[-6], r._doc_error or "row") for r in feed.collect())
+        assert found == [(c, "Malformed JSON document") for c in "a"] + [("b", "row")] * 2 + [(c, "Malformed JSON document") for c in "cdef"]
+    with pytest.raises(ValueError, match="plain keys"):
+        json_feed.read_json_feed(spark, folder, inside="a..b")

@@ -2,6 +2,9 @@
 
 import base64
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from conftest import KEY
@@ -108,3 +111,30 @@ def test_rows_are_sorted_before_they_are_decrypted(spark, key):
     shown = served._jdf.queryExecution().optimizedPlan().toString()
     assert shown.index("aesDecrypt") < shown.index("Sort [")
     assert [r.pin for r in served.collect()] == ["1", "2"]
+
+
+def test_the_key_is_in_no_event_log(tmp_path):
+    """A run with the event log on: neither the key nor its usual spellings are written there."""
+    logs, script = tmp_path / "logs", tmp_path / "run.py"
+    logs.mkdir()
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+from pyspark.sql import SparkSession, functions as F
+from feedgate import configure
+from feedgate.operators import protect
+spark = configure(SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", "file://{logs}")
+    .config("spark.eventLog.compress", "false").getOrCreate())
+key = protect.key_column(spark, {KEY!r})
+rows = spark.range(50).select(protect.encrypted(F.concat(F.lit("secret "), "id"), key).alias("c"))
+rows.write.parquet("file://{tmp_path}/sealed")
+stored = spark.read.parquet("file://{tmp_path}/sealed")
+assert stored.filter(protect.decrypted(F.col("c"), key) == "secret 7").count() == 1
+spark.stop()
+""")
+    subprocess.run([sys.executable, str(script)], check=True, timeout=300)
+    written = b"".join(p.read_bytes() for p in logs.rglob("*") if p.is_file())
+    assert b"SparkListenerSQLExecutionStart" in written and b"aes_encrypt" in written
+    for spelling in (KEY.encode(), KEY.encode().hex().encode(), KEY.encode().hex().upper().encode(), base64.b64encode(KEY.encode())):
+        assert spelling not in written
