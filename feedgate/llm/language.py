@@ -148,7 +148,9 @@ def _train_counts(docs: DataFrame, docs_of_each: int) -> DataFrame:
         for lang, (grams, scripts) in counts.items():
             for values, places in ((grams, np.arange(len(grams))), (scripts, -1 - np.arange(len(scripts)))):
                 seen = np.nonzero(values)[0]
-                columns = [pa.array([lang] * len(seen)), pa.array(places[seen].astype(np.int32)), pa.array(values[seen])]
+                if not len(seen):
+                    continue  # a language without letters
+                columns = [pa.array([lang] * len(seen), pa.string()), pa.array(places[seen].astype(np.int32)), pa.array(values[seen])]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "at", "n"])
 
     return chosen.mapInArrow(count, "lang string, at int, n bigint").groupBy("lang", "at").agg(F.sum("n").alias("n"))
@@ -157,6 +159,8 @@ def _train_counts(docs: DataFrame, docs_of_each: int) -> DataFrame:
 def train(docs: DataFrame, docs_of_each: int = TRAIN_DOCS) -> Model | None:
     """A model from ``text`` and ``lang`` of documents outside the held-out fold; None without any.
 
+    A language whose texts have no letters is not learned.
+
     At most ``docs_of_each`` documents of each language count, those with the smallest hashes of
     their id.  Tasks count, Spark adds the counts, a task packs a language's (at most 65,536
     and a few), and one array per language (half a megabyte) reaches the driver.
