@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -20,12 +21,15 @@ SPACES = " \t\n\x0b\f\r"
 #: Code points of a key from which its line counts, and documents from which it repeats.
 MIN_CHARS = 40
 MIN_DOCS = 5
-#: Keys of one shard: about 32 MB of arrays.
+#: Keys of one shard: about 18 MB of arrays.
 SHARD_KEYS = 1 << 20
 #: Shards a task keeps open.
-OPEN_SHARDS = 8
-#: Flat arrays of a shard: three of the hash, and per key its fingerprint, count and largest id.
-FILES = {"sizes": "<i8", "words": "<u8", "ranks": "<i8", "prints": "<u8", "docs": "<u4", "keepers": "<i8"}
+OPEN_SHARDS = 64
+#: Characters of text whose lines are probed together, in the order of the shards.
+PROBE_CHARS = 1 << 23
+#: Flat arrays of a shard, one behind the other in its file: per key its largest id, count of
+#: documents and fingerprint; words of bits, their ranks and level sizes of the hash.
+ARRAYS = {"keepers": "<i8", "words": "<u8", "ranks": "<i8", "sizes": "<i8", "docs": "<u4", "prints": "<u4"}
 #: Stands for a null doc_id, which is smaller than any other.
 NO_ID = -(1 << 63)
 
@@ -61,37 +65,42 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
-def build_index(docs: DataFrame, folder: SharedFolder, min_docs: int, min_chars: int, shard_keys: int) -> list[dict]:
-    """Write the shards' arrays; returns their file names, one row per shard.
+def build_index(docs: DataFrame, folder: SharedFolder, min_chars: int, shard_keys: int) -> list[dict]:
+    """Write a file of arrays per shard, over all distinct keys; returns one row per shard.
 
-    Counts combine per task before the shuffle, so a line in every document is one row per task.
+    Pairs of key and document are made distinct first, so a repeated row counts once; counts then
+    combine per task, so a line in every document is one row per task.
     """
-    counted = line_keys(docs, min_chars).groupBy("high", "low").agg(
+    counted = line_keys(docs, min_chars).distinct().groupBy("high", "low").agg(
         F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("keeper")
     )
-    repeated = staged(counted.filter(F.col("docs") >= min_docs), "repeated-lines")
-    shards = max(1, -(-repeated.count() // shard_keys))
+    counted = staged(counted, "line-counts")
+    shards = max(1, -(-counted.count() // shard_keys))
 
     def save(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         high, low, docs_, keeper = (group.column(c).to_numpy() for c in ("high", "low", "docs", "keeper"))
         high, low = high.view(np.uint64), low.view(np.uint64)
         arrays = mph.build(high, low)
-        at = mph.probe(arrays, high, low)
-        order = np.argsort(at)
+        order = np.argsort(mph.probe(arrays, high, low))
         arrays |= {
-            "prints": high[order] ^ mph.mix(low[order]),
-            "docs": np.minimum(docs_[order], (1 << 32) - 1).astype("<u4"),
+            "prints": _print(high[order], low[order]),
+            "docs": np.minimum(docs_[order], (1 << 32) - 1),
             "keepers": keeper[order],
         }
-        names = {n: [folder.save(arrays[n].astype(kind))] for n, kind in FILES.items()}
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), **names})
+        data = b"".join(arrays[n].astype(kind).tobytes() for n, kind in ARRAYS.items())
+        lengths = {n: [len(arrays[n])] for n in ARRAYS}
+        name = folder.save(np.frombuffer(data, np.uint8))
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "name": [name], **lengths})
 
-    schema = "shard int, " + ", ".join(f"{f} string" for f in FILES)
+    schema = "shard int, name string, " + ", ".join(f"{n} bigint" for n in ARRAYS)
     shard = F.pmod("high", F.lit(shards)).cast("int")
-    built = repeated.withColumn("shard", shard).groupBy("shard").applyInArrow(save, schema)
-    # One row of names per million repeated lines.
-    names = [r.asDict() for r in staged(built, "line-shards").collect()]
-    return [{"shards": shards}, *names]
+    built = counted.withColumn("shard", shard).groupBy("shard").applyInArrow(save, schema)
+    # One row per million distinct lines.
+    return [{"shards": shards}, *(r.asDict() for r in staged(built, "line-shards").collect())]
+
+
+def _print(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return (high ^ mph.mix(low)) & np.uint64((1 << 32) - 1)
 
 
 class _Shards:
@@ -99,20 +108,27 @@ class _Shards:
 
     def __init__(self, folder: SharedFolder, index: list[dict]):
         self.folder, self.shards = folder, index[0]["shards"]
-        self.files = {r["shard"]: r for r in index[1:]}
+        self.rows = {r["shard"]: r for r in index[1:]}
         self.open: OrderedDict[int, dict] = OrderedDict()
+        self.opened = 0
 
     def _arrays(self, shard: int) -> dict | None:
         if shard not in self.open:
-            names = self.files.get(shard)
-            self.open[shard] = names and {n: self.folder.load(names[n], kind) for n, kind in FILES.items()}
+            row, arrays, at = self.rows.get(shard), {}, 0
+            if row:
+                data = self.folder.load(row["name"], "u1")
+                for n, kind in ARRAYS.items():
+                    end = at + row[n] * np.dtype(kind).itemsize
+                    arrays[n], at = data[at:end].view(kind), end
+            self.open[shard] = arrays
+            self.opened += 1
             if len(self.open) > OPEN_SHARDS:
                 self.open.popitem(last=False)
         self.open.move_to_end(shard)
         return self.open[shard]
 
     def keepers(self, high: np.ndarray, low: np.ndarray, min_docs: int) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key repeats, and the largest id that holds it."""
+        """Whether each key stands in ``min_docs`` documents, and the largest id that holds it."""
         repeats, keeper = np.zeros(len(high), bool), np.zeros(len(high), np.int64)
         shard = (high.view(np.int64) % np.int64(self.shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
@@ -122,39 +138,52 @@ class _Shards:
                 continue
             at = mph.probe(arrays, high[rows], low[rows])
             rows, at = rows[at >= 0], at[at >= 0]
-            same = arrays["prints"][at] == high[rows] ^ mph.mix(low[rows])
+            same = arrays["prints"][at] == _print(high[rows], low[rows])
             rows, at = rows[same], at[same]
             repeats[rows] = arrays["docs"][at] >= min_docs
             keeper[rows] = arrays["keepers"][at]
         return repeats, keeper
 
 
+def _slabs(batches: Iterator[pa.RecordBatch], chars: int) -> Iterator[pa.RecordBatch]:
+    """Slices of neighbouring rows with about ``chars`` characters of text, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(np.nan_to_num(pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)))
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chars, side="right"))
+            upto = max(at + 1, upto)
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 def drop_repeated_lines(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, shard_keys: int = SHARD_KEYS
 ) -> DataFrame:
     """All rows and columns of ``docs`` without repeated lines, plus ``n_lines`` and ``n_dropped``.
 
     A text is split at newlines; a line's key is the line without white space (ASCII) at its ends
-    and with A-Z lower-cased.  A key of ``min_chars`` code points or more that ``min_docs`` rows
+    and with A-Z lower-cased.  A key of ``min_chars`` code points or more that ``min_docs`` documents
     hold loses all its lines but those of the largest doc_id that holds it; the others stay, in
-    order.  Keys are counted by 128-bit digest; those that repeat go into shards of a minimal perfect
-    hash with arrays of fingerprints, counts and keepers, which are files in the shared folder that
-    tasks map and probe: lines are never joined.  A fingerprint has 64 bits beside the index.
-
-    Null and empty texts are one empty line, and stay as they are.  Rows that repeat count each,
-    and rows of the keeping id all keep the line; null ids are the smallest.  A column of ``docs``
-    named n_lines or n_dropped is replaced.  No rows give no rows.
+    order.  Keys are 128-bit digests.  All distinct ones go into shards of a minimal perfect hash with
+    arrays of fingerprints, counts of documents and keepers, a file for each in the shared folder that
+    tasks map and probe: lines are never joined, and the count a probe finds decides.
+
+    Null and empty texts are one empty line, and stay as they are.  Rows that share a doc_id are one
+    document, and rows of the keeping id all keep the line; rows without an id are one document,
+    with the smallest id.  A column of ``docs`` named n_lines or n_dropped is replaced.  No rows
+    give no rows.
     """
     spark: SparkSession = docs.sparkSession
     ship(spark)
     folder = SharedFolder(work_dir(spark, "line-index"))
-    index = build_index(docs, folder, min_docs, min_chars, shard_keys)
+    index = build_index(docs, folder, min_chars, shard_keys)
     own = [f for f in docs.schema if f.name not in ("n_lines", "n_dropped")]
     schema = T.StructType([*own, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _Shards(folder, index)
-        for batch in slices(batches):
+        for batch in _slabs(batches, PROBE_CHARS):
             ids = [NO_ID if d is None else d for d in batch.column("doc_id").to_pylist()]
             texts = [t if t is None else t.split("\n") for t in batch.column("text").to_pylist()]
             where, digests = [], []

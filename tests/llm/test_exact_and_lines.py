@@ -48,10 +48,10 @@ def brute_lines(rows, min_docs, min_chars):
         k = line.strip(" \t\n\x0b\f\r")
         return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in k) if len(k) >= min_chars else None
 
-    docs = defaultdict(list)
+    docs = defaultdict(set)  # documents, not rows
     for i, text in rows:
         for k in {key(x) for x in (text or "").split("\n")} - {None}:
-            docs[k].append(-1 if i is None else i)
+            docs[k].add(-1 if i is None else i)
     out = []
     for i, text in rows:
         lines = (text or "").split("\n")
@@ -69,6 +69,34 @@ def test_lines(awkward):
     assert sum(r.n_dropped for r in line_dedup.drop_repeated_lines(awkward).collect()) > 10
 
 
+def test_rows_of_one_document_count_once(spark):
+    """Five rows, three documents: the line stays; with two more documents it goes."""
+    line = "one line of forty characters or some more of them"
+    rows = [(1, f"{line}\n{i}") for i in range(3)] + [(2, line), (3, line)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sum(r.n_dropped for r in line_dedup.drop_repeated_lines(frame).collect()) == 0
+    more = frame.union(spark.createDataFrame([(4, line), (5, line)], frame.schema))
+    assert rows_of(line_dedup.drop_repeated_lines(more), "doc_id", "text", "n_lines", "n_dropped") == brute_lines(
+        [(r.doc_id, r.text) for r in more.collect()], 5, 40
+    )
+    assert sum(r.n_dropped for r in line_dedup.drop_repeated_lines(more).collect()) == 6
+
+
+def test_every_distinct_line_is_indexed(spark, tmp_path):
+    """The count array tells lines that repeat from others; a shard is opened once per slab."""
+    lines = [f"line number {i} of a text that is long enough to count" for i in range(500)]
+    frame = spark.createDataFrame([(i, "\n".join(lines[: 100 * (i + 1)])) for i in range(5)], "doc_id bigint, text string")
+    folder = line_dedup.SharedFolder(str(tmp_path))
+    index = line_dedup.build_index(frame, folder, 40, 50)
+    assert index[0]["shards"] == 10 and sum(r["docs"] for r in index[1:]) == 500
+    shards = line_dedup._Shards(folder, index)
+    digests = [line_dedup.key_of(x, 40) for x in lines + ["another line that no document has, and no file"]]
+    for docs, want in ((5, 100), (1, 500)):
+        repeats, keeper = shards.keepers(*line_dedup._halves(digests), docs)
+        assert repeats.tolist() == [True] * want + [False] * (501 - want) and set(keeper[:500]) == {4}
+    assert shards.opened == 10
+
+
 def test_lines_of_nothing(nothing):
     assert line_dedup.drop_repeated_lines(nothing).count() == 0
 
