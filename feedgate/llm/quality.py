@@ -6,18 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from feedgate.llm import words as text_words
-from feedgate.llm.common import held_out
+from feedgate.llm.common import held_out, staged
 from feedgate.llm.files import ship
 from feedgate.llm.mph import mix
 from feedgate.llm.words import DIGIT, LOWER, OTHER, UPPER, Flat
 
 #: Weights: 2 to the power of this, and one for all texts.
 BITS = 18
-#: Most labelled rows a model is fitted on, dealt to as many learners, each reading them so often.
+#: Most labelled rows a model is fitted on, and most bytes of their texts; dealt to as many
+#: learners, each holding its share (about ten bytes for one of text) and reading it so often.
 TRAIN_ROWS = 24_000
+TRAIN_BYTES = 1 << 28
 LEARNERS = 8
 EPOCHS = 3
 #: Step size and its start, and the two regularisers.
@@ -98,24 +100,38 @@ def _logistic(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -35.0, 35.0)))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray | None:
-    """Weights learnt from ``labels.quality`` of at most ``rows`` documents; None without any.
+def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> DataFrame:
+    """``doc_id, text, quality, _order``: the labelled texts that train.
 
-    The sample is the labelled rows with the smallest hashes of their id, so reruns agree.  Every
-    learner sees its share in hash order and the learners' weights are averaged: what reaches the
-    driver is one array of fixed size from each.  Null labels, ids and texts are left out.
+    Those with the smallest hashes of their id, so reruns agree: ``rows`` at most, and as many as
+    have ``size`` bytes of text together.  Equal rows of a document train once; null labels, ids and
+    texts are left out.
     """
-    ship(docs.sparkSession)
-    order = F.xxhash64("doc_id")
-    sample = (
+    order = ["_order", "doc_id", "quality", "_text"]
+    known = (
         labels.filter("doc_id is not null and quality in (0, 1)")
         .filter(~held_out(F.col("doc_id")))
-        .select("doc_id", "quality", order.alias("_order"))
-        .orderBy("_order", "doc_id", "quality")
-        .limit(rows)
+        .select("doc_id", "quality", F.xxhash64("doc_id").alias("_order"))
     )
-    # Broadcast: at most ``rows`` rows of three numbers.
-    chosen = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(sample), "doc_id")
+    first = known.orderBy(*order[:3]).limit(rows)
+    texts = docs.select("doc_id", "text").filter("text is not null").withColumn("_text", F.xxhash64("text"))
+    # Broadcast: at most ``rows`` rows of a few numbers, here and below.
+    sized = texts.join(F.broadcast(first), "doc_id").select(*order, F.octet_length("text").cast("long").alias("_bytes"))
+    sized = staged(sized.distinct().orderBy(*order).limit(rows), "quality-sample")
+    upto = F.sum("_bytes").over(Window.orderBy(*order))  # of ``rows`` rows
+    chosen = sized.withColumn("_upto", upto).filter(F.col("_upto") <= size).drop("_upto", "_bytes")
+    found = texts.join(F.broadcast(chosen), ["doc_id", "_text"]).dropDuplicates(["doc_id", "_text", "quality"])
+    return found.select("doc_id", "text", "quality", "_order")
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> np.ndarray | None:
+    """Weights learnt from ``labels.quality`` of the rows of ``sample``; None without any.
+
+    Every learner sees its share in hash order and the learners' weights are averaged: what reaches
+    the driver is one array of fixed size from each.
+    """
+    ship(docs.sparkSession)
+    chosen = sample(docs, labels, rows, size)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_words.slices(batches):
