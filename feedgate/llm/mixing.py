@@ -124,14 +124,22 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken.
 
     Documents without words are in no mix.  Rows that are equal in every column are taken alike.
+    Rows are known by two hashes of 64 bits and their id.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.withColumn("_row", row)
-    entries = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), "_row")
+    def free(name: str) -> str:
+        while name in docs.columns:
+            name += "_"
+        return name
+
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    row, check, copy = free("_row"), free("_check"), free("_copy")
+    rows = docs.withColumns({row: F.xxhash64(*own), check: F.xxhash64(F.lit("check"), *reversed(own))})
+    entries = rows.select("source", word_count(F.col("text")).alias("size"), F.col(row).alias("_row"), F.col(check).alias("_check"), "doc_id")
     taken = (
         fair_mix(entries).entries.filter((F.col("copies") > 0) & (F.col("size") > 0))
-        .groupBy("_row").agg(F.max("copies").alias("_copies"))
+        .groupBy("_row", "_check", "doc_id").agg(F.max("copies").alias("_copies"))
+        .select(F.struct("_row", "_check", "doc_id").alias("k"), F.sequence(F.lit(1), F.col("_copies")).alias("each"))
     )
-    return rows.join(taken, "_row").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    ).select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Two hashes and the id; structs are equal where both ids are null.
+    same = F.struct(F.col(row).alias("_row"), F.col(check).alias("_check"), F.col("doc_id")).eqNullSafe(taken.k)
+    return rows.join(taken, same).withColumn(copy, F.explode(taken.each)).select(*own)
