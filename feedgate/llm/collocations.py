@@ -32,6 +32,8 @@ SHARD_CHARS = 1 << 22
 #: Bytes of text that give one bucket of phrases (a phrase is 4 bytes there), and buckets of a file.
 BUCKET_BYTES = 1 << 23
 FILE_BUCKETS = 64
+#: Shares in which a language's phrases are ranked before all of them are.
+SHARES = 8
 #: Fixed values of the contract: pieces end at these characters, and at line ends.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 #: No byte of UTF-8; stands between pieces.
@@ -319,5 +321,9 @@ def collocations(
     mined = mine(texts, support, longest, shard_chars, bucket_bytes)
     frequent = staged(count_exactly(texts, mined, support, longest, shard_chars, bucket_bytes), "phrases")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    ranked = scores(frequent, inside).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
-    return ranked.filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    # The best of each share of a language first, so that its last task has SHARES * top rows at most.
+    ranked = scores(frequent, inside).withColumn("share", F.pmod(F.hash("phrase"), F.lit(SHARES)))
+    for group in (["lang", "share"], ["lang"]):
+        best = F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long")
+        ranked = ranked.withColumn("rank", best).filter(F.col("rank") <= top)
+    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
