@@ -27,8 +27,10 @@ LIST = 4096
 #: Pairs whose coordinates are compared at once, and links kept before they are contracted.
 BLOCK = 1 << 17
 KEPT_LINKS = 1 << 20
-#: Shingles of one block of sets that are confirmed against each other (8 bytes each).
-CHUNK = 1 << 20
+#: Shingles of one block of sets that are confirmed against each other (8 bytes each): a share of
+#: all of them within these limits.
+CHUNK = (1 << 14, 1 << 20)
+SHARE = 128
 
 _COUNT = "doc_id {}, n_shingles bigint, high bigint, low bigint, sig array<bigint>"
 
@@ -245,14 +247,19 @@ def _confirmed(percent: int):
     return link
 
 
-def confirm(sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+def confirm(sets: DataFrame, percent: int = PERCENT, chunk: int | None = None) -> DataFrame:
     """``a, b``: links of ``sets(root, node, n, shingles)`` that connect what is alike in a group.
 
-    Sets stand in one global order by group and size, cut into blocks of about ``chunk`` shingles.
-    A group confirms a block, or two blocks that share a candidate group and sizes that may link.
+    Sets stand in one global order by group and size, cut into blocks of about ``chunk`` shingles:
+    by default small ones where there is little, so that one large group is many tasks, and up to
+    the upper limit of ``CHUNK`` where there is more.  A group of rows confirms a block, or two blocks that share a candidate group and sizes that may link.
     """
     order = [F.col("root"), F.col("n"), F.col("node")]
-    placed = with_running(in_order(sets, order, "minhash-sets"), "n", "upto")
+    placed = in_order(sets, order, "minhash-sets")
+    if chunk is None:
+        total = placed.agg(F.sum("n")).first()[0] or 0
+        chunk = min(max(CHUNK[0], total // SHARE), CHUNK[1])
+    placed = with_running(placed, "n", "upto")
     placed = placed.withColumn("chunk", F.expr(f"(upto - n) div {chunk}"))
     spans = staged(placed.groupBy("chunk", "root").agg(F.min("n").alias("least"), F.max("n").alias("most")), "minhash-spans")
     # A candidate group within one block has one row, and no other.
@@ -291,7 +298,7 @@ def _sets_of(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
 
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, coordinates: int = COORDINATES,
-    shared: int = SHARED, most: int = LIST, chunk: int = CHUNK,
+    shared: int = SHARED, most: int = LIST, chunk: int | None = None,
 ) -> DataFrame:
     """Each row's ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
 
