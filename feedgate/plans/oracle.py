@@ -397,6 +397,7 @@ select '{RUN_ID}' as execution_id, 'csv' as file_format, input_records, error_re
     "shipments_csv_files": f"{SHIP} {OUTCOMES}",
     "shipments_json_lines": f"{SHIP_JSON} {OUTCOMES}",
     "shipments_json_arrays": f"{SHIP_JSON} {OUTCOMES}",
+    "shipments_one_array": f"{SHIP_JSON} {OUTCOMES}",
     "shipments_by_rule": _rule_counts(SHIP, "typed where parse_error is null", [
         ("shipment_id present", "case when shipment_id is null then 1 end"),
         ("status length", _length("status", 1, 1)),

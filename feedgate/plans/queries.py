@@ -1001,6 +1001,15 @@ def shipments_by_outcome(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def shipments_one_array(spark: SparkSession, sf: str) -> DataFrame:
+    """All shipments in one JSON array, cut at record borders whatever its size, by outcome."""
+    path, contract = tables.rendered_shipments(spark, sf, "one"), tables.SHIPMENT
+    feed = json_feed.read_json_feed(spark, path, max_document_bytes=0, glob="*.txt", skip_empty=True)
+    outcome = F.coalesce("_reason", F.lit("valid")).alias("outcome")
+    judged = validate.with_reason(parse.parse_json(feed, contract), contract)
+    return judged.groupBy(outcome).agg(F.count("*").alias("rows"))
+
+
 def shipments_in_files(layout: str, spark: SparkSession, sf: str) -> DataFrame:
     """Shipments read from CSV files, JSON lines or JSON arrays, by outcome."""
     path, contract = tables.rendered_shipments(spark, sf, layout), tables.SHIPMENT
@@ -1248,6 +1257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shipments_csv_files": partial(shipments_in_files, "csv"),
     "shipments_json_lines": partial(shipments_in_files, "lines"),
     "shipments_json_arrays": partial(shipments_in_files, "json"),
+    "shipments_one_array": shipments_one_array,
     "shipments_by_rule": shipments_by_rule,
     "shipments_first_wins": shipments_first_wins,
     "shipments_new": shipments_new,
