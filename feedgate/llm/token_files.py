@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from tokenizers import Tokenizer
@@ -18,9 +19,11 @@ from feedgate.llm.common import staged
 from feedgate.llm.files import SharedFolder, ship
 from feedgate.session import work_dir
 
-#: Characters of text encoded at once, and pieces kept by a worker (about 200 MB).
-BATCH_CHARS = 1 << 21
-KEPT_PIECES = 1 << 20
+#: Characters of text encoded at once, and pieces of a generation; a worker keeps two (about 200 MB).
+BATCH_CHARS = 1 << 22
+KEPT_PIECES = 1 << 19
+#: New pieces of one call of the tokenizer.
+TOGETHER = 256
 #: Unicode's White_Space, as patterns see it.
 BLANKS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BEFORE_BLANK = re.compile(f"[{BLANKS}] ")
@@ -48,8 +51,9 @@ class Encoder:
             and not any(re.search(f"[{BLANKS}]", t["content"]) or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
         )
         self.mark = next(((t["content"], t["id"]) for t in added if t["special"]), None) if cuttable else None
-        self.spaced: dict[str, bytes] = {}
-        self.other: dict[str, bytes] = {}
+        # Pieces behind a blank, and others: those met of late, and those met before.
+        self.recent: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+        self.older: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -60,34 +64,50 @@ class Encoder:
         alone = [p for p in pieces if text in prefix + p]
         into.update(zip(alone, self._whole([prefix + p for p in alone])))
         pieces = [p for p in pieces if text not in prefix + p]
-        for i in range(0, len(pieces), 4096):
-            some = pieces[i : i + 4096]
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces[i : i + TOGETHER]
             ids = np.frombuffer(self._whole([text.join(prefix + p for p in some)])[0], self.dtype)
             ends = np.append(np.nonzero(ids == mark)[0], len(ids))
             starts, data, width = np.append(0, ends[:-1] + 1), ids.tobytes(), self.dtype.itemsize
             into.update(zip(some, (data[a * width : b * width] for a, b in zip(starts.tolist(), ends.tolist()))))
 
+    def _know(self, pieces: set[str], prefix: str) -> None:
+        """Have the ids of all pieces among the recent ones; what was not met for long falls out."""
+        recent, older = self.recent[prefix], self.older[prefix]
+        if len(recent) > KEPT_PIECES:
+            self.older[prefix] = older = recent
+            self.recent[prefix] = recent = {}
+        missing = pieces.difference(recent)
+        kept = [p for p in missing if p in older]
+        recent.update(zip(kept, map(older.__getitem__, kept)))
+        missing.difference_update(kept)
+        self._learn(list(missing), recent, prefix)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, in ``dtype``."""
         if self.mark is None:
             return self._whole(texts)
-        if len(self.spaced) + len(self.other) > KEPT_PIECES:
-            self.spaced, self.other = {}, {}
-        heads, tails, new, rare = [], [], set(), set()
-        for text in texts:
-            if _BEFORE_BLANK.search(text):
-                head, tail = _PIECES.findall(text), []
-            else:  # every blank follows a visible character
-                first, *tail = text.split(" ")
-                head = [first]
-            rare.update(head)
-            new.update(tail)
-            heads.append(head)
-            tails.append(tail)
-        self._learn([p for p in new if p not in self.spaced], self.spaced, " ")
-        self._learn([p for p in rare if p not in self.other], self.other, "")
-        other, spaced = self.other.__getitem__, self.spaced.__getitem__
-        return [b"".join(map(other, h)) + b"".join(map(spaced, t)) for h, t in zip(heads, tails)]
+        # Where a blank follows another, pieces are cut one by one; else a text splits at its blanks.
+        cut = {i: _PIECES.findall(text) for i, text in enumerate(texts) if _BEFORE_BLANK.search(text)}
+        split = [i for i in range(len(texts)) if i not in cut]
+        lists = pc.split_pattern(pa.array([texts[i] for i in split], pa.string()), " ")
+        words, ends = lists.flatten(), lists.offsets.to_numpy()
+        first = ends[:-1]  # words that no blank stands before
+        heads = words.take(pa.array(first)).to_pylist()
+        coded = words.dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        tails = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._know(set(tails), " ")
+        self._know(set(heads).union(*cut.values()), "")
+        spaced, other = self.recent[" "], self.recent[""]
+        # One entry per distinct word behind a blank and per first word; the words' ids in a row.
+        entries = pa.array([*map(spaced.__getitem__, tails), *map(other.__getitem__, heads)], pa.binary())
+        at[first] = len(tails) + np.arange(len(heads))
+        ids = entries.take(pa.array(at))
+        borders = np.frombuffer(ids.buffers()[1], np.int32)[ends].tolist() if len(ends) > 1 else [0]
+        data = ids.buffers()[2].to_pybytes() if borders[-1] else b""
+        out = {i: data[a:b] for i, a, b in zip(split, borders, borders[1:])}
+        return [out[i] if i in out else b"".join(map(other.__getitem__, cut[i])) for i in range(len(texts))]
 
 
 @lru_cache(maxsize=1)
@@ -150,8 +170,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
             ("doc_ids", pa.string()), ("docs", pa.int64()), ("null_docs", pa.int64()), ("tokens", pa.int64()),
         ]))
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id")
-    written = ordered.sortWithinPartitions("doc_id", "text").mapInArrow(
+    # The text's hash deals out rows that share an id; equal rows are alike in any order.
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("_spread", F.xxhash64("text"))
+    ordered = keyed.repartitionByRange("doc_id", "_spread").sortWithinPartitions("doc_id", "_spread", "text")
+    written = ordered.select("doc_id", "text").mapInArrow(
         rows,
         "part int, ids string, ids_type string, offsets string, doc_ids string, docs bigint, null_docs bigint, tokens bigint",
     )

@@ -1,5 +1,6 @@
 """Quality scores, languages, benchmark items: held-out accuracy, brute force, awkward rows."""
 
+import math
 import os
 import random
 import re
@@ -286,3 +287,62 @@ def test_tasks_hold_one_index_of_bounded_terms(spark, awkward):
     assert rows_of(many, *rest) == rows_of(one, *rest) and many.filter(F.size("items") > 0).count() > 8
     plan = many._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan  # each index was used and let go
+
+
+def test_a_language_without_letters_or_text(spark):
+    """It is not learned, and its documents are judged by the others' letters."""
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 30), "en") for i in range(40)]
+    rows += [(100 + i, "12 34", "xx") for i in range(8)] + [(200 + i, "" if i % 2 else None, "yy") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(2)
+    model = language.train(docs)
+    assert model.languages == ["en"]
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, model).collect()}
+    assert {found[i] for i in range(40)} == {("en", 1.0)}
+    assert {v for i, v in found.items() if i >= 100} == {("und", 0.0)}
+
+
+def test_leader_against_plain_updates():
+    """The array form gives the weights of one-by-one updates over dictionaries."""
+    rng = np.random.default_rng(4)
+    examples = []
+    for _ in range(60):
+        at = np.append(np.sort(rng.choice(200, rng.integers(1, 30), replace=False)), 1 << quality.BITS)
+        examples.append((at, np.append(rng.random(len(at) - 1) * 3, 1.0), int(rng.integers(0, 2))))
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        step = (quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2
+        return (math.copysign(quality.L1, z[i]) - z[i]) / step
+
+    for _ in range(quality.EPOCHS):
+        for at, x, label in examples:
+            w = [weight(i) for i in at.tolist()]
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(a * b for a, b in zip(w, x))))))
+            for i, old, value in zip(at.tolist(), w, x.tolist()):
+                g = (p - label) * value
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / quality.ALPHA
+                z[i] = z.get(i, 0.0) + g - sigma * old
+                n[i] = n.get(i, 0.0) + g * g
+    found = quality.follow_the_leader(examples)
+    want = np.zeros(len(found))
+    for i in z:
+        want[i] = weight(i)
+    assert np.allclose(found, want, rtol=1e-9, atol=1e-12) and (want != 0).sum() > 100
+
+
+def test_sample_is_bounded_by_rows_and_bytes(spark):
+    rows = [(i, "x" * 100, "en") for i in range(60)] + [(7, "x" * 100, "en")] * 5 + [(8, f"y{i}", "en") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1)], "doc_id bigint, quality int")
+    every = quality.sample(docs, labels).collect()
+    kept = {r.doc_id for r in every}
+    assert len(every) == len(kept) + (3 if 8 in kept else 0)  # equal rows once, others each
+    few = quality.sample(docs, labels, rows=10).collect()
+    assert len(few) == 10
+    small = quality.sample(docs, labels, size=1050).collect()
+    assert sum(len(r.text) for r in small) <= 1050 and len(small) >= 10
+    order = sorted(r._order for r in every)
+    assert sorted({r._order for r in small}) == sorted(set(order))[: len({r._order for r in small})]

@@ -169,3 +169,20 @@ def test_pieces_are_encoded_as_in_the_text():
     assert other.mark is None
     want = [np.array(x.ids, other.dtype).tobytes() for x in other.tokenizer.encode_batch(TRICKY, add_special_tokens=False)]
     assert other.encode(TRICKY) == want
+
+
+def test_a_hot_id_fills_many_parts(spark):
+    """Rows of one id, and rows without, are dealt out by their text; order and counts stay."""
+    rows = [(5, f"text number {i}") for i in range(3000)] + [(None, f"none {i}") for i in range(600)] + [(i, f"t{i}") for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts stay apart here
+    try:
+        parts = token_files.write_tokens(docs, BPE)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r.docs for r in parts.collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 1500
+    read = token_files.read_tokens(parts).orderBy("start").collect()
+    ids = [r.doc_id for r in read]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in read] == [0, *np.cumsum([r.n_tokens for r in read])[:-1].tolist()]
