@@ -20,7 +20,7 @@ from feedgate.llm.files import SharedFolder, ship
 from feedgate.session import work_dir
 
 #: Characters of text encoded at once, and pieces of a generation; a worker keeps two (about 200 MB).
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 23
 KEPT_PIECES = 1 << 19
 #: New pieces of one call of the tokenizer.
 TOGETHER = 256
