@@ -83,9 +83,13 @@ def rendered_shipments(spark: SparkSession, sf_dir: str, layout: str) -> str:
     rows = shipment_rows(spark, sf_dir)
     files = max(8, rows.count() // 500_000)
     if layout == "one":
-        rows = rows.select(*SHIPMENT.columns).coalesce(1)
+        rows = rows.select(*SHIPMENT.columns)
     elif layout == "ordered":
-        rows = rows.repartitionByRange(files, "_at").sortWithinPartitions("_at").select(*SHIPMENT.columns)
+        # Numbers are sampled, moved and sorted; what they become as text is worked out where it is written.
+        order = ["l_suppkey", "l_partkey", "l_extendedprice"]
+        used = spark.table("lineitem").select([c for c in spark.table("lineitem").columns if c in SHIPMENT_FEED])
+        used.repartitionByRange(files, *order).sortWithinPartitions(*order).createOrReplaceTempView("lineitem_ordered")
+        rows = spark.sql(SHIPMENT_FEED.replace("from lineitem", "from lineitem_ordered")).select(*SHIPMENT.columns)
     else:
         rows = rows.select(*SHIPMENT.columns).repartition(files, "shipment_id")
     path = work_dir(spark, f"shipments-{layout}")
@@ -102,6 +106,11 @@ def rendered_shipments(spark: SparkSession, sf_dir: str, layout: str) -> str:
         }
         text = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), v) for n, v in members.items()])
         elements = rows.select(F.concat(F.lit("{"), text, F.lit("}")).alias("element"))
+        if layout == "one":
+            # One file has one writer: it gets the text joined already, and only copies it.
+            lots = work_dir(spark, "shipment-elements")
+            feed_writer.joined_elements(elements).write.parquet(lots)
+            elements = spark.read.parquet(lots).coalesce(1)
         write = feed_writer.write_json_lines if layout == "lines" else feed_writer.write_json_arrays
         write(elements, path)
     _rendered[place] = path
