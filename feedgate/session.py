@@ -42,6 +42,18 @@ def block_session(spark: SparkSession, block_bytes: int) -> SparkSession:
     return session
 
 
+def one_block_a_task(spark: SparkSession) -> SparkSession:
+    """A session whose file reads never put two blocks into one task.
+
+    So what is said of a block is said once, with its first fragment, and not with each of them.
+    """
+    session = block_session(spark, size_setting(spark, "spark.sql.files.maxPartitionBytes"))
+    session.conf.set("spark.sql.files.maxPartitionNum", str((1 << 31) - 1))
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.files.ignoreCorruptFiles", "spark.sql.files.ignoreMissingFiles"):
+        session.conf.set(name, spark.conf.get(name))
+    return session
+
+
 def bucket_session(spark: SparkSession, buckets: int) -> SparkSession:
     """A session on the same cluster whose shuffles match a table with this many buckets."""
     session = configure(spark.newSession())

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedgate.functions.json_fields import elements
-from feedgate.session import size_setting, work_dir
+from feedgate.session import one_block_a_task, size_setting, work_dir
 from feedgate.sources.inventory import GLOBS
 
 #: A record above this size cannot become one variant; it is an error.
@@ -46,8 +46,8 @@ def _share(share: tuple[int, int]) -> Column:
 def _fragments(
     spark: SparkSession, path: str, above_bytes: int, glob: str | None, share: tuple[int, int]
 ) -> DataFrame:
-    """Text between commas.  Files go by the hash of their path: 8 bytes per fragment."""
-    reader = spark.read.option("pathGlobFilter", glob or GLOBS["json"]).option("lineSep", ",")
+    """Text between commas, one block of one file in every task, in order."""
+    reader = one_block_a_task(spark).read.option("pathGlobFilter", glob or GLOBS["json"]).option("lineSep", ",")
     return (
         reader.text(path)
         .filter((F.col("_metadata.file_size") > above_bytes) & _share(share))
@@ -60,6 +60,13 @@ def _fragments(
     )
 
 
+def _headed(fragments: DataFrame, *names: str) -> DataFrame:
+    """Only the fragments' text, the first of each task behind the named numbers of its block."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    numbers = F.concat(F.concat_ws(",", *[F.col(n).cast("string") for n in names]), F.lit("\n")).cast("binary")
+    return fragments.select(F.when(first, F.concat(numbers, "value")).otherwise(F.col("value")).alias("value"))
+
+
 def _files(spark: SparkSession, path: str, above_bytes: int, glob: str | None) -> DataFrame:
     return (
         spark.read.format("binaryFile")
@@ -107,6 +114,19 @@ def _scanner(pack_bytes: int, max_bytes: int):
             for start, stop in zip(edges, edges[1:]):
                 yield (int(ids[start]), int(blocks[start])), batch.slice(start, stop - start)
 
+    def headed(batches):
+        """(numbers, texts) per batch: the numbers before the task's first fragment, and the fragments."""
+        numbers = None
+        for batch in batches:
+            values = batch.column(0).cast(pa.binary())
+            if not len(values):
+                continue
+            if numbers is None:
+                head, _, first = values[0].as_py().partition(b"\n")
+                numbers = [int(n) for n in head.split(b",")]
+                values = pa.concat_arrays([pa.array([first], pa.binary()), values.slice(1)])
+            yield numbers, values
+
     def marks(values):
         """Quote parity and bracket steps of the fragments.
 
@@ -148,13 +168,12 @@ def _scanner(pack_bytes: int, max_bytes: int):
     def summaries(batches):
         """One row per block: parity flip; from outside / inside: depth change, lowest depth at the
         commas, and behind closing brackets."""
-        done, key = [], None
-        for at, run in runs(batches):
-            if at != key:
+        done = []
+        for at, values in headed(batches):
+            if not done:
                 done.append([*at, 0, 0, 0, *[1 << 40] * 4])
-                key = at
             row = done[-1]
-            after, sides, closing, _ = marks(run.column(2).cast(pa.binary()))
+            after, sides, closing, _ = marks(values)
             if row[2]:
                 after, sides, closing = after ^ 1, sides[::-1], closing[::-1]
             for start in (0, 1):
@@ -177,7 +196,7 @@ def _scanner(pack_bytes: int, max_bytes: int):
         Text behind the end of the array is dropped.
         """
         names = ["file_id", "block", "nth", "ended", "oversized", "lot", "head", "text"]
-        key, rest, held, shut = None, [], 0, False
+        key, rest, held, shut = None, [], 0, False  # of the task's one block
 
         def row(ended):
             text = None if held > max_bytes else text_of(rest)
@@ -198,20 +217,15 @@ def _scanner(pack_bytes: int, max_bytes: int):
         def size_of(values):
             return (pc.sum(pc.binary_length(values)).as_py() or 0) + len(values)
 
-        for at, run in runs(batches):
+        for numbers, values in headed(batches):
             ready = []
-            if at != key:
-                if held:
-                    ready.append(row(0))
-                key, rest, held, nth, total, last_lot, shut = at, [], 0, 0, 0, -1, False
-                inside, depth, lot = (run.column(i)[0].as_py() for i in (3, 4, 5))
-                first = run.column(2)[0].as_py() if key[1] == 0 else b""
-                head = (bytes(first).lstrip(b" \t\r\n")[:1] or b"\0")[0]
+            if key is None:
+                *key, inside, depth, lot = numbers
+                nth, total, last_lot = 0, 0, -1
+                first = values[0].as_py() if key[1] == 0 else b""
+                head = (first.lstrip(b" \t\r\n")[:1] or b"\0")[0]
             if shut:
-                if ready:
-                    yield out(ready)
                 continue
-            values = run.column(2).cast(pa.binary())
             after, sides, closing, ends = marks(values)
             ends_outside = (after ^ inside) == 0
             deep = depth + np.cumsum(sides[inside])
@@ -311,7 +325,7 @@ def _summed(fragments: DataFrame) -> DataFrame:
     """The state in which every block of the fragments starts."""
     summarise = _scanner(PACK_BYTES, MAX_RECORD_BYTES)[0]
     return _block_starts(
-        fragments.select(*_KEY, "value").mapInArrow(
+        _headed(fragments, *_KEY).mapInArrow(
             summarise,
             "file_id long, block long, odd long, from_out long, from_in long, "
             "low_out long, low_in long, shut_out long, shut_in long",
@@ -400,13 +414,15 @@ def read_chunks(
         fragments = _inside(fragments, key)
     starts = _summed(fragments)
     # Broadcast, as the fragments of a block must stay together and in order.  See ``shares``.
-    placed = fragments.join(F.broadcast(starts), _KEY).select(
-        *_KEY, "value", "inside", "base", "lot"
-    )
+    placed = _headed(fragments.join(F.broadcast(starts), _KEY), *_KEY, "inside", "base", "lot")
     pieces = placed.mapInArrow(
         cut,
         "file_id long, block long, nth long, ended long, oversized long, lot long, head long, text binary",
     ).withColumn("text", F.col("text").cast("string"))
+    # Written, as whole lots and those over block borders both start from it: the text is cut once.
+    written = work_dir(spark, "json-pieces")
+    pieces.write.parquet(written)
+    pieces = spark.read.parquet(written)
     files = (
         _files(spark, path, above_bytes, glob)
         .filter(_share(share))

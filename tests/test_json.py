@@ -316,3 +316,43 @@ def test_documents_without_the_array(spark, write):
         assert found == [(c, "Malformed JSON document") for c in "a"] + [("b", "row")] * 2 + [(c, "Malformed JSON document") for c in "cdef"]
     with pytest.raises(ValueError, match="plain keys"):
         json_feed.read_json_feed(spark, folder, inside="a..b")
+
+
+def test_text_is_cut_once(spark, write):
+    """Whole lots and those over block borders start from written pieces, not from two cuts of the text."""
+    from feedgate.sources import json_chunks
+
+    path = write("feed", {"a.json": "[" + ",".join('{"k": %d}' % i for i in range(500)) + "]"})
+    chunks = json_chunks.read_chunks(spark, path, pack_bytes=256)
+    assert "MapInArrow" not in chunks._jdf.queryExecution().toString()
+    assert chunks.count() > 5
+
+
+def test_block_numbers_stand_once(spark, write):
+    """Fragments go to the tasks alone; many small files keep their own blocks and states."""
+    from feedgate.sources import json_chunks, json_feed
+
+    files = {f"f{i:02d}.json": '[{"k": %d, "t": "[,\\""}, {"k": %d}]' % (i, i + 100) for i in range(40)}
+    files["odd.json"] = '[{"k": "open, }'
+    path = write("feed", files)
+    fragments = json_chunks._fragments(spark, path, -1, None, (0, 1))
+    assert json_chunks._headed(fragments, "file_id", "block").columns == ["value"]
+    rows = json_feed.read_json_feed(spark, path, max_document_bytes=0)
+    found = rows.selectExpr("try_variant_get(record, '$.k', 'int') k", "_doc_error").collect()
+    assert sorted(r.k for r in found if r._doc_error is None) == [*range(40), *range(100, 140)]
+    assert [r._doc_error for r in found if r._doc_error] == [json_feed.MALFORMED]
+
+
+def test_joined_elements_are_the_same_array(spark, tmp_path):
+    """One writer gets few long rows, which give the array that single elements give."""
+    import json
+
+    from feedgate.sinks import feed_writer
+
+    texts = [json.dumps({"k": i, "t": "é," * (i % 7)}) for i in range(3000)]
+    elements = spark.createDataFrame([(t,) for t in texts] + [(None,)], "element string").coalesce(1)
+    joined = feed_writer.joined_elements(elements)
+    assert joined.count() < 20
+    feed_writer.write_json_arrays(joined, str(tmp_path / "out"))
+    text = "".join(r.value + "\n" for r in spark.read.text(str(tmp_path / "out")).collect())
+    assert [json.dumps(e) for e in json.loads(text)] == texts
