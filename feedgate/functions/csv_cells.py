@@ -38,10 +38,13 @@ def _cut(lines: DataFrame, width: int) -> DataFrame:
     # and at U+FFFF; before a quote it drops U+0000.
     plain = (F.octet_length("line") < 20_000) & ~F.col("line").rlike("[\n\r\x00\uffff]")
     schema = ", ".join(f"c{i} string" for i in range(width))
-    return lines.withColumn("_regular", plain & F.col("line").rlike(REGULAR_LINE)).withColumns(
+    kinds = {"_bare": ~F.contains("line", F.lit('"'))}
+    # Without a quote every comma ends a cell.
+    kinds["_regular"] = ~kinds["_bare"] & plain & F.col("line").rlike(REGULAR_LINE)
+    return lines.withColumns(kinds).withColumns(
         {
             "_row": F.when(F.col("_regular"), F.from_csv("line", schema, {"escape": '"'})),
-            "_cells": F.when(~F.col("_regular"), cells(F.col("line"))),
+            "_cells": F.when(F.col("_bare"), F.split("line", ",")).when(~F.col("_regular"), cells(F.col("line"))),
         }
     )
 
@@ -50,19 +53,20 @@ def bound(lines: DataFrame, numbers: dict[str, int]) -> DataFrame:
     """Replace the ``line`` column by the numbered cells, named; empty and absent are NULL."""
     return _cut(lines, max(numbers.values(), default=0) + 1).withColumns(
         {
-            name: F.when(F.col("_regular"), F.col("_row")[f"c{i}"]).otherwise(
-                F.nullif(unquoted(F.get("_cells", F.lit(i))), F.lit(""))
-            )
+            name: F.when(F.col("_regular"), F.col("_row")[f"c{i}"])
+            .when(F.col("_bare"), F.nullif(F.get("_cells", F.lit(i)), F.lit("")))
+            .otherwise(F.nullif(unquoted(F.get("_cells", F.lit(i))), F.lit("")))
             for name, i in numbers.items()
         }
-    ).drop("line", "_regular", "_row", "_cells")
+    ).drop("line", "_bare", "_regular", "_row", "_cells")
 
 
 def values_of(lines: DataFrame, width: int) -> DataFrame:
     """Replace the ``line`` column by ``_values``, the first ``width`` cells without their quotes."""
     whole = F.array(*[F.col("_row")[f"c{i}"] for i in range(width)])
-    values = F.when(F.col("_regular"), whole).otherwise(F.transform("_cells", unquoted))
-    return _cut(lines, width).withColumn("_values", values).drop("line", "_regular", "_row", "_cells")
+    values = F.when(F.col("_regular"), whole).when(F.col("_bare"), F.col("_cells"))
+    values = values.otherwise(F.transform("_cells", unquoted))
+    return _cut(lines, width).withColumn("_values", values).drop("line", "_bare", "_regular", "_row", "_cells")
 
 
 def header_cells(line: str) -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 
 from feedgate.contract import TableContract
 from feedgate.functions import csv_cells
-from feedgate.session import work_dir
+from feedgate.session import one_block_a_task, size_setting, work_dir
 from feedgate.sources import csv_records
 from feedgate.sources.inventory import GLOBS, FeedError, check_feed
 
@@ -57,6 +57,33 @@ def read_lines(
     return lines.filter(~csv_records.is_blank(F.col("line")))
 
 
+def read_long_files(spark: SparkSession, path: str, header: str, check_header: bool = True, glob: str | None = None) -> DataFrame:
+    """As ``read_lines``, for files that fill tasks of their own: lines as text, without Spark's CSV parser.
+
+    That parser ends every line by an exception, which costs more than all else that is done to it.
+    With one block in a task, a file's header is the first line of the task of its first block.
+    """
+    reader = one_block_a_task(spark).read.option("pathGlobFilter", glob or GLOBS["csv"])
+    text = reader.text(path).select(
+        # Bytes that are no UTF-8 become U+FFFD, as in Spark's CSV reader.
+        F.expr("make_valid_utf8(value)").alias("line"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_modification_time").alias("_source_time"),
+    )
+    rows = text.filter(~csv_records.is_blank(F.col("line"))).withColumn("seq", F.monotonically_increasing_id())
+    first = (F.col("block") == 0) & (F.col("seq").bitwiseAND(F.lit((1 << 33) - 1)) == 0)
+    if check_header:
+        other = F.concat(F.lit("the CSV header does not conform to the first file's in "), F.col("_source_file"))
+        fails = first & (F.lower("line") != header.lower())
+        first = F.when(fails, F.raise_error(other).cast("boolean")).otherwise(first)
+    return rows.filter(~first).select(
+        "line", "_source_file",
+        F.struct(F.col("_source_file").alias("file"), "block", "seq", F.lit(0).alias("pos")).alias("_at"),
+        "_source_time",
+    )
+
+
 def first_header(spark: SparkSession, first_path: str) -> str:
     head = spark.read.text(first_path).head(1)
     if not head:
@@ -161,7 +188,10 @@ def read_csv_feed(
     if multiline:
         return _read_multiline(spark, path, summary.first_path, contract, headers, glob)
     header = first_header(spark, summary.first_path)
-    lines = read_lines(spark, path, header, headers == "shared", glob)
+    # Short files share tasks, which Spark's reader can tell apart; see ``read_long_files``.
+    long = summary.total_bytes >= summary.file_count * size_setting(spark, "spark.sql.files.openCostInBytes")
+    read = read_long_files if long else read_lines
+    lines = read(spark, path, header, headers == "shared", glob)
     if headers == "shared":
         return bind_cells(lines, header, contract)
     return bind_by_file(lines, file_headers(spark, path, glob), contract)

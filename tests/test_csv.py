@@ -236,3 +236,43 @@ def test_render_and_read_back(spark, tmp_path):
     write_csv_rows(rows, str(tmp_path / "out"))
     assert sorted(read(spark, str(tmp_path / "out"))) == values
     assert list(csv.reader(io.StringIO('"a"'))) == [["a"]]
+
+
+def test_long_files_as_spark_reads_them(spark, write):
+    """Lines of files with tasks of their own, read as text, are those of Spark's CSV reader."""
+    from feedgate.sources import csv_feed
+
+    path = write("feed", {
+        "a.csv": b"id,name\r\n1,x\r\n\r\nid,name\r\n2,\"a,b\"\r\n",
+        "b.csv": b"\xef\xbb\xbfID,Name\n3,\xff\xc3y\n   \n4,\"open\n",
+        "c.csv": b"\n \nid,name\n5,\x00z\n",
+        "d.csv": b"id,name",
+        "e.csv": b"id,name\n" + b"".join(b"%d,%s\n" % (i, b"w" * (i % 50)) for i in range(100, 400)),
+    })
+    want = csv_feed.read_lines(spark, path, "id,name")
+    got = csv_feed.read_long_files(spark, path, "id,name")
+    assert "Scan csv" not in got._jdf.queryExecution().toString()
+    assert got.columns == want.columns and got.schema["_at"].dataType == want.schema["_at"].dataType
+    pick = lambda df: [(r._source_file[-5:], r.line) for r in df.orderBy("_at.file", "_at.block", "_at.seq").collect()]
+    assert pick(got) == pick(want) and len(pick(got)) > 300
+
+
+def test_long_files_check_their_header(spark, write):
+    from feedgate.sources import csv_feed
+
+    path = write("feed", {"a.csv": "id,name\n1,x\n", "b.csv": "name,id\n1,x\n"})
+    with pytest.raises(Exception, match="header"):
+        csv_feed.read_long_files(spark, path, "id,name").collect()
+    assert csv_feed.read_long_files(spark, path, "id,name", check_header=False).count() == 2
+
+
+def test_cells_of_lines_without_quotes(spark):
+    """A line without a quote is cut at its commas, whatever else stands in it."""
+    from feedgate.functions import csv_cells
+
+    lines = ["a,b,c", "a,,c", ",,", "a", "", "a,b,c,d", " a , b ,c ", "\u0000,￿,x", "#a,b,c", "a" * 30000 + ",b,c", 'a,"b",c']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, line string")
+    found = csv_cells.bound(rows, {"x": 0, "y": 1, "z": 2}).orderBy("i").collect()
+    for row, line in zip(found, lines):
+        cells = line.replace('"', "").split(",") + [None] * 3
+        assert [row.x, row.y, row.z] == [c or None for c in cells[:3]]
