@@ -86,7 +86,7 @@ def test_registered_on_awkward_tables(spark, awkward, nothing, tables, name):
     items = spark.createDataFrame([(1, "a line that stands in many documents over and over")], "item_id bigint, text string")
     full = tables(documents=rows, labels=labels, benchmark=items, pages=pages)
     got = entry.queries()[name](spark, full)
-    if name not in ("op8_bm25_decontaminate", "pipeline"):
+    if name not in ("op8_bm25_decontaminate", "op12_collocations", "pipeline"):  # these have no row per document
         assert got.count() == (3 if name == "op9_url_templates" else rows.count())
     os.makedirs(f"{full}/none")
     for table, frame in (("documents", rows), ("labels", labels), ("benchmark", items), ("pages", pages)):
