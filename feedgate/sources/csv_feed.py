@@ -60,8 +60,8 @@ def read_lines(
 def read_long_files(spark: SparkSession, path: str, header: str, check_header: bool = True, glob: str | None = None) -> DataFrame:
     """As ``read_lines``, for files that fill tasks of their own: lines as text, without Spark's CSV parser.
 
-    That parser ends every line by an exception, which costs more than all else that is done to it.
-    With one block in a task, a file's header is the first line of the task of its first block.
+    Most of the time of reading and parsing short lines went to that parser.  With one block in a task, a
+    file's header is the first line of the task of its first block.
     """
     reader = one_block_a_task(spark).read.option("pathGlobFilter", glob or GLOBS["csv"])
     text = reader.text(path).select(
