@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedgate.llm import words as text_words
 from feedgate.llm.common import in_order, staged, with_running
@@ -31,8 +31,10 @@ KEPT_LINKS = 1 << 20
 #: all of them within these limits.
 CHUNK = (1 << 14, 1 << 20)
 SHARE = 128
+#: Words of 64 bits, at most, of the filter that tells the ids of candidates from most others.
+SLOTS = 1 << 20
 
-_COUNT = "doc_id {}, n_shingles bigint, high bigint, low bigint, sig array<bigint>"
+_COUNT = "doc_id {}, n_shingles bigint, high bigint, low bigint, sig array<int>"
 
 
 def _odd(n: int, salt: int) -> np.ndarray:
@@ -72,13 +74,13 @@ class Sets:
         ]
 
     def signatures(self, coordinates: int) -> np.ndarray:
-        """A row per set: each coordinate's number and smallest hash, mixed into one value."""
-        out = np.zeros((len(self.sizes), coordinates), np.int64)
+        """A row per set: 32 bits of each coordinate's smallest hash."""
+        out = np.zeros((len(self.sizes), coordinates), np.int32)
         some = np.nonzero(self.sizes)[0]
         if len(some):
             for c, (factor, salt) in enumerate(zip(_odd(coordinates, 2), _odd(coordinates, 3))):
                 least = np.minimum.reduceat(self.hashes * factor, self.first[some])
-                out[some, c] = mix(least ^ salt).view(np.int64)
+                out[some, c] = (mix(least ^ salt) >> np.uint64(32)).astype(np.uint32).view(np.int32)
         return out
 
 
@@ -120,8 +122,10 @@ def _prefixes(nodes: DataFrame, shared: int, most: int) -> DataFrame:
     Only values that two sets or more hold can collide.  Of those a set needs ``shared``, so a pair
     that shares as many has one in common among all but ``shared - 1`` of each side's, the rarest
     first: these are posted.  A list above ``most`` is dealt out by node, with the others beside.
+    A key is a coordinate's number before 32 bits of its value.
     """
-    postings = nodes.select("node", F.explode("sig").alias("key"))
+    key = F.shiftleft(F.col("at").cast("bigint"), 32).bitwiseOR(F.col("value").bitwiseAND(F.lit((1 << 32) - 1)))
+    postings = nodes.select("node", F.posexplode("sig").alias("at", "value")).select("node", key.alias("key"))
     lists = postings.groupBy("key").count().filter("count >= 2")
     live = postings.join(lists, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("keys"))
     prefix = F.slice("keys", F.lit(1), F.size("keys") - (shared - 1))
@@ -247,37 +251,43 @@ def _confirmed(percent: int):
     return link
 
 
-def confirm(sets: DataFrame, percent: int = PERCENT, chunk: int | None = None) -> DataFrame:
-    """``a, b``: links of ``sets(root, node, n, shingles)`` that connect what is alike in a group.
+def _dealt(members: DataFrame, percent: int, chunk: int | None) -> DataFrame:
+    """``high, low, root, node, n, c, d, later``: the groups that each set is confirmed in.
 
-    Sets stand in one global order by group and size, cut into blocks of about ``chunk`` shingles:
-    by default small ones where there is little, so that one large group is many tasks, and up to
-    the upper limit of ``CHUNK`` where there is more.  A group of rows confirms a block, or two blocks that share a candidate group and sizes that may link.
+    ``members`` (``root, node, n_shingles, high, low``) stand in one global order by candidate group
+    and size, cut into blocks of about ``chunk`` shingles: by default small ones where there is
+    little, so that one large group is many tasks, and up to the upper limit of ``CHUNK`` where
+    there is more.  A group confirms a block (c = d), or two blocks that share a candidate group
+    and sizes that may link.  No shingles move for this.
     """
     order = [F.col("root"), F.col("n"), F.col("node")]
+    sets = members.select("root", "node", F.col("n_shingles").alias("n"), "high", "low")
     placed = in_order(sets, order, "minhash-sets")
     if chunk is None:
         total = placed.agg(F.sum("n")).first()[0] or 0
         chunk = min(max(CHUNK[0], total // SHARE), CHUNK[1])
     placed = with_running(placed, "n", "upto")
-    placed = placed.withColumn("chunk", F.expr(f"(upto - n) div {chunk}"))
+    placed = staged(placed.withColumn("chunk", F.expr(f"(upto - n) div {chunk}")).drop("upto"), "minhash-blocks")
     spans = staged(placed.groupBy("chunk", "root").agg(F.min("n").alias("least"), F.max("n").alias("most")), "minhash-spans")
     # A candidate group within one block has one row, and no other.
     left = spans.select("root", F.col("chunk").alias("c"), F.col("most").alias("top"))
     right = spans.select("root", F.col("chunk").alias("d"), F.col("least").alias("bottom"))
     pairs = left.join(right, "root").filter(f"c < d and 100 * top >= {percent} * bottom").select("root", "c", "d")
     pairs = staged(pairs, "minhash-pairs")
-    members = placed.select("root", "node", "n", "shingles", "chunk")
-    alone = members.select("*", F.col("chunk").alias("c"), F.col("chunk").alias("d"), F.lit(False).alias("later"))
-    one = members.join(pairs, (members.chunk == pairs.c) & (members.root == pairs.root)).drop(pairs.root)
-    two = members.join(pairs, (members.chunk == pairs.d) & (members.root == pairs.root)).drop(pairs.root)
+    alone = placed.select("*", F.col("chunk").alias("c"), F.col("chunk").alias("d"), F.lit(False).alias("later"))
+    one = placed.join(pairs, (placed.chunk == pairs.c) & (placed.root == pairs.root)).drop(pairs.root)
+    two = placed.join(pairs, (placed.chunk == pairs.d) & (placed.root == pairs.root)).drop(pairs.root)
     both = one.withColumn("later", F.lit(False)).unionByName(two.withColumn("later", F.lit(True)))
-    groups = alone.unionByName(both).drop("chunk").groupBy("c", "d")
-    return groups.applyInArrow(_confirmed(percent), "a bigint, b bigint")
+    return alone.unionByName(both).drop("chunk")
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """``root, node, n, shingles`` of candidate sets, from the text of one row that has each."""
+    """``high, low, shingles`` of every set of ``members`` and of some others, each once.
+
+    A set comes from a row that has the id of its ``doc``.  Which rows do is told by bits: one bit
+    of each id, in at most ``SLOTS`` words that are broadcast, so no text is shuffled however many
+    candidates there are.  Rows that only share a bit bring sets that are nobody's.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_words.slices(batches):
@@ -288,12 +298,30 @@ def _sets_of(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
                 columns = [pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(data, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["high", "low", "shingles"])
 
-    ids = members.select(F.col("doc").alias("_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    found = texts.mapInArrow(rows, "high bigint, low bigint, shingles binary")
-    # Rows that repeat an id may bring the same set again, or one that is no candidate.
-    joined = found.join(members, ["high", "low"]).select("root", "node", F.col("n_shingles").alias("n"), "shingles")
-    return joined.dropDuplicates(["node"])
+    ids = members.select(*_bit(F.col("doc")))
+    bits = F.broadcast(ids.groupBy("_slot").agg(F.bit_or("_bit").alias("_bits")))
+    own = docs.select("text", *_bit(F.col("doc_id"))).join(bits, "_slot")
+    texts = own.filter(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select("text")
+    # Copies bring the same set.
+    return texts.mapInArrow(rows, "high bigint, low bigint, shingles binary").dropDuplicates(["high", "low"])
+
+
+def _bit(value: Column) -> tuple[Column, Column]:
+    """``_slot, _bit``: a word of the filter, and the bit of a value in it; null has one as well."""
+    at = F.pmod(F.xxhash64(value), F.lit(64 * SLOTS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+    return F.shiftright(at, 6).alias("_slot"), bit.alias("_bit")
+
+
+def confirm(docs: DataFrame, members: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, chunk: int | None = None) -> DataFrame:
+    """``a, b``: links of ``members`` that connect what is alike in a candidate group.
+
+    ``members`` has ``node, n_shingles, high, low, doc, root``.  Shingles move twice: a set to where
+    its places are told, and from there to the groups that confirm it.
+    """
+    dealt = staged(_dealt(members, percent, chunk), "minhash-dealt")
+    sets = _sets_of(docs, members, shingle).join(dealt, ["high", "low"]).drop("high", "low")
+    return sets.groupBy("c", "d").applyInArrow(_confirmed(percent), "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -333,7 +361,7 @@ def near_duplicates(
     grouped = candidates(nodes.select("node", "n_shingles", "sig"), shared, most, percent)
     inner = staged(grouped.union(grouped.select("root", "root").distinct()), "minhash-candidates")
     members = staged(nodes.drop("sig").join(inner, "node"), "minhash-members")
-    roots = components(confirm(_sets_of(docs, members, shingle), percent, chunk))
+    roots = components(confirm(docs, members, shingle, percent, chunk))
     rooted = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = staged(rooted.join(least, "root").select("high", "low", "component_id"), "minhash-components")

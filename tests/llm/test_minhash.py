@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from llm.conftest import prose, rows_of
 from llm.test_simhash import grouped
+from pyspark.sql import functions as F
 
 from feedgate.llm import minhash
 
@@ -129,3 +130,43 @@ def test_prefixes_hold_every_pair(spark):
         if (sigs[i] == sigs[j]).sum() >= 36:
             assert posted[i] & posted[j]
     assert max(map(len, posted.values())) <= 64 - 36 + 1
+
+
+def test_texts_of_candidates_are_not_shuffled(spark, capsys):
+    """However many candidates there are, rows are picked where they are read; sets come once."""
+    rows = [(1, "a b c d e f g"), (None, "h i j k l m n"), (1, "A b c  d e f g"), (2, "o p q r s t u"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    some = minhash.prints(docs, 5, 64).filter("n_shingles > 0").dropDuplicates(["high", "low"])
+    members = some.select(F.lit(0).alias("root"), F.hash("high").alias("node"), "n_shingles", "high", "low", F.col("doc_id").alias("doc"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = minhash._sets_of(docs, members, 5)
+        found.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    texts = [line for line in capsys.readouterr().out.splitlines() if "Exchange" in line and "doc" in line]
+    assert not texts, texts
+    want = rows_of(some, "high", "low")
+    assert len(want) == 3
+    assert [r for r in rows_of(found, "high", "low") if r in want] == want  # the empty set is nobody's
+
+
+def test_ids_that_share_a_bit(spark, monkeypatch):
+    """One word of bits lets most rows through; what is no candidate falls out by its digest."""
+    monkeypatch.setattr(minhash, "SLOTS", 1)
+    rows = families(7, 6)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert rows_of(minhash.near_duplicates(docs, chunk=300), *COLUMNS) == brute(rows)
+
+
+def test_rows_of_few_ids(spark):
+    """Many different texts under the same id, or none."""
+    rows = [(None if i % 3 == 0 else i % 3, text) for i, text in families(8, 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert rows_of(minhash.near_duplicates(docs), *COLUMNS) == brute(rows)
+
+
+def test_signatures_take_four_bytes_a_coordinate():
+    """They are written twice and shuffled once, for every row."""
+    assert minhash.Sets(["a b c d e f g", ""]).signatures(64).nbytes == 2 * 64 * 4
